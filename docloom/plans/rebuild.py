@@ -39,11 +39,10 @@ class RebuildLog:
 
     def read(self) -> DataFrame:
         """One row per build."""
-        try:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             rows = self.spark.read.schema(LOG).parquet(self.path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        else:
             rows = self.spark.createDataFrame([], LOG)
         last = F.max_by(F.struct("indexes", "started_at", "finished_at", "success"), F.coalesce("finished_at", F.lit(-1.0)))
         return rows.groupBy("build_id").agg(last.alias("r")).select("build_id", "r.*")
