@@ -24,9 +24,10 @@ def net_changes(r: RoutedChanges) -> DataFrame:
     delete only took back the initial insert; an update otherwise.
     """
     order = change_order()
+    # index and table are constants here; keeping them out of the keys leaves the sort a numeric prefix
     keys = ["doc_id"] if r.one_row else ["doc_id", "pk"]
-    folded = r.df.groupBy("index", "table", *keys).agg(
-        F.min_by(F.struct("action", "old", "pk"), order).alias("head"),
+    folded = r.df.groupBy(*keys).agg(
+        F.min_by(F.struct("action", "old", *(["pk"] if r.one_row else [])), order).alias("head"),
         F.max_by(F.struct("action", "new"), order).alias("tail"),
         F.count_if(F.col("action") == "delete").alias("n_del"),
     )
@@ -34,8 +35,8 @@ def net_changes(r: RoutedChanges) -> DataFrame:
     is_insert = (first == "insert") & (F.col("n_del") == 0)
     is_delete = (last == "delete") & ~((first == "insert") & (F.col("n_del") == 1))
     return folded.select(
-        "index",
-        "table",
+        F.lit(r.index).alias("index"),
+        F.lit(r.table).alias("table"),
         "doc_id",
         F.col("head.pk").alias("pk") if r.one_row else F.col("pk"),
         is_insert.alias("is_insert"),
@@ -67,9 +68,10 @@ def changed_column_flags(r: RoutedChanges, net: DataFrame | None = None) -> Data
     words = _word_names("c", r.columns)
     differs = {c: ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in r.columns}
     masks = [m.alias(w) for m, w in zip(flags.pack(r.columns, differs), words)]
+    names = [F.lit(r.index).alias("index"), F.lit(r.table).alias("table")]
     if r.one_row:
         # at most one image on each side, and they differ
-        return net.select("index", "table", "doc_id", *masks)
+        return net.select(*names, "doc_id", *masks)
 
     before = F.when(
         F.col("is_delete") | F.col("is_update"),
@@ -79,13 +81,11 @@ def changed_column_flags(r: RoutedChanges, net: DataFrame | None = None) -> Data
         F.col("is_insert") | F.col("is_update"),
         F.struct(F.col("new").alias("image"), F.lit(0).alias("b"), F.lit(1).alias("a")),
     )
-    sides = net.select(
-        "index", "table", "doc_id", *masks, F.explode(F.array_compact(F.array(before, after))).alias("s")
-    )
-    images = sides.groupBy("index", "table", "doc_id", F.col("s.image").alias("image")).agg(
+    sides = net.select("doc_id", *masks, F.explode(F.array_compact(F.array(before, after))).alias("s"))
+    images = sides.groupBy("doc_id", F.col("s.image").alias("image")).agg(
         F.max("s.b").alias("b"), F.max("s.a").alias("a"), *[F.bit_or(w).alias(w) for w in words]
     )
-    docs = images.groupBy("index", "table", "doc_id").agg(
+    docs = images.groupBy("doc_id").agg(
         F.sum("b").alias("n_before"),
         F.sum("a").alias("n_after"),
         F.count_if(F.col("a") != F.col("b")).alias("n_one_sided"),
@@ -93,8 +93,7 @@ def changed_column_flags(r: RoutedChanges, net: DataFrame | None = None) -> Data
     )
     many = (F.col("n_before") > 1) | (F.col("n_after") > 1)
     return docs.where(F.col("n_one_sided") > 0).select(
-        "index",
-        "table",
+        *names,
         "doc_id",
         *[F.when(many, f).otherwise(F.col(w)).alias(w) for f, w in zip(flags.full(r.columns), words)],
     )
@@ -109,7 +108,7 @@ def changed_columns(r: RoutedChanges) -> DataFrame:
 
 
 def _index_attrs(branches: Sequence[RoutedChanges]) -> list[str]:
-    return sorted({a for r in branches for c in r.columns for a in r.column_map[c]})
+    return sorted({a for r in branches for c in r.columns for a in r.column_map.get(c, ())})
 
 
 def changed_attrs(routed: Iterable[RoutedChanges]) -> DataFrame:
@@ -130,7 +129,7 @@ def changed_attrs(routed: Iterable[RoutedChanges]) -> DataFrame:
             cols = [F.col(w) for w in _word_names("c", r.columns)]
             feeds: dict[str, Column] = {}
             for attr in attrs:
-                hits = [flags.has(r.columns, cols, c) for c in r.columns if attr in r.column_map[c]]
+                hits = [flags.has(r.columns, cols, c) for c in r.columns if attr in r.column_map.get(c, ())]
                 if hits:
                     feeds[attr] = reduce(lambda x, y: x | y, hits)
             masks = [m.alias(w) for m, w in zip(flags.pack(attrs, feeds), words)]

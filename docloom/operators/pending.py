@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.operators.rules import change_order
-
 
 def doc_batches(changes: DataFrame) -> DataFrame:
     """One row per (index, document) of the queue.
 
     `first_ts` is the time of the first arrival, which need not be the earliest time; `last_ts` is the latest.
-    The row changes stay where they are; the batch only keeps their range and number.
+    The row changes stay where they are; the batch only keeps their range and number.  All changes of one feed
+    position arrived together, so `seq` alone orders their times.
     """
     return changes.groupBy("index", "doc_id").agg(
-        F.min_by("ts", change_order()).alias("first_ts"),
+        F.min_by("ts", "seq").alias("first_ts"),
         F.max("ts").alias("last_ts"),
         F.count("*").alias("n_rows"),
         F.min("event_id").alias("first_event_id"),
@@ -24,6 +23,32 @@ def doc_batches(changes: DataFrame) -> DataFrame:
     )
 
 
+def merge_batches(batches: DataFrame) -> DataFrame:
+    """Batches of the same document from several arrivals as one."""
+    return batches.groupBy("index", "doc_id").agg(
+        F.min_by("first_ts", "first_seq").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        F.sum("n_rows").alias("n_rows"),
+        F.min("first_event_id").alias("first_event_id"),
+        F.min("first_seq").alias("first_seq"),
+        F.max("last_seq").alias("last_seq"),
+    )
+
+
+def changes_of(changes: DataFrame, batches: DataFrame) -> DataFrame:
+    """The row changes that belong to the given batches: same document, position within the batch's range."""
+    span = batches.select(
+        F.col("index").alias("_index"), F.col("doc_id").alias("_doc"), F.col("first_seq").alias("_from"),
+        F.col("last_seq").alias("_to"),
+    )
+    mine = (
+        (F.col("index") == F.col("_index"))
+        & (F.col("doc_id") == F.col("_doc"))
+        & F.col("seq").between(F.col("_from"), F.col("_to"))
+    )
+    return changes.join(span, mine, "left_semi")
+
+
 def is_settled(now: Column, gap_seconds: float, hold_seconds: float) -> Column:
     """Quiet for `gap_seconds`, or waiting for `hold_seconds` since the first change."""
     def age(c):

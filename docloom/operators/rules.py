@@ -83,30 +83,22 @@ class RoutedChanges:
 
 
 
-def image(side: str, fields: Sequence[T.StructField], columns: Iterable[str]) -> Column:
-    """The mapped columns of one side, in table column order."""
-    wanted = set(columns)
-    return F.struct(
-        *[comparable(F.col(f"{side}.{f.name}"), f.dataType).alias(f.name) for f in fields if f.name in wanted]
-    )
+def _value(side: str, f: T.StructField) -> Column:
+    return comparable(F.col(f"{side}.{f.name}"), f.dataType)
 
 
-def empty_image(fields: Sequence[T.StructField], columns: Iterable[str]) -> Column:
-    """A struct of NULLs with the mapped columns (not a NULL struct)."""
+def image(side: str, fields: Sequence[T.StructField], columns: Iterable[str], absent: Column) -> Column:
+    """The mapped columns of one side in table column order, all NULL where that side is absent."""
     wanted = set(columns)
-    text = T.StringType()
-    return F.struct(
-        *[
-            F.lit(None).cast(text if isinstance(f.dataType, T.BinaryType) else f.dataType).alias(f.name)
-            for f in fields
-            if f.name in wanted
-        ]
-    )
+    return F.struct(*[F.when(~absent, _value(side, f)).alias(f.name) for f in fields if f.name in wanted])
 
 
-def row_key(side: str, fields: Sequence[T.StructField], columns: Sequence[str]) -> Column:
-    types = {f.name: f.dataType for f in fields}
-    return F.struct(*[comparable(F.col(f"{side}.{c}"), types[c]).alias(c) for c in columns])
+def row_key(fields: Sequence[T.StructField], columns: Sequence[str], from_new: Column) -> Column:
+    """Key of the row that an insert creates or that an update or delete found."""
+    by_name = {f.name: f for f in fields}
+    return F.struct(
+        *[F.when(from_new, _value("new", by_name[c])).otherwise(_value("old", by_name[c])).alias(c) for c in columns]
+    )
 
 
 def change_order() -> Column:
@@ -134,56 +126,41 @@ def apply_rule(feed: TableFeed, rule: IngestRule, rule_id: int = 0) -> RoutedCha
     id_type = types[rule.id_field]
     old_id = to_doc_id(F.col(f"old.{rule.id_field}"), id_type)
     new_raw = F.col(f"new.{rule.id_field}")
-    is_update = F.col("action") == "update"
-    new_id = F.when(is_update & new_raw.isNull(), old_id).otherwise(to_doc_id(new_raw, id_type))
-    nothing = empty_image(fields, mapped)
-
-    def change(sub_no, action, doc_id, key_side, old, new):
-        return F.struct(
-            F.lit(sub_no).alias("sub_no"),
-            F.lit(action).alias("action"),
-            doc_id.alias("doc_id"),
-            row_key(key_side, fields, feed.key_columns()).alias("pk"),
-            old.alias("old"),
-            new.alias("new"),
-        )
-
-    old, new = image("old", fields, mapped), image("new", fields, mapped)
-    changes = (
-        F.when(F.col("action") == "insert", F.array(change(0, "insert", new_id, "new", nothing, new)))
-        .when(F.col("action") == "delete", F.array(change(0, "delete", old_id, "old", old, nothing)))
-        .when(is_update & (old_id == new_id), F.array(change(0, "update", new_id, "old", old, new)))
-        .when(
-            is_update,
-            F.array(
-                change(0, "delete", old_id, "old", old, nothing),
-                change(1, "insert", new_id, "new", nothing, new),
-            ),
-        )
-        .otherwise(F.raise_error(F.concat(F.lit("unknown row action: "), F.col("action"))))
-    )
+    new_id = to_doc_id(new_raw, id_type)
+    moves = (F.col("action") == "update") & new_raw.isNotNull() & (old_id != new_id)
+    known = F.col("action").isin("insert", "update", "delete")
+    unknown = F.raise_error(F.concat(F.lit("unknown row action: "), F.coalesce("action", F.lit("NULL"))))
+
     row_no = F.col("row_no") if "row_no" in feed.df.columns else F.lit(0)
-    df = feed.df.select(
+    steps = feed.df.select(
         "seq",
-        F.lit(rule_id).alias("rule_id"),
         row_no.cast("int").alias("row_no"),
         "event_id",
         "ts",
-        F.explode(changes).alias("c"),
-    ).select(
+        F.when(known, F.col("action")).otherwise(unknown.cast("string")).alias("_action"),
+        "old",
+        "new",
+        moves.alias("_moves"),
+        F.explode(F.when(moves, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("sub_no"),
+    )
+    action = (
+        F.when(~F.col("_moves"), F.col("_action")).when(F.col("sub_no") == 0, F.lit("delete")).otherwise(F.lit("insert"))
+    )
+    inserts, deletes = F.col("action") == "insert", F.col("action") == "delete"
+    df = steps.withColumn("action", action).select(
         F.lit(rule.index).alias("index"),
         F.lit(feed.table).alias("table"),
         "seq",
-        "rule_id",
+        F.lit(rule_id).alias("rule_id"),
         "row_no",
-        F.col("c.sub_no").alias("sub_no"),
+        "sub_no",
         "event_id",
         "ts",
-        F.col("c.action").alias("action"),
-        F.col("c.doc_id").alias("doc_id"),
-        F.col("c.pk").alias("pk"),
-        F.col("c.old").alias("old"),
-        F.col("c.new").alias("new"),
+        "action",
+        F.when(inserts, new_id).otherwise(old_id).alias("doc_id"),
+        row_key(fields, feed.key_columns(), inserts).alias("pk"),
+        image("old", fields, mapped, inserts).alias("old"),
+        image("new", fields, mapped, deletes).alias("new"),
     )
     one_row = tuple(feed.pk) == (rule.id_field,)
     return RoutedChanges(rule.index, feed.table, mapped, rule.column_map, one_row, df)
