@@ -49,8 +49,8 @@ JOIN (VALUES {ORDER_STEPS}) AS s(scenario, step, action, has_old, has_new, is_fi
 """
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
-# Lines have no natural short key, so the feed gives every row one: order, part, supplier, line, ship date and
-# quantity, plus a generation that grows when a row is deleted and inserted again (a surrogate key).
+# Lines have no short natural key, so every row carries one in the feed: order, part, line, ship date, the supplier and
+# quantity it began with, and a generation that grows when it is deleted and inserted again (a surrogate key).
 # 0: re-inserted unchanged; 1: re-inserted, first lines with another quantity; 2: another supplier;
 # 3: inserted; 4: deleted; 5: inserted and deleted; 6: unmapped column updated
 LINE_STEPS = """
@@ -72,8 +72,6 @@ SELECT l.l_orderkey * 100 + l.l_linenumber * 10 + s.step AS seq,
        l.l_shipdate + s.step * INTERVAL '1' SECOND AS ts,
        s.action AS action, s.is_first AS is_first, s.is_last AS is_last,
        s.has_old AS has_old, s.has_new AS has_new,
-       CASE WHEN s.has_old THEN concat_ws('-', l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber,
-                                          l.l_shipdate, l.l_quantity, s.generation) END AS old_row_id,
        CASE WHEN s.has_old THEN l.l_orderkey END AS old_l_orderkey,
        CASE WHEN s.has_old THEN l.l_partkey END AS old_l_partkey,
        CASE WHEN s.has_old THEN l.l_suppkey + s.old_supplier_add END AS old_l_suppkey,
@@ -81,20 +79,30 @@ SELECT l.l_orderkey * 100 + l.l_linenumber * 10 + s.step AS seq,
        CASE WHEN s.has_old THEN l.l_quantity + CASE WHEN l.l_linenumber = 1 THEN s.old_quantity_add ELSE 0 END
             END AS old_l_quantity,
        CASE WHEN s.has_old THEN l.l_tax + 1 END AS old_l_tax,
-       CASE WHEN s.has_new THEN concat_ws('-', l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber,
-                                          l.l_shipdate, l.l_quantity, s.generation) END AS new_row_id,
+       CASE WHEN s.has_old THEN l.l_shipdate END AS old_l_shipdate,
+       CASE WHEN s.has_old THEN l.l_suppkey END AS old_key_suppkey,
+       CASE WHEN s.has_old THEN l.l_quantity END AS old_key_quantity,
+       CASE WHEN s.has_old THEN s.generation END AS old_generation,
        CASE WHEN s.has_new THEN l.l_orderkey END AS new_l_orderkey,
        CASE WHEN s.has_new THEN l.l_partkey END AS new_l_partkey,
        CASE WHEN s.has_new THEN l.l_suppkey END AS new_l_suppkey,
        CASE WHEN s.has_new THEN l.l_linenumber END AS new_l_linenumber,
        CASE WHEN s.has_new THEN l.l_quantity END AS new_l_quantity,
-       CASE WHEN s.has_new THEN l.l_tax END AS new_l_tax
+       CASE WHEN s.has_new THEN l.l_tax END AS new_l_tax,
+       CASE WHEN s.has_new THEN l.l_shipdate END AS new_l_shipdate,
+       CASE WHEN s.has_new THEN l.l_suppkey END AS new_key_suppkey,
+       CASE WHEN s.has_new THEN l.l_quantity END AS new_key_quantity,
+       CASE WHEN s.has_new THEN s.generation END AS new_generation
 FROM {{lineitem}} l
 JOIN (VALUES {LINE_STEPS}) AS s(scenario, step, action, has_old, has_new, is_first, is_last,
       generation, old_quantity_add, old_supplier_add)
   ON l.l_orderkey % 7 = s.scenario
 """
-LINE_COLUMNS = ("row_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax")
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_shipdate", "key_suppkey",
+    "key_quantity", "generation",
+)
+LINE_KEY = ("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "key_suppkey", "key_quantity", "generation")
 
 # User activity as a feed: each event is one insert for the document of its user.
 F_EVENTS = """

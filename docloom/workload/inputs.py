@@ -57,7 +57,7 @@ class Inputs:
 
     @cached_property
     def lines_feed(self) -> TableFeed:
-        return feed_from_flat("lineitem", self.lines_flat, sql.LINE_COLUMNS, ("row_id",))
+        return feed_from_flat("lineitem", self.lines_flat, sql.LINE_COLUMNS, sql.LINE_KEY)
 
     @property
     def feeds(self) -> list[TableFeed]:

@@ -114,6 +114,10 @@ def _column_map() -> str:
     return f"SELECT * FROM (VALUES {', '.join(rows)}) AS m(tab, col, attr)"
 
 
+def _line_key(side: str, columns=sql.LINE_KEY) -> str:
+    return "concat_ws('|', " + ", ".join(f"{side}_{c}" for c in columns) + ")"
+
+
 _tables = {"orders": "orders", "lineitem": "lineitem", "events": "events"}
 _line_ids = "seq, action, CASE WHEN action = 'insert' THEN new_l_orderkey ELSE old_l_orderkey END AS doc_id"
 
@@ -126,10 +130,11 @@ VIEWS = {
     "la": sql.after("FROM fl", sql.LINE_COLUMNS),
     "fo_moved": "SELECT *, action = 'update' AND new_o_orderkey <> old_o_orderkey AS moved FROM fo",
     "ro": _orders_routed(),
-    "rl": f"SELECT {_line_ids}, CASE WHEN action = 'insert' THEN new_row_id ELSE old_row_id END AS row_key, "
+    "rl": f"SELECT {_line_ids}, CASE WHEN action = 'insert' THEN new_generation ELSE old_generation END AS generation, "
+    + f"CASE WHEN action = 'insert' THEN {_line_key('new')} ELSE {_line_key('old')} END AS row_key, "
     + ", ".join(f"old_{c}, new_{c}" for c in LINE_COLS) + " FROM fl",
     "no": _net("ro", "doc_id", ORDER_COLS, "seq, sub_no"),
-    "nl": _net("rl", "doc_id, row_key", LINE_COLS, "seq"),
+    "nl": _net("rl", "doc_id, row_key, generation", LINE_COLS, "seq"),
     "co": " UNION ALL ".join(
         f"SELECT doc_id, '{c}' AS col FROM no WHERE old_{c} IS DISTINCT FROM new_{c}" for c in ORDER_COLS
     ),
@@ -277,17 +282,14 @@ _SELECTS = {
     "pk_fallback": f"""
         WITH k AS (
             SELECT {_line_ids}, NULL AS old_x, NULL AS new_x,
-                   CASE WHEN action = 'insert' THEN new_row_id ELSE old_row_id END AS row_key,
-                   CASE WHEN action = 'insert'
-                        THEN concat_ws('|', new_row_id, new_l_orderkey, new_l_partkey, new_l_suppkey, new_l_linenumber,
-                                       new_l_quantity, new_l_tax)
-                        ELSE concat_ws('|', old_row_id, old_l_orderkey, old_l_partkey, old_l_suppkey, old_l_linenumber,
-                                       old_l_quantity, old_l_tax) END AS k
+                   CASE WHEN action = 'insert' THEN new_l_tax ELSE old_l_tax END AS tax,
+                   CASE WHEN action = 'insert' THEN {_line_key('new', sql.LINE_COLUMNS)}
+                        ELSE {_line_key('old', sql.LINE_COLUMNS)} END AS k
             FROM fl)
         SELECT doc_id, count(*) AS n_keys, count(*) FILTER (is_insert) AS n_insert,
                count(*) FILTER (is_update) AS n_update, count(*) FILTER (is_delete) AS n_delete,
-               min(split_part(k, '|', 1)) AS first_key
-        FROM ({_net("k", "doc_id, k", ("x",), "seq")}) GROUP BY doc_id""",
+               min(tax) AS least_tax
+        FROM ({_net("k", "doc_id, k, tax", ("x",), "seq")}) GROUP BY doc_id""",
     "part_route": "SELECT o_orderkey, o_orderkey % 7 AS part FROM orders",
     "doc_query_full": "SELECT * FROM docs",
     "typed_alias": """
@@ -320,9 +322,9 @@ _SELECTS = {
     "strip_nul": "SELECT doc_id, md5(text || source) AS digest, length(text || source) AS n FROM documents",
     "binary_compare": "SELECT doc_id, 'text' AS columns FROM documents WHERE lang = 'en'",
     "net_row_change": f"""
-        SELECT 'orders' AS "table", doc_id, CAST(doc_id AS VARCHAR) AS key, {_flags},
+        SELECT 'orders' AS "table", doc_id, doc_id AS key, {_flags},
                old_o_totalprice AS old_value, new_o_totalprice AS new_value FROM no
-        UNION ALL SELECT 'lineitem', doc_id, row_key, {_flags}, old_l_quantity, new_l_quantity FROM nl""",
+        UNION ALL SELECT 'lineitem', doc_id, CAST(generation AS BIGINT), {_flags}, old_l_quantity, new_l_quantity FROM nl""",
     "prune_noop": f"""
         SELECT 'orders' AS "table", doc_id, count(*) AS n_rows FROM no WHERE {_no_diff} GROUP BY doc_id
         UNION ALL SELECT 'lineitem', doc_id, count(*) FROM nl WHERE {_nl_diff} GROUP BY doc_id""",
