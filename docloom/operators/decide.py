@@ -16,20 +16,18 @@ def decide(
     """Changed documents (`doc_id, attrs`) with their current content and an action.
 
     Not in the source any more: delete.  Only in-place attributes changed: update.  Anything else: replace.
-    The result has `doc_id, part, action, attrs` and the document columns but for the id.
+    The result is `doc_id, part, action, attrs, doc`, where `doc` holds the other document columns.
     """
-    content = [c for c in documents.columns if c != id_column]
-    current = documents.select(
-        F.col(id_column).alias("_id"), F.lit(True).alias("_found"), *content
-    )
+    content = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != id_column])
+    current = documents.select(F.col(id_column).alias("_id"), content.alias("doc"))
     in_place_only = F.size(F.array_except("attrs", F.array(*[F.lit(a) for a in in_place]).cast("array<string>"))) == 0
     action = (
-        F.when(F.col("_found").isNull(), F.lit("delete"))
+        F.when(F.col("_id").isNull(), F.lit("delete"))
         .when(in_place_only, F.lit("update"))
         .otherwise(F.lit("replace"))
     )
     return changed.join(current, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", part_of(F.col("doc_id"), parts).alias("part"), action.alias("action"), "attrs", *content
+        "doc_id", part_of(F.col("doc_id"), parts).alias("part"), action.alias("action"), "attrs", "doc"
     )
 
 

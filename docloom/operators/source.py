@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from docloom.functions.coerce import COLUMN_TYPES, IN_PLACE_TYPES, part_of, typed
 
 
+# Names the stored table uses itself, as well as all that begin with an underscore.
+RESERVED = ("doc_version", "doc_part")
+
+
 class SourceError(ValueError):
     """The document query does not declare usable typed columns."""
 
@@ -23,6 +27,8 @@ def split_alias(alias: str) -> tuple[str, str]:
         raise SourceError(f"query column {alias!r} needs an alias of the form name:type")
     if not name:
         raise SourceError(f"query column {alias!r} needs a name before the colon")
+    if name.startswith("_") or name in RESERVED:
+        raise SourceError(f"query column {name!r} has a reserved name")
     if doc_type not in COLUMN_TYPES:
         raise SourceError(f"query column {alias!r} has the unknown type {doc_type!r}")
     return name, doc_type
@@ -82,9 +88,9 @@ class DocSource:
         aggregates.  Whether they are broadcast is left to the optimizer's size check.
         """
         if ids is not None:
-            wanted = ids.select("doc_id")
+            wanted = ids.select(F.col("doc_id").alias("_wanted"))
             frames = {
-                t: frames[t].join(wanted, F.col(key) == wanted["doc_id"], "left_semi") if key else frames[t]
+                t: frames[t].join(wanted, F.col(key) == F.col("_wanted"), "left_semi") if key else frames[t]
                 for t, key in self.tables.items()
             }
         raw = self.raw(spark, frames)

@@ -2,9 +2,9 @@
 
 Layout under one root folder:
 
-* `base/v=<n>/part=<k>`   full documents written by a rebuild or a compaction,
-* `delta/v=<n>/part=<k>`  documents put or deleted by one change batch,
-* `versions/<n>.json`     what version n consists of and how far in the feed it is.
+* `base/doc_version=<n>/doc_part=<k>`   full documents written by a rebuild or a compaction,
+* `delta/doc_version=<n>/doc_part=<k>`  documents put or deleted by one change batch,
+* `versions/<n>.json`                   what version n consists of and how far in the feed it is.
 
 A job writes its files first and publishes them by creating the version file, so a failed job leaves the table as it
 was, and data and position change together.  A change batch writes its own documents only, whatever the
@@ -24,6 +24,9 @@ from pyspark.sql import types as T
 
 from docloom.functions.coerce import part_of
 
+# Names in stored files beside the document columns; sources refuse them as column names.
+VERSION = "doc_version"
+PART = "doc_part"
 DELETED = "_deleted"
 
 
@@ -71,8 +74,8 @@ class DocTable:
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
     def _parts_written(self, kind: str, version: int) -> list[int]:
-        names = self._names(f"{self.root}/{kind}/v={version}")
-        return sorted(int(n.partition("=")[2]) for n in names if n.startswith("part="))
+        names = self._names(f"{self.root}/{kind}/{VERSION}={version}")
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{PART}="))
 
     # versions -----------------------------------------------------------------------------------------------
 
@@ -131,12 +134,12 @@ class DocTable:
         sizes it measured in the shuffle; rows are sorted by id inside a file, so lookups by id skip row groups.
         """
         (
-            rows.withColumn("part", part_of(F.col(id_column), parts))
-            .hint("rebalance", "part")
-            .sortWithinPartitions("part", id_column)
+            rows.withColumn(PART, part_of(F.col(id_column), parts))
+            .hint("rebalance", PART)
+            .sortWithinPartitions(PART, id_column)
             .write.mode("overwrite")
-            .partitionBy("part")
-            .parquet(f"{self.root}/{kind}/v={version}")
+            .partitionBy(PART)
+            .parquet(f"{self.root}/{kind}/{VERSION}={version}")
         )
         return self._parts_written(kind, version)
 
@@ -195,7 +198,7 @@ class DocTable:
         upsert_missing: bool = True,
         advance: bool = True,
     ) -> Version:
-        """Apply decided documents (`doc_id, part, action, attrs` and content) as one batch.
+        """Apply decided documents (`doc_id, action, attrs, doc`) as one batch.
 
         A batch that is already part of the table is skipped.  With `upsert_missing`, an in-place update writes
         the whole current document, which also heals one the table lacks; without it, an update changes the
@@ -218,7 +221,7 @@ class DocTable:
         )
         rows = counted.select(
             F.col("doc_id").alias(old.id_column),
-            *[F.col(c) for c in content],
+            *[F.col(f"doc.{c}") for c in content],
             (F.col("action") == "delete").alias(DELETED),
             *([] if upsert_missing else [F.col("action").alias("_action"), F.col("attrs").alias("_attrs")]),
         )
@@ -281,14 +284,14 @@ class DocTable:
         paths = []
         for version, in_use in sorted(getattr(v, kind).items(), key=lambda e: int(e[0])):
             if wanted is None and in_use == self._parts_written(kind, int(version)):
-                paths.append(f"{self.root}/{kind}/v={version}")
+                paths.append(f"{self.root}/{kind}/{VERSION}={version}")
             else:
                 paths += [
-                    f"{self.root}/{kind}/v={version}/part={k}" for k in in_use if wanted is None or k in wanted
+                    f"{self.root}/{kind}/{VERSION}={version}/{PART}={k}" for k in in_use if wanted is None or k in wanted
                 ]
         if not paths:
             return None
-        full = T.StructType(schema.fields + [T.StructField("v", T.LongType()), T.StructField("part", T.IntegerType())])
+        full = T.StructType(schema.fields + [T.StructField(VERSION, T.LongType()), T.StructField(PART, T.IntegerType())])
         return self.spark.read.schema(full).option("basePath", f"{self.root}/{kind}").parquet(*paths)
 
     def read(
@@ -306,18 +309,18 @@ class DocTable:
         delta_schema = T.StructType(schema.fields + [T.StructField(DELETED, T.BooleanType())])
         delta = self._files("delta", v, delta_schema, parts)
         if ids is not None:
-            wanted = ids.select("doc_id")
+            wanted = ids.select(F.col("doc_id").alias("_wanted"))
             base, delta = (
-                df if df is None else df.join(wanted, df[key] == wanted["doc_id"], "left_semi")
+                df if df is None else df.join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
                 for df in (base, delta)
             )
         if base is None:
             base = self.spark.createDataFrame([], schema)
         if delta is None:
             return base.select(*columns)
-        latest = delta.select(*columns, DELETED, "v")
+        latest = delta.select(*columns, DELETED)
         if len(v.delta) > 1:
-            row = F.max_by(F.struct(*columns, DELETED), "v").alias("_row")
+            row = F.max_by(F.struct(*columns, DELETED), VERSION).alias("_row")
             latest = delta.groupBy(F.col(key).alias("_id")).agg(row).select("_row.*")
         kept = base.select(*columns).join(delta.select(key), key, "left_anti")
         return kept.select(*columns).unionByName(latest.where(~F.col(DELETED)).select(*columns))
@@ -329,10 +332,10 @@ class DocTable:
         v = self._need()
         frames = []
         for kind in ("base", "delta"):
-            paths = [f"{self.root}/{kind}/v={n}/part={k}" for n, ks in getattr(v, kind).items() for k in ks]
+            paths = [f"{self.root}/{kind}/{VERSION}={n}/{PART}={k}" for n, ks in getattr(v, kind).items() for k in ks]
             if paths:
                 listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
-                part = F.regexp_extract("path", r"/part=(\d+)/", 1).cast("int")
+                part = F.regexp_extract("path", rf"/{PART}=(\d+)/", 1).cast("int")
                 frames.append(
                     listed.select(
                         F.lit(kind).alias("kind"), part.alias("part"), "path", F.col("length").alias("bytes")

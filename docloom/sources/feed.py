@@ -21,9 +21,21 @@ def write_feed(feeds: Sequence[TableFeed], root: str) -> None:
         f.df.write.mode("append").parquet(f"{root}/table={f.table}")
 
 
-def read_feed(spark: SparkSession, root: str, tables: Mapping[str, Sequence[str]]) -> list[TableFeed]:
-    """Feeds of the named tables (name -> primary key columns); only their folders are listed and read."""
-    return [TableFeed(t, spark.read.parquet(f"{root}/table={t}"), tuple(pk)) for t, pk in tables.items()]
+def read_feed(
+    spark: SparkSession,
+    root: str,
+    tables: Mapping[str, Sequence[str]],
+    schemas: Mapping[str, T.StructType] | None = None,
+) -> list[TableFeed]:
+    """Feeds of the named tables (name -> primary key columns); only their folders are listed and read.
+
+    Known schemas spare opening files to find them.
+    """
+    out = []
+    for t, pk in tables.items():
+        reader = spark.read.schema(schemas[t]) if schemas and t in schemas else spark.read
+        out.append(TableFeed(t, reader.parquet(f"{root}/table={t}"), tuple(pk)))
+    return out
 
 
 def stream_feed(

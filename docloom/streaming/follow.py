@@ -52,6 +52,7 @@ class Follower:
     upsert_missing: bool = True
     build_mode: bool = False
     metrics: list = field(default_factory=list)
+    _schemas: dict = field(default_factory=dict, repr=False)
     _busy: threading.Lock = field(default_factory=threading.Lock, repr=False)
     _stopping: bool = False
 
@@ -61,8 +62,7 @@ class Follower:
         With `heartbeat`, one empty row per second keeps triggers firing while the feed is quiet.
         """
         feeds = [
-            stream_feed(self.spark, self.feed_root, f.table, f.df.schema, f.pk, **options)
-            for f in read_feed(self.spark, self.feed_root, self.tables)
+            stream_feed(self.spark, self.feed_root, f.table, f.df.schema, f.pk, **options) for f in self._stored()
         ]
         rows = touched(route(feeds, self.job.rules)).select("index", "doc_id", "seq", "event_id")
         if heartbeat:
@@ -87,6 +87,11 @@ class Follower:
             self._stopping = True
         query.stop()
 
+    def _stored(self) -> list[TableFeed]:
+        feeds = read_feed(self.spark, self.feed_root, self.tables, self._schemas)
+        self._schemas = {f.table: f.df.schema for f in feeds}
+        return feeds
+
     # one micro-batch ------------------------------------------------------------------------------------------
 
     def _exists(self, path: str) -> bool:
@@ -144,7 +149,7 @@ class Follower:
             waits = sums["n_waiting"] > 0
             feeds = [
                 TableFeed(f.table, f.df.where(F.col("seq").between(sums["lo"], sums["hi"])), f.pk)
-                for f in read_feed(self.spark, self.feed_root, self.tables)
+                for f in self._stored()
             ]
             ready = queue.where(r)
             routed = [replace(x, df=changes_of(x.df, ready)) for x in route(feeds, self.job.rules)]

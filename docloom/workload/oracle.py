@@ -385,6 +385,7 @@ _SELECTS = {
         UNION ALL
         SELECT 'order_doc', 2, 'apply', 1, (SELECT max(seq) FROM fo), count(*) FILTER (action = 'replace'),
                count(*) FILTER (action = 'update'), count(*) FILTER (action = 'delete') FROM dec""",
+    "stream_apply": "SELECT *, greatest((SELECT max(seq) FROM fo), (SELECT max(seq) FROM fl)) AS seq FROM da",
     "doc_batches": "SELECT * FROM ub",
     "queue_stats": """
         SELECT 'user_doc' AS index, count(DISTINCT user_id) AS n_docs, count(*) AS n_rows FROM events

@@ -21,6 +21,7 @@ from docloom.plans.sync import SyncJob, decided_documents, sync_batch
 from docloom.plans.sync import sync_counters as count_sync
 from docloom.session import new_dir, staged
 from docloom.sources import feed as feeds
+from docloom.streaming.follow import Follower
 from docloom.workload import feeds as sql
 from docloom.workload.inputs import FLUSH, GAP, HOLD, LONG_HOLD, Inputs, flat
 from docloom.workload.orders import LINES_RULE, ORDER_DOC, ORDERS_RULE, RULES
@@ -373,7 +374,7 @@ def _decided(i: Inputs) -> DataFrame:
 
 @query
 def decide_action(i: Inputs) -> DataFrame:
-    return _decided(i).select("doc_id", "part", "action", "attrs", "title_text", "total", "suppliers")
+    return _decided(i).select("doc_id", "part", "action", "attrs", "doc.title_text", "doc.total", "doc.suppliers")
 
 
 @query
@@ -492,6 +493,20 @@ def event_tagging(i: Inputs) -> DataFrame:
     return positions.tag_positions(e, F.col("event_type") == "purchase", block=1000).select("seq", "event_id")
 
 
+@query
+def stream_apply(i: Inputs) -> DataFrame:
+    # documents settle at once, so every micro-batch applies what it brought
+    root = new_dir(i.spark, "feed")
+    feeds.write_feed(i.feeds, root)
+    (table,) = i.new_tables(i.before, seq=0)
+    follower = Follower(
+        i.spark, i.job([table]), lambda: i.after, root, {"orders": ["o_orderkey"], "lineitem": sql.LINE_KEY},
+        new_dir(i.spark, "follower"), gap_seconds=0, hold_seconds=0,
+    )
+    follower.start(heartbeat=False, trigger={"availableNow": True}).awaitTermination()
+    return table.read().withColumn("seq", F.lit(table.current().seq))
+
+
 # rebuild and upkeep -------------------------------------------------------------------------------------------
 
 

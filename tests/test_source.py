@@ -19,6 +19,8 @@ def test_declared_columns():
         (["id:"], "form name:type"),
         (["a:b:id"], "form name:type"),
         ([":id"], "needs a name"),
+        (["id:id", "doc_part:attr_uint"], "reserved name"),
+        (["id:id", "_x:attr_uint"], "reserved name"),
         (["id:id", "f:attr_wtf"], "unknown type 'attr_wtf'"),
         (["id:id", "f:attr_uint", "f:attr_uint"], "declared twice"),
         (["id1:id", "id2:id"], "exactly one column of type id"),

@@ -1,0 +1,160 @@
+"""The follower and the settle operator on live streams."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from docloom.operators.rules import IngestRule, TableFeed, route, touched
+from docloom.operators.source import DocSource
+from docloom.plans.sync import SyncJob
+from docloom.plans.target import DocTable
+from docloom.session import new_dir
+from docloom.sources.feed import read_feed, stream_feed, write_feed
+from docloom.streaming.follow import Follower
+from docloom.streaming.settle import settle_stream
+
+SOURCE = DocSource("d", "SELECT t.k AS `id:id`, t.v AS `v:attr_uint`, t.s AS `s:field` FROM {t} t", {"t": "k"}, parts=2)
+RULE = IngestRule("t", "k", "d", {"v": ("v",), "s": ("s",)})
+IMAGE = "struct<k: bigint, v: bigint, s: string>"
+
+
+def feed(spark, *rows):
+    df = spark.createDataFrame(
+        [(n, n, None, a, o, w) for n, a, o, w in rows],
+        f"seq bigint, event_id bigint, ts timestamp, action string, old {IMAGE}, new {IMAGE}",
+    )
+    return TableFeed("t", df, ("k",))
+
+
+def base(spark, *rows):
+    return {"t": spark.createDataFrame(list(rows), "k bigint, v bigint, s string")}
+
+
+class Setup:
+    def __init__(self, spark, first, n=1, **options):
+        self.spark = spark
+        self.root = new_dir(spark, "feed")
+        self.state = new_dir(spark, "state")
+        self.now = [1000.0]
+        self.frames = first
+        self.targets = [DocTable(spark, new_dir(spark, "t")) for _ in range(n)]
+        for t in self.targets:
+            t.rebuild(SOURCE.documents(spark, first), "id", 2, seq=0)
+        self.job = SyncJob({"d": SOURCE}, [RULE], {"d": self.targets})
+        self.options = options
+
+    def follower(self):
+        return Follower(
+            self.spark, self.job, lambda: self.frames, self.root, {"t": ["k"]}, self.state,
+            gap_seconds=10, hold_seconds=30, clock=lambda: self.now[0], **self.options,
+        )
+
+    def step(self, follower, batch_id, *rows):
+        """One micro-batch with the given feed rows."""
+        new = feed(self.spark, *rows)
+        write_feed([new], self.root)
+        arrived = touched(route([new], [RULE])).select("index", "doc_id", "seq", "event_id")
+        follower.on_batch(arrived, batch_id)
+        return follower.metrics[-1]["ready"], follower.metrics[-1]["waiting"]
+
+    def content(self, n=0):
+        return {r["id"]: (r["v"], r["s"]) for r in self.targets[n].read().collect()}
+
+
+def test_settling_and_positions(spark):
+    s = Setup(spark, base(spark, (1, 1, "a"), (2, 2, "b")))
+    f = s.follower()
+    s.frames = base(spark, (1, 5, "a"), (3, 3, "c"))
+    assert s.step(f, 0, (1, "update", (1, 1, "a"), (1, 4, "a")), (2, "delete", (2, 2, "b"), None)) == (0, 2)
+    s.now[0] += 6
+    assert s.step(f, 1, (3, "update", (1, 4, "a"), (1, 5, "a"))) == (0, 2)
+    s.now[0] += 6  # document 2 is quiet for 12 s, document 1 only for 6 s
+    assert s.step(f, 2, (4, "insert", None, (3, 3, "c"))) == (1, 2)
+    assert s.content() == {1: (1, "a")}
+    v = s.targets[0].current()
+    assert (v.seq, v.event_id) == (0, 1)  # the oldest waiting change is number 1
+    for n in range(3):  # document 1 never gets quiet, but has waited for 30 s in the end
+        s.now[0] += 6
+        ready = s.step(f, 3 + n, (5 + n, "update", (1, 5, "a"), (1, 5, "a")))
+    assert ready == (1, 0)
+    assert s.content() == {1: (5, "a"), 3: (3, "c")}
+    v = s.targets[0].current()
+    assert (v.seq, v.event_id) == (7, 7)
+
+
+def test_failed_batch_is_repeated_with_the_same_documents(spark):
+    s = Setup(spark, base(spark, (1, 1, "a"), (2, 2, "b")), n=2)
+    good = s.frames = base(spark, (1, 5, "a"), (2, 6, "b"))
+    f = s.follower()
+    assert s.step(f, 0, (1, "update", (1, 1, "a"), (1, 5, "a"))) == (0, 1)
+    s.now[0] += 5
+    assert s.step(f, 1, (2, "update", (2, 2, "b"), (2, 6, "b"))) == (0, 2)
+    s.now[0] += 6
+    # the second replica fails after the first was written
+    second = s.targets[1].apply
+    s.targets[1].apply = lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        s.step(f, 2)
+    assert s.content(0) == {1: (5, "a"), 2: (2, "b")} and s.content(1) == {1: (1, "a"), 2: (2, "b")}
+    s.targets[1].apply = second
+    s.now[0] += 60  # by now document 2 has settled too, but the batch was already decided
+    f = s.follower()
+    assert s.step(f, 2) == (1, 1)
+    assert s.content(0) == s.content(1) == {1: (5, "a"), 2: (2, "b")}
+    assert s.targets[0].current().version == 2
+    s.frames = good
+    assert s.step(f, 3) == (1, 0)
+    assert s.content(0) == s.content(1) == {1: (5, "a"), 2: (6, "b")}
+
+
+def test_build_mode_keeps_the_position(spark):
+    s = Setup(spark, base(spark, (1, 1, "a")), build_mode=True)
+    s.frames = base(spark, (1, 5, "a"))
+    f = s.follower()
+    s.step(f, 0, (8, "update", (1, 1, "a"), (1, 5, "a")))
+    s.now[0] += 10
+    assert s.step(f, 1) == (1, 0)
+    assert s.content() == {1: (5, "a")} and s.targets[0].current().seq == 0
+
+
+def test_live_follower(spark):
+    """Real triggers: quiet triggers flush what waits, and a stop falls between two micro-batches."""
+    s = Setup(spark, base(spark, (1, 1, "a"), (2, 2, "b")))
+    write_feed([feed(spark, (1, "update", (1, 1, "a"), (1, 5, "a")), (2, "delete", (2, 2, "b"), None))], s.root)
+    s.frames = base(spark, (1, 5, "a"))
+    f = s.follower()
+    f.clock, f.gap_seconds, f.hold_seconds = time.time, 0.2, 2
+    q = f.start(heartbeat=True)
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and q.exception() is None and s.targets[0].current().batch_id is None:
+            time.sleep(0.5)
+    finally:
+        f.stop(q)
+    assert s.content() == {1: (5, "a")}
+    assert s.targets[0].current().seq == 2
+
+
+def test_settle_stream(spark):
+    root = new_dir(spark, "feed")
+    rows = [(n, "update", (n % 5, n, "x"), (n % 5, n + 1, "x")) for n in range(200)]
+    write_feed([feed(spark, *rows)], root)
+    (stored,) = read_feed(spark, root, {"t": ["k"]})
+    live = stream_feed(spark, root, "t", stored.df.schema, ("k",), maxFilesPerTrigger=2)
+    q = (
+        settle_stream(touched(route([live], [RULE])), gap_seconds=0.5, hold_seconds=5)
+        .writeStream.format("memory").queryName("settled").outputMode("append")
+        .option("checkpointLocation", new_dir(spark, "cp")).trigger(processingTime="1 second").start()
+    )
+    try:
+        deadline, total = time.time() + 90, 0
+        while time.time() < deadline and q.exception() is None and total < 200:
+            time.sleep(0.5)
+            total = spark.sql("SELECT coalesce(sum(n_rows), 0) AS n FROM settled").first()["n"]
+    finally:
+        q.stop()
+    out = spark.table("settled")
+    assert total == 200 and out.select("doc_id").distinct().count() == 5
+    assert out.where(F.col("last_seq") < F.col("first_seq")).isEmpty()
+    assert out.agg(F.min("first_seq"), F.max("last_seq")).first() == (0, 199)

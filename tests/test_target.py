@@ -29,8 +29,8 @@ def docs(spark, *rows):
 def decided(spark, *rows):
     """(doc_id, action, attrs, a, t)"""
     return spark.createDataFrame(
-        [(d, 0, act, attrs, a, t) for d, act, attrs, a, t in rows],
-        "doc_id bigint, part int, action string, attrs array<string>, a bigint, t string",
+        [(d, 0, act, attrs, None if act == "delete" else (a, t)) for d, act, attrs, a, t in rows],
+        "doc_id bigint, part int, action string, attrs array<string>, doc struct<a: bigint, t: string>",
     )
 
 
@@ -98,7 +98,7 @@ def test_failed_write_changes_nothing(spark):
     t.rebuild(docs(spark, (1, 1, "x")), "id", 2)
     boom = F.udf(lambda v: 1 // 0, "bigint")
     with pytest.raises(Exception):
-        t.apply(decided(spark, (1, "replace", ["t"], 1, "y")).withColumn("a", boom("a")), batch_id=1)
+        t.apply(decided(spark, (1, "replace", ["t"], 1, "y")).withColumn("action", boom("doc_id").cast("string")), batch_id=1)
     with pytest.raises(Exception):
         t.rebuild(docs(spark, (1, 1, "z")).withColumn("a", boom("a")), "id", 2)
     assert content(t) == {1: (1, "x")} and t.current().version == 1
