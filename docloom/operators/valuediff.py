@@ -16,12 +16,19 @@ def net_plain_value(changes: DataFrame, keys: Sequence[str], order: str, old: st
     return net.where(~F.col("old_value").eqNullSafe(F.col("new_value")))
 
 
+STATES = ((-1, "_from_minus"), (0, "_from_zero"), (1, "_from_plus"))
+
+
 def _step(state, delta):
     return F.greatest(F.lit(-1), F.least(F.lit(1), state + delta))
 
 
+def _move(state, effect):
+    return F.when(state < 0, effect["_from_minus"]).when(state > 0, effect["_from_plus"]).otherwise(effect["_from_zero"])
+
+
 def net_set_value(
-    changes: DataFrame, keys: Sequence[str], order: str, old: str, new: str, block: int = 65536
+    changes: DataFrame, keys: Sequence[str], order: str, old: str, new: str, block: int = 65536, levels: int = 3
 ) -> DataFrame:
     """Values added to or removed from a set per key, with cancellation: `keys, value, net` (1 added, -1 removed).
 
@@ -29,13 +36,14 @@ def net_set_value(
     value.  Per value this is a counter kept within [-1, 1].  `order` must be a bigint that is unique per key.
 
     The counter is folded in blocks of `block` positions: a block's effect is where it takes each of the three
-    counter states, and the blocks' effects are folded in turn.  A value that occurs in a third of all rows is
-    thus spread over many groups of at most 2 * `block` steps, and then one group per `block` positions.
+    counter states.  Effects are folded in blocks again, `levels` times in all, so a value that occurs in a third of
+    all rows is spread over many groups, none longer than 2 * `block` as long as positions span no more than
+    `block` to the power of `levels`; beyond that only the last fold gets longer.
     """
     moved = changes.where(~F.col(old).eqNullSafe(F.col(new)))
-    deltas = moved.select(
+    effects = moved.select(
         *keys,
-        F.col(order).alias("_at"),
+        F.col(order).cast("bigint").alias("_at"),
         F.inline(
             F.array(
                 F.struct(F.lit(0).alias("_sub"), F.col(old).alias("value"), F.lit(-1).alias("_delta")),
@@ -43,21 +51,17 @@ def net_set_value(
             )
         ),
     ).where(F.col("value").isNotNull())
-    block_no = F.floor(F.col("_at") / F.lit(block)).alias("_block")
-    steps = F.array_sort(F.collect_list(F.struct("_at", "_sub", "_delta")))
-    blocks = deltas.groupBy(*keys, "value", block_no).agg(steps.alias("_steps")).select(
-        *keys,
-        "value",
-        "_block",
-        *[
-            F.aggregate("_steps", F.lit(start), lambda s, x: _step(s, x["_delta"])).alias(name)
-            for start, name in ((-1, "_from_minus"), (0, "_from_zero"), (1, "_from_plus"))
-        ],
-    )
-    effects = F.array_sort(F.collect_list(F.struct("_block", "_from_minus", "_from_zero", "_from_plus")))
-    net = F.aggregate(
-        effects,
-        F.lit(0),
-        lambda s, x: F.when(s < 0, x["_from_minus"]).when(s > 0, x["_from_plus"]).otherwise(x["_from_zero"]),
-    )
-    return blocks.groupBy(*keys, "value").agg(net.alias("net")).where(F.col("net") != 0)
+    parts, follow = ("_sub", "_delta"), lambda s, x: _step(s, x["_delta"])
+    for _ in range(levels - 1):
+        steps = F.array_sort(F.collect_list(F.struct("_at", *parts))).alias("_steps")
+        block_no = F.floor(F.col("_at") / F.lit(block)).alias("_block")
+        effects = effects.groupBy(*keys, "value", block_no).agg(steps).select(
+            *keys,
+            "value",
+            F.col("_block").alias("_at"),
+            *[F.aggregate("_steps", F.lit(start), follow).alias(name) for start, name in STATES],
+        )
+        parts, follow = tuple(name for _, name in STATES), _move
+    steps = F.array_sort(F.collect_list(F.struct("_at", *parts)))
+    net = F.aggregate(steps, F.lit(0), follow).alias("net")
+    return effects.groupBy(*keys, "value").agg(net).where(F.col("net") != 0)

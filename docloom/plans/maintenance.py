@@ -31,7 +31,11 @@ def compaction_candidates(table: DocTable, max_delta_bytes: int) -> DataFrame:
     return sizes.where((F.col("delta_bytes") > max_delta_bytes) & F.lit(max_delta_bytes > 0))
 
 
-def compact_if_needed(table: DocTable, max_delta_bytes: int) -> Version:
-    """Compact the parts over the limit; the list of parts is configuration-sized."""
+def compact_if_needed(table: DocTable, max_delta_bytes: int, max_deltas: int = 64) -> Version:
+    """Compact the parts over the limit, then merge what is left of more than `max_deltas` change batches.
+
+    The list of parts is configuration-sized.
+    """
     parts = [r["part"] for r in compaction_candidates(table, max_delta_bytes).select("part").collect()]
-    return table.compact(parts)
+    v = table.compact(parts)
+    return table.merge_deltas() if len(v.delta) > max_deltas else v

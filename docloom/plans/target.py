@@ -318,10 +318,7 @@ class DocTable:
             base = self.spark.createDataFrame([], schema)
         if delta is None:
             return base.select(*columns)
-        latest = delta.select(*columns, DELETED)
-        if len(v.delta) > 1:
-            row = F.max_by(F.struct(*columns, DELETED), VERSION).alias("_row")
-            latest = delta.groupBy(F.col(key).alias("_id")).agg(row).select("_row.*")
+        latest = self._latest(delta, columns, key, len(v.delta))
         kept = base.select(*columns).join(delta.select(key), key, "left_anti")
         return kept.select(*columns).unionByName(latest.where(~F.col(DELETED)).select(*columns))
 
@@ -345,6 +342,28 @@ class DocTable:
             return self.spark.createDataFrame([], "kind string, part int, path string, bytes bigint")
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
+    def _latest(self, delta: DataFrame, columns: list[str], key: str, n_versions: int) -> DataFrame:
+        """The last delta row of each document."""
+        if n_versions <= 1:
+            return delta.select(*columns, DELETED)
+        row = F.max_by(F.struct(*columns, DELETED), VERSION).alias("_row")
+        return delta.groupBy(F.col(key).alias("_id")).agg(row).select("_row.*")
+
+    def merge_deltas(self) -> Version:
+        """Fold the deltas of many small batches into one; the base files stay."""
+        old = self._need()
+        if len(old.delta) < 2:
+            return old
+        schema = _struct(old.schema)
+        columns = [f.name for f in schema.fields]
+        delta = self._files("delta", old, T.StructType(schema.fields + [T.StructField(DELETED, T.BooleanType())]), None)
+        n = self._next()
+        latest = self._latest(delta, columns, old.id_column, len(old.delta))
+        written = self._write(latest, old.id_column, old.parts, "delta", n)
+        v = Version(**{**asdict(old), "version": n, "kind": "merge", "delta": {str(n): written} if written else {}})
+        v.n_replace = v.n_update = v.n_delete = 0
+        return self._publish(v)
+
     def compact(self, parts: Iterable[int]) -> Version:
         """Fold the deltas of `parts` into new base files; other parts keep theirs."""
         old = self._need()

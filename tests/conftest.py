@@ -20,6 +20,13 @@ def spark():
     return session
 
 
+@pytest.fixture(autouse=True)
+def no_codegen_for_tiny_data(request, spark):
+    """Compiling code takes longer than running it on a few rows; the query checks do run compiled code."""
+    compiled = "true" if "test_queries" in request.node.nodeid else "false"
+    spark.conf.set("spark.sql.codegen.wholeStage", compiled)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF

@@ -102,8 +102,8 @@ def test_net_values(spark):
     df = spark.createDataFrame(rows, "k int, n bigint, o string, w string").repartition(4)
     got = {r["k"]: (r["old_value"], r["new_value"]) for r in valuediff.net_plain_value(df, ["k"], "n", "o", "w").collect()}
     assert got == {k: v for k, v in plain.items() if v[0] != v[1]}
-    for block in (1, 10, 1000000):
-        net = valuediff.net_set_value(df, ["k"], "n", "o", "w", block=block)
+    for block, levels in ((1, 2), (10, 3), (1000000, 1)):
+        net = valuediff.net_set_value(df, ["k"], "n", "o", "w", block=block, levels=levels)
         got = {(r["k"], r["value"]): r["net"] for r in net.collect()}
         assert got == {(k, v): s for k, vs in sets.items() for v, s in vs.items() if s}
 

@@ -66,6 +66,9 @@ def test_versions(spark):
 
     maintenance.compact_if_needed(t, 0)
     assert t.current().version == 3
+    assert len(t.current().delta) == 2
+    v = maintenance.compact_if_needed(t, 0, max_deltas=1)
+    assert v.kind == "merge" and list(v.delta) == ["4"] and content(t) == want
     t.compact([2])
     assert content(t) == want and t.current().kind == "compact" and t.current().batch_id == 2
     maintenance.compact_if_needed(t, 1)
@@ -75,7 +78,7 @@ def test_versions(spark):
     assert status == {1: (2, 0), 2: (1, 0)}
     t.set_position(5, 1)
     assert t.current().seq == 5 and content(t) == want
-    assert t.trim_history(2) == [1, 2, 3, 4]
+    assert t.trim_history(2) == [1, 2, 3, 4, 5]
     assert content(t) == want
 
 
