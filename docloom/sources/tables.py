@@ -12,6 +12,18 @@ def parquet_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> di
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition an input that has fewer splits than the session has cores.
+
+    A file with one row group is read by one task, and all map-side work on it would stay there.  Inputs with enough
+    splits, as all large ones have, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def jdbc_tables(
     spark: SparkSession, url: str, tables: Mapping[str, str], properties: Mapping[str, str], **options
 ) -> dict[str, DataFrame]:

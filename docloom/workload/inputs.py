@@ -14,7 +14,7 @@ from docloom.plans.sync import SyncJob
 from docloom.plans.target import DocTable
 from docloom.session import new_dir
 from docloom.sources.feed import feed_from_flat, snapshot_as_inserts
-from docloom.sources.tables import parquet_tables
+from docloom.sources.tables import parquet_tables, spread
 from docloom.workload import feeds as sql
 from docloom.workload.orders import ORDER_DOC, RULES
 
@@ -24,6 +24,8 @@ HOLD = 24 * 3600
 LONG_HOLD = 716 * 3600
 FLUSH = 600
 
+LINE_IDENTITY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
 USER_RULE = IngestRule("events", "user_id", "user_doc", {"event_type": ("kinds",), "value": ("spend",)})
 
 
@@ -41,7 +43,12 @@ class Inputs:
 
     @cached_property
     def frames(self) -> dict[str, DataFrame]:
-        return parquet_tables(self.spark, self.sf_dir, self.TABLES)
+        frames = parquet_tables(self.spark, self.sf_dir, self.TABLES)
+        return {
+            **frames,
+            "orders": spread(frames["orders"], "o_orderkey"),
+            "lineitem": spread(frames["lineitem"], *LINE_IDENTITY),
+        }
 
     @cached_property
     def orders_flat(self) -> DataFrame:
