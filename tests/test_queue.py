@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from docloom.operators import pending, positions, settling, valuediff
 
-T1 = datetime.datetime(2017, 12, 10, 21, 51, 47)
-T2 = datetime.datetime(2017, 12, 10, 20, 11, 25)
-C1, C2, C3 = ("i1", 112233, T2), ("i1", 112234, T1), ("i1", 112233, T1)
-C4, C5, C6 = ("i1", 112235, T1), ("i2", 112233, T2), ("i2", 112234, T2)
+T1 = datetime.datetime(2024, 5, 6, 21, 0, 0)
+T2 = datetime.datetime(2024, 5, 6, 20, 0, 0)
+C1, C2, C3 = ("i1", 33, T2), ("i1", 44, T1), ("i1", 33, T1)
+C4, C5, C6 = ("i1", 55, T1), ("i2", 33, T2), ("i2", 44, T2)
 
 
 def changes(spark, rows):
@@ -30,15 +30,15 @@ def batches(spark, rows):
 
 
 def test_grouping(spark):
-    assert batches(spark, [C1]) == {("i1", 112233): (1, T2, T2)}
-    assert batches(spark, [C1, C3]) == {("i1", 112233): (2, T2, T1)}
-    assert batches(spark, [C3, C1]) == {("i1", 112233): (2, T1, T1)}  # first arrival, not earliest time
+    assert batches(spark, [C1]) == {("i1", 33): (1, T2, T2)}
+    assert batches(spark, [C1, C3]) == {("i1", 33): (2, T2, T1)}
+    assert batches(spark, [C3, C1]) == {("i1", 33): (2, T1, T1)}  # first arrival, not earliest time
     assert batches(spark, [C1, C2, C3, C4]) == {
-        ("i1", 112233): (2, T2, T1), ("i1", 112234): (1, T1, T1), ("i1", 112235): (1, T1, T1),
+        ("i1", 33): (2, T2, T1), ("i1", 44): (1, T1, T1), ("i1", 55): (1, T1, T1),
     }
     assert batches(spark, [C1, C5, C6, C2, C3, C4, C5, C3]) == {
-        ("i1", 112233): (3, T2, T1), ("i1", 112234): (1, T1, T1), ("i1", 112235): (1, T1, T1),
-        ("i2", 112233): (2, T2, T2), ("i2", 112234): (1, T2, T2),
+        ("i1", 33): (3, T2, T1), ("i1", 44): (1, T1, T1), ("i1", 55): (1, T1, T1),
+        ("i2", 33): (2, T2, T2), ("i2", 44): (1, T2, T2),
     }
 
 
@@ -54,7 +54,7 @@ def test_merged_batches_equal_one_grouping(spark):
 
 
 def test_split_and_safe_position(spark):
-    day = datetime.datetime(2018, 7, 11)
+    day = datetime.datetime(2024, 7, 1)
     at = lambda s: day + datetime.timedelta(seconds=s)
     rows = [("x", 1, at(0)), ("x", 1, at(95)), ("x", 2, at(80)), ("y", 2, at(98)), ("y", 3, at(89)), ("x", 4, at(99))]
     split = pending.settle_split(

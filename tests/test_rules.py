@@ -8,11 +8,11 @@ from docloom.operators.rules import IngestRule, RuleError, TableFeed, apply_rule
 from docloom.operators.source import DocSource
 from docloom.sources.feed import flatten_rows, logical_rows
 
-RULE = IngestRule("db1.t1", "id", "i1", {"col1": ()})
-NOW = datetime.datetime(2018, 7, 11, 5, 44, 20)
-ROW = "struct<id: bigint, col1: bigint, text1: string>"
-R1, R2, R3 = (1, 31337, "javascript"), (2, 13373, "closurescript"), (3, 33731, "typescript")
-M1, M2, M3 = (1, 137, "javascript"), (2, 317, "purescript"), (3, 713, "coffeescript")
+RULE = IngestRule("shop.item", "id", "idx", {"price": ()})
+NOW = datetime.datetime(2024, 3, 5, 7, 9, 11)
+ROW = "struct<id: bigint, price: bigint, name: string>"
+R1, R2, R3 = (1, 500, "pine"), (2, 600, "larch"), (3, 700, "fir")
+M1, M2, M3 = (1, 501, "pine"), (2, 601, "yew"), (3, 701, "elm")
 
 
 def events(spark, *evs, row=ROW):
@@ -25,7 +25,7 @@ def events(spark, *evs, row=ROW):
 
 def changes(spark, rule, pk, *evs, row=ROW):
     raw = events(spark, *evs, row=row)
-    feed = TableFeed("db1.t1", flatten_rows(raw.where("table = 'db1.t1'")), pk)
+    feed = TableFeed("shop.item", flatten_rows(raw.where("table = 'shop.item'")), pk)
     out = []
     for r in route([feed], [rule]):
         for c in r.df.orderBy("seq", "rule_id", "row_no", "sub_no").collect():
@@ -35,80 +35,80 @@ def changes(spark, rule, pk, *evs, row=ROW):
 
 @pytest.mark.parametrize("action,rows", [("insert", [R1]), ("update", [R1, R2]), ("delete", [R1, R2])])
 def test_other_tables_are_ignored(spark, action, rows):
-    assert changes(spark, RULE, ("id",), ("db2.t2", action, rows)) == []
+    assert changes(spark, RULE, ("id",), ("shop.note", action, rows)) == []
 
 
 def test_no_rule_for_a_table(spark):
-    feed = TableFeed("db2.t2", flatten_rows(events(spark, ("db2.t2", "insert", [R1]))), ("id",))
+    feed = TableFeed("shop.note", flatten_rows(events(spark, ("shop.note", "insert", [R1]))), ("id",))
     assert route([feed], [RULE]) == []
 
 
 @pytest.mark.parametrize(
     "pk,action,rows,want",
     [
-        (("id",), "insert", [R1], [("insert", 1, (1,), (None,), (31337,))]),
-        ((), "insert", [R1], [("insert", 1, R1, (None,), (31337,))]),
+        (("id",), "insert", [R1], [("insert", 1, (1,), (None,), (500,))]),
+        ((), "insert", [R1], [("insert", 1, R1, (None,), (500,))]),
         (
             ("id",), "insert", [R1, R2, R3],
             [
-                ("insert", 1, (1,), (None,), (31337,)),
-                ("insert", 2, (2,), (None,), (13373,)),
-                ("insert", 3, (3,), (None,), (33731,)),
+                ("insert", 1, (1,), (None,), (500,)),
+                ("insert", 2, (2,), (None,), (600,)),
+                ("insert", 3, (3,), (None,), (700,)),
             ],
         ),
-        (("id",), "update", [R1, M1], [("update", 1, (1,), (31337,), (137,))]),
+        (("id",), "update", [R1, M1], [("update", 1, (1,), (500,), (501,))]),
         (
-            ("text1",), "update", [R1, R2],
+            ("name",), "update", [R1, R2],
             [
-                ("delete", 1, ("javascript",), (31337,), (None,)),
-                ("insert", 2, ("closurescript",), (None,), (13373,)),
+                ("delete", 1, ("pine",), (500,), (None,)),
+                ("insert", 2, ("larch",), (None,), (600,)),
             ],
         ),
         (
             ("id",), "update", [R1, M1, R2, M2, R3, M3],
             [
-                ("update", 1, (1,), (31337,), (137,)),
-                ("update", 2, (2,), (13373,), (317,)),
-                ("update", 3, (3,), (33731,), (713,)),
+                ("update", 1, (1,), (500,), (501,)),
+                ("update", 2, (2,), (600,), (601,)),
+                ("update", 3, (3,), (700,), (701,)),
             ],
         ),
         (
             ("id",), "update", [R1, M1, R2, R3],
             [
-                ("update", 1, (1,), (31337,), (137,)),
-                ("delete", 2, (2,), (13373,), (None,)),
-                ("insert", 3, (3,), (None,), (33731,)),
+                ("update", 1, (1,), (500,), (501,)),
+                ("delete", 2, (2,), (600,), (None,)),
+                ("insert", 3, (3,), (None,), (700,)),
             ],
         ),
-        (("id",), "delete", [R3], [("delete", 3, (3,), (33731,), (None,))]),
-        (("id",), "update", [R1, (None, 8, "x")], [("update", 1, (1,), (31337,), (8,))]),
+        (("id",), "delete", [R3], [("delete", 3, (3,), (700,), (None,))]),
+        (("id",), "update", [R1, (None, 8, "x")], [("update", 1, (1,), (500,), (8,))]),
         (("id",), "insert", [(None, 8, "x")], [("insert", 0, (None,), (None,), (8,))]),
     ],
 )
 def test_apply(spark, pk, action, rows, want):
-    assert changes(spark, RULE, pk, ("db1.t1", action, rows)) == want
+    assert changes(spark, RULE, pk, ("shop.item", action, rows)) == want
 
 
 def test_bytes_are_compared_as_text(spark):
-    rule = IngestRule("db1.t1", "id", "i1", {"text1": ()})
-    row = "struct<id: bigint, col1: bigint, text1: binary>"
-    got = changes(spark, rule, ("text1",), ("db1.t1", "insert", [(1, 2, bytearray(b"javascript"))]), row=row)
-    assert got == [("insert", 1, ("javascript",), (None,), ("javascript",))]
+    rule = IngestRule("shop.item", "id", "idx", {"name": ()})
+    row = "struct<id: bigint, price: bigint, name: binary>"
+    got = changes(spark, rule, ("name",), ("shop.item", "insert", [(1, 2, bytearray(b"pine"))]), row=row)
+    assert got == [("insert", 1, ("pine",), (None,), ("pine",))]
 
 
 @pytest.mark.parametrize("order", [(0, 1), (1, 0)])
 def test_rule_order_does_not_hide_a_rule(spark, order):
     rules = [
-        IngestRule("db1.t1", "id", "i1", {"f1": ("a1",)}),
-        IngestRule("db2.t2", "id", "i1", {"q2": ("z2",)}),
+        IngestRule("shop.item", "id", "idx", {"w": ("ww",)}),
+        IngestRule("shop.note", "id", "idx", {"y": ("yy",)}),
     ]
-    raw = events(spark, ("db1.t1", "delete", [(5, "hello")]), row="struct<id: bigint, f1: string>")
-    feed = TableFeed("db1.t1", flatten_rows(raw), ("id",))
+    raw = events(spark, ("shop.item", "delete", [(5, "red")]), row="struct<id: bigint, w: string>")
+    feed = TableFeed("shop.item", flatten_rows(raw), ("id",))
     (r,) = route([feed], [rules[i] for i in order])
     (c,) = r.df.collect()
-    assert (c["action"], c["doc_id"], tuple(c["old"]), tuple(c["new"])) == ("delete", 5, ("hello",), (None,))
+    assert (c["action"], c["doc_id"], tuple(c["old"]), tuple(c["new"])) == ("delete", 5, ("red",), (None,))
     matched = match_rules(raw, [rules[i] for i in order]).collect()
-    assert [(m["rule_id"], m["index"]) for m in matched] == [(order.index(0), "i1")]
+    assert [(m["rule_id"], m["index"]) for m in matched] == [(order.index(0), "idx")]
 
 
 def test_rules_of_one_shape_share_documents(spark):
@@ -126,28 +126,28 @@ def test_row_counts(spark):
 
 
 def test_errors(spark):
-    feed = TableFeed("db1.t1", flatten_rows(events(spark, ("db1.t1", "insert", [R1]))), ("id",))
+    feed = TableFeed("shop.item", flatten_rows(events(spark, ("shop.item", "insert", [R1]))), ("id",))
     with pytest.raises(RuleError, match="no column 'nope'"):
-        apply_rule(feed, IngestRule("db1.t1", "nope", "i1", {"col1": ()}))
+        apply_rule(feed, IngestRule("shop.item", "nope", "idx", {"price": ()}))
     with pytest.raises(RuleError, match="maps none"):
-        apply_rule(feed, IngestRule("db1.t1", "id", "i1", {"other": ()}))
-    bad = TableFeed("db1.t1", flatten_rows(events(spark, ("db1.t1", "insert", [(-4, 1, "x")]))), ("id",))
+        apply_rule(feed, IngestRule("shop.item", "id", "idx", {"other": ()}))
+    bad = TableFeed("shop.item", flatten_rows(events(spark, ("shop.item", "insert", [(-4, 1, "x")]))), ("id",))
     with pytest.raises(Exception, match="negative document id"):
         apply_rule(bad, RULE).df.collect()
-    odd = TableFeed("db1.t1", flatten_rows(events(spark, ("db1.t1", "insert", [R1]))).replace("insert", "upsert"), ("id",))
+    odd = TableFeed("shop.item", flatten_rows(events(spark, ("shop.item", "insert", [R1]))).replace("insert", "upsert"), ("id",))
     with pytest.raises(Exception, match="unknown row action"):
         apply_rule(odd, RULE).df.collect()
 
 
 def test_rule_checks():
-    source = DocSource("i1", "", {"t": "id"})
-    columns = {"i1": ["id", "x"]}
-    check_rules([IngestRule("t", "id", "i1", {"v": ("x",)})], {"i1": source}, columns)
+    source = DocSource("idx", "", {"t": "id"})
+    columns = {"idx": ["id", "x"]}
+    check_rules([IngestRule("t", "id", "idx", {"v": ("x",)})], {"idx": source}, columns)
     for rule, message in [
         (IngestRule("t", "id", "i2", {"v": ("x",)}), "no document source"),
-        (IngestRule("u", "id", "i1", {"v": ("x",)}), "not part of the query"),
-        (IngestRule("t", "id", "i1", {}), "maps no columns"),
-        (IngestRule("t", "id", "i1", {"v": ("y",)}), "unknown columns"),
+        (IngestRule("u", "id", "idx", {"v": ("x",)}), "not part of the query"),
+        (IngestRule("t", "id", "idx", {}), "maps no columns"),
+        (IngestRule("t", "id", "idx", {"v": ("y",)}), "unknown columns"),
     ]:
         with pytest.raises(RuleError, match=message):
-            check_rules([rule], {"i1": source}, columns)
+            check_rules([rule], {"idx": source}, columns)
