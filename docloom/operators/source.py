@@ -26,7 +26,7 @@ def split_alias(alias: str) -> tuple[str, str]:
     if not colon or not doc_type or ":" in doc_type:
         raise SourceError(f"query column {alias!r} needs an alias of the form name:type")
     if not name:
-        raise SourceError(f"query column {alias!r} needs a name before the colon")
+        raise SourceError(f"query column {alias!r} needs a name before the colon, as it is not a plain column")
     if name.startswith("_") or name in RESERVED:
         raise SourceError(f"query column {name!r} has a reserved name")
     if doc_type not in COLUMN_TYPES:
@@ -34,6 +34,37 @@ def split_alias(alias: str) -> tuple[str, str]:
     return name, doc_type
 
 
+def bare_columns(df: DataFrame) -> list[str | None]:
+    """For each output column of a query, the table column it is an alias of, or None for any other expression.
+
+    Read off the plan Spark has analysed, at the place where the alias is given.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    output = plan.output()
+    wanted = [output.apply(k).exprId().id() for k in range(output.size())]
+    found: dict[int, str | None] = {}
+    while True:
+        kind = plan.nodeName()
+        if kind in ("Project", "Aggregate"):
+            listed = plan.projectList() if kind == "Project" else plan.aggregateExpressions()
+            for k in range(listed.size()):
+                e = listed.apply(k)
+                if e.nodeName() == "Alias":
+                    child = e.child()
+                    name = child.name() if child.nodeName() == "AttributeReference" else None
+                    found.setdefault(e.exprId().id(), name)
+        if plan.children().size() != 1:
+            return [found.get(i) for i in wanted]
+        plan = plan.children().apply(0)
+
+
+def with_names(df: DataFrame) -> DataFrame:
+    """The query's result with `:type` aliases of bare columns completed to `column:type`."""
+    if not any(c.startswith(":") for c in df.columns):
+        return df
+    return df.toDF(*[(b or "") + c if c.startswith(":") else c for c, b in zip(df.columns, bare_columns(df))])
+
+
 def declared_columns(aliases: Iterable[str]) -> dict[str, str]:
     """Name -> type for a query's output columns, with exactly one id and no name twice."""
     columns: dict[str, str] = {}
@@ -70,11 +101,11 @@ class DocSource:
             raise SourceError(f"{self.name}: at least one table must hold the document id")
 
     def raw(self, spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
-        """The query as written, columns still called `name:type`."""
+        """The query as written, columns called `name:type`."""
         missing = [t for t in self.tables if t not in frames]
         if missing:
             raise SourceError(f"{self.name}: no data for tables {missing}")
-        return spark.sql(self.query, **{t: frames[t] for t in self.tables})
+        return with_names(spark.sql(self.query, **{t: frames[t] for t in self.tables}))
 
     def columns(self, raw: DataFrame) -> dict[str, str]:
         return declared_columns(raw.columns)
@@ -95,12 +126,15 @@ class DocSource:
             }
         raw = self.raw(spark, frames)
         dtypes = {f.name: f.dataType for f in raw.schema.fields}
-        return raw.select(
-            *[
-                typed(F.col(f"`{name}:{doc_type}`"), dtypes[f"{name}:{doc_type}"], doc_type).alias(name)
-                for name, doc_type in self.columns(raw).items()
-            ]
-        )
+
+        def column(name: str, doc_type: str):
+            c, dtype = F.col(f"`{name}:{doc_type}`"), dtypes[f"{name}:{doc_type}"]
+            if doc_type == "id" and ids is not None and isinstance(dtype, T.IntegralType):
+                # it matched a valid id already; left as a plain column, it keeps the partitioning of the query's joins
+                return c.cast("bigint")
+            return typed(c, dtype, doc_type)
+
+        return raw.select(*[column(n, t).alias(n) for n, t in self.columns(raw).items()])
 
     def part_documents(self, spark: SparkSession, frames: Mapping[str, DataFrame], part: int) -> DataFrame:
         """Documents of one partition; the base tables are filtered before the query runs."""

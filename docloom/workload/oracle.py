@@ -293,7 +293,7 @@ _SELECTS = {
     "part_route": "SELECT o_orderkey, o_orderkey % 7 AS part FROM orders",
     "doc_query_full": "SELECT * FROM docs",
     "typed_alias": """
-        SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(c_nationkey AS BIGINT) AS nation,
+        SELECT c_custkey, c_name AS name, c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey,
                c_custkey * -3 AS minus, round(c_acctbal / 7, 6) AS balance,
                array_to_string(list_sort(list_distinct([c_custkey, c_nationkey])), ',') AS pair,
                array_to_string(list_sort(list_distinct([c_custkey, c_nationkey])), ',') AS pair64

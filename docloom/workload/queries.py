@@ -204,8 +204,8 @@ def doc_query_full(i: Inputs) -> DataFrame:
 CUSTOMER_DOC = DocSource(
     name="customer_doc",
     query="""
-        SELECT c.c_custkey AS `id:id`, c.c_name AS `name:field`, c.c_mktsegment AS `segment:attr_string`,
-               c.c_nationkey AS `nation:attr_uint`, c.c_custkey * -3 AS `minus:attr_bigint`,
+        SELECT c.c_custkey AS `:id`, c.c_name AS `name:field`, c.c_mktsegment AS `:attr_string`,
+               c.c_nationkey AS `:attr_uint`, c.c_custkey * -3 AS `minus:attr_bigint`,
                c.c_acctbal / 7 AS `balance:attr_float`,
                concat_ws(',', c.c_nationkey, c.c_custkey) AS `pair:attr_multi`,
                array(c.c_custkey, c.c_nationkey) AS `pair64:attr_multi_64`

@@ -43,6 +43,26 @@ def test_query_text_errors(spark):
         DocSource("d", "SELECT 1 AS `id:id`", {"test": None})
 
 
+def test_short_aliases_take_the_column_name(spark):
+    frames = {"t": spark.createDataFrame([(1, 2, 3, "x"), (1, 2, 3, "y")], "k bigint, lo int, hi int, s string")}
+    plain = DocSource(
+        "d", "SELECT t.k `:id`, t.lo AS `:attr_uint`, hi AS `:attr_uint`, upper(t.s) AS `s:field` FROM {t} t", {"t": "k"}
+    )
+    assert plain.types(spark, frames) == {"k": "id", "lo": "attr_uint", "hi": "attr_uint", "s": "field"}
+    assert sorted(map(tuple, plain.documents(spark, frames).collect())) == [(1, 2, 3, "X"), (1, 2, 3, "Y")]
+    grouped = DocSource(
+        "d",
+        """SELECT t.k AS `:id`, min(t.s) AS `s:field`, t.lo `:attr_uint`
+           FROM {t} t GROUP BY t.k, t.lo HAVING count(*) > 1 ORDER BY 1""",
+        {"t": "k"},
+    )
+    ids = spark.createDataFrame([(1,)], "doc_id bigint")
+    assert list(map(tuple, grouped.documents(spark, frames, ids=ids).collect())) == [(1, "x", 2)]
+    for text in ("SELECT t.k + 1 AS `:id` FROM {t} t", "SELECT t.k AS `:id`, lower(t.s) AS `:field` FROM {t} t"):
+        with pytest.raises(SourceError, match="needs a name before the colon"):
+            DocSource("d", text, {"t": "k"}).documents(spark, frames)
+
+
 def test_documents_and_parts(spark):
     frames = {
         "t": spark.range(10).withColumnRenamed("id", "k"),
