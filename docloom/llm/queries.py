@@ -6,12 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.common import table
 from docloom.llm.exact import exact_groups
+from docloom.llm.langid import identify
 from docloom.llm.mixing import mixture
 from docloom.llm.quality import judged
 from docloom.llm.secrets import secret_digest
+from docloom.llm.simhash import near_digest
 from docloom.llm.urls import judge_urls
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -32,4 +42,4 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_secret_scan, op5_source_mixing, op7_quality_rules, op8_url_filter)}
+QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("op")}
