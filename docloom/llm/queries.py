@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.llm.bpe import bpe_digest
 from docloom.llm.common import table
 from docloom.llm.exact import exact_groups
 from docloom.llm.langid import identify
@@ -34,6 +36,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
