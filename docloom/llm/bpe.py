@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import fresh
+
 #: Pieces above are merged in a moving window and not memoised.
 LONG = 64
 MEMO = 600_000
@@ -226,6 +228,22 @@ def encoded(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).alias("doc_id"), ids(F.col(text_col)).alias("ids"))
 
 
+def encoded_rows(docs: DataFrame, file: str, text_col: str = "text") -> DataFrame:
+    """`docs` with ids, the tokens of every row's text, and round_trip, whether they decode to it. Columns of `docs` with these
+    names give way."""
+
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def code(texts: pd.Series) -> pd.DataFrame:
+        coder = transducer(file)
+        ids = [list(chain.from_iterable(coder.encode(t or ""))) for t in texts]
+        same = ["".join(coder.decode(iter([i]))) == (t or "") for i, t in zip(ids, texts)]
+        return pd.DataFrame({"ids": ids, "round_trip": same})
+
+    (found,) = fresh(docs, "found")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "round_trip")]
+    return docs.select(*rest, code(F.col(text_col)).alias(found)).select(*rest, f"{found}.ids", f"{found}.round_trip")
+
+
 def decoded(tokens: DataFrame, file: str) -> DataFrame:
     """doc_id and text of rows (doc_id, ids)."""
 

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import fresh
+
 #: Code points above have no letters.
 LETTERS_END = 0x323B0
 #: Characters handled at a time.
@@ -210,3 +212,12 @@ def identify(docs: DataFrame, model: LangModel | None = None) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), languages_of(docs, model).alias("found")).select(
         "doc_id", "held_out", "found.lang_pred", "found.score"
     )
+
+
+def drop_unidentified(docs: DataFrame, model: LangModel | None = None, least: float = 0.2, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with a language and a score of `least` or more, with their columns. Fluent text scores above 0.9;
+    what scores below 0.2 is mostly made of n-grams that no learnt language has. A text's language is judged, not its label."""
+    model = model or learn(docs, text_col=text_col)
+    (found,) = fresh(docs, "found")
+    rows = docs.withColumn(found, languages_of(docs, model, text_col))
+    return rows.where((F.col(f"{found}.lang_pred") != "und") & (F.col(f"{found}.score") >= least)).drop(found)

@@ -13,6 +13,7 @@ from docloom.llm.mixing import mixture
 from docloom.llm.quality import judged
 from docloom.llm.secrets import secret_digest
 from docloom.llm.simhash import near_digest
+from docloom.llm.substrings import substring_digest
 from docloom.llm.tokenfiles import token_digest
 from docloom.llm.urls import judge_urls
 
@@ -53,4 +54,8 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("op")}

@@ -11,6 +11,10 @@ forest of its verified links, not all pairs. Buckets above `bucket` members are
 outside, again and again: after r rounds at most 2^(bits left) fingerprints can share a bucket, so none stays large.
 Components are found by alternating star contraction, which moves links only.
 
+`near_groups` can also verify on a wide fingerprint: probes then go by the first 64 bits, and a pair is a link if the wide ones
+agree in as many bits as documents of the asked similarity do. `drop_near_copies` does so, as 64 bits can't tell a
+similarity of 0.8 from chance among many documents.
+
 Defined results: null and empty texts have fingerprint zero and link like others; rows that repeat an id count as one
 document; a null id never represents others; an empty table gives an empty result; other columns don't matter.
 """
@@ -28,42 +32,80 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import written
+from docloom.llm.common import fresh, written
 
 SEED = 42
+#: Seeds of the 128 bits each that make up a wide fingerprint.
+WIDE_SEEDS = (1, 2)
+WIDE = ("fp", "fp1", "fp2", "fp3")
 BUCKET = 2048
 SAMPLE = 4096
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """Bit i is set if it is set in over half of the shingles' hashes."""
-    words = (text or "").encode("utf-8", "replace").lower().split()  # on bytes: A-Z and the six ASCII spaces only
-    if not words:
-        return 0
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter((len(w) + 1 for w in words), dtype=np.int64, count=len(words))) - 1
+def _majority(text: str | None, shingle: int, words: int, hashes_of) -> np.ndarray:
+    """`words` numbers of 64 bits; bit i is set if it is set in over half of the shingles' hashes."""
+    tokens = (text or "").encode("utf-8", "replace").lower().split()  # on bytes: A-Z and the six ASCII spaces only
+    if not tokens:
+        return np.zeros(words, dtype="<u8")
+    line = b" ".join(tokens)
+    ends = np.cumsum(np.fromiter((len(w) + 1 for w in tokens), dtype=np.int64, count=len(tokens))) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(shingle, len(words))
-    n = len(words) - k + 1
+    k = min(shingle, len(tokens))
+    n = len(tokens) - k + 1
+    step = (1 << 16) // words
+    ones = np.zeros(64 * words, dtype=np.int64)
+    for at in range(0, n, step):
+        last = min(n, at + step)
+        spans = [line[a:b] for a, b in zip(starts[at:last].tolist(), ends[k - 1 + at : k - 1 + last].tolist())]
+        bits = np.unpackbits(hashes_of(spans).reshape(len(spans), -1), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > n, bitorder="little").view("<u8")
+
+
+def _hashes(spans: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, n, 1 << 16):
-        spans = zip(starts[at : min(n, at + (1 << 16))].tolist(), ends[k - 1 + at : k - 1 + min(n, at + (1 << 16))].tolist())
-        hashes = np.array([digest(line[a:b], SEED) for a, b in spans], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return np.array([digest(x, SEED) for x in spans], dtype="<u8").view(np.uint8)
+
+
+def _wide_hashes(spans: list[bytes]) -> np.ndarray:
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(x, seed) for x in spans for seed in WIDE_SEEDS]), dtype=np.uint8)
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    return int(_majority(text, shingle, 1, _hashes)[0])
+
+
+def wide_fingerprint(text: str | None, shingle: int = 5) -> np.ndarray:
+    """256 bits as four numbers."""
+    return _majority(text, shingle, len(WIDE), _wide_hashes)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """doc_id and fp, the fingerprint as a bigint of the same bits."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, wide: bool = False
+) -> DataFrame:
+    """doc_id and fp, the fingerprint as a bigint of the same bits; a wide one goes on in fp1 to fp3."""
 
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
+    @F.pandas_udf(", ".join(f"{c} bigint" for c in WIDE))
+    def wide_of(texts: pd.Series) -> pd.DataFrame:
+        found = np.array([wide_fingerprint(t, shingle) for t in texts], dtype="<u8").reshape(-1, len(WIDE))
+        return pd.DataFrame(found.view("<i8"), columns=list(WIDE))
+
+    if wide:
+        return docs.select(F.col(id_col).alias("doc_id"), wide_of(F.col(text_col)).alias("w")).select("doc_id", "w.*")
     return docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("fp"))
 
 
+def wide_bits(similarity: float) -> int:
+    """Differing bits of the wide fingerprints of two texts whose shingle sets, of one size, have the Jaccard similarity."""
+    cosine = 2 * similarity / (1 + similarity)
+    return int(math.acos(cosine) / math.pi * 64 * len(WIDE))
+
+
 # ---------------------------------------------------------------- plan
 
 
@@ -156,7 +198,8 @@ def _flips(width: int, radius: int) -> list[int]:
 
 
 def _buckets(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(bucket, node, fp, home, free): homes in the bucket of their own value, and probes. free: the bits outside."""
+    """(bucket, node, fp.., home, free): homes in the bucket of their own value, and probes. free: the bits outside."""
+    columns = [c for c in WIDE if c in nodes.columns]
     fixed = []
     for i, (part, t) in enumerate(zip(plan.parts, plan.thresholds)):
         if t >= 0:
@@ -170,9 +213,11 @@ def _buckets(nodes: DataFrame, plan: Plan) -> DataFrame:
                 value = _gather(fps, part)
                 for flip in flips:
                     key = [f"{i}.{v}" for v in (value ^ np.uint64(flip)).tolist()]
-                    yield pd.DataFrame({"bucket": key, "node": node, "fp": fps.view(np.int64), "home": flip == 0, "free": free})
+                    held = {c: batch[c].to_numpy() for c in columns}
+                    yield pd.DataFrame({"bucket": key, "node": node, **held, "home": flip == 0, "free": free})
 
-    return nodes.mapInPandas(put, "bucket string, node bigint, fp bigint, home boolean, free bigint")
+    kinds = "".join(f"{c} bigint, " for c in columns)
+    return nodes.select("node", *columns).mapInPandas(put, f"bucket string, node bigint, {kinds}home boolean, free bigint")
 
 
 def _split(rows: DataFrame, bits: int) -> DataFrame:
@@ -193,8 +238,18 @@ def _split(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInPandas(put, rows.schema)
 
 
-def _forest(fps: np.ndarray, home: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions a, b) of a spanning forest of the pairs within `bits` of which one is at home."""
+def _near(x: np.ndarray, y: np.ndarray, bits: int, most: int) -> np.ndarray:
+    """Whether fingerprints, one column for each 64 bits, link: by the first column, and by all if there are more."""
+    near = np.bitwise_count(x[..., 0] ^ y[..., 0]) <= bits
+    if x.shape[-1] > 1:
+        at = np.nonzero(near)
+        apart = np.bitwise_count(np.broadcast_to(x, (*near.shape, x.shape[-1]))[at] ^ np.broadcast_to(y, (*near.shape, y.shape[-1]))[at])
+        near[at] = apart.sum(axis=-1, dtype=np.int64) <= most
+    return near
+
+
+def _forest(fps: np.ndarray, home: np.ndarray, bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions a, b) of a spanning forest of the linked pairs of which one is at home."""
     n = len(fps)
     parent = np.arange(n)
 
@@ -209,7 +264,7 @@ def _forest(fps: np.ndarray, home: np.ndarray, bits: int) -> tuple[np.ndarray, n
     step = max(1, (1 << 20) // n)
     for at in range(0, len(homes), step):
         rows = homes[at : at + step]
-        i, j = np.nonzero(np.bitwise_count(fps[rows][:, None] ^ fps[None, :]) <= bits)
+        i, j = np.nonzero(_near(fps[rows][:, None], fps[None, :], bits, most))
         i = rows[i]
         real = i != j
         for a, b in zip(i[real].tolist(), j[real].tolist()):
@@ -221,8 +276,9 @@ def _forest(fps: np.ndarray, home: np.ndarray, bits: int) -> tuple[np.ndarray, n
     return np.array(out_a, dtype=np.int64), np.array(out_b, dtype=np.int64)
 
 
-def _verify(rows: DataFrame, bits: int) -> DataFrame:
+def _verify(rows: DataFrame, bits: int, most: int) -> DataFrame:
     """Links (a, b) inside buckets. Rows are dealt by bucket and sorted, so each bucket is a run within a task."""
+    columns = [c for c in WIDE if c in rows.columns]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -231,19 +287,19 @@ def _verify(rows: DataFrame, bits: int) -> DataFrame:
         def links(run: pd.DataFrame) -> pa.RecordBatch:
             key = run["bucket"].to_numpy()
             edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(run)]])
-            fps, node, home = run["fp"].to_numpy().view(np.uint64), run["node"].to_numpy(), run["home"].to_numpy()
+            fps, node, home = run[columns].to_numpy().view(np.uint64), run["node"].to_numpy(), run["home"].to_numpy()
             small, big = [], []
             sizes = np.diff(edges)
             # pairs at distance d in the sorted order lie in one bucket if d is less than its size
             for s, e in zip(edges[:-1][sizes > 32].tolist(), edges[1:][sizes > 32].tolist()):
-                a, b = _forest(fps[s:e], home[s:e], bits)
+                a, b = _forest(fps[s:e], home[s:e], bits, most)
                 big.append(np.stack([node[s:e][a], node[s:e][b]]))
             size_of = np.repeat(np.where(sizes > 32, 0, sizes), sizes)
             last = np.repeat(edges[1:], sizes)
             place = np.arange(len(run))
             for d in range(1, int(size_of.max(initial=0))):
                 i = place[(size_of > d) & (place + d < last)]
-                near = (np.bitwise_count(fps[i] ^ fps[i + d]) <= bits) & (home[i] | home[i + d])
+                near = _near(fps[i], fps[i + d], bits, most) & (home[i] | home[i + d])
                 small.append(np.stack([node[i[near]], node[i[near] + d]]))
             both = np.concatenate([np.empty((2, 0), dtype=np.int64), *small, *big], axis=1)
             return pa.record_batch([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], schema=schema)
@@ -269,8 +325,9 @@ def _verify(rows: DataFrame, bits: int) -> DataFrame:
     return dealt.mapInArrow(compare, "a bigint, b bigint").where("a != b").distinct()
 
 
-def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: int = SAMPLE) -> DataFrame:
-    """(a, b): links between the distinct fingerprints of `nodes` (node, fp) that leave their components whole."""
+def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: int = SAMPLE, most: int = 0) -> DataFrame:
+    """(a, b): links between the distinct fingerprints of `nodes` (node, fp, or all of a wide one's columns) that leave their
+    components whole. `most`: differing bits of wide fingerprints."""
     n = nodes.count()
     spot = F.pmod(F.xxhash64("fp"), F.lit(1 << 20))
     sample = nodes.where(spot < max(1, (1 << 20) * sample_size // max(n, 1))).select("fp").limit(2 * sample_size).collect()
@@ -281,9 +338,9 @@ def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: in
     while True:
         large = written(rows.groupBy("bucket").count().where(F.col("count") > bucket).select("bucket"), "large")
         if large.isEmpty():
-            part = _verify(rows, bits)
+            part = _verify(rows, bits, most)
             return part if found is None else found.unionByName(part).distinct()
-        part = _verify(rows.join(large, "bucket", "left_anti"), bits)
+        part = _verify(rows.join(large, "bucket", "left_anti"), bits, most)
         found = part if found is None else found.unionByName(part)
         rows = written(_split(rows.join(large, "bucket", "left_semi"), bits), "buckets")
 
@@ -312,19 +369,46 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_groups(
-    docs: DataFrame, shingle: int = 4, bits: int = 4, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    shingle: int = 4,
+    bits: int = 4,
+    bucket: int = BUCKET,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float | None = None,
 ) -> DataFrame:
-    """doc_id, fp, component_id of every row."""
-    rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    roots = components(links(nodes.where("node is not null"), bits, bucket))
+    """doc_id, fp, component_id of every row. With a `similarity`, links are verified on wide fingerprints."""
+    wide = similarity is not None
+    rows = written(fingerprints(docs, id_col, text_col, shingle, wide), "fingerprints")
+    columns = [c for c in WIDE if c in rows.columns]
+    nodes = written(rows.groupBy(*columns).agg(F.min("doc_id").alias("node")), "nodes")
+    most = wide_bits(similarity) if wide else 0
+    roots = components(links(nodes.where("node is not null"), bits, bucket, most=most))
     classes = nodes.join(roots, "node", "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("root", "node").alias("component_id")
+        *(F.col(c).alias(f"class_{c}") for c in columns), F.coalesce("root", "node").alias("component_id")
     )
-    return rows.join(classes, F.col("fp") == F.col("class_fp"), "left").select("doc_id", "fp", "component_id")
+    same = [F.col(c) == F.col(f"class_{c}") for c in columns]
+    return rows.join(classes, same, "left").select("doc_id", "fp", "component_id")
 
 
 def near_digest(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint in hex and component_id of every row."""
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_groups(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    bits: int = 10,
+    bucket: int = 8 * BUCKET,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs` without near copies, with their columns: of each group the row with the smallest id stays. Rows that
+    repeat an id stay or go together; rows with a null id stay."""
+    groups = near_groups(docs.where(F.col(id_col).isNotNull()), shingle, bits, bucket, id_col, text_col, similarity)
+    (gone,) = fresh(docs, "gone")
+    drop = groups.where("component_id != doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(drop, docs[f"`{id_col}`"] == drop[gone], "left_anti")
