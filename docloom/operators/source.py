@@ -13,7 +13,7 @@ from docloom.functions.coerce import COLUMN_TYPES, IN_PLACE_TYPES, part_of, type
 
 
 # Names the stored table uses itself, as well as all that begin with an underscore.
-RESERVED = ("doc_version", "doc_part")
+RESERVED = ("doc_version", "doc_write", "doc_part")
 
 
 class SourceError(ValueError):
@@ -86,12 +86,16 @@ class DocSource:
     `query` names its base tables as `{table}` placeholders; `tables` maps each of them to the column that holds
     the document id there, or to None for lookup tables.  That column lets a refresh of a few documents cut the
     base tables down before the query joins and groups them.
+
+    The stored table has one row per document.  If the query may give several, `latest` is the SQL expression over
+    the document columns by which the last one is taken; without it, writing such a document fails.
     """
 
     name: str
     query: str
     tables: Mapping[str, str | None]
     parts: int = 1
+    latest: str | None = None
     _columns: dict = field(default_factory=dict, compare=False, repr=False)
 
     def __post_init__(self):
@@ -136,6 +140,20 @@ class DocSource:
 
         return raw.select(*[column(n, t).alias(n) for n, t in self.columns(raw).items()])
 
+    def single(self, spark: SparkSession, frames: Mapping[str, DataFrame], docs: DataFrame) -> DataFrame:
+        """`docs` with one row per document, as the stored table needs it."""
+        key = self.id_column(spark, frames)
+        if self.latest is not None:
+            return latest_per_document(docs, key, F.expr(self.latest))
+        others = [c for c in docs.columns if c != key]
+        text = F.concat(F.lit(f"{self.name}: the query gives several rows for document "), F.col("_id").cast("string"))
+        once = F.when(F.col("_n") > 1, F.raise_error(text).cast("bigint")).otherwise(F.col("_id")).alias(key)
+        # `first` of plain columns is an ordinary aggregate, without a struct to compare
+        held = docs.groupBy(F.col(key).alias("_id")).agg(
+            F.count("*").alias("_n"), *[F.first(f"`{c}`").alias(c) for c in others]
+        )
+        return held.select(*[once if c == key else F.col(f"`{c}`") for c in docs.columns])
+
     def part_documents(self, spark: SparkSession, frames: Mapping[str, DataFrame], part: int) -> DataFrame:
         """Documents of one partition; the base tables are filtered before the query runs."""
         if not 0 <= part < self.parts:

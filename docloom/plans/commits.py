@@ -21,7 +21,7 @@ def commits(spark: SparkSession, tables: Mapping[str, DocTable]) -> DataFrame:
     frames = []
     for name, table in tables.items():
         if table.versions():
-            rows = spark.read.schema(RECORD).json(f"{table.root}/versions/*.json")
+            rows = spark.read.schema(RECORD).json(f"{table.root}/versions/*.json").where("version is not null")
             frames.append(rows.select(F.lit(name).alias("target"), "*"))
     if not frames:
         return spark.createDataFrame([], f"target string, {RECORD}")

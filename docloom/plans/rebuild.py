@@ -5,16 +5,21 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.operators.positions import resume_after
+from docloom.operators.rules import TableFeed
 from docloom.operators.source import DocSource
-from docloom.plans.sync import SyncJob
+from docloom.plans.sync import SyncJob, sync_batch
 from docloom.plans.target import DocTable, Version
 from docloom.session import staged
 
 LOG = "build_id string, indexes array<string>, started_at double, finished_at double, success boolean"
+#: Seconds after which a rebuild that was begun and neither finished nor failed counts as dead.
+LEASE = 24 * 3600.0
 
 
 class RebuildInProgress(RuntimeError):
@@ -47,10 +52,13 @@ class RebuildLog:
         last = F.max_by(F.struct("indexes", "started_at", "finished_at", "success"), F.coalesce("finished_at", F.lit(-1.0)))
         return rows.groupBy("build_id").agg(last.alias("r")).select("build_id", "r.*")
 
-    def running(self) -> set[str]:
-        """Indexes with an unfinished rebuild."""
-        rows = self.read().where(F.col("finished_at").isNull()).select(F.explode("indexes").alias("i")).distinct()
-        return {r["i"] for r in rows.collect()}
+    def running(self, since: float = float("-inf"), before: tuple[float, str] | None = None) -> set[str]:
+        """Indexes with an unfinished rebuild that began at `since` or later; with `before`, only rebuilds that come
+        before this (start, build id)."""
+        rows = self.read().where(F.col("finished_at").isNull() & (F.col("started_at") >= F.lit(since)))
+        if before is not None:
+            rows = rows.where(F.struct("started_at", "build_id") < F.struct(F.lit(before[0]), F.lit(before[1])))
+        return {r["i"] for r in rows.select(F.explode("indexes").alias("i")).distinct().collect()}
 
 
 def rebuild_group(
@@ -64,25 +72,30 @@ def rebuild_group(
     indexes: Sequence[str] | None = None,
     build_id: str | None = None,
     clock: Callable[[], float] = time.time,
+    lease: float = LEASE,
+    before_swap: Callable[[], None] = lambda: None,
 ) -> dict[str, list[Version]]:
     """Rebuild the indexes (default: all) on all their targets.
 
     `seq` is the feed position taken before the build began; rebuilt targets resume from there, so changes made
     meanwhile are applied again.  Nothing is published unless every index was written on every target.
+
+    The log's start record is the claim.  It is written first and looked at afterwards, so of two rebuilds that start
+    together the later one gives way.  A claim older than `lease` seconds is that of a dead job.
     """
     indexes = list(job.sources) if indexes is None else list(indexes)
-    busy = log.running() & set(indexes)
-    if busy:
-        raise RebuildInProgress(f"already being rebuilt: {sorted(busy)}")
     build_id = build_id or uuid.uuid4().hex
     started = clock()
     log.start(build_id, indexes, started)
     ok = False
     try:
+        busy = log.running(started - lease, before=(started, build_id)) & set(indexes)
+        if busy:
+            raise RebuildInProgress(f"already being rebuilt: {sorted(busy)}")
         built: list[tuple[str, DocTable, Version]] = []
         for index in indexes:
             source, tables = job.sources[index], job.targets[index]
-            docs = source.documents(spark, frames)
+            docs = source.single(spark, frames, source.documents(spark, frames))
             if len(tables) > 1:
                 docs = staged(docs, "rebuild")
             for table in tables:
@@ -91,6 +104,7 @@ def rebuild_group(
                     seq=seq, event_id=event_id, build_id=build_id, ts=started,
                 )
                 built.append((index, table, v))
+        before_swap()
         out: dict[str, list[Version]] = {}
         for index, table, v in built:
             out.setdefault(index, []).append(table.publish(v))
@@ -100,6 +114,43 @@ def rebuild_group(
         log.finish(build_id, indexes, started, ok, clock())
 
 
+def rebuild_and_replay(
+    spark: SparkSession,
+    job: SyncJob,
+    frames: Callable[[], Mapping[str, DataFrame]],
+    log: RebuildLog,
+    feeds: Callable[[], Sequence[TableFeed]],
+    *,
+    meanwhile: Callable[[], None] = lambda: None,
+    indexes: Sequence[str] | None = None,
+    **options,
+) -> dict[str, list[Version]]:
+    """Rebuild while changes go on, then apply again what came after the position taken at the start.
+
+    `frames` and `feeds` are asked twice, before the build and after the swap.  Batches applied during the build
+    (`meanwhile` is where a caller may run them) are superseded by the swap, which sets the position back; the replay
+    brings them and what else the build may have missed.
+    """
+    indexes = list(job.sources) if indexes is None else list(indexes)
+    seq, event_id = feed_end(feeds())
+    built = rebuild_group(
+        spark, job, frames(), log, seq=seq, event_id=event_id, indexes=indexes, before_swap=meanwhile, **options
+    )
+    later = [TableFeed(f.table, resume_after(f.df, seq), f.pk) for f in feeds()]
+    end, end_event = feed_end(later)
+    if end is None:
+        return built
+    mine = SyncJob({i: job.sources[i] for i in indexes}, [r for r in job.rules if r.index in indexes], job.targets)
+    stream = f"replay-{uuid.uuid4().hex}"
+    return sync_batch(spark, mine, frames(), later, batch_id=0, stream=stream, seq=end, event_id=end_event)
+
+
+def feed_end(feeds: Sequence[TableFeed]) -> tuple[int | None, int | None]:
+    """Last position of the feeds."""
+    rows = reduce(DataFrame.unionByName, [f.df.select("seq", "event_id") for f in feeds])
+    return tuple(rows.agg(F.max("seq"), F.max("event_id")).first())
+
+
 def rebuild_unless(
     spark: SparkSession,
     job: SyncJob,

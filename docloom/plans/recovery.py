@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.plans.commits import replicas_agree
+from docloom.plans.rebuild import RebuildLog, rebuild_group
 from docloom.plans.sync import SyncJob
+from docloom.plans.target import Version
 
 
 def target_readiness(spark: SparkSession, job: SyncJob, frames: Mapping[str, DataFrame]) -> DataFrame:
-    """`index, replica, ready`: a target is ready when it is published with the declared columns."""
+    """`index, replica, ready`: a target is ready when it is published as declared, with all its files."""
     rows = []
     for index, source in job.sources.items():
         schema = source.schema(spark, frames)
-        rows += [(index, i, t.is_ready(schema)) for i, t in enumerate(job.targets[index])]
+        key = source.id_column(spark, frames)
+        rows += [(index, i, t.is_ready(schema, key, source.parts)) for i, t in enumerate(job.targets[index])]
     return spark.createDataFrame(rows, "index string, replica int, ready boolean")
 
 
@@ -30,19 +34,27 @@ def recovery_plan(
 ) -> DataFrame:
     """`index, action, reason`.
 
-    A forced start, a reset flag or replicas at different positions rebuild everything; otherwise only indexes
-    with a target that is not ready are rebuilt and the others resume.
+    A forced start or a reset flag rebuilds everything.  Otherwise an index is rebuilt if a target of it is not ready or
+    if its replicas are at different positions; other indexes resume from theirs, which may differ from one to another.
     """
-    agree = True
-    if not (force or reset):
-        tables = {f"{i}/{k}": t for i, ts in job.targets.items() for k, t in enumerate(ts)}
-        agree = replicas_agree(spark, tables).first()["agree"]
-    reason = "forced" if force else "reset" if reset else None if agree else "replicas disagree"
     ready = target_readiness(spark, job, frames).groupBy("index").agg(F.every("ready").alias("ready"))
-    if reason:
-        return ready.select("index", F.lit("rebuild").alias("action"), F.lit(reason).alias("reason"))
-    return ready.select(
-        "index",
-        F.when(F.col("ready"), "resume").otherwise("rebuild").alias("action"),
-        F.when(F.col("ready"), "ready").otherwise("not ready").alias("reason"),
-    )
+    if force or reset:
+        why = F.lit("forced" if force else "reset")
+        return ready.select("index", F.lit("rebuild").alias("action"), why.alias("reason"))
+    agree = [
+        replicas_agree(spark, {str(k): t for k, t in enumerate(tables)}).select(F.lit(index).alias("index"), "agree")
+        for index, tables in job.targets.items()
+    ]
+    state = ready.join(reduce(DataFrame.unionByName, agree), "index")
+    fine = F.col("ready") & F.col("agree")
+    reason = F.when(~F.col("agree"), "replicas disagree").when(F.col("ready"), "ready").otherwise("not ready")
+    return state.select("index", F.when(fine, "resume").otherwise("rebuild").alias("action"), reason.alias("reason"))
+
+
+def recover(
+    spark: SparkSession, job: SyncJob, frames: Mapping[str, DataFrame], log: RebuildLog, plan: DataFrame, **options
+) -> dict[str, list[Version]]:
+    """Rebuild what the plan says; the indexes that resume keep their tables and positions."""
+    # one row for each index
+    indexes = sorted(r["index"] for r in plan.where("action = 'rebuild'").select("index").collect())
+    return rebuild_group(spark, job, frames, log, indexes=indexes, **options) if indexes else {}

@@ -33,7 +33,7 @@ def decided_documents(
     spark: SparkSession, source: DocSource, frames: Mapping[str, DataFrame], changed: DataFrame
 ) -> DataFrame:
     """Re-read the changed documents through their query and decide what to do with each."""
-    docs = source.documents(spark, frames, ids=changed)
+    docs = source.single(spark, frames, source.documents(spark, frames, ids=changed))
     return decide(
         changed, docs, source.id_column(spark, frames), source.in_place_columns(spark, frames), source.parts
     )
@@ -47,6 +47,7 @@ def sync_routed(
     *,
     batch_id: int,
     seq: int | None,
+    stream: str = "",
     event_id: int | None = None,
     ts: float | None = None,
     upsert_missing: bool = True,
@@ -56,28 +57,25 @@ def sync_routed(
 
     Changed ids are written out first: the re-read joins them with several base tables, and the written table's
     size is what decides whether they are broadcast.  The decided documents are written once and applied to each
-    replica from there.  Replicas that already hold the batch are left alone, so a failed batch can be repeated.
+    replica from there.  Replicas that already hold the batch of this stream are left alone, so a failed batch can be
+    repeated; another stream (a new checkpoint, a replay) starts its own count.
     """
     done: dict[str, list[Version]] = {}
     for index, source in job.sources.items():
-        behind = [t for t in job.targets[index] if not _has_batch(t, batch_id)]
+        behind = [t for t in job.targets[index] if not _has_batch(t, stream, batch_id)]
         mine = [r for r in routed if r.index == index]
         if not behind:
             continue
         changed = staged(changed_attrs(mine).select("doc_id", "attrs"), "changed") if mine else None
         if changed is None or changed.isEmpty():
             done[index] = [
-                t.set_position(
-                    seq if advance else t.current().seq, event_id if advance else t.current().event_id,
-                    batch_id=batch_id, ts=ts,
-                )
-                for t in behind
+                t.set_position(seq, event_id, batch_id=batch_id, stream=stream, ts=ts, advance=advance) for t in behind
             ]
             continue
         decided = staged(decided_documents(spark, source, frames, changed), "decided")
         done[index] = [
             t.apply(
-                decided, batch_id=batch_id, seq=seq, event_id=event_id, ts=ts,
+                decided, batch_id=batch_id, stream=stream, seq=seq, event_id=event_id, ts=ts,
                 upsert_missing=upsert_missing, advance=advance,
             )
             for t in behind
@@ -92,9 +90,9 @@ def sync_batch(
     return sync_routed(spark, job, frames, route(feeds, job.rules), **options)
 
 
-def _has_batch(table: DocTable, batch_id: int) -> bool:
+def _has_batch(table: DocTable, stream: str, batch_id: int) -> bool:
     v = table.current()
-    return v is not None and v.batch_id is not None and v.batch_id >= batch_id
+    return v is not None and v.has_batch(stream, batch_id)
 
 
 def sync_counters(routed: Sequence[RoutedChanges], events: Mapping[str, DataFrame], decided: DataFrame) -> DataFrame:

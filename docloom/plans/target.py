@@ -2,22 +2,28 @@
 
 Layout under one root folder:
 
-* `base/doc_version=<n>/doc_part=<k>`   full documents written by a rebuild or a compaction,
-* `delta/doc_version=<n>/doc_part=<k>`  documents put or deleted by one change batch,
-* `versions/<n>.json`                   what version n consists of and how far in the feed it is.
+* `base/doc_version=<n>/doc_write=<w>/doc_part=<k>`   full documents written by a rebuild or a compaction,
+* `delta/doc_version=<n>/doc_write=<w>/doc_part=<k>`  documents put or deleted by one change batch,
+* `versions/<n>.json`                                 what version n consists of and how far in the feed it is.
 
 A job writes its files first and publishes them by creating the version file, so a failed job leaves the table as it
 was, and data and position change together.  A change batch writes its own documents only, whatever the
 table's size; readers put the latest delta of a document in place of its base row, and a compaction of the
-parts whose deltas have grown folds them into the base.  There is one writer at a time.
+parts whose deltas have grown folds them into the base.
+
+Every write has a folder of its own, so no writer touches what another has written.  Of writers that want the same
+version number one creates the file.  The others go on from what it published if that can't have changed their result:
+upkeep, a rebuild's swap, and a change batch that only upkeep came before.  A change batch that met another one fails.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +32,17 @@ from docloom.functions.coerce import part_of
 
 # Names in stored files beside the document columns; sources refuse them as column names.
 VERSION = "doc_version"
+WRITE = "doc_write"
 PART = "doc_part"
 DELETED = "_deleted"
 
 
 @dataclass
 class Version:
-    """One published state.  `base` and `delta` map the version that wrote files to the parts still read from it."""
+    """One published state.  `base` and `delta` map writes, as `<version>-<write id>`, to the parts still read from them.
+
+    `stream` names the source of batch ids: the same number from another stream is another batch.
+    """
 
     version: int
     kind: str
@@ -42,6 +52,7 @@ class Version:
     base: dict[str, list[int]] = field(default_factory=dict)
     delta: dict[str, list[int]] = field(default_factory=dict)
     batch_id: int | None = None
+    stream: str = ""
     seq: int | None = None
     event_id: int | None = None
     build_id: str | None = None
@@ -50,6 +61,17 @@ class Version:
     n_update: int = 0
     n_delete: int = 0
 
+    def has_batch(self, stream: str, batch_id: int | None) -> bool:
+        return batch_id is not None and self.batch_id is not None and stream == self.stream and batch_id <= self.batch_id
+
+
+#: Kinds of versions that leave the documents and the position as they are.
+UPKEEP = ("compact", "merge")
+
+
+class WriteConflict(RuntimeError):
+    """Another writer published what this one has not seen."""
+
 
 class TableNotReady(RuntimeError):
     """No version is published, or the published one has another schema."""
@@ -73,8 +95,12 @@ class DocTable:
         fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _parts_written(self, kind: str, version: int) -> list[int]:
-        names = self._names(f"{self.root}/{kind}/{VERSION}={version}")
+    def _folder(self, kind: str, write: str) -> str:
+        version, _, name = write.partition("-")
+        return f"{self.root}/{kind}/{VERSION}={version}/{WRITE}={name}"
+
+    def _parts_written(self, kind: str, write: str) -> list[int]:
+        names = self._names(self._folder(kind, write))
         return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{PART}="))
 
     # versions -----------------------------------------------------------------------------------------------
@@ -84,35 +110,57 @@ class DocTable:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def current(self, version: int | None = None) -> Version | None:
-        """The latest version, or the given one."""
+        """The latest version, or the given one.  A version file that was begun and never filled counts as absent."""
         known = self.versions()
-        if version is None:
-            if not known:
-                return None
-            version = known[-1]
-        elif version not in known:
-            raise TableNotReady(f"{self.root} has no version {version}")
+        if version is not None:
+            found = self._record(version) if version in known else None
+            if found is None:
+                raise TableNotReady(f"{self.root} has no version {version}")
+            return found
+        for n in reversed(known):
+            if found := self._record(n):
+                return found
+        return None
+
+    def _record(self, version: int) -> Version | None:
         fs, p = self._fs(f"{self.root}/versions/{version:012d}.json")
         stream = fs.open(p)
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return Version(**json.loads(text))
-
-    def _publish(self, v: Version) -> Version:
-        """Create the version file.  Renaming a complete file into place fails if another writer was first."""
-        name = f"{self.root}/versions/{v.version:012d}.json"
-        fs, tmp = self._fs(f"{self.root}/versions/_{v.version:012d}.tmp")
-        _, final = self._fs(name)
-        stream = fs.create(tmp, True)
+        try:
+            return Version(**json.loads(text))
+        except ValueError:
+            return None
+
+    def _create(self, v: Version) -> bool:
+        """Create the version file, unless it exists: one atomic step where the file system has exclusive creation."""
+        fs, p = self._fs(f"{self.root}/versions/{v.version:012d}.json")
+        if fs.exists(p):
+            return False
+        try:
+            stream = fs.create(p, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
         try:
             stream.write(bytearray(json.dumps(asdict(v)).encode()))
         finally:
             stream.close()
-        if fs.exists(final) or not fs.rename(tmp, final):
-            raise RuntimeError(f"version {v.version} of {self.root} was published by another writer")
-        return v
+        return True
+
+    def _publish(self, made: Callable[[Version | None], Version]) -> Version:
+        """Publish `made(current version)` under the next free number.
+
+        `made` is asked again if another writer took the number; it raises WriteConflict if it can't go on from there.
+        """
+        while True:
+            v = made(self.current())
+            v.version = self._next()
+            if self._create(v):
+                return v
 
     def _need(self) -> Version:
         v = self.current()
@@ -120,28 +168,40 @@ class DocTable:
             raise TableNotReady(f"{self.root} has no published version")
         return v
 
-    def is_ready(self, schema: T.StructType) -> bool:
-        """Whether a version is published whose columns are the declared ones."""
+    def is_ready(self, schema: T.StructType, id_column: str | None = None, parts: int | None = None) -> bool:
+        """Whether a version is published with the declared columns, id column and number of parts, and all its files."""
         v = self.current()
-        return v is not None and _columns(_struct(v.schema)) == _columns(schema)
+        return (
+            v is not None
+            and _columns(_struct(v.schema)) == _columns(schema)
+            and id_column in (None, v.id_column)
+            and parts in (None, v.parts)
+            and all(
+                set(in_use) <= set(self._parts_written(kind, write))
+                for kind in ("base", "delta")
+                for write, in_use in getattr(v, kind).items()
+            )
+        )
 
     # writing ------------------------------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> list[int]:
-        """Write rows by part.
+    def _write(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
+        """Write rows by part into a new folder: its name and its parts.
 
         `rebalance` lets Spark split parts that are too large for one task and merge small ones, going by the
         sizes it measured in the shuffle; rows are sorted by id inside a file, so lookups by id skip row groups.
         """
+        write = f"{version}-{uuid.uuid4().hex}"
         (
             rows.withColumn(PART, part_of(F.col(id_column), parts))
             .hint("rebalance", PART)
             .sortWithinPartitions(PART, id_column)
-            .write.mode("overwrite")
+            .write.mode("errorifexists")
             .partitionBy(PART)
-            .parquet(f"{self.root}/{kind}/{VERSION}={version}")
+            .parquet(self._folder(kind, write))
         )
-        return self._parts_written(kind, version)
+        written = self._parts_written(kind, write)
+        return {write: written} if written else {}
 
     def _next(self) -> int:
         known = self.versions()
@@ -154,13 +214,14 @@ class DocTable:
         n = self._next()
         written = self._write(documents, id_column, parts, "base", n)
         return Version(
-            n, "rebuild", documents.schema.json(), id_column, parts, base={str(n): written} if written else {},
+            n, "rebuild", documents.schema.json(), id_column, parts, base=written,
             seq=seq, event_id=event_id, build_id=build_id, ts=ts,
         )
 
     def publish(self, built: Version) -> Version:
-        """Swap a built version in.  Readers that started before keep reading the files of theirs."""
-        return self._publish(built)
+        """Swap a built version in, whatever was published since it was begun; its position says from where changes are
+        to be applied again.  Readers that started before keep reading the files of theirs."""
+        return self._publish(lambda _: Version(**asdict(built)))
 
     def rebuild(self, documents: DataFrame, id_column: str, parts: int, **position) -> Version:
         """Replace the whole table; the old version stays until all parts are written."""
@@ -169,22 +230,34 @@ class DocTable:
     def rebuild_part(self, documents: DataFrame, part: int) -> Version:
         """Replace one partition by `documents`, which must all belong to it."""
         old = self._need()
-        n = self._next()
-        written = self._write(documents, old.id_column, old.parts, "base", n)
-        if written not in ([], [part]):
-            raise ValueError(f"documents of parts {written} given for part {part}")
-        return self._publish(self._folded(old, n, [part], written, "rebuild"))
+        written = self._write(documents, old.id_column, old.parts, "base", self._next())
+        found = sorted(k for ks in written.values() for k in ks)
+        if found not in ([], [part]):
+            raise ValueError(f"documents of parts {found} given for part {part}")
+        return self._publish(lambda now: self._folded(self._only_upkeep(old, now), old, [part], written, "rebuild", whole=True))
+
+    def _only_upkeep(self, old: Version, now: Version | None) -> Version:
+        """`now`, if nothing but upkeep was published after `old`."""
+        for n in self.versions():
+            if n > old.version and (v := self._record(n)) and v.kind not in UPKEEP:
+                raise WriteConflict(f"version {n} of {self.root} ({v.kind}) was published by another writer")
+        if now is None:
+            raise TableNotReady(f"{self.root} has no published version")
+        return now
 
-    def _folded(self, old: Version, n: int, replaced: Iterable[int], written: list[int], kind: str) -> Version:
+    def _folded(
+        self, now: Version, old: Version, replaced: Iterable[int], written: dict[str, list[int]], kind: str, whole: bool = False
+    ) -> Version:
+        """`now` with the parts' files that `old` had (or all of them, if `whole`) replaced by the written ones."""
         gone = set(replaced)
-        v = Version(**{**asdict(old), "version": n, "kind": kind, "n_replace": 0, "n_update": 0, "n_delete": 0})
-        for files in (v.base, v.delta):
+        v = Version(**{**asdict(now), "kind": kind, "n_replace": 0, "n_update": 0, "n_delete": 0})
+        for files, before in ((v.base, old.base), (v.delta, old.delta)):
             for key in list(files):
-                files[key] = [k for k in files[key] if k not in gone]
+                if whole or key in before:
+                    files[key] = [k for k in files[key] if k not in gone]
                 if not files[key]:
                     del files[key]
-        if written:
-            v.base[str(n)] = written
+        v.base.update(written)
         return v
 
     def apply(
@@ -192,6 +265,7 @@ class DocTable:
         decided: DataFrame,
         *,
         batch_id: int | None = None,
+        stream: str = "",
         seq: int | None = None,
         event_id: int | None = None,
         ts: float | None = None,
@@ -200,47 +274,47 @@ class DocTable:
     ) -> Version:
         """Apply decided documents (`doc_id, action, attrs, doc`) as one batch.
 
-        A batch that is already part of the table is skipped.  With `upsert_missing`, an in-place update writes
+        A batch of the same stream that is already part of the table is skipped.  With `upsert_missing`, an in-place update writes
         the whole current document, which also heals one the table lacks; without it, an update changes the
         named attributes of documents the table has and is otherwise lost.  `advance=False` applies the batch but
         keeps the recorded position, as during a rebuild.
         """
         old = self._need()
-        if batch_id is not None and old.batch_id is not None and batch_id <= old.batch_id:
+        if old.has_batch(stream, batch_id):
             return old
-        n = self._next()
         schema = _struct(old.schema)
         content = [f.name for f in schema.fields if f.name != old.id_column]
 
-        seen = Observation()
-        counted = decided.observe(
-            seen,
-            F.count_if(F.col("action") == "replace").alias("replace"),
-            F.count_if(F.col("action") == "update").alias("update"),
-            F.count_if(F.col("action") == "delete").alias("delete"),
-        )
-        rows = counted.select(
+        rows = decided.select(
             F.col("doc_id").alias(old.id_column),
             *[F.col(f"doc.{c}") for c in content],
             (F.col("action") == "delete").alias(DELETED),
-            *([] if upsert_missing else [F.col("action").alias("_action"), F.col("attrs").alias("_attrs")]),
+            F.col("action").alias("_action"),
+            *([] if upsert_missing else [F.col("attrs").alias("_attrs")]),
         )
         if not upsert_missing:
             rows = self._patched(rows, old, content)
-        written = self._write(rows, old.id_column, old.parts, "delta", n)
-
-        v = Version(**{**asdict(old), "version": n, "kind": "apply" if advance else "apply-frozen"})
-        if written:
-            v.delta[str(n)] = written
-        if batch_id is not None:
-            v.batch_id = batch_id
-        if advance:
-            v.seq = old.seq if seq is None else seq
-            v.event_id = old.event_id if event_id is None else event_id
-        v.ts = ts
+        seen = Observation()
+        counted = rows.observe(
+            seen, *[F.count_if(F.col("_action") == a).alias(a) for a in ("replace", "update", "delete")]
+        )
+        written = self._write(counted.drop("_action"), old.id_column, old.parts, "delta", self._next())
         counts = seen.get
-        v.n_replace, v.n_update, v.n_delete = counts["replace"], counts["update"], counts["delete"]
-        return self._publish(v)
+
+        def made(now: Version | None) -> Version:
+            now = self._only_upkeep(old, now)
+            v = Version(**{**asdict(now), "kind": "apply" if advance else "apply-frozen"})
+            v.delta.update(written)
+            if batch_id is not None:
+                v.batch_id, v.stream = batch_id, stream
+            if advance:
+                v.seq = now.seq if seq is None else seq
+                v.event_id = now.event_id if event_id is None else event_id
+            v.ts = ts
+            v.n_replace, v.n_update, v.n_delete = counts["replace"], counts["update"], counts["delete"]
+            return v
+
+        return self._publish(made)
 
     def _patched(self, rows: DataFrame, old: Version, content: list[str]) -> DataFrame:
         """Updates as full rows: named attributes from the source, the others from the table; the rest as it is."""
@@ -254,44 +328,68 @@ class DocTable:
                 for c in content
             ],
             DELETED,
+            "_action",
         )
-        return rows.where(F.col("_action") != "update").drop("_action", "_attrs").unionByName(patched)
+        return rows.where(F.col("_action") != "update").drop("_attrs").unionByName(patched)
 
     def set_position(
-        self, seq: int | None, event_id: int | None = None, batch_id: int | None = None, ts: float | None = None
+        self,
+        seq: int | None,
+        event_id: int | None = None,
+        batch_id: int | None = None,
+        ts: float | None = None,
+        stream: str = "",
+        advance: bool = True,
     ) -> Version:
-        """Publish the same data with another resume position."""
+        """Publish the same data with another resume position; without `advance`, with another batch only."""
         old = self._need()
-        v = Version(**{**asdict(old), "version": self._next(), "kind": "position"})
-        v.seq, v.event_id, v.ts = seq, event_id, ts
-        v.n_replace = v.n_update = v.n_delete = 0
-        if batch_id is not None:
-            v.batch_id = batch_id
-        return self._publish(v)
+
+        def made(now: Version | None) -> Version:
+            now = self._only_upkeep(old, now)
+            v = Version(**{**asdict(now), "kind": "position", "ts": ts})
+            if advance:
+                v.seq, v.event_id = seq, event_id
+            v.n_replace = v.n_update = v.n_delete = 0
+            if batch_id is not None:
+                v.batch_id, v.stream = batch_id, stream
+            return v
+
+        return self._publish(made)
 
     def trim_history(self, keep: int) -> list[int]:
-        """Forget all but the last `keep` version records; data files stay."""
-        old = self.versions()[: -max(1, keep)]
+        """Forget all but the last `keep` version records, and remove the files that only the forgotten ones read."""
+        known = self.versions()
+        old, kept = known[: -max(1, keep)], known[-max(1, keep) :]
+
+        def writes(numbers: Iterable[int]) -> set[tuple[str, str]]:
+            records = [r for n in numbers if (r := self._record(n))]
+            return {(kind, w) for r in records for kind in ("base", "delta") for w in getattr(r, kind)}
+
+        for kind, write in writes(old) - writes(kept):
+            self._delete(self._folder(kind, write))
         for n in old:
-            fs, p = self._fs(f"{self.root}/versions/{n:012d}.json")
-            fs.delete(p, False)
+            self._delete(f"{self.root}/versions/{n:012d}.json")
         return old
 
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
     # reading ------------------------------------------------------------------------------------------------
 
     def _files(self, kind: str, v: Version, schema: T.StructType, parts: Iterable[int] | None) -> DataFrame | None:
         wanted = None if parts is None else set(parts)
         paths = []
-        for version, in_use in sorted(getattr(v, kind).items(), key=lambda e: int(e[0])):
-            if wanted is None and in_use == self._parts_written(kind, int(version)):
-                paths.append(f"{self.root}/{kind}/{VERSION}={version}")
+        for write, in_use in sorted(getattr(v, kind).items()):
+            folder = self._folder(kind, write)
+            if wanted is None and in_use == self._parts_written(kind, write):
+                paths.append(folder)
             else:
-                paths += [
-                    f"{self.root}/{kind}/{VERSION}={version}/{PART}={k}" for k in in_use if wanted is None or k in wanted
-                ]
+                paths += [f"{folder}/{PART}={k}" for k in in_use if wanted is None or k in wanted]
         if not paths:
             return None
-        full = T.StructType(schema.fields + [T.StructField(VERSION, T.LongType()), T.StructField(PART, T.IntegerType())])
+        stored = [T.StructField(VERSION, T.LongType()), T.StructField(WRITE, T.StringType()), T.StructField(PART, T.IntegerType())]
+        full = T.StructType(schema.fields + stored)
         return self.spark.read.schema(full).option("basePath", f"{self.root}/{kind}").parquet(*paths)
 
     def read(
@@ -318,7 +416,7 @@ class DocTable:
             base = self.spark.createDataFrame([], schema)
         if delta is None:
             return base.select(*columns)
-        latest = self._latest(delta, columns, key, len(v.delta))
+        latest = self._latest(delta, columns, key)
         kept = base.select(*columns).join(delta.select(key), key, "left_anti")
         return kept.select(*columns).unionByName(latest.where(~F.col(DELETED)).select(*columns))
 
@@ -329,7 +427,7 @@ class DocTable:
         v = self._need()
         frames = []
         for kind in ("base", "delta"):
-            paths = [f"{self.root}/{kind}/{VERSION}={n}/{PART}={k}" for n, ks in getattr(v, kind).items() for k in ks]
+            paths = [f"{self._folder(kind, w)}/{PART}={k}" for w, ks in getattr(v, kind).items() for k in ks]
             if paths:
                 listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
                 part = F.regexp_extract("path", rf"/{PART}=(\d+)/", 1).cast("int")
@@ -342,10 +440,8 @@ class DocTable:
             return self.spark.createDataFrame([], "kind string, part int, path string, bytes bigint")
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
-    def _latest(self, delta: DataFrame, columns: list[str], key: str, n_versions: int) -> DataFrame:
+    def _latest(self, delta: DataFrame, columns: list[str], key: str) -> DataFrame:
         """The last delta row of each document."""
-        if n_versions <= 1:
-            return delta.select(*columns, DELETED)
         row = F.max_by(F.struct(*columns, DELETED), VERSION).alias("_row")
         return delta.groupBy(F.col(key).alias("_id")).agg(row).select("_row.*")
 
@@ -357,22 +453,37 @@ class DocTable:
         schema = _struct(old.schema)
         columns = [f.name for f in schema.fields]
         delta = self._files("delta", old, T.StructType(schema.fields + [T.StructField(DELETED, T.BooleanType())]), None)
-        n = self._next()
-        latest = self._latest(delta, columns, old.id_column, len(old.delta))
-        written = self._write(latest, old.id_column, old.parts, "delta", n)
-        v = Version(**{**asdict(old), "version": n, "kind": "merge", "delta": {str(n): written} if written else {}})
-        v.n_replace = v.n_update = v.n_delete = 0
-        return self._publish(v)
+        # it stands where the last of the merged ones stood, below all that are published meanwhile
+        last = max(int(w.partition("-")[0]) for w in old.delta)
+        written = self._write(self._latest(delta, columns, old.id_column), old.id_column, old.parts, "delta", last)
+
+        def made(now: Version | None) -> Version:
+            self._same_files(old, now)
+            rest = {w: ks for w, ks in now.delta.items() if w not in old.delta}
+            v = Version(**{**asdict(now), "kind": "merge", "delta": {**written, **rest}})
+            v.n_replace = v.n_update = v.n_delete = 0
+            return v
+
+        return self._publish(made)
 
     def compact(self, parts: Iterable[int]) -> Version:
-        """Fold the deltas of `parts` into new base files; other parts keep theirs."""
+        """Fold the deltas of `parts` into new base files; other parts keep theirs, and so do later deltas."""
         old = self._need()
         parts = sorted(set(parts))
         if not parts:
             return old
-        n = self._next()
-        written = self._write(self.read(parts=parts), old.id_column, old.parts, "base", n)
-        return self._publish(self._folded(old, n, parts, written, "compact"))
+        written = self._write(self.read(parts=parts, version=old.version), old.id_column, old.parts, "base", self._next())
+
+        def made(now: Version | None) -> Version:
+            self._same_files(old, now)
+            return self._folded(now, old, parts, written, "compact")
+
+        return self._publish(made)
+
+    def _same_files(self, old: Version, now: Version | None) -> None:
+        """Refuse to go on if the files that were folded are not all there any more."""
+        if now is None or any(getattr(now, k).get(w) != ks for k in ("base", "delta") for w, ks in getattr(old, k).items()):
+            raise WriteConflict(f"the files of {self.root} were replaced by another writer")
 
 
 def _struct(text: str) -> T.StructType:

@@ -7,10 +7,10 @@ from docloom.operators.rules import IngestRule, TableFeed
 from docloom.operators.source import DocSource
 from docloom.plans import maintenance
 from docloom.plans.commits import applied_up_to, commits, replicas_agree
-from docloom.plans.rebuild import RebuildInProgress, RebuildLog, rebuild_group, rebuild_unless
-from docloom.plans.recovery import recovery_plan
+from docloom.plans.rebuild import RebuildInProgress, RebuildLog, rebuild_and_replay, rebuild_group, rebuild_unless
+from docloom.plans.recovery import recover, recovery_plan
 from docloom.plans.sync import SyncJob, sync_batch
-from docloom.plans.target import DocTable, TableNotReady
+from docloom.plans.target import DocTable, TableNotReady, WriteConflict
 from docloom.session import new_dir
 from docloom.workload.inputs import Inputs
 from docloom.workload.orders import ORDER_DOC
@@ -68,7 +68,7 @@ def test_versions(spark):
     assert t.current().version == 3
     assert len(t.current().delta) == 2
     v = maintenance.compact_if_needed(t, 0, max_deltas=1)
-    assert v.kind == "merge" and list(v.delta) == ["4"] and content(t) == want
+    assert v.kind == "merge" and len(v.delta) == 1 and content(t) == want
     t.compact([2])
     assert content(t) == want and t.current().kind == "compact" and t.current().batch_id == 2
     maintenance.compact_if_needed(t, 1)
@@ -109,13 +109,145 @@ def test_failed_write_changes_nothing(spark):
     assert content(t) == {1: (1, "y")}
 
 
-def test_two_writers(spark):
+def test_two_rebuilds_at_once(spark):
+    """Each has its own files; the one that is published last stands, whole."""
     t = table(spark)
     a = t.build(docs(spark, (1, 1, "x")), "id", 1)
-    b = t.build(docs(spark, (1, 1, "y")), "id", 1)
+    b = t.build(docs(spark, (1, 1, "y"), (2, 2, "y")), "id", 1)
     t.publish(a)
-    with pytest.raises(RuntimeError, match="another writer"):
-        t.publish(b)
+    assert content(t) == {1: (1, "x")}
+    t.publish(b)
+    assert content(t) == {1: (1, "y"), 2: (2, "y")}
+    assert content(t, version=1) == {1: (1, "x")}
+
+
+class Interrupted:
+    """Makes `meanwhile` happen after the files of the next write are there and before they are published."""
+
+    def __init__(self, t, meanwhile):
+        self.t, self.meanwhile, self.write = t, meanwhile, t._write
+
+    def __enter__(self):
+        def write(*a):
+            out = self.write(*a)
+            self.t._write = self.write
+            self.meanwhile()
+            return out
+
+        self.t._write = write
+
+    def __exit__(self, *_):
+        self.t._write = self.write
+
+
+def test_two_batches_at_once(spark):
+    """The later one fails, and neither its documents nor the loss of the other's can be read."""
+    t, other = table(spark), None
+    t.rebuild(docs(spark, (1, 1, "x")), "id", 1)
+    other = DocTable(spark, t.root)
+    first = decided(spark, (1, "replace", ["t"], 1, "first"))
+    with Interrupted(t, lambda: other.apply(first, batch_id=1)), pytest.raises(WriteConflict):
+        t.apply(decided(spark, (9, "replace", ["t"], 9, "second")), batch_id=1)
+    assert content(t) == content(other) == {1: (1, "first")}
+    t.apply(decided(spark, (9, "replace", ["t"], 9, "second")), batch_id=2)
+    assert content(t) == {1: (1, "first"), 9: (9, "second")}
+
+
+def test_upkeep_beside_batches(spark):
+    t = table(spark)
+    t.rebuild(docs(spark, (1, 1, "x"), (2, 2, "x")), "id", 2)
+    t.apply(decided(spark, (1, "replace", ["t"], 1, "y")), batch_id=1)
+    t.apply(decided(spark, (2, "replace", ["t"], 2, "y")), batch_id=2)
+    other = DocTable(spark, t.root)
+    # a batch comes while deltas are merged, and while parts are compacted
+    with Interrupted(t, lambda: other.apply(decided(spark, (1, "delete", ["t"], None, None)), batch_id=3)):
+        t.merge_deltas()
+    assert content(t) == {2: (2, "y")} and len(t.current().delta) == 2
+    with Interrupted(t, lambda: other.apply(decided(spark, (2, "replace", ["t"], 2, "z")), batch_id=4)):
+        t.compact([0, 1])
+    assert content(t) == {2: (2, "z")} and t.current().kind == "compact" and t.current().batch_id == 4
+    # upkeep comes while a batch is applied
+    with Interrupted(t, lambda: other.compact([0, 1])):
+        t.apply(decided(spark, (1, "replace", ["t"], 1, "back")), batch_id=5)
+    assert content(t) == {1: (1, "back"), 2: (2, "z")}
+    # files that were folded elsewhere meanwhile
+    with Interrupted(t, lambda: other.compact([0, 1])), pytest.raises(WriteConflict):
+        t.compact([0, 1])
+    assert content(t) == {1: (1, "back"), 2: (2, "z")}
+
+
+def test_a_new_stream_counts_anew(spark):
+    t = table(spark)
+    t.rebuild(docs(spark, (1, 1, "x")), "id", 1)
+    t.apply(decided(spark, (1, "replace", ["t"], 1, "y")), batch_id=5, stream="a")
+    t.apply(decided(spark, (1, "replace", ["t"], 1, "skipped")), batch_id=5, stream="a")
+    assert content(t) == {1: (1, "y")}
+    t.apply(decided(spark, (1, "replace", ["t"], 1, "z")), batch_id=0, stream="b")
+    assert content(t) == {1: (1, "z")}
+
+
+def test_a_version_file_that_was_never_filled(spark):
+    t = table(spark)
+    t.rebuild(docs(spark, (1, 1, "x")), "id", 1, seq=3)
+    fs, p = t._fs(f"{t.root}/versions/{2:012d}.json")
+    fs.create(p, False).close()
+    assert content(t) == {1: (1, "x")} and t.current().version == 1
+    assert t.apply(decided(spark, (1, "replace", ["t"], 1, "y")), batch_id=1).version == 3
+    assert content(t) == {1: (1, "y")}
+    assert commits(spark, {"t": t}).count() == 2
+
+
+def test_old_files_go(spark):
+    t = table(spark)
+    t.rebuild(docs(spark, (1, 1, "x")), "id", 1)
+    for n in range(6):
+        t.apply(decided(spark, (1, "replace", ["t"], n, "y")), batch_id=n)
+        t.merge_deltas()
+        t.trim_history(2)
+    kept = {w for v in t.versions() for k in ("base", "delta") for w in getattr(t.current(v), k)}
+    stored = [
+        f"{v.partition('=')[2]}-{w.partition('=')[2]}"
+        for k in ("base", "delta")
+        for v in t._names(f"{t.root}/{k}")
+        for w in t._names(f"{t.root}/{k}/{v}")
+    ]
+    assert sorted(stored) == sorted(kept) and len(stored) <= 4
+    assert content(t) == {1: (5, "y")}
+
+
+def test_readiness(spark):
+    t = table(spark)
+    rows = docs(spark, (1, 1, "x"), (2, 2, "y"))
+    assert not t.is_ready(rows.schema)
+    v = t.rebuild(rows, "id", 2)
+    assert t.is_ready(rows.schema, "id", 2)
+    assert not t.is_ready(rows.schema, "a", 2) and not t.is_ready(rows.schema, "id", 3)
+    assert not t.is_ready(rows.drop("t").schema, "id", 2)
+    (write,) = v.base
+    fs, p = t._fs(f"{t._folder('base', write)}/doc_part=1")
+    fs.delete(p, True)
+    assert not t.is_ready(rows.schema, "id", 2)
+
+
+def test_several_rows_for_one_document(spark):
+    """They fail, or the last one by the declared order is taken, by a rebuild and by a batch alike."""
+    frames = {"t": spark.createDataFrame([(1, 5, "a"), (1, 6, "b"), (2, 1, "c")], "k bigint, v bigint, s string")}
+    query = "SELECT t.k AS `id:id`, t.v AS `v:attr_uint`, t.s AS `s:field` FROM {t} t"
+    for latest in (None, "v"):
+        source = DocSource("d", query, {"t": "k"}, parts=2, latest=latest)
+        job = SyncJob({"d": source}, [RULE], {"d": [table(spark)]})
+        (t,) = job.targets["d"]
+        log = RebuildLog(spark, new_dir(spark, "l"))
+        if latest is None:
+            with pytest.raises(Exception, match="several rows"):
+                rebuild_group(spark, job, frames, log, seq=0)
+            continue
+        rebuild_group(spark, job, frames, log, seq=0)
+        want = [(1, 6, "b"), (2, 1, "c")]
+        assert sorted(map(tuple, t.read().collect())) == want
+        for n in range(2):
+            sync_batch(spark, job, frames, small_feed(spark, (n, "update", (1, n, "a"), (1, 9, "a"))), batch_id=n, seq=n)
+            assert sorted(map(tuple, t.read().collect())) == want
 
 
 def test_one_part_and_empty_table(spark):
@@ -233,7 +365,57 @@ def test_rebuilds(spark):
 
     log.start("three", ["d"], 50.0)
     with pytest.raises(RebuildInProgress):
-        rebuild_group(spark, job, frames, log, seq=9)
+        rebuild_group(spark, job, frames, log, seq=9, clock=lambda: 60.0)
+    rebuild_group(spark, job, frames, log, seq=8, clock=lambda: 60.0, lease=5.0)  # the other one is dead
+    assert t.current().seq == 8
     log.finish("three", ["d"], 50.0, True, 51.0)
-    rebuild_group(spark, job, frames, log, seq=9)
+    rebuild_group(spark, job, frames, log, seq=9, clock=lambda: 60.0)
     assert t.current().seq == 9
+
+
+def test_rebuild_beside_sync(spark):
+    """Batches go on during the build, and changes come that no batch has seen; the replay brings all of them."""
+    job, log = small_job(spark), RebuildLog(spark, new_dir(spark, "l"))
+    (t,) = job.targets["d"]
+    state = {"rows": [(1, 1, "a"), (2, 2, "b"), (3, 3, "c")], "feed": []}
+    frames = lambda: base(spark, *state["rows"])
+    feeds = lambda: small_feed(spark, *state["feed"])
+    rebuild_group(spark, job, frames(), log, seq=0)
+    state["feed"] = [(1, "update", (1, 0, "a"), (1, 1, "a"))]
+
+    def meanwhile():
+        old, new = (2, 2, "b"), (2, 9, "b")
+        state["rows"] = [(1, 1, "a"), new]
+        state["feed"] += [(2, "update", old, new), (3, "delete", (3, 3, "c"), None)]
+        frozen = small_feed(spark, state["feed"][1])
+        sync_batch(spark, job, frames(), frozen, batch_id=7, stream="live", seq=2, advance=False)
+        assert content_of(t)[2] == (9, "b")
+
+    rebuild_and_replay(spark, job, frames, log, feeds, meanwhile=meanwhile)
+    assert content_of(t) == {1: (1, "a"), 2: (9, "b")}
+    assert t.current().seq == 3
+    assert len(t.versions()) == 4
+
+
+def content_of(t):
+    return {r["id"]: (r["v"], r["s"]) for r in t.read().collect()}
+
+
+def test_recovery_looks_at_each_index(spark):
+    """A rebuild of one index sets its position; the other one resumes from its own."""
+    second = DocSource("e", SMALL.query, SMALL.tables, parts=2)
+    job = SyncJob({"d": SMALL, "e": second}, [RULE], {"d": [table(spark), table(spark)], "e": [table(spark)]})
+    frames, log = base(spark, (1, 1, "x")), RebuildLog(spark, new_dir(spark, "l"))
+
+    def plan(**how):
+        return {r["index"]: (r["action"], r["reason"]) for r in recovery_plan(spark, job, frames, **how).collect()}
+
+    rebuild_group(spark, job, frames, log, seq=1)
+    rebuild_group(spark, job, frames, log, seq=5, indexes=["e"])
+    assert plan() == {"d": ("resume", "ready"), "e": ("resume", "ready")}
+    job.targets["d"][1].set_position(3)
+    assert plan() == {"d": ("rebuild", "replicas disagree"), "e": ("resume", "ready")}
+    assert set(recover(spark, job, frames, log, recovery_plan(spark, job, frames), seq=6)) == {"d"}
+    assert plan() == {"d": ("resume", "ready"), "e": ("resume", "ready")}
+    assert [t.current().seq for ts in job.targets.values() for t in ts] == [6, 6, 5]
+    assert plan(force=True) == {"d": ("rebuild", "forced"), "e": ("rebuild", "forced")}
