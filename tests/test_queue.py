@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 
 from docloom.operators import pending, positions, settling, valuediff
 
-T1 = datetime.datetime(2024, 5, 6, 21, 0, 0)
-T2 = datetime.datetime(2024, 5, 6, 20, 0, 0)
-C1, C2, C3 = ("i1", 33, T2), ("i1", 44, T1), ("i1", 33, T1)
-C4, C5, C6 = ("i1", 55, T1), ("i2", 33, T2), ("i2", 44, T2)
+START = datetime.datetime(2024, 5, 6, 8, 0, 0)
+
+
+def arrivals(seed, n):
+    """(index, document, time) in order of arrival; times may go back."""
+    rng = random.Random(seed)
+    return [
+        (rng.choice("xy"), rng.randrange(6), START + datetime.timedelta(seconds=rng.randrange(1000))) for _ in range(n)
+    ]
 
 
 def changes(spark, rows):
@@ -22,35 +27,37 @@ def changes(spark, rows):
     ).repartition(3)
 
 
-def batches(spark, rows):
+def grouped(rows):
+    """(index, document) -> rows, time of the first arrival, latest time, first and last position."""
+    out = {}
+    for n, (i, d, ts) in enumerate(rows):
+        k, first, last, lo, _ = out.get((i, d), (0, ts, ts, n, n))
+        out[i, d] = (k + 1, first, max(last, ts), lo, n)
+    return out
+
+
+def as_grouped(df):
     return {
-        (r["index"], r["doc_id"]): (r["n_rows"], r["first_ts"], r["last_ts"])
-        for r in pending.doc_batches(changes(spark, rows)).collect()
+        (r["index"], r["doc_id"]): (r["n_rows"], r["first_ts"], r["last_ts"], r["first_seq"], r["last_seq"])
+        for r in df.collect()
     }
 
 
-def test_grouping(spark):
-    assert batches(spark, [C1]) == {("i1", 33): (1, T2, T2)}
-    assert batches(spark, [C1, C3]) == {("i1", 33): (2, T2, T1)}
-    assert batches(spark, [C3, C1]) == {("i1", 33): (2, T1, T1)}  # first arrival, not earliest time
-    assert batches(spark, [C1, C2, C3, C4]) == {
-        ("i1", 33): (2, T2, T1), ("i1", 44): (1, T1, T1), ("i1", 55): (1, T1, T1),
-    }
-    assert batches(spark, [C1, C5, C6, C2, C3, C4, C5, C3]) == {
-        ("i1", 33): (3, T2, T1), ("i1", 44): (1, T1, T1), ("i1", 55): (1, T1, T1),
-        ("i2", 33): (2, T2, T2), ("i2", 44): (1, T2, T2),
-    }
+def test_grouping_of_generated_arrivals(spark):
+    for n in (1, 2, 17, 300):
+        rows = arrivals(n, n)
+        assert as_grouped(pending.doc_batches(changes(spark, rows))) == grouped(rows)
 
 
 def test_merged_batches_equal_one_grouping(spark):
-    rows = [C1, C5, C6, C2, C3, C4, C5, C3]
+    rows = arrivals(3, 120)
     df = changes(spark, rows)
-    whole = pending.doc_batches(df)
-    split = pending.doc_batches(df.where("seq < 3")).unionByName(pending.doc_batches(df.where("seq >= 3")))
-    merged = pending.merge_batches(split).select(whole.columns)
-    assert sorted(merged.collect()) == sorted(whole.collect())
-    stats = {r["index"]: (r["n_docs"], r["n_rows"]) for r in pending.queue_stats(whole).collect()}
-    assert stats == {"i1": (3, 5), "i2": (2, 3)}
+    for cut in (1, 40, 119):
+        parts = [pending.doc_batches(df.where(f"seq < {cut}")), pending.doc_batches(df.where(f"seq >= {cut}"))]
+        assert as_grouped(pending.merge_batches(parts[1].unionByName(parts[0]))) == grouped(rows)
+    stats = {r["index"]: (r["n_docs"], r["n_rows"]) for r in pending.queue_stats(pending.doc_batches(df)).collect()}
+    want = {i: (len({d for j, d, _ in rows if j == i}), sum(j == i for j, _, _ in rows)) for i in "xy"}
+    assert stats == want
 
 
 def test_split_and_safe_position(spark):
@@ -71,7 +78,7 @@ def test_split_and_safe_position(spark):
 
 
 def test_empty_queue(spark):
-    df = changes(spark, [C1]).where("doc_id < 0")
+    df = changes(spark, arrivals(1, 3)).where("doc_id < 0")
     assert pending.settle_split(pending.doc_batches(df), F.current_timestamp(), 1, 10).count() == 0
 
 

@@ -1,6 +1,8 @@
 """Routing row events to documents."""
 
 import datetime
+import random
+from collections import Counter
 
 import pytest
 
@@ -8,11 +10,9 @@ from docloom.operators.rules import IngestRule, RuleError, TableFeed, apply_rule
 from docloom.operators.source import DocSource
 from docloom.sources.feed import flatten_rows, logical_rows
 
-RULE = IngestRule("shop.item", "id", "idx", {"price": ()})
+RULE = IngestRule("stock", "doc", "idx", {"amount": ()})
 NOW = datetime.datetime(2024, 3, 5, 7, 9, 11)
-ROW = "struct<id: bigint, price: bigint, name: string>"
-R1, R2, R3 = (1, 500, "pine"), (2, 600, "larch"), (3, 700, "fir")
-M1, M2, M3 = (1, 501, "pine"), (2, 601, "yew"), (3, 701, "elm")
+ROW = "struct<doc: bigint, amount: bigint, note: string>"
 
 
 def events(spark, *evs, row=ROW):
@@ -23,92 +23,75 @@ def events(spark, *evs, row=ROW):
     )
 
 
-def changes(spark, rule, pk, *evs, row=ROW):
-    raw = events(spark, *evs, row=row)
-    feed = TableFeed("shop.item", flatten_rows(raw.where("table = 'shop.item'")), pk)
+def generated(seed, n):
+    """Events of two tables with one to four logical rows each."""
+    rng = random.Random(seed)
+    row = lambda: (rng.choice([None, 1, 2, 3, 4]), rng.randrange(9), rng.choice("uvw"))
     out = []
-    for r in route([feed], [rule]):
-        for c in r.df.orderBy("seq", "rule_id", "row_no", "sub_no").collect():
-            out.append((c["action"], c["doc_id"], tuple(c["pk"]), tuple(c["old"]), tuple(c["new"])))
+    for _ in range(n):
+        table, action = rng.choice(["stock", "other"]), rng.choice(["insert", "update", "delete"])
+        out.append((table, action, [row() for _ in range(rng.randrange(0, 5) * (2 if action == "update" else 1))]))
     return out
 
 
-@pytest.mark.parametrize("action,rows", [("insert", [R1]), ("update", [R1, R2]), ("delete", [R1, R2])])
-def test_other_tables_are_ignored(spark, action, rows):
-    assert changes(spark, RULE, ("id",), ("shop.note", action, rows)) == []
-
-
-def test_no_rule_for_a_table(spark):
-    feed = TableFeed("shop.note", flatten_rows(events(spark, ("shop.note", "insert", [R1]))), ("id",))
-    assert route([feed], [RULE]) == []
-
-
-@pytest.mark.parametrize(
-    "pk,action,rows,want",
-    [
-        (("id",), "insert", [R1], [("insert", 1, (1,), (None,), (500,))]),
-        ((), "insert", [R1], [("insert", 1, R1, (None,), (500,))]),
-        (
-            ("id",), "insert", [R1, R2, R3],
-            [
-                ("insert", 1, (1,), (None,), (500,)),
-                ("insert", 2, (2,), (None,), (600,)),
-                ("insert", 3, (3,), (None,), (700,)),
-            ],
-        ),
-        (("id",), "update", [R1, M1], [("update", 1, (1,), (500,), (501,))]),
-        (
-            ("name",), "update", [R1, R2],
-            [
-                ("delete", 1, ("pine",), (500,), (None,)),
-                ("insert", 2, ("larch",), (None,), (600,)),
-            ],
-        ),
-        (
-            ("id",), "update", [R1, M1, R2, M2, R3, M3],
-            [
-                ("update", 1, (1,), (500,), (501,)),
-                ("update", 2, (2,), (600,), (601,)),
-                ("update", 3, (3,), (700,), (701,)),
-            ],
-        ),
-        (
-            ("id",), "update", [R1, M1, R2, R3],
-            [
-                ("update", 1, (1,), (500,), (501,)),
-                ("delete", 2, (2,), (600,), (None,)),
-                ("insert", 3, (3,), (None,), (700,)),
-            ],
-        ),
-        (("id",), "delete", [R3], [("delete", 3, (3,), (700,), (None,))]),
-        (("id",), "update", [R1, (None, 8, "x")], [("update", 1, (1,), (500,), (8,))]),
-        (("id",), "insert", [(None, 8, "x")], [("insert", 0, (None,), (None,), (8,))]),
-    ],
-)
-def test_apply(spark, pk, action, rows, want):
-    assert changes(spark, RULE, pk, ("shop.item", action, rows)) == want
+def expected(evs, pk):
+    """Changes of `stock` one by one: (seq, action, document, key, old amount, new amount)."""
+    names = ("doc", "amount", "note")
+    key = lambda r: tuple(r[names.index(c)] for c in pk or names)
+    out = []
+    for n, (table, action, rows) in enumerate(evs):
+        if table != "stock":
+            continue
+        pairs = zip(rows[::2], rows[1::2]) if action == "update" else ((r, r) for r in rows)
+        for old, new in pairs:
+            if action == "insert":
+                out.append((n, action, new[0] or 0, key(new), None, new[1]))
+            elif action == "delete":
+                out.append((n, action, old[0] or 0, key(old), old[1], None))
+            elif new[0] is None or new[0] == (old[0] or 0):
+                out.append((n, action, old[0] or 0, key(old), old[1], new[1]))
+            else:  # the row moves to another document
+                out.append((n, "delete", old[0] or 0, key(old), old[1], None))
+                out.append((n, "insert", new[0], key(new), None, new[1]))
+    return out
 
 
-def test_bytes_are_compared_as_text(spark):
-    rule = IngestRule("shop.item", "id", "idx", {"name": ()})
-    row = "struct<id: bigint, price: bigint, name: binary>"
-    got = changes(spark, rule, ("name",), ("shop.item", "insert", [(1, 2, bytearray(b"pine"))]), row=row)
-    assert got == [("insert", 1, ("pine",), (None,), ("pine",))]
+@pytest.mark.parametrize("pk", [("doc",), ("note",), ("note", "doc"), ()])
+def test_routing_of_generated_events(spark, pk):
+    evs = generated(len(pk), 300)
+    raw = events(spark, *evs)
+    feed = TableFeed("stock", flatten_rows(raw.where("table = 'stock'")), pk)
+    (r,) = route([feed], [RULE])
+    got = [
+        (c["seq"], c["action"], c["doc_id"], tuple(c["pk"]), c["old"]["amount"], c["new"]["amount"])
+        for c in r.df.orderBy("seq", "rule_id", "row_no", "sub_no").collect()
+    ]
+    assert got == expected(evs, pk)
+    assert r.one_row == (pk == ("doc",))
+    other = TableFeed("other", flatten_rows(raw.where("table = 'other'")), pk)
+    assert route([other], [RULE]) == []
+    assert sum(x["n"] for x in raw.select(logical_rows().alias("n")).collect()) == flatten_rows(raw).count()
 
 
-@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
-def test_rule_order_does_not_hide_a_rule(spark, order):
-    rules = [
-        IngestRule("shop.item", "id", "idx", {"w": ("ww",)}),
-        IngestRule("shop.note", "id", "idx", {"y": ("yy",)}),
-    ]
-    raw = events(spark, ("shop.item", "delete", [(5, "red")]), row="struct<id: bigint, w: string>")
-    feed = TableFeed("shop.item", flatten_rows(raw), ("id",))
-    (r,) = route([feed], [rules[i] for i in order])
+def test_bytes_are_compared_as_text(spark):
+    rule = IngestRule("stock", "doc", "idx", {"note": ()})
+    raw = events(spark, ("stock", "insert", [(1, 2, bytearray(b"oak"))]), row=ROW.replace("note: string", "note: binary"))
+    (r,) = route([TableFeed("stock", flatten_rows(raw), ("note",))], [rule])
     (c,) = r.df.collect()
-    assert (c["action"], c["doc_id"], tuple(c["old"]), tuple(c["new"])) == ("delete", 5, ("red",), (None,))
-    matched = match_rules(raw, [rules[i] for i in order]).collect()
-    assert [(m["rule_id"], m["index"]) for m in matched] == [(order.index(0), "idx")]
+    assert (c["pk"]["note"], c["new"]["note"]) == ("oak", "oak")
+
+
+def test_each_rule_gets_the_events_of_its_table(spark):
+    rules = [IngestRule(t, "doc", i, {"amount": ()}) for t in ("none", "other", "stock") for i in ("x", "y")]
+    evs = generated(5, 80)
+    raw = events(spark, *evs)
+    feeds = [TableFeed(t, flatten_rows(raw.where(f"table = '{t}'")), ("doc",)) for t in ("stock", "other")]
+    for order in (rules, rules[::-1]):
+        got = {(r.table, r.index): r.df.select("seq").distinct().count() for r in route(feeds, order)}
+        seen = Counter(t for t, _, rows in evs if rows)
+        assert got == {(t, i): seen[t] for t in seen for i in ("x", "y")}
+        matched = Counter((m["table"], m["index"]) for m in match_rules(raw, order).collect())
+        assert matched == {(t, i): n for t, n in Counter(t for t, _, _ in evs).items() for i in ("x", "y")}
 
 
 def test_rules_of_one_shape_share_documents(spark):
@@ -119,22 +102,16 @@ def test_rules_of_one_shape_share_documents(spark):
     assert not r.one_row
 
 
-def test_row_counts(spark):
-    raw = events(spark, ("t", "insert", [R1, R2, R3]), ("t", "update", [R1, M1, R2, M2]), ("t", "update", []))
-    assert [r[0] for r in raw.orderBy("seq").select(logical_rows()).collect()] == [3, 2, 0]
-    assert flatten_rows(raw).count() == 5
-
-
 def test_errors(spark):
-    feed = TableFeed("shop.item", flatten_rows(events(spark, ("shop.item", "insert", [R1]))), ("id",))
+    feed = TableFeed("stock", flatten_rows(events(spark, ("stock", "insert", [(1, 5, "u")]))), ("doc",))
     with pytest.raises(RuleError, match="no column 'nope'"):
-        apply_rule(feed, IngestRule("shop.item", "nope", "idx", {"price": ()}))
+        apply_rule(feed, IngestRule("stock", "nope", "idx", {"amount": ()}))
     with pytest.raises(RuleError, match="maps none"):
-        apply_rule(feed, IngestRule("shop.item", "id", "idx", {"other": ()}))
-    bad = TableFeed("shop.item", flatten_rows(events(spark, ("shop.item", "insert", [(-4, 1, "x")]))), ("id",))
+        apply_rule(feed, IngestRule("stock", "doc", "idx", {"other": ()}))
+    bad = TableFeed("stock", flatten_rows(events(spark, ("stock", "insert", [(-4, 1, "x")]))), ("doc",))
     with pytest.raises(Exception, match="negative document id"):
         apply_rule(bad, RULE).df.collect()
-    odd = TableFeed("shop.item", flatten_rows(events(spark, ("shop.item", "insert", [R1]))).replace("insert", "upsert"), ("id",))
+    odd = TableFeed("stock", flatten_rows(events(spark, ("stock", "insert", [(1, 5, "u")]))).replace("insert", "upsert"), ("doc",))
     with pytest.raises(Exception, match="unknown row action"):
         apply_rule(odd, RULE).df.collect()
 

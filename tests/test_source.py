@@ -1,5 +1,7 @@
 """Typed aliases, restriction of documents, and type coercion."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,37 +10,44 @@ from docloom.operators.source import DocSource, SourceError, declared_columns, l
 
 
 def test_declared_columns():
-    aliases = "id:id f1:attr_uint f2:attr_bigint f3:attr_float f4:attr_multi f5:attr_string f6:field m5:attr_multi_64"
-    assert declared_columns(aliases.split()) == dict(a.split(":") for a in aliases.split())
-
-
-@pytest.mark.parametrize(
-    "aliases,message",
-    [
-        (["id"], "form name:type"),
-        (["id:"], "form name:type"),
-        (["a:b:id"], "form name:type"),
-        ([":id"], "needs a name"),
-        (["id:id", "doc_part:attr_uint"], "reserved name"),
-        (["id:id", "_x:attr_uint"], "reserved name"),
-        (["id:id", "f:attr_wtf"], "unknown type 'attr_wtf'"),
-        (["id:id", "f:attr_uint", "f:attr_uint"], "declared twice"),
-        (["id1:id", "id2:id"], "exactly one column of type id"),
-        (["id1:attr_uint", "id2:attr_uint"], "exactly one column of type id"),
-    ],
-)
-def test_bad_columns(aliases, message):
-    with pytest.raises(SourceError, match=message):
-        declared_columns(aliases)
+    """Any choice of types with one id, in any order."""
+    rng = random.Random(1)
+    others = [t for t in coerce.COLUMN_TYPES if t != "id"]
+    for _ in range(50):
+        types = [rng.choice(others) for _ in range(rng.randrange(6))]
+        types.insert(rng.randrange(len(types) + 1), "id")
+        want = {f"col{n}": t for n, t in enumerate(types)}
+        assert declared_columns(f"{n}:{t}" for n, t in want.items()) == want
+        spoilt = [f"{n}:{t}" for n, t in want.items()]
+        at = rng.randrange(len(spoilt))
+        name, kind = spoilt[at].split(":")
+        for bad, message in (
+            (name, "form name:type"),
+            (f"{name}:", "form name:type"),
+            (f"{name}:{kind}:{kind}", "form name:type"),
+            (f":{kind}", "needs a name"),
+            (f"_{name}:{kind}", "reserved name"),
+            (f"doc_part:{kind}", "reserved name"),
+            (f"doc_write:{kind}", "reserved name"),
+            (f"{name}:{kind}_", f"unknown type '{kind}_'"),
+        ):
+            with pytest.raises(SourceError, match=message):
+                declared_columns([*spoilt[:at], bad, *spoilt[at + 1 :]])
+        with pytest.raises(SourceError, match="declared twice"):
+            declared_columns([*spoilt, spoilt[at]])
+        with pytest.raises(SourceError, match="exactly one column of type id"):
+            declared_columns([*spoilt, "another:id"])
+        with pytest.raises(SourceError, match="exactly one column of type id"):
+            declared_columns([x for x in spoilt if not x.endswith(":id")])
 
 
 def test_query_text_errors(spark):
-    frames = {"test": spark.createDataFrame([(1, 2)], "id bigint, f bigint")}
-    for text in ("SELECT to be or not to be FROM {test}", "SELECT t.nope AS `id:id` FROM {test} t"):
+    frames = {"t": spark.createDataFrame([(1, 2)], "k bigint, v bigint")}
+    for text in ("SELECT FROM WHERE", "SELECT t.missing AS `id:id` FROM {t} t"):
         with pytest.raises(Exception):
-            DocSource("d", text, {"test": "id"}).documents(spark, frames)
+            DocSource("d", text, {"t": "k"}).documents(spark, frames)
     with pytest.raises(SourceError, match="no data for tables"):
-        DocSource("d", "SELECT t.id AS `id:id` FROM {test} t", {"test": "id"}).documents(spark, {})
+        DocSource("d", "SELECT t.k AS `id:id` FROM {t} t", {"t": "k"}).documents(spark, {})
     with pytest.raises(SourceError, match="at least one table"):
         DocSource("d", "SELECT 1 AS `id:id`", {"test": None})
 
@@ -163,4 +172,4 @@ def test_refused_values(spark, kind, doc_type, value, ansi):
 
 def test_unknown_type(spark):
     with pytest.raises(ValueError, match="unknown document column type"):
-        coerce.typed(F.lit(1), None, "attr_wtf")
+        coerce.typed(F.lit(1), None, "text")
