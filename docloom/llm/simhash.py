@@ -7,9 +7,10 @@ estimated on a bounded sample of fingerprints. The plan decides the cost only: e
 
 Rows with one fingerprint are first reduced to their smallest id. Each distinct fingerprint is put in the buckets of its own
 partition values and probes the buckets within the thresholds. A bucket is compared inside one task and gives a spanning
-forest of its verified links, not all pairs. Buckets above `bucket` members are split by a further pigeonhole on the bits
-outside, again and again: after r rounds at most 2^(bits left) fingerprints can share a bucket, so none stays large.
-Components are found by alternating star contraction, which moves links only.
+forest of its verified links, not all pairs. Buckets above `bucket` members are split by a further exact pigeonhole on the
+bits outside. What stays large, as a dense group of copies does, is dealt into chunks, and each pair of chunks is compared
+by itself: the work spreads over tasks, and no task holds more than two chunks at a time. Components
+are found by alternating star contraction, which moves links only.
 
 `near_groups` can also verify on a wide fingerprint: probes then go by the first 64 bits, and a pair is a link if the wide ones
 agree in as many bits as documents of the asked similarity do. `drop_near_copies` does so, as 64 bits can't tell a
@@ -39,6 +40,8 @@ SEED = 42
 WIDE_SEEDS = (1, 2)
 WIDE = ("fp", "fp1", "fp2", "fp3")
 BUCKET = 2048
+#: Most rows of a chunk of a large bucket.
+CELL = 1 << 14
 SAMPLE = 4096
 
 
@@ -154,8 +157,8 @@ def allocate(cost: list[list[float]], bits: int) -> tuple[float, tuple[int, ...]
 
 
 def make_plan(sample: np.ndarray, n: int, bits: int) -> Plan:
-    """The cheapest plan for n fingerprints: rows to shuffle, at SHUFFLED comparisons each, and comparisons."""
-    shuffled = 200.0
+    """The cheapest plan for n fingerprints: rows to shuffle, at `shuffled` comparisons each as measured, and comparisons."""
+    shuffled = 1500.0
     choices = []
     other = np.random.default_rng(SEED).permutation(len(sample))
     a, b = np.repeat(sample, 64), np.concatenate([sample[np.roll(other, r)] for r in range(64)])
@@ -251,6 +254,8 @@ def _near(x: np.ndarray, y: np.ndarray, bits: int, most: int) -> np.ndarray:
 def _forest(fps: np.ndarray, home: np.ndarray, bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (positions a, b) of a spanning forest of the linked pairs of which one is at home."""
     n = len(fps)
+    order = np.argsort(~home, kind="stable")  # those at home come first, and are compared with what follows them
+    fps = fps[order]
     parent = np.arange(n)
 
     def root(i: int) -> int:
@@ -260,20 +265,18 @@ def _forest(fps: np.ndarray, home: np.ndarray, bits: int, most: int) -> tuple[np
         return i
 
     out_a, out_b = [], []
-    homes = np.flatnonzero(home)
+    homes = int(home.sum())
     step = max(1, (1 << 20) // n)
-    for at in range(0, len(homes), step):
-        rows = homes[at : at + step]
-        i, j = np.nonzero(_near(fps[rows][:, None], fps[None, :], bits, most))
-        i = rows[i]
-        real = i != j
-        for a, b in zip(i[real].tolist(), j[real].tolist()):
+    for at in range(0, homes, step):
+        i, j = np.nonzero(_near(fps[at : min(homes, at + step), None], fps[None, at:], bits, most))
+        real = i < j
+        for a, b in zip((at + i[real]).tolist(), (at + j[real]).tolist()):
             ra, rb = root(a), root(b)
             if ra != rb:
                 parent[rb] = ra
                 out_a.append(a)
                 out_b.append(b)
-    return np.array(out_a, dtype=np.int64), np.array(out_b, dtype=np.int64)
+    return order[np.array(out_a, dtype=np.int64)], order[np.array(out_b, dtype=np.int64)]
 
 
 def _verify(rows: DataFrame, bits: int, most: int) -> DataFrame:
@@ -334,15 +337,27 @@ def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: in
     plan = make_plan(np.array([r[0] for r in sample], dtype=np.int64).view(np.uint64), n, bits)
 
     rows = written(_buckets(nodes, plan), "buckets")
-    found = None
-    while True:
-        large = written(rows.groupBy("bucket").count().where(F.col("count") > bucket).select("bucket"), "large")
-        if large.isEmpty():
-            part = _verify(rows, bits, most)
-            return part if found is None else found.unionByName(part).distinct()
-        part = _verify(rows.join(large, "bucket", "left_anti"), bits, most)
-        found = part if found is None else found.unionByName(part)
-        rows = written(_split(rows.join(large, "bucket", "left_semi"), bits), "buckets")
+    large = _large(rows, bucket)
+    if large.isEmpty():
+        return _verify(rows, bits, most)
+    small = _verify(rows.join(large, "bucket", "left_anti"), bits, most)
+    rows = written(_split(rows.join(large, "bucket", "left_semi"), bits), "buckets")
+    large = _large(rows, bucket)
+    rows = rows.join(large, "bucket", "left_anti").unionByName(_cells(rows, large, min(8 * bucket, CELL)))
+    return small.unionByName(_verify(rows, bits, most)).distinct()
+
+
+def _large(rows: DataFrame, bucket: int) -> DataFrame:
+    return written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket), "large")
+
+
+def _cells(rows: DataFrame, large: DataFrame, chunk: int) -> DataFrame:
+    """The rows of large buckets, dealt into chunks by a hash, in a bucket for each pair of chunks."""
+    chunks = F.ceil(F.col("n") / F.lit(chunk))
+    dealt = rows.join(large, "bucket").withColumns({"own": F.pmod(F.xxhash64("node"), chunks), "chunks": chunks})
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    key = F.concat_ws(".", F.concat("bucket", F.lit("#")), F.least("own", "other"), F.greatest("own", "other"))
+    return paired.withColumn("bucket", key).select(rows.columns)
 
 
 def components(edges: DataFrame) -> DataFrame:
