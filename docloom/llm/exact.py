@@ -46,15 +46,17 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     ).withColumn("hash", F.xxhash64("norm"))
     hot = _hot_texts(rows.select("hash"), parts)
 
-    salt = F.lit(0)
+    rows = rows.withColumn("prefix", F.substring("norm", 1, PREFIX))
+    splitters = ["prefix", "hash"]
     if hot:
         spread = spark.createDataFrame(list(hot.items()), "hash bigint, salts bigint")
-        rows = rows.join(F.broadcast(spread), "hash", "left")
         salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).otherwise(0)
-    rows = rows.withColumns({"prefix": F.substring("norm", 1, PREFIX), "salt": salt})
+        rows = rows.join(F.broadcast(spread), "hash", "left").withColumn("salt", salt)
+        splitters.append("salt")
 
-    equal = Window.partitionBy("prefix", "hash", "salt", "norm")
-    runs = rows.repartitionByRange("prefix", "hash", "salt").select(
+    # the windows' keys begin with the splitters, so they work inside the ranges without another shuffle
+    equal = Window.partitionBy(*splitters, "norm")
+    runs = rows.repartitionByRange(*splitters).select(
         "*",
         F.row_number().over(equal.orderBy(F.col("id").asc_nulls_last())).alias("place"),
         F.min("id").over(equal).alias("run_min"),
