@@ -36,8 +36,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Whether Spark removes an execution's shuffle files at its end; else they stay until the driver collects its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df`, computed once, written as compact Parquet under the shared folder and read back."""
-    path = new_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df`, computed once, written as compact Parquet under the shared folder and read back. Its shuffle files are freed."""
+    spark = df.sparkSession
+    path = new_dir(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what `written` wrote, once all that is made of it has been written itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

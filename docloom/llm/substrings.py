@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import SPACE, WORD, plain, written
+from docloom.llm.common import SPACE, WORD, discard, plain, written
 
 WINDOW = 35
 BLOCK = 8
@@ -239,7 +239,7 @@ def _cut(rows: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, part, n_removed, kept: a row for each document from which something is removed. See `_keyed` for doc and part."""
     keyed = _keyed(docs, id_col, text_col)
-    blocks = block_rows(keyed, window)
+    blocks = written(block_rows(keyed, window), "blocks")
     index = (
         blocks.groupBy("hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "link")).alias("ref"))
@@ -259,7 +259,10 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     shared = hits.groupBy("doc", "part").agg(
         F.collect_list(F.struct("pos", "link", "ref_doc", "ref_pos", "ref_link")).alias("found")
     )
+    shared = written(shared, "shared-blocks")
+    discard(blocks)
     table = written(factored(keyed, shared, window), "factored")
+    discard(shared)
 
     windows = table.select("doc", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("doc", "w.at", "w.h1", "w.h2")
     twice = windows.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
@@ -272,6 +275,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     )
     ends = spans.unionByName(equal).groupBy("doc", "pos").agg(F.sum("sum").alias("sum")).where("sum != 0")
     ends = ends.groupBy("doc", F.shiftright("pos", 32).alias("part")).agg(F.collect_list(F.struct("pos", "sum")).alias("ends"))
+    ends = written(ends, "stretches")
     return _cut(table.select("doc", "part", "text").join(ends, ["doc", "part"]).select("doc", "part", "text", "ends"))
 
 
@@ -282,6 +286,7 @@ def substring_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
         "doc", "part", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("n_words"), F.sha2(whole, 256).alias("all")
     )
     cut = deduplicated(docs, window, id_col, text_col).select("doc", "part", "n_removed", F.sha2("kept", 256).alias("kept"))
+    cut = written(cut, "cut")
     return rows.join(cut.dropDuplicates(["doc", "part"]), ["doc", "part"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("kept", "all").alias("kept_sha256")
     )
