@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators.pending import changes_of, doc_batches, merge_batches, settle_split
 from docloom.operators.rules import TableFeed, route, touched
+from docloom.plans.maintenance import compact_if_needed
 from docloom.plans.sync import SyncJob, sync_routed
 from docloom.sources.feed import read_feed, stream_feed
 
@@ -25,7 +27,8 @@ QUEUE = (
     "index string, doc_id bigint, first_ts timestamp, last_ts timestamp, n_rows bigint, first_event_id bigint, "
     "first_seq bigint, last_seq bigint, ready boolean"
 )
-SEEN = "seq bigint, event_id bigint"
+SEEN = "table string, seq bigint, event_id bigint"
+METRICS = "batch_id bigint, at double, arrived bigint, ready bigint, waiting bigint, seq bigint"
 
 
 class Stopping(RuntimeError):
@@ -38,6 +41,10 @@ class Follower:
 
     `frames` returns the base tables as they are now: documents are re-read from the present, not from the time
     of the change.  `tables` maps feed tables to their primary key columns.
+
+    The recorded position is one before which everything is applied: the least, over the tables with rules and the
+    waiting changes, of what has been seen.  A table is seen up to its last change, or up to `high_water()[table]` where
+    the source knows that it has delivered more than there are changes; without that, a quiet table holds the position.
     """
 
     spark: SparkSession
@@ -51,7 +58,11 @@ class Follower:
     clock: Callable[[], float] = time.time
     upsert_missing: bool = True
     build_mode: bool = False
-    metrics: list = field(default_factory=list)
+    high_water: Callable[[], Mapping[str, int]] = dict
+    upkeep_every: int = 0  # micro-batches between two rounds of upkeep; 0 leaves it to the caller
+    max_delta_bytes: int = 256 << 20
+    keep_versions: int = 100
+    last: dict = field(default_factory=dict)
     _schemas: dict = field(default_factory=dict, repr=False)
     _busy: threading.Lock = field(default_factory=threading.Lock, repr=False)
     _stopping: bool = False
@@ -64,7 +75,7 @@ class Follower:
         feeds = [
             stream_feed(self.spark, self.feed_root, f.table, f.df.schema, f.pk, **options) for f in self._stored()
         ]
-        rows = touched(route(feeds, self.job.rules)).select("index", "doc_id", "seq", "event_id")
+        rows = touched(route(feeds, self.job.rules)).select("index", "table", "doc_id", "seq", "event_id")
         if heartbeat:
             beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
             none = [F.lit(None).cast(t).alias(c) for c, t in rows.dtypes]
@@ -72,7 +83,8 @@ class Follower:
         return rows
 
     def start(self, heartbeat: bool = True, trigger: Mapping | None = None, **options):
-        """Start the streaming query; its checkpoint lives beside the queue."""
+        """Check the rules and start the streaming query; its checkpoint lives beside the queue."""
+        self.job.check(self.spark, self.frames())
         return (
             self.arrivals(heartbeat, **options)
             .writeStream.foreachBatch(self.on_batch)
@@ -104,28 +116,58 @@ class Follower:
             return None
         return self.spark.read.schema(schema).parquet(path)
 
+    def stream(self) -> str:
+        """Name of this state folder's count of batches, given once."""
+        path = f"{self.state_dir}/stream"
+        if not self._exists(f"{path}/_SUCCESS"):
+            name = self.spark.createDataFrame([(uuid.uuid4().hex,)], "stream string")
+            name.coalesce(1).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("stream string").parquet(path).first()["stream"]
+
     def _queue(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """This batch's queue with its `ready` flags, made once."""
         done = self._saved("queue", batch_id, QUEUE)
         if done is not None and self._saved("seen", batch_id, SEEN) is not None:
             return done
+        waiting, before = self._saved("queue", batch_id - 1, QUEUE), self._saved("seen", batch_id - 1, SEEN)
+        if batch_id > 0 and (waiting is None or before is None):
+            raise RuntimeError(f"{self.state_dir} lacks the queue of batch {batch_id - 1}; documents that wait would be lost")
         arrived = F.timestamp_micros(F.lit(int(self.clock() * 1e6)))
-        fresh = rows.where(F.col("doc_id").isNotNull()).withColumn("ts", arrived)
-        parts = [doc_batches(fresh)]
-        waiting = self._saved("queue", batch_id - 1, QUEUE)
-        if waiting is not None:
-            parts.append(waiting.where(~F.col("ready")).drop("ready"))
-        merged = merge_batches(reduce(DataFrame.unionByName, parts))
-        split = settle_split(merged, arrived, self.gap_seconds, self.hold_seconds)
-        split.write.mode("overwrite").parquet(f"{self.state_dir}/queue/b={batch_id}")
-        top = fresh.select("seq", "event_id")
-        before = self._saved("seen", batch_id - 1, SEEN)
-        if before is not None:
-            top = top.unionByName(before)
-        seen = top.agg(F.max("seq").alias("seq"), F.max("event_id").alias("event_id"))
-        seen.write.mode("overwrite").parquet(f"{self.state_dir}/seen/b={batch_id}")
+        fresh = rows.where(F.col("doc_id").isNotNull()).withColumn("ts", arrived).persist()
+        try:
+            parts = [doc_batches(fresh)]
+            top = fresh.select("table", "seq", "event_id")
+            if waiting is not None:
+                parts.append(waiting.where(~F.col("ready")).drop("ready"))
+                top = top.unionByName(before)
+            merged = merge_batches(reduce(DataFrame.unionByName, parts))
+            split = settle_split(merged, arrived, self.gap_seconds, self.hold_seconds)
+            split.write.mode("overwrite").parquet(f"{self.state_dir}/queue/b={batch_id}")
+            seen = top.groupBy("table").agg(F.max("seq").alias("seq"), F.max("event_id").alias("event_id"))
+            seen.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/seen/b={batch_id}")
+            self.last = {"arrived": fresh.count()}
+        finally:
+            fresh.unpersist()
         return self._saved("queue", batch_id, QUEUE)
 
+    def _frontier(self, batch_id: int) -> tuple[int | None, int | None]:
+        """(seq, event_id) up to which every table with a rule has been seen."""
+        seen = {r["table"]: (r["seq"], r["event_id"]) for r in self._saved("seen", batch_id, SEEN).collect()}
+        known = self.high_water()
+        needed = {r.table for r in self.job.rules} & set(self.tables)
+        ends = []
+        for t in needed:
+            seq, event = seen.get(t, (None, None))
+            if t in known and (seq is None or known[t] > seq):
+                seq, event = known[t], None
+            ends.append((seq, event))
+        if not ends or any(seq is None for seq, _ in ends):
+            return None, None
+        seq = min(s for s, _ in ends)
+        events = [e for _, e in seen.values() if e is not None]
+        at = [e for s, e in ends if s == seq and e is not None]
+        return seq, at[0] if at else max(events, default=None)
+
     def on_batch(self, rows: DataFrame, batch_id: int) -> None:
         with self._busy:
             if self._stopping:
@@ -134,7 +176,7 @@ class Follower:
 
     def _sync(self, rows: DataFrame, batch_id: int) -> None:
         queue = self._queue(rows, batch_id)
-        seen = self._saved("seen", batch_id, SEEN).first()
+        seen_seq, seen_event = self._frontier(batch_id)
         w, r = ~F.col("ready"), F.col("ready")
         sums = queue.agg(
             F.min(F.when(w, F.col("first_seq"))).alias("wait_seq"),
@@ -144,9 +186,13 @@ class Follower:
             F.count_if(r).alias("n_ready"),
             F.count_if(w).alias("n_waiting"),
         ).first()
+        # everything before the oldest waiting change, and before what some table has not delivered, is applied
+        seq, event_id = seen_seq, seen_event
+        if sums["n_waiting"] and (seq is None or sums["wait_seq"] - 1 <= seq):
+            seq = None if seen_seq is None else sums["wait_seq"] - 1
+            event_id = None if seen_seq is None else sums["wait_event"]
+        how = {"batch_id": batch_id, "stream": self.stream(), "ts": self.clock()}
         if sums["n_ready"]:
-            # everything before the oldest waiting change is applied with this batch
-            waits = sums["n_waiting"] > 0
             feeds = [
                 TableFeed(f.table, f.df.where(F.col("seq").between(sums["lo"], sums["hi"])), f.pk)
                 for f in self._stored()
@@ -155,17 +201,35 @@ class Follower:
             routed = [replace(x, df=changes_of(x.df, ready)) for x in route(feeds, self.job.rules)]
             sync_routed(
                 self.spark, self.job, self.frames(), routed,
-                batch_id=batch_id,
-                seq=sums["wait_seq"] - 1 if waits else seen["seq"],
-                event_id=sums["wait_event"] if waits else seen["event_id"],
-                ts=self.clock(),
+                seq=seq,
+                event_id=event_id,
                 upsert_missing=self.upsert_missing,
-                advance=not self.build_mode,
+                advance=not self.build_mode and seq is not None,
+                **how,
             )
-        self.metrics = [
-            *self.metrics[-99:], {"batch_id": batch_id, "ready": sums["n_ready"], "waiting": sums["n_waiting"]}
-        ]
+        elif seq is not None and not self.build_mode:
+            # nothing to apply, but the position may have moved on
+            for table in (t for ts in self.job.targets.values() for t in ts):
+                v = table.current()
+                if v is not None and (v.seq is None or v.seq < seq):
+                    table.set_position(seq, event_id, **how)
+        self._count(batch_id, sums, seq)
         self._forget(batch_id - 2)
+        if self.upkeep_every and batch_id % self.upkeep_every == self.upkeep_every - 1:
+            for table in (t for ts in self.job.targets.values() for t in ts):
+                compact_if_needed(table, self.max_delta_bytes)
+                table.trim_history(self.keep_versions)
+
+    def _count(self, batch_id: int, sums, seq: int | None) -> None:
+        """Counters of the batch, kept as a table: one row for each batch, replaced if it is repeated."""
+        self.last = {"batch_id": batch_id, **self.last, "ready": sums["n_ready"], "waiting": sums["n_waiting"]}
+        row = (batch_id, self.clock(), self.last.get("arrived"), sums["n_ready"], sums["n_waiting"], seq)
+        frame = self.spark.createDataFrame([row], METRICS).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.state_dir}/metrics/b={batch_id}")
+
+    def metrics(self) -> DataFrame:
+        """Counters of all batches."""
+        return self.spark.read.schema(METRICS).parquet(f"{self.state_dir}/metrics")
 
     def _forget(self, batch_id: int) -> None:
         for name in ("queue", "seen"):

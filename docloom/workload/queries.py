@@ -499,9 +499,11 @@ def stream_apply(i: Inputs) -> DataFrame:
     root = new_dir(i.spark, "feed")
     feeds.write_feed(i.feeds, root)
     (table,) = i.new_tables(i.before, seq=0)
+    last = max(_max(f.df, "seq") for f in i.feeds)  # the feed is stored as a whole
     follower = Follower(
         i.spark, i.job([table]), lambda: i.after, root, {"orders": ["o_orderkey"], "lineitem": sql.LINE_KEY},
         new_dir(i.spark, "follower"), gap_seconds=0, hold_seconds=0,
+        high_water=lambda: {"orders": last, "lineitem": last},
     )
     follower.start(heartbeat=False, trigger={"availableNow": True}).awaitTermination()
     return table.read().withColumn("seq", F.lit(table.current().seq))

@@ -54,9 +54,9 @@ class Setup:
         """One micro-batch with the given feed rows."""
         new = feed(self.spark, *rows)
         write_feed([new], self.root)
-        arrived = touched(route([new], [RULE])).select("index", "doc_id", "seq", "event_id")
+        arrived = touched(route([new], [RULE])).select("index", "table", "doc_id", "seq", "event_id")
         follower.on_batch(arrived, batch_id)
-        return follower.metrics[-1]["ready"], follower.metrics[-1]["waiting"]
+        return follower.last["ready"], follower.last["waiting"]
 
     def content(self, n=0):
         return {r["id"]: (r["v"], r["s"]) for r in self.targets[n].read().collect()}
@@ -118,6 +118,55 @@ def test_build_mode_keeps_the_position(spark):
     assert s.content() == {1: (5, "a")} and s.targets[0].current().seq == 0
 
 
+def test_position_waits_for_every_table(spark):
+    """A table whose changes have not come yet holds the position, unless the source says that there are none."""
+    s = Setup(spark, base(spark, (1, 1, "a")))
+    s.job = SyncJob(s.job.sources, [RULE, IngestRule("u", "k", "d", {"v": ("v",)})], s.job.targets)
+    high = {}
+    s.options = {"high_water": lambda: high}
+    f = s.follower()
+    f.tables = {"t": ["k"], "u": ["k"]}
+    f._stored = lambda: read_feed(spark, s.root, {"t": ["k"]})
+    s.frames = base(spark, (1, 5, "a"))
+    s.step(f, 0, (100, "update", (1, 1, "a"), (1, 5, "a")))
+    s.now[0] += 10
+    assert s.step(f, 1) == (1, 0)
+    assert s.content() == {1: (5, "a")} and s.targets[0].current().seq == 0
+    high["u"] = 60
+    s.step(f, 2)  # nothing to apply
+    assert s.targets[0].current().seq == 60
+    high["u"] = 500
+    s.step(f, 3)
+    assert s.targets[0].current().seq == 100
+    counts = {r["batch_id"]: (r["arrived"], r["ready"], r["waiting"], r["seq"]) for r in f.metrics().collect()}
+    assert counts == {0: (1, 0, 1, None), 1: (0, 1, 0, None), 2: (0, 0, 0, 60), 3: (0, 0, 0, 100)}
+
+
+def test_a_lost_queue_is_an_error(spark):
+    s = Setup(spark, base(spark, (1, 1, "a")))
+    f = s.follower()
+    s.step(f, 0, (1, "update", (1, 1, "a"), (1, 5, "a")))
+    with pytest.raises(RuntimeError, match="lacks the queue of batch 6"):
+        s.step(f, 7)
+
+
+def test_a_new_checkpoint_is_new_work(spark):
+    s = Setup(spark, base(spark, (1, 1, "a"), (2, 2, "b")))
+    f = s.follower()
+    s.frames = base(spark, (1, 5, "a"), (2, 2, "b"))
+    s.step(f, 0, (1, "update", (1, 1, "a"), (1, 5, "a")))
+    for n in (1, 2, 3):
+        s.now[0] += 11
+        s.step(f, n)
+    s.state = new_dir(spark, "state")
+    f = s.follower()
+    s.frames = base(spark, (1, 5, "a"), (2, 9, "b"))
+    s.step(f, 0, (2, "update", (2, 2, "b"), (2, 9, "b")))
+    s.now[0] += 11
+    assert s.step(f, 1) == (1, 0)
+    assert s.content() == {1: (5, "a"), 2: (9, "b")} and s.targets[0].current().seq == 2
+
+
 def test_live_follower(spark):
     """Real triggers: quiet triggers flush what waits, and a stop falls between two micro-batches."""
     s = Setup(spark, base(spark, (1, 1, "a"), (2, 2, "b")))
