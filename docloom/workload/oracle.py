@@ -404,7 +404,7 @@ _SELECTS = {
     "rebuild_one_part": f"""
         SELECT * FROM db WHERE order_id % {PARTS} <> 1 UNION ALL SELECT * FROM da WHERE order_id % {PARTS} = 1""",
     "rebuild_swap": "SELECT 'old' AS state, * FROM db UNION ALL SELECT 'new', * FROM da",
-    "rebuild_then_replay": "SELECT *, (SELECT max(seq) FROM fo) AS seq FROM da",
+    "rebuild_then_replay": "SELECT *, greatest((SELECT max(seq) FROM fo), (SELECT max(seq) FROM fl)) AS seq FROM da",
     "build_mode_replay": "SELECT *, CAST(0 AS BIGINT) AS seq FROM da",
     "rebuild_log": """
         SELECT 'first' AS build_id, 'order_doc' AS indexes, true AS success, count(*) AS n_docs, true AS finished FROM db
@@ -414,16 +414,16 @@ _SELECTS = {
                CASE WHEN r.replica < 2 THEN (SELECT count(*) FROM docs) END AS n_docs
         FROM (VALUES (0, true), (1, false), (2, false)) AS r(replica, ready)""",
     "replica_agreement": """
-        SELECT 'rebuilt' AS step, CAST(1 AS BIGINT) AS n_states, true AS agree, CAST(0 AS BIGINT) AS seq
-        UNION ALL SELECT 'one ahead', 2, false, 0
-        UNION ALL SELECT 'both', 1, true, max(seq) FROM fo""",
+        SELECT 'rebuilt' AS step, CAST(1 AS BIGINT) AS n_states, true AS agree, CAST(0 AS BIGINT) AS seq,
+               CAST(0 AS BIGINT) AS n_apart
+        UNION ALL SELECT 'one ahead', 2, false, 0,
+            (SELECT count(*) FROM (SELECT order_id, lines FROM da EXCEPT ALL SELECT order_id, lines FROM db))
+        UNION ALL SELECT 'both', 1, true, max(seq), 0 FROM fo""",
     "recovery_plan": """
-        SELECT * FROM (VALUES ('order_doc', 'resume', 'ready', 'plain'), ('late_doc', 'resume', 'ready', 'plain'),
-            ('order_doc', 'rebuild', 'forced', 'forced'), ('late_doc', 'rebuild', 'forced', 'forced'),
-            ('order_doc', 'rebuild', 'reset', 'reset'), ('late_doc', 'rebuild', 'reset', 'reset'),
-            ('order_doc', 'resume', 'ready', 'old columns'), ('late_doc', 'rebuild', 'not ready', 'old columns'),
-            ('order_doc', 'rebuild', 'replicas disagree', 'apart'),
-            ('late_doc', 'rebuild', 'replicas disagree', 'apart')) AS p(index, action, reason, start)""",
+        SELECT p.*, da.* FROM da, (VALUES ('order_doc', CAST(0 AS BIGINT), 'rebuild', 'replicas disagree', CAST(9 AS BIGINT)),
+            ('order_doc', 1, 'rebuild', 'replicas disagree', 9), ('late_doc', 0, 'rebuild', 'not ready', 9))
+            AS p(index, replica, action, reason, seq)
+        UNION ALL SELECT 'kept_doc', 0, 'resume', 'ready', 7, db.* FROM db""",
     "part_status": f"""
         SELECT order_id % {PARTS} AS part, count(*) AS n_docs, true AS has_files, true AS has_base, true AS has_delta
         FROM da GROUP BY ALL""",

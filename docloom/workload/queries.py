@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from docloom.operators.rules import IngestRule, TableFeed, apply_rule, match_rul
 from docloom.operators.source import DocSource, latest_per_document
 from docloom.plans import maintenance
 from docloom.plans.commits import applied_up_to, commits, current_positions, replicas_agree
-from docloom.plans.rebuild import RebuildLog, rebuild_group, rebuild_unless
-from docloom.plans.recovery import recovery_plan, target_readiness
+from docloom.plans.rebuild import RebuildLog, rebuild_and_replay, rebuild_group, rebuild_unless
+from docloom.plans.recovery import recover, recovery_plan, target_readiness
 from docloom.plans.status import sync_status as status_of
 from docloom.plans.sync import SyncJob, decided_documents, sync_batch
 from docloom.plans.sync import sync_counters as count_sync
@@ -535,13 +536,13 @@ def rebuild_swap(i: Inputs) -> DataFrame:
 
 @query
 def rebuild_then_replay(i: Inputs) -> DataFrame:
+    # the build reads the state before all changes; only the replay brings them
     (table,) = i.new_tables(i.before, seq=0)
-    job = i.job([table])
     log = RebuildLog(i.spark, new_dir(i.spark, "log"))
-    start = _max(i.orders_flat, "seq") // 2
-    rebuild_group(i.spark, job, i.after, log, seq=start, event_id=None)
-    rest = [TableFeed(f.table, positions.resume_after(f.df, table.current().seq), f.pk) for f in i.feeds]
-    sync_batch(i.spark, job, i.after, rest, batch_id=1, seq=_max(i.orders_flat, "seq"))
+    states = iter([i.before, i.after])
+    nothing_yet = [TableFeed(f.table, f.df.where(F.col("seq") < 0), f.pk) for f in i.feeds]
+    stored = iter([nothing_yet, i.feeds])
+    rebuild_and_replay(i.spark, i.job([table]), lambda: next(states), log, lambda: next(stored))
     return table.read().withColumn("seq", F.lit(table.current().seq))
 
 
@@ -593,27 +594,40 @@ def replica_agreement(i: Inputs) -> DataFrame:
                 seq=_max(i.orders_flat, "seq"),
             )
         row = replicas_agree(i.spark, {"a": a, "b": b}).first()
-        out.append((step, row["n_states"], row["agree"], b.current().seq))
-    return i.spark.createDataFrame(out, "step string, n_states bigint, agree boolean, seq bigint")
+        held = [t.read(version=t.current().version).select("order_id", "lines") for t in (a, b)]
+        apart = held[0].exceptAll(held[1]).agg(F.count("*").alias("n_apart"))
+        out.append(
+            apart.select(
+                F.lit(step).alias("step"), F.lit(row["n_states"]).cast("bigint").alias("n_states"),
+                F.lit(row["agree"]).alias("agree"), F.lit(b.current().seq).cast("bigint").alias("seq"), "n_apart",
+            )
+        )
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query
 def recovery(i: Inputs) -> DataFrame:
-    good, stale = i.new_tables(i.before, n=2, seq=0)
-    late = DocSource("late_doc", ORDER_DOC.query, ORDER_DOC.tables, ORDER_DOC.parts)
-    job = SyncJob({"order_doc": ORDER_DOC, "late_doc": late}, RULES, {"order_doc": [good], "late_doc": [stale]})
-    plans = [recovery_plan(i.spark, job, i.after).withColumn("start", F.lit("plain"))]
-    plans.append(recovery_plan(i.spark, job, i.after, force=True).withColumn("start", F.lit("forced")))
-    plans.append(recovery_plan(i.spark, job, i.after, reset=True).withColumn("start", F.lit("reset")))
-    docs = ORDER_DOC.documents(i.spark, i.after).drop("suppliers")
-    stale.rebuild(docs, "order_id", ORDER_DOC.parts, seq=0)
-    plans.append(recovery_plan(i.spark, job, i.after).withColumn("start", F.lit("old columns")))
-    sync_batch(i.spark, i.job([good]), i.after, i.feeds, batch_id=1, seq=_max(i.orders_flat, "seq"))
-    plans.append(recovery_plan(i.spark, job, i.after).withColumn("start", F.lit("apart")))
-    out = plans[0]
-    for p in plans[1:]:
-        out = out.unionByName(p)
-    return out
+    """The documents after carrying out the plan: an index with replicas apart, one with old columns, one that resumes."""
+    first, second, stale, kept = i.new_tables(i.before, n=4, seq=0)
+    names = ("order_doc", "late_doc", "kept_doc")
+    sources = {n: DocSource(n, ORDER_DOC.query, ORDER_DOC.tables, ORDER_DOC.parts) for n in names}
+    targets = {"order_doc": [first, second], "late_doc": [stale], "kept_doc": [kept]}
+    second.set_position(1)
+    stale.rebuild(ORDER_DOC.documents(i.spark, i.before).drop("suppliers"), "order_id", ORDER_DOC.parts, seq=0)
+    kept.set_position(7)
+    job = SyncJob(sources, RULES, targets)
+    plan = recovery_plan(i.spark, job, i.after)
+    why = {r["index"]: (r["action"], r["reason"]) for r in plan.collect()}  # one row for each index
+    recover(i.spark, job, i.after, RebuildLog(i.spark, new_dir(i.spark, "log")), plan, seq=9)
+    out = [
+        t.read().select(
+            F.lit(n).alias("index"), F.lit(k).alias("replica"), F.lit(why[n][0]).alias("action"),
+            F.lit(why[n][1]).alias("reason"), F.lit(t.current().seq).alias("seq"), "*",
+        )
+        for n, tables in targets.items()
+        for k, t in enumerate(tables)
+    ]
+    return reduce(DataFrame.unionByName, out)
 
 
 QUERIES["recovery_plan"] = QUERIES.pop("recovery")
