@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ def _move(state, effect):
 
 
 def net_set_value(
-    changes: DataFrame, keys: Sequence[str], order: str, old: str, new: str, block: int = 65536, levels: int = 3
+    changes: DataFrame, keys: Sequence[str], order: str, old: str, new: str, block: int = 65536, levels: int | None = None
 ) -> DataFrame:
     """Values added to or removed from a set per key, with cancellation: `keys, value, net` (1 added, -1 removed).
 
@@ -37,9 +38,11 @@ def net_set_value(
 
     The counter is folded in blocks of `block` positions: a block's effect is where it takes each of the three
     counter states.  Effects are folded in blocks again, `levels` times in all, so a value that occurs in a third of
-    all rows is spread over many groups, none longer than 2 * `block` as long as positions span no more than
-    `block` to the power of `levels`; beyond that only the last fold gets longer.
+    all rows is spread over many groups, none longer than 2 * `block`.  By default there are as many levels as all
+    positions of 63 bits need; fewer make the last fold longer if positions reach beyond `block` to that power.
     """
+    if levels is None:
+        levels = math.ceil(63 / math.log2(block))
     moved = changes.where(~F.col(old).eqNullSafe(F.col(new)))
     effects = moved.select(
         *keys,

@@ -362,7 +362,7 @@ def net_set_value(i: Inputs) -> DataFrame:
         F.when(F.col("event_type") == "view", "click").when(F.col("event_type") == "click", "purchase")
         .when(F.col("event_type") == "purchase", "error").when(F.col("value") < 5, "signup").alias("new"),
     )
-    return valuediff.net_set_value(e, ["user_id"], "event_id", "old", "new", block=1024)
+    return valuediff.net_set_value(e, ["user_id"], "event_id", "old", "new")
 
 
 # decisions and applying ---------------------------------------------------------------------------------------
