@@ -197,10 +197,10 @@ def write_tokens(docs: DataFrame, file: str, end: int | None = 1, id_col: str =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, total = word_encoder(file).kind, np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                got = np.bincount(np.frombuffer(ids.as_buffer(), dtype=kind), minlength=len(total))
-                got[: len(total)] += total
-                total = got
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=kind)
+            got = np.bincount(ids, minlength=len(total))
+            got[: len(total)] += total
+            total = got
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
