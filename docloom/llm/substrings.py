@@ -266,7 +266,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
     windows = table.select("doc", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("doc", "w.at", "w.h1", "w.h2")
     twice = windows.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    equal = windows.join(twice, ["h1", "h2"], "left_semi").select(
+    equal = written(windows.join(twice, ["h1", "h2"], "left_semi").select("doc", "at"), "equal-windows")
+    equal = equal.select(
         "doc", F.explode(F.array(F.struct(F.col("at").alias("pos"), F.lit(1).cast("bigint").alias("sum")),
                                  F.struct((F.col("at") + window).alias("pos"), F.lit(-1).cast("bigint").alias("sum")))).alias("e")
     ).select("doc", "e.pos", "e.sum")
