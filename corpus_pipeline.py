@@ -31,7 +31,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that share 0.8 of their five-word shingles, by their fingerprints, the one with the smallest id stays."""
+    """Of texts linked by a Jaccard similarity of 0.8 of their distinct five-word shingles, the one with the smallest id stays."""
     return drop_near_copies(docs)
 
 

@@ -12,9 +12,9 @@ bits outside. What stays large, as a dense group of copies does, is dealt into c
 by itself: the work spreads over tasks, and no task holds more than two chunks at a time. Components
 are found by alternating star contraction, which moves links only.
 
-`near_groups` can also verify on a wide fingerprint: probes then go by the first 64 bits, and a pair is a link if the wide ones
-agree in as many bits as documents of the asked similarity do. `drop_near_copies` does so, as 64 bits can't tell a
-similarity of 0.8 from chance among many documents.
+`near_groups` can also compare wide fingerprints, of distinct shingles: probes then go by the first 64 bits, and a pair is a link if
+the wide ones agree in as many bits as documents of the asked similarity do. `drop_near_copies` takes such pairs as
+candidates only: each is verified on the shingle sets, and the prefix join of `setjoin` finds the links that they miss.
 
 Defined results: null and empty texts have fingerprint zero and link like others; rows that repeat an id count as one
 document; a null id never represents others; an empty table gives an empty result; other columns don't matter.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -33,11 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import fresh, written
+from docloom.llm import setjoin
+from docloom.llm.common import discard, fresh, plain, written
 
 SEED = 42
-#: Seeds of the 128 bits each that make up a wide fingerprint.
-WIDE_SEEDS = (1, 2)
+#: Seeds of the 64 bits each that make up a wide fingerprint.
+WIDE_SEEDS = (1, 2, 3, 4)
 WIDE = ("fp", "fp1", "fp2", "fp3")
 BUCKET = 2048
 #: Most rows of a chunk of a large bucket.
@@ -70,18 +72,31 @@ def _hashes(spans: list[bytes]) -> np.ndarray:
     return np.array([digest(x, SEED) for x in spans], dtype="<u8").view(np.uint8)
 
 
-def _wide_hashes(spans: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh3_128_digest
-    return np.frombuffer(b"".join([digest(x, seed) for x in spans for seed in WIDE_SEEDS]), dtype=np.uint8)
-
-
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(_majority(text, shingle, 1, _hashes)[0])
 
 
+def _mix(x: np.ndarray, seed: int) -> np.ndarray:
+    """The numbers under one of a family of 64-bit hashes."""
+    x = x + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint_of_set(found: np.ndarray) -> np.ndarray:
+    """256 bits as four numbers; bit i is set if it is set in over half of the hashes of a set's shingles."""
+    ones, step = np.zeros(64 * len(WIDE), dtype=np.int64), 1 << 14
+    for at in range(0, len(found), step):
+        some = found[at : at + step]
+        hashes = np.stack([_mix(some, seed) for seed in WIDE_SEEDS], axis=1).astype("<u8")
+        ones += np.unpackbits(hashes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(found), bitorder="little").view("<u8")
+
+
 def wide_fingerprint(text: str | None, shingle: int = 5) -> np.ndarray:
-    """256 bits as four numbers."""
-    return _majority(text, shingle, len(WIDE), _wide_hashes)
+    """256 bits as four numbers, of the distinct shingles."""
+    return fingerprint_of_set(setjoin.shingle_set(text, shingle))
 
 
 def fingerprints(
@@ -328,20 +343,23 @@ def _verify(rows: DataFrame, bits: int, most: int) -> DataFrame:
     return dealt.mapInArrow(compare, "a bigint, b bigint").where("a != b").distinct()
 
 
-def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: int = SAMPLE, most: int = 0) -> DataFrame:
+def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: int = SAMPLE, most: int = 0, spent: list | None = None) -> DataFrame:
     """(a, b): links between the distinct fingerprints of `nodes` (node, fp, or all of a wide one's columns) that leave their
-    components whole. `most`: differing bits of wide fingerprints."""
+    components whole. `most`: differing bits of wide fingerprints. `spent` gets the tables to discard once the links are written."""
     n = nodes.count()
     spot = F.pmod(F.xxhash64("fp"), F.lit(1 << 20))
     sample = nodes.where(spot < max(1, (1 << 20) * sample_size // max(n, 1))).select("fp").limit(2 * sample_size).collect()
     plan = make_plan(np.array([r[0] for r in sample], dtype=np.int64).view(np.uint64), n, bits)
 
+    spent = [] if spent is None else spent
     rows = written(_buckets(nodes, plan), "buckets")
+    spent.append(rows)
     large = _large(rows, bucket)
     if large.isEmpty():
         return _verify(rows, bits, most)
     small = _verify(rows.join(large, "bucket", "left_anti"), bits, most)
     rows = written(_split(rows.join(large, "bucket", "left_semi"), bits), "buckets")
+    spent.append(rows)
     large = _large(rows, bucket)
     rows = rows.join(large, "bucket", "left_anti").unionByName(_cells(rows, large, min(8 * bucket, CELL)))
     return small.unionByName(_verify(rows, bits, most)).distinct()
@@ -412,6 +430,55 @@ def near_digest(docs: DataFrame) -> DataFrame:
     return near_groups(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def set_rows(texts: DataFrame, shingle: int, t: Fraction, rare_first: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, text_hash, node (a hash of the shingle set), its size, signature, wide fingerprint and prefix."""
+    shared = texts.sparkSession.sparkContext.broadcast(rare_first)
+    names = ["doc_id", "text_hash", "node", "size", "signature", *WIDE, "prefix"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                sets = [setjoin.shingle_set(x, shingle) for x in batch.column(2).to_pylist()]
+                node = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], dtype="<u8").view("<i8")
+                wide = np.array([fingerprint_of_set(s) for s in sets], dtype="<u8").reshape(-1, len(WIDE)).view("<i8")
+                first = [setjoin.prefix(s, t, shared.value).tobytes() for s in sets]
+                size = pa.array([len(s) for s in sets], pa.int32())
+                bits = pa.array([setjoin.signature(s) for s in sets], pa.binary())
+                cols = [batch.column(0), batch.column(1), pa.array(node), size, bits]
+                cols += [*(pa.array(wide[:, i].copy()) for i in range(len(WIDE))), pa.array(first, pa.binary())]
+                yield pa.record_batch(cols, names=names)
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    fps = ", ".join(f"{c} bigint" for c in WIDE)
+    schema = f"doc_id {kind}, text_hash bigint, node bigint, size int, signature binary, {fps}, prefix binary"
+    return texts.select("doc_id", "text_hash", "text").mapInArrow(read, schema)
+
+
+def near_sets(texts: DataFrame, shingle: int, similarity: float, bits: int, bucket: int) -> DataFrame:
+    """doc_id, text_hash, component of each of `texts` (doc_id, text_hash, text): the components of the links between distinct
+    shingle sets of the Jaccard similarity. SimHash finds most links, the prefix join all that connect something else."""
+    t = setjoin.fraction(similarity)
+    rows = written(set_rows(texts, shingle, t, setjoin.frequent_shingles(texts, shingle)), "shingle-sets")
+    firsts = (F.first(c).alias(c) for c in ("size", "signature", *WIDE, "prefix"))
+    nodes = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), *firsts)
+    nodes = written(nodes.select("node", "rep.doc_id", "rep.text_hash", "size", "signature", *WIDE, "prefix"), "nodes")
+    node_of = written(rows.select("doc_id", "text_hash", "node"), "node-of-row")
+    discard(rows)
+    reps = nodes.select("node", "doc_id", "text_hash", "size", "signature")
+    spent: list[DataFrame] = []
+    pairs = written(links(nodes.select("node", *WIDE), bits, bucket, most=wide_bits(similarity), spent=spent), "candidates")
+    discard(*spent)
+    found = setjoin.verified(pairs, reps, texts, shingle, t)
+    keys = written(setjoin.bucket_rows(nodes, t), "prefixes")
+    for all_pairs in (False, True):
+        pairs = written(setjoin.candidates(keys, components(found), t, all_pairs), "candidates")
+        found = found.unionAll(setjoin.verified(pairs, reps, texts, shingle, t))
+    discard(keys)
+    roots = components(found)
+    return node_of.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("component"))
+
+
 def drop_near_copies(
     docs: DataFrame,
     shingle: int = 5,
@@ -421,9 +488,23 @@ def drop_near_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` without near copies, with their columns: of each group the row with the smallest id stays. Rows that
-    repeat an id stay or go together; rows with a null id stay."""
-    groups = near_groups(docs.where(F.col(id_col).isNotNull()), shingle, bits, bucket, id_col, text_col, similarity)
-    (gone,) = fresh(docs, "gone")
-    drop = groups.where("component_id != doc_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, docs[f"`{id_col}`"] == drop[gone], "left_anti")
+    """The rows of `docs` without near copies, with their columns: of each component of texts whose sets of distinct shingles
+    have the Jaccard similarity, one row with the smallest id stays, whatever becomes of other rows with that id. Rows with a
+    null id stay."""
+    key, state = fresh(docs, "text_hash", "state")
+    known = docs.where(F.col(f"`{id_col}`").isNotNull())
+    keyed = known.withColumn(key, F.xxhash64(plain(F.col(f"`{text_col}`"))))
+    texts = keyed.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(key).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
+    rows = near_sets(texts, shingle, similarity, bits, bucket)
+    rows = written(rows.groupBy("doc_id", "text_hash", "component").agg(F.count(F.lit(1)).alias("n")), "near-copies")
+    best = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"))
+    stays = F.col("rep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("rep.text_hash") == F.col("text_hash"))
+    marks = rows.join(best, "component").select("doc_id", "text_hash", F.when(stays, 1).otherwise(0).alias(state), "n")
+    marks = written(marks.where((F.col(state) == 0) | (F.col("n") > 1)).drop("n"), "marks")
+    same = (keyed[f"`{id_col}`"] == marks["doc_id"]) & (keyed[key] == marks["text_hash"])
+    out = keyed.join(marks, same, "left_anti").drop(key)
+    repeated = marks.where(F.col(state) == 1)
+    if not repeated.isEmpty():
+        same = (keyed[f"`{id_col}`"] == repeated["doc_id"]) & (keyed[key] == repeated["text_hash"])
+        out = out.unionAll(keyed.join(repeated, same, "left_semi").dropDuplicates([id_col, key]).drop(key))
+    return out.unionAll(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -235,3 +235,67 @@ def test_substrings_of_patched_texts(spark, seed):
 
 def test_substrings_empty(empty):
     assert rows(substring_digest(empty)) == []
+
+
+# ---------------------------------------------------------------- near copies by exact similarity
+
+
+def shingles_of(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def near_brute(texts):
+    sets = [shingles_of(t) for t in texts]
+
+    def near(a, b):
+        common = len(sets[a] & sets[b])
+        return 5 * common >= 4 * (len(sets[a]) + len(sets[b]) - common)
+
+    return slow_components(set(range(len(texts))), near), sets
+
+
+def close_texts(seed, n, words):
+    """Pairs, each of a text and a copy with changed words, of similarities around 0.8."""
+    rng = random.Random(seed)
+    texts = []
+    for i in range(n):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        copy = list(base)
+        for at in rng.sample(range(words), max(1, rng.randrange(words // 75, words // 40 + 2))):
+            copy[at] = f"c{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(copy)]
+    return texts
+
+
+def kept_ids(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    return sorted((r["doc_id"], r["text"]) for r in drop_near_copies(df).collect())
+
+
+def test_near_copies_at_the_limit_all_go(spark):
+    """Recall and precision 1 against exact similarity, for short and long texts, by no third text."""
+    texts = close_texts(1, 60, 300) + close_texts(2, 40, 60) + close_texts(3, 20, 30)
+    least, sets = near_brute(texts)
+    pairs = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(texts), 2)]
+    assert sum(0.8 <= x < 0.85 for x in pairs) > 10 and sum(0.7 < x < 0.8 for x in pairs) > 10
+    assert kept_ids(spark, list(enumerate(texts))) == sorted((i, texts[i]) for i in least if least[i] == i)
+
+
+@pytest.mark.parametrize("chunk", [1 << 14, 7])
+def test_dense_groups_of_near_copies(spark, chunk, monkeypatch):
+    """Many copies of one text with changes, so that some pairs are near and some are not; also in chunks."""
+    from docloom.llm import setjoin
+
+    monkeypatch.setattr(setjoin.candidates, "__defaults__", (chunk,))
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(80):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 8)):
+            copy[at] = f"c{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    least, _ = near_brute(texts)
+    assert 1 < len(set(least.values())) < 80
+    assert kept_ids(spark, list(enumerate(texts))) == sorted((i, texts[i]) for i in set(least.values()))
