@@ -282,6 +282,19 @@ def test_near_copies_at_the_limit_all_go(spark):
     assert kept_ids(spark, list(enumerate(texts))) == sorted((i, texts[i]) for i in least if least[i] == i)
 
 
+def test_only_true_near_copies_go(spark):
+    """Not a family of template pages below the limit, nor two pages that repeat one line."""
+    rng = random.Random(7)
+    template = [f"t{i}" for i in range(240)]
+    pages = [" ".join(template + [f"p{rng.randrange(10**6)}" for _ in range(50)]) for _ in range(60)]
+    line = [f"line{i}" for i in range(20)]
+    repeating = [" ".join(line * 50 + [f"own{rng.randrange(10**6)}" for _ in range(300)]) for _ in range(2)]
+    texts = pages + repeating
+    least, sets = near_brute(texts)
+    assert all(i == k for i, k in least.items()) and len(sets[0] & sets[1]) / len(sets[0] | sets[1]) > 0.69
+    assert kept_ids(spark, list(enumerate(texts))) == sorted(enumerate(texts))
+
+
 @pytest.mark.parametrize("chunk", [1 << 14, 7])
 def test_dense_groups_of_near_copies(spark, chunk, monkeypatch):
     """Many copies of one text with changes, so that some pairs are near and some are not; also in chunks."""
