@@ -312,3 +312,10 @@ def test_dense_groups_of_near_copies(spark, chunk, monkeypatch):
     least, _ = near_brute(texts)
     assert 1 < len(set(least.values())) < 80
     assert kept_ids(spark, list(enumerate(texts))) == sorted((i, texts[i]) for i in set(least.values()))
+
+
+def test_rows_that_repeat_an_id_are_judged_apart(spark):
+    x, y, z = prose(71, 200).split(), prose(72, 200), prose(73, 200)
+    near = " ".join(x[:100] + ["changed"] + x[101:])
+    docs = [(1, " ".join(x)), (7, near), (7, y), (7, z), (7, z), (8, z + " more")]
+    assert kept_ids(spark, docs) == sorted([(1, " ".join(x)), (7, y), (7, z)])
