@@ -109,16 +109,16 @@ def links_of(stretches: Stretches, places: np.ndarray) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc (the id), part (31 bits of the text's hash, so that rows repeating an id stay apart), text."""
+    """doc (the id), part (64 bits of the text's hash, so that rows repeating an id stay apart), text."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"),
         F.col(id_col).cast("bigint").alias("doc_id"),
         plain(text_col).alias("text"),
-    ).withColumn("part", F.xxhash64("text").bitwiseAND((1 << 31) - 1))
+    ).withColumn("part", F.xxhash64("text"))
 
 
 def block_rows(docs: DataFrame, window: int) -> DataFrame:
-    """(hash, link, doc, pos) of every block; pos: part and place in one number."""
+    """(hash, link, doc, part, pos) of every block."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,18 +132,18 @@ def block_rows(docs: DataFrame, window: int) -> DataFrame:
                     stretches = Stretches(hashes)
                     places, h = blocks_of(stretches, len(words), window)
                     link = links_of(stretches, places)
-                    out.append((h.view(np.int64), link.view(np.int64), np.full(len(h), doc), (part << 32) + places))
+                    out.append((h.view(np.int64), link.view(np.int64), np.full(len(h), doc), np.full(len(h), part), places))
                 if out:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["hash", "link", "doc", "pos"])
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["hash", "link", "doc", "part", "pos"])
 
-    return docs.select("doc", "part", "text").mapInArrow(find, "hash bigint, link bigint, doc bigint, pos bigint")
+    return docs.select("doc", "part", "text").mapInArrow(find, "hash bigint, link bigint, doc bigint, part bigint, pos bigint")
 
 
 def parse(
     places: np.ndarray, links: np.ndarray, own: tuple[int, int], shared: np.ndarray, refs: dict[str, np.ndarray], window: int
-) -> tuple[list[tuple[int, int, int, int]], np.ndarray]:
-    """Greedy factors (start, end, reference document, its start) of at least a window that lie elsewhere, and the shared
-    blocks. `shared` are indexes into `places` and `refs` holds doc, pos and link of each one's first place."""
+) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray]:
+    """Greedy factors (start, end, reference's doc and part, its start) of at least a window that lie elsewhere, and the shared
+    blocks. `shared` are indexes into `places` and `refs` holds doc, part, pos and link of each one's first place."""
     doc, part = own
     first = np.flatnonzero(
         np.concatenate(
@@ -151,6 +151,7 @@ def parse(
                 [True],
                 (shared[1:] != shared[:-1] + 1)
                 | (refs["doc"][1:] != refs["doc"][:-1])
+                | (refs["part"][1:] != refs["part"][:-1])
                 | (refs["pos"][1:] - refs["pos"][:-1] != places[shared[1:]] - places[shared[:-1]])
                 | (refs["link"][:-1] != links[shared[:-1]]),
             ]
@@ -158,9 +159,10 @@ def parse(
     )
     last = np.concatenate([first[1:], [len(shared)]]) - 1
     start, end = places[shared[first]], places[shared[last]] + BLOCK
-    elsewhere = (refs["doc"][first] != doc) | (refs["pos"][first] != (part << 32) + start)
+    elsewhere = (refs["doc"][first] != doc) | (refs["part"][first] != part) | (refs["pos"][first] != start)
     long = elsewhere & (end - start >= window)
-    factors = [(int(start[i]), int(end[i]), int(refs["doc"][first[i]]), int(refs["pos"][first[i]])) for i in np.flatnonzero(long)]
+    where = (refs[c][first] for c in ("doc", "part", "pos"))
+    factors = list(zip(*(c[long].tolist() for c in (start, end, *where))))
     return factors, places[shared]
 
 
@@ -172,14 +174,14 @@ def compared_windows(n: int, factors, blocks: np.ndarray, window: int) -> np.nda
     np.add.at(marks, low[some], 1)
     np.add.at(marks, high[some], -1)
     open_ = np.cumsum(marks)[: n - window + 1] > 0
-    for start, end, _, _ in factors:
+    for start, end, *_ in factors:
         open_[start : end - window + 1] = False
     return np.flatnonzero(open_)
 
 
 def factored(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
     """One row for each document with shared blocks: doc, part, text; windows to compare: at, h1, h2; ends of duplicate
-    stretches: in_doc, in_pos, sum."""
+    stretches: in_doc, in_part, in_pos, sum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +190,7 @@ def factored(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
                 out = []
                 for doc, part, text, found in zip(*(some.column(i).to_pylist() if i != 3 else some.column(i) for i in range(4))):
                     table = found.values
-                    names = ("pos", "link", "ref_doc", "ref_pos", "ref_link")
+                    names = ("pos", "link", "ref_doc", "ref_part", "ref_pos", "ref_link")
                     cols = {k: table.field(k).to_numpy() for k in names}
                     _, order = np.unique(cols["pos"], return_index=True)  # equal rows list their blocks twice
                     cols = {k: v[order] for k, v in cols.items()}
@@ -196,22 +198,22 @@ def factored(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
                     stretches = Stretches(hashes)
                     places, _ = blocks_of(stretches, len(words), window)
                     links = links_of(stretches, places).view(np.int64)
-                    index = np.searchsorted(places, cols["pos"] & 0xFFFFFFFF)
-                    refs = {"doc": cols["ref_doc"], "pos": cols["ref_pos"], "link": cols["ref_link"]}
+                    index = np.searchsorted(places, cols["pos"])
+                    refs = {"doc": cols["ref_doc"], "part": cols["ref_part"], "pos": cols["ref_pos"], "link": cols["ref_link"]}
                     factors, blocks = parse(places, links, (doc, part), index, refs, window)
                     starts = compared_windows(len(words), factors, blocks, window)
                     h1, h2 = (stretches.of(starts, starts + window, i).view(np.int64) for i in (0, 1))
-                    ends = [(doc, (part << 32) + p, s) for a, b, _, _ in factors for p, s in ((a, 1), (b, -1))]
-                    ends += [(d, q + x, s) for a, b, d, q in factors for x, s in ((0, 1), (b - a, -1))]
-                    in_doc, in_pos, sums = (np.array(c, dtype=np.int64) for c in zip(*ends)) if ends else (np.empty(0, np.int64),) * 3
-                    out.append((doc, part, text, (part << 32) + starts, h1, h2, in_doc, in_pos, sums))
+                    ends = [(doc, part, p, s) for a, b, *_ in factors for p, s in ((a, 1), (b, -1))]
+                    ends += [(d, k, q + x, s) for a, b, d, k, q in factors for x, s in ((0, 1), (b - a, -1))]
+                    found_ends = [np.array(c, dtype=np.int64) for c in zip(*ends)] if ends else [np.empty(0, np.int64)] * 4
+                    out.append((doc, part, text, starts, h1, h2, *found_ends))
                 cols = list(zip(*out))
-                types = [pa.int64(), pa.int64(), pa.string()] + [pa.list_(pa.int64())] * 6
-                names = ["doc", "part", "text", "at", "h1", "h2", "in_doc", "in_pos", "sum"]
+                types = [pa.int64(), pa.int64(), pa.string()] + [pa.list_(pa.int64())] * 7
+                names = ["doc", "part", "text", "at", "h1", "h2", "in_doc", "in_part", "in_pos", "sum"]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     rows = docs.select("doc", "part", "text").join(shared, ["doc", "part"]).select("doc", "part", "text", "found")
-    lists = ", ".join(f"{c} array<bigint>" for c in ("at", "h1", "h2", "in_doc", "in_pos", "sum"))
+    lists = ", ".join(f"{c} array<bigint>" for c in ("at", "h1", "h2", "in_doc", "in_part", "in_pos", "sum"))
     return rows.mapInArrow(run, f"doc bigint, part bigint, text string, {lists}")
 
 
@@ -226,7 +228,7 @@ def _cut(rows: DataFrame) -> DataFrame:
                 for text, ends in zip(some.column(2).to_pylist(), some.column(3)):
                     words = text.encode("utf-8", "replace").split()
                     sums = np.zeros(len(words) + 1, dtype=np.int64)
-                    sums[ends.values.field("pos").to_numpy() & 0xFFFFFFFF] = ends.values.field("sum").to_numpy()
+                    sums[ends.values.field("pos").to_numpy()] = ends.values.field("sum").to_numpy()
                     stays = np.cumsum(sums)[: len(words)] <= 0
                     kept.append(b" ".join([w for w, k in zip(words, stays.tolist()) if k]).decode("utf-8", "replace"))
                     removed.append(len(words) - int(stays.sum()))
@@ -242,40 +244,41 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     blocks = written(block_rows(keyed, window), "blocks")
     index = (
         blocks.groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "link")).alias("ref"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "part", "pos", "link")).alias("ref"))
         .where("n > 1")
         .select(F.col("hash").alias("key"), "ref")
     )
     hits = blocks.join(index, F.col("hash") == F.col("key")).select(
         "doc",
-        F.shiftright("pos", 32).alias("part"),
+        "part",
         "pos",
         "link",
         F.col("ref.doc").alias("ref_doc"),
+        F.col("ref.part").alias("ref_part"),
         F.col("ref.pos").alias("ref_pos"),
         F.col("ref.link").alias("ref_link"),
     )
     # a document's own blocks: as many as its length allows
     shared = hits.groupBy("doc", "part").agg(
-        F.collect_list(F.struct("pos", "link", "ref_doc", "ref_pos", "ref_link")).alias("found")
+        F.collect_list(F.struct("pos", "link", "ref_doc", "ref_part", "ref_pos", "ref_link")).alias("found")
     )
     shared = written(shared, "shared-blocks")
     discard(blocks)
     table = written(factored(keyed, shared, window), "factored")
     discard(shared)
 
-    windows = table.select("doc", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("doc", "w.at", "w.h1", "w.h2")
+    windows = table.select("doc", "part", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("doc", "part", "w.at", "w.h1", "w.h2")
     twice = windows.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    equal = written(windows.join(twice, ["h1", "h2"], "left_semi").select("doc", "at"), "equal-windows")
+    equal = written(windows.join(twice, ["h1", "h2"], "left_semi").select("doc", "part", "at"), "equal-windows")
     equal = equal.select(
-        "doc", F.explode(F.array(F.struct(F.col("at").alias("pos"), F.lit(1).cast("bigint").alias("sum")),
+        "doc", "part", F.explode(F.array(F.struct(F.col("at").alias("pos"), F.lit(1).cast("bigint").alias("sum")),
                                  F.struct((F.col("at") + window).alias("pos"), F.lit(-1).cast("bigint").alias("sum")))).alias("e")
-    ).select("doc", "e.pos", "e.sum")
-    spans = table.select(F.explode(F.arrays_zip("in_doc", "in_pos", "sum")).alias("e")).select(
-        F.col("e.in_doc").alias("doc"), F.col("e.in_pos").alias("pos"), F.col("e.sum").alias("sum")
+    ).select("doc", "part", "e.pos", "e.sum")
+    spans = table.select(F.explode(F.arrays_zip("in_doc", "in_part", "in_pos", "sum")).alias("e")).select(
+        F.col("e.in_doc").alias("doc"), F.col("e.in_part").alias("part"), F.col("e.in_pos").alias("pos"), F.col("e.sum").alias("sum")
     )
-    ends = spans.unionByName(equal).groupBy("doc", "pos").agg(F.sum("sum").alias("sum")).where("sum != 0")
-    ends = ends.groupBy("doc", F.shiftright("pos", 32).alias("part")).agg(F.collect_list(F.struct("pos", "sum")).alias("ends"))
+    ends = spans.unionByName(equal).groupBy("doc", "part", "pos").agg(F.sum("sum").alias("sum")).where("sum != 0")
+    ends = ends.groupBy("doc", "part").agg(F.collect_list(F.struct("pos", "sum")).alias("ends"))
     ends = written(ends, "stretches")
     return _cut(table.select("doc", "part", "text").join(ends, ["doc", "part"]).select("doc", "part", "text", "ends"))
 

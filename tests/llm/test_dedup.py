@@ -319,3 +319,16 @@ def test_rows_that_repeat_an_id_are_judged_apart(spark):
     near = " ".join(x[:100] + ["changed"] + x[101:])
     docs = [(1, " ".join(x)), (7, near), (7, y), (7, z), (7, z), (8, z + " more")]
     assert kept_ids(spark, docs) == sorted([(1, " ".join(x)), (7, y), (7, z)])
+
+
+def test_substrings_of_texts_whose_hashes_share_31_bits(spark):
+    """Two texts of one id whose 64-bit hashes agree in the low 31 bits, and others with the same passage."""
+    passage = prose(81, 50)
+    texts = spark.range(200_000).selectExpr("id", f"concat(if(id % 2 = 0, '{passage} ', ''), 'n', id, if(id % 2 = 0, '', ' {passage}')) as text")
+    low = texts.selectExpr("*", "xxhash64(text) & 2147483647 as low")
+    twins = low.groupBy("low").agg({"id": "count"}).where("`count(id)` > 1").select("low")
+    found = [r["text"] for r in low.join(twins, "low").orderBy("low", "id").collect()]
+    assert len(found) >= 2
+    docs = [(7, t) for t in found] + [(None, t) for t in found] + [(8, "x " + passage)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    assert Counter(tuple(r) for r in substring_digest(df).collect()) == substring_brute(docs, 35)
