@@ -11,6 +11,7 @@ from docloom.llm.exact import exact_groups
 from docloom.llm.langid import identify
 from docloom.llm.mixing import mixture
 from docloom.llm.quality import judged
+from docloom.llm.ranks import rank_digest
 from docloom.llm.secrets import secret_digest
 from docloom.llm.simhash import near_digest
 from docloom.llm.substrings import substring_digest
@@ -58,4 +59,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("op")}
