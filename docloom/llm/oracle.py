@@ -143,9 +143,40 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), i -> array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS t(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, 1000000 * c.a * c.a // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+weak AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE m = 3)
+  GROUP BY ALL),
+ranked AS (
+  SELECT weak.*, row_number() OVER (PARTITION BY weak.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM weak LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op3_exact_dedup": OP3,
     "op4_secret_scan": _op4(),
     "op5_source_mixing": op5(),
     "op8_url_filter": OP8,
+    "op12_collocations": OP12,
 }

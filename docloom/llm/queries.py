@@ -10,6 +10,7 @@ from docloom.llm.common import table
 from docloom.llm.exact import exact_groups
 from docloom.llm.langid import identify
 from docloom.llm.mixing import mixture
+from docloom.llm.phrases import collocations
 from docloom.llm.quality import judged
 from docloom.llm.ranks import rank_digest
 from docloom.llm.secrets import secret_digest
@@ -59,6 +60,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
