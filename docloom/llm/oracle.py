@@ -149,9 +149,9 @@ WITH pieces AS (
          unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                    '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
 grams AS (
-  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), i -> array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
   FROM w, (VALUES (1), (2), (3)) AS t(m) WHERE len(w) >= m),
 f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
