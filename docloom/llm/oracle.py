@@ -143,6 +143,44 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+OP11 = """
+WITH crc AS (
+  SELECT list(list_reduce(range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i) ORDER BY i) AS tab
+  FROM range(256) AS t(i)),
+turns AS (
+  SELECT conv_id AS c, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS t, length(coalesce(text, '')) AS len,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            md5(length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 AS base,
+         xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+                         lambda x, b: xor(x >> 8, tab[(xor(x, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc),
+rebuilt AS (
+  SELECT convs.c, pos, t, len FROM convs JOIN turns ON turns.c = base AND pos < h
+  UNION ALL
+  SELECT c, pos + 10, t, len FROM convs JOIN turns USING (c) WHERE pos >= h),
+paths AS (
+  SELECT c, row_number() OVER w AS depth, len, string_agg(t, '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL
+  SELECT c, 0, 0, '' FROM convs),
+ended AS (SELECT c, max(depth) AS depth FROM paths GROUP BY c),
+nodes AS (
+  SELECT path, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(len) AS len,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE depth = last), '') AS ends
+  FROM (SELECT paths.*, ended.depth AS last FROM paths JOIN ended USING (c)) GROUP BY path),
+children AS (SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+sums AS (
+  SELECT left(path, 64 * d) AS path, sum((n_convs - 1) * len) AS saved, count(*) FILTER (WHERE n IS NULL) AS leaves
+  FROM (SELECT nodes.*, n, unnest(range(depth + 1)) AS d FROM nodes LEFT JOIN children USING (path)) GROUP BY ALL)
+SELECT nodes.conv_id, nodes.depth, p.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children, leaves AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(nodes.ends) AS ends_sha256
+FROM nodes JOIN sums USING (path) LEFT JOIN children USING (path)
+LEFT JOIN nodes p ON p.depth = nodes.depth - 1 AND p.path = left(nodes.path, 64 * (nodes.depth - 1))
+"""
+
 OP12 = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -178,5 +216,6 @@ ORACLE = {
     "op4_secret_scan": _op4(),
     "op5_source_mixing": op5(),
     "op8_url_filter": OP8,
+    "op11_prefix_trie": OP11,
     "op12_collocations": OP12,
 }

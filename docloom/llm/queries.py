@@ -17,6 +17,7 @@ from docloom.llm.secrets import secret_digest
 from docloom.llm.simhash import near_digest
 from docloom.llm.substrings import substring_digest
 from docloom.llm.tokenfiles import token_digest
+from docloom.llm.turntrie import conversation_trie
 from docloom.llm.urls import judge_urls
 
 
@@ -60,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
