@@ -150,7 +150,7 @@ WITH crc AS (
 turns AS (
   SELECT conv_id AS c, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS t, length(coalesce(text, '')) AS len,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
-                            md5(length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+                            md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
 convs AS (
   SELECT c, c - c % 100 AS base,
