@@ -14,8 +14,8 @@ from docloom.operators.positions import resume_after
 from docloom.operators.rules import TableFeed
 from docloom.operators.source import DocSource
 from docloom.plans.sync import SyncJob, sync_batch
-from docloom.plans.target import DocTable, Version
-from docloom.session import staged
+from docloom.plans.target import DocTable, Version, WriteConflict
+from docloom.session import staged, unstage
 
 LOG = "build_id string, indexes array<string>, started_at double, finished_at double, success boolean"
 #: Seconds after which a rebuild that was begun and neither finished nor failed counts as dead.
@@ -73,6 +73,7 @@ def rebuild_group(
     build_id: str | None = None,
     clock: Callable[[], float] = time.time,
     lease: float = LEASE,
+    replaying: bool = False,
     before_swap: Callable[[], None] = lambda: None,
 ) -> dict[str, list[Version]]:
     """Rebuild the indexes (default: all) on all their targets.
@@ -96,14 +97,15 @@ def rebuild_group(
         for index in indexes:
             source, tables = job.sources[index], job.targets[index]
             docs = source.single(spark, frames, source.documents(spark, frames))
-            if len(tables) > 1:
-                docs = staged(docs, "rebuild")
+            several = len(tables) > 1
+            docs = staged(docs, "rebuild") if several else docs
             for table in tables:
                 v = table.build(
                     docs, source.id_column(spark, frames), source.parts,
-                    seq=seq, event_id=event_id, build_id=build_id, ts=started,
+                    seq=seq, event_id=event_id, build_id=build_id, ts=started, replaying=replaying,
                 )
                 built.append((index, table, v))
+            unstage(docs if several else None)
         before_swap()
         out: dict[str, list[Version]] = {}
         for index, table, v in built:
@@ -129,20 +131,46 @@ def rebuild_and_replay(
 
     `frames` and `feeds` are asked twice, before the build and after the swap.  Batches applied during the build
     (`meanwhile` is where a caller may run them) are superseded by the swap, which sets the position back; the replay
-    brings them and what else the build may have missed.
+    brings them and what else the build may have missed.  A follower may go on between swap and replay: its batches are
+    applied, but the position stays until the replay is.
     """
     indexes = list(job.sources) if indexes is None else list(indexes)
     seq, event_id = feed_end(feeds())
-    built = rebuild_group(
-        spark, job, frames(), log, seq=seq, event_id=event_id, indexes=indexes, before_swap=meanwhile, **options
+    rebuild_group(
+        spark, job, frames(), log,
+        seq=seq, event_id=event_id, indexes=indexes, before_swap=meanwhile, replaying=True, **options,
     )
-    later = [TableFeed(f.table, resume_after(f.df, seq), f.pk) for f in feeds()]
-    end, end_event = feed_end(later)
-    if end is None:
-        return built
+    return replay(spark, job, frames, feeds, seq, indexes=indexes)
+
+
+def replay(
+    spark: SparkSession,
+    job: SyncJob,
+    frames: Callable[[], Mapping[str, DataFrame]],
+    feeds: Callable[[], Sequence[TableFeed]],
+    seq: int | None,
+    *,
+    indexes: Sequence[str],
+) -> dict[str, list[Version]]:
+    """Apply again what came after position `seq`, and let the tables' positions move on from there.
+
+    Another writer may publish in between; then feeds and base tables are looked at again.  Until this succeeds, the
+    tables hold the rebuild's position, so a job that dies here leaves what `recovery_plan` finds.
+    """
     mine = SyncJob({i: job.sources[i] for i in indexes}, [r for r in job.rules if r.index in indexes], job.targets)
     stream = f"replay-{uuid.uuid4().hex}"
-    return sync_batch(spark, mine, frames(), later, batch_id=0, stream=stream, seq=end, event_id=end_event)
+    while True:
+        now = feeds()
+        later = [TableFeed(f.table, resume_after(f.df, seq), f.pk) for f in now]
+        end, end_event = feed_end(later)
+        if end is None:
+            later, (end, end_event) = [], feed_end(now)
+        try:
+            return sync_batch(
+                spark, mine, frames(), later, batch_id=0, stream=stream, seq=end, event_id=end_event, replay=True
+            )
+        except WriteConflict:
+            continue
 
 
 def feed_end(feeds: Sequence[TableFeed]) -> tuple[int | None, int | None]:

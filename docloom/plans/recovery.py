@@ -34,8 +34,8 @@ def recovery_plan(
 ) -> DataFrame:
     """`index, action, reason`.
 
-    A forced start or a reset flag rebuilds everything.  Otherwise an index is rebuilt if a target of it is not ready or
-    if its replicas are at different positions; other indexes resume from theirs, which may differ from one to another.
+    A forced start or a reset flag rebuilds everything.  Otherwise an index is rebuilt if a target of it is not ready, if a
+    rebuild before it died in its replay, or if its replicas are at different positions; other indexes resume from theirs, which may differ from one to another.
     """
     ready = target_readiness(spark, job, frames).groupBy("index").agg(F.every("ready").alias("ready"))
     if force or reset:
@@ -45,9 +45,12 @@ def recovery_plan(
         replicas_agree(spark, {str(k): t for k, t in enumerate(tables)}).select(F.lit(index).alias("index"), "agree")
         for index, tables in job.targets.items()
     ]
+    # one row for each index
+    open_ = [(i, any(v.replaying for t in ts if (v := t.current()))) for i, ts in job.targets.items()]
     state = ready.join(reduce(DataFrame.unionByName, agree), "index")
-    fine = F.col("ready") & F.col("agree")
-    reason = F.when(~F.col("agree"), "replicas disagree").when(F.col("ready"), "ready").otherwise("not ready")
+    state = state.join(spark.createDataFrame(open_, "index string, open boolean"), "index")
+    fine = F.col("ready") & F.col("agree") & ~F.col("open")
+    reason = F.when(F.col("open"), "replay is open").when(~F.col("agree"), "replicas disagree").when(F.col("ready"), "ready").otherwise("not ready")
     return state.select("index", F.when(fine, "resume").otherwise("rebuild").alias("action"), reason.alias("reason"))
 
 

@@ -13,7 +13,7 @@ from docloom.operators.netchange import changed_attrs
 from docloom.operators.rules import IngestRule, RoutedChanges, TableFeed, check_rules, route
 from docloom.operators.source import DocSource
 from docloom.plans.target import DocTable, Version
-from docloom.session import staged
+from docloom.session import staged, unstage
 
 
 @dataclass(frozen=True)
@@ -52,13 +52,15 @@ def sync_routed(
     ts: float | None = None,
     upsert_missing: bool = True,
     advance: bool = True,
+    replay: bool = False,
 ) -> dict[str, list[Version]]:
     """Apply routed changes as batch `batch_id`.
 
     Changed ids are written out first: the re-read joins them with several base tables, and the written table's
     size is what decides whether they are broadcast.  The decided documents are written once and applied to each
     replica from there.  Replicas that already hold the batch of this stream are left alone, so a failed batch can be
-    repeated; another stream (a new checkpoint, a replay) starts its own count.
+    repeated; another stream (a new checkpoint, a replay) starts its own count.  A `replay` closes what a rebuild left
+    open.
     """
     done: dict[str, list[Version]] = {}
     for index, source in job.sources.items():
@@ -69,17 +71,20 @@ def sync_routed(
         changed = staged(changed_attrs(mine).select("doc_id", "attrs"), "changed") if mine else None
         if changed is None or changed.isEmpty():
             done[index] = [
-                t.set_position(seq, event_id, batch_id=batch_id, stream=stream, ts=ts, advance=advance) for t in behind
+                t.set_position(seq, event_id, batch_id=batch_id, stream=stream, ts=ts, advance=advance, replay=replay)
+                for t in behind
             ]
+            unstage(changed)
             continue
         decided = staged(decided_documents(spark, source, frames, changed), "decided")
         done[index] = [
             t.apply(
                 decided, batch_id=batch_id, stream=stream, seq=seq, event_id=event_id, ts=ts,
-                upsert_missing=upsert_missing, advance=advance,
+                upsert_missing=upsert_missing, advance=advance, replay=replay,
             )
             for t in behind
         ]
+        unstage(changed, decided)
     return done
 
 

@@ -6,8 +6,8 @@ Layout under one root folder:
 * `delta/doc_version=<n>/doc_write=<w>/doc_part=<k>`  documents put or deleted by one change batch,
 * `versions/<n>.json`                                 what version n consists of and how far in the feed it is.
 
-A job writes its files first and publishes them by creating the version file, so a failed job leaves the table as it
-was, and data and position change together.  A change batch writes its own documents only, whatever the
+A job writes its files first and publishes them by creating the version file, filled, in one step (`once`), so a failed
+job leaves the table as it was, and data and position change together.  A change batch writes its own documents only, whatever the
 table's size; readers put the latest delta of a document in place of its base row, and a compaction of the
 parts whose deltas have grown folds them into the base.
 
@@ -23,12 +23,12 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.coerce import part_of
+from docloom.plans.once import put_once
 
 # Names in stored files beside the document columns; sources refuse them as column names.
 VERSION = "doc_version"
@@ -60,6 +60,7 @@ class Version:
     n_replace: int = 0
     n_update: int = 0
     n_delete: int = 0
+    replaying: bool = False  # rebuilt, and what came after `seq` is still to be applied again
 
     def has_batch(self, stream: str, batch_id: int | None) -> bool:
         return batch_id is not None and self.batch_id is not None and stream == self.stream and batch_id <= self.batch_id
@@ -135,30 +136,19 @@ class DocTable:
             return None
 
     def _create(self, v: Version) -> bool:
-        """Create the version file, unless it exists: one atomic step where the file system has exclusive creation."""
-        fs, p = self._fs(f"{self.root}/versions/{v.version:012d}.json")
-        if fs.exists(p):
-            return False
-        try:
-            stream = fs.create(p, False)
-        except Py4JJavaError as e:
-            if "AlreadyExists" in e.java_exception.getClass().getName():
-                return False
-            raise
-        try:
-            stream.write(bytearray(json.dumps(asdict(v)).encode()))
-        finally:
-            stream.close()
-        return True
+        """Create the version file, filled, in one step, unless it exists."""
+        return put_once(self.spark, f"{self.root}/versions/{v.version:012d}.json", json.dumps(asdict(v)).encode())
 
     def _publish(self, made: Callable[[Version | None], Version]) -> Version:
         """Publish `made(current version)` under the next free number.
 
         `made` is asked again if another writer took the number; it raises WriteConflict if it can't go on from there.
+        The number is taken before the current version is looked at, so whatever is published in between takes it.
         """
         while True:
+            number = self._next()
             v = made(self.current())
-            v.version = self._next()
+            v.version = number
             if self._create(v):
                 return v
 
@@ -208,14 +198,18 @@ class DocTable:
         return known[-1] + 1 if known else 1
 
     def build(
-        self, documents: DataFrame, id_column: str, parts: int, *, seq=None, event_id=None, build_id=None, ts=None
+        self, documents: DataFrame, id_column: str, parts: int, *,
+        seq=None, event_id=None, build_id=None, ts=None, replaying=False,
     ) -> Version:
-        """Write the whole table as a new version without publishing it."""
+        """Write the whole table as a new version without publishing it.
+
+        A version that is `replaying` keeps its position until a batch is applied as its replay, whatever else is applied.
+        """
         n = self._next()
         written = self._write(documents, id_column, parts, "base", n)
         return Version(
             n, "rebuild", documents.schema.json(), id_column, parts, base=written,
-            seq=seq, event_id=event_id, build_id=build_id, ts=ts,
+            seq=seq, event_id=event_id, build_id=build_id, ts=ts, replaying=replaying,
         )
 
     def publish(self, built: Version) -> Version:
@@ -271,13 +265,15 @@ class DocTable:
         ts: float | None = None,
         upsert_missing: bool = True,
         advance: bool = True,
+        replay: bool = False,
     ) -> Version:
         """Apply decided documents (`doc_id, action, attrs, doc`) as one batch.
 
         A batch of the same stream that is already part of the table is skipped.  With `upsert_missing`, an in-place update writes
         the whole current document, which also heals one the table lacks; without it, an update changes the
         named attributes of documents the table has and is otherwise lost.  `advance=False` applies the batch but
-        keeps the recorded position, as during a rebuild.
+        keeps the recorded position, as during a rebuild; so does a table whose replay is open, unless this is the
+        `replay`.
         """
         old = self._need()
         if old.has_batch(stream, batch_id):
@@ -303,11 +299,13 @@ class DocTable:
 
         def made(now: Version | None) -> Version:
             now = self._only_upkeep(old, now)
-            v = Version(**{**asdict(now), "kind": "apply" if advance else "apply-frozen"})
+            moves = advance and (replay or not now.replaying)
+            v = Version(**{**asdict(now), "kind": "apply" if moves else "apply-frozen"})
+            v.replaying = now.replaying and not replay
             v.delta.update(written)
             if batch_id is not None:
                 v.batch_id, v.stream = batch_id, stream
-            if advance:
+            if moves:
                 v.seq = now.seq if seq is None else seq
                 v.event_id = now.event_id if event_id is None else event_id
             v.ts = ts
@@ -340,14 +338,17 @@ class DocTable:
         ts: float | None = None,
         stream: str = "",
         advance: bool = True,
+        replay: bool = False,
     ) -> Version:
-        """Publish the same data with another resume position; without `advance`, with another batch only."""
+        """Publish the same data with another resume position; without `advance`, or while a replay is open that this
+        isn't, with another batch only."""
         old = self._need()
 
         def made(now: Version | None) -> Version:
             now = self._only_upkeep(old, now)
             v = Version(**{**asdict(now), "kind": "position", "ts": ts})
-            if advance:
+            v.replaying = now.replaying and not replay
+            if advance and not v.replaying:
                 v.seq, v.event_id = seq, event_id
             v.n_replace = v.n_update = v.n_delete = 0
             if batch_id is not None:

@@ -56,4 +56,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def unstage(*tables: DataFrame | None) -> None:
+    """Remove what `staged` wrote, once nothing reads it any more."""
+    for t in tables:
+        if t is not None:
+            path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+            path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
