@@ -2,6 +2,10 @@
 
 Every step is a mergeable aggregate, so rows are combined before each shuffle and no task ever holds a whole
 group: one document or one key may own any share of the feed.
+
+What changed is found without the images: each column travels as values of fixed width, itself or two hashes of 64 bits,
+under an order that is one number, so folding is a hash aggregate and nothing is sorted.  `net_changes` gives the images
+themselves, which costs a sort by key.
 """
 
 from __future__ import annotations
@@ -11,9 +15,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions import flags
-from docloom.operators.rules import RoutedChanges, change_order
+from docloom.operators.rules import RoutedChanges, change_number, change_order
 
 
 def net_changes(r: RoutedChanges) -> DataFrame:
@@ -56,7 +61,53 @@ def _word_names(prefix: str, names: Sequence[str]) -> list[str]:
     return [f"{prefix}{i}" for i in range(flags.word_count(len(names)))]
 
 
-def changed_column_flags(r: RoutedChanges, net: DataFrame | None = None) -> DataFrame:
+def _values(side: str, f: T.StructField) -> list[Column]:
+    """The column's value on one side in fixed width: itself, or 128 bits of hashes where that varies."""
+    c, kind = F.col(f"{side}.`{f.name}`"), f.dataType
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return [c]
+    return [F.when(c.isNotNull(), F.xxhash64(*salt, c)) for salt in ((), (F.lit("second"),))]
+
+
+#: Row actions as numbers.
+ACTIONS = {"insert": 0, "update": 1, "delete": 2}
+
+
+def folded_values(r: RoutedChanges) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Net changes as values: `doc_id[, pk], kind, o0.., n0..`, and which of the numbers each column has."""
+    parts: dict[str, list[str]] = {}
+    old, new = [], []
+    for f in r.df.schema["old"].dataType.fields:
+        before, after = _values("old", f), _values("new", f)
+        parts[f.name] = [str(len(old) + k) for k in range(len(before))]
+        old, new = old + before, new + after
+    keys = ["doc_id"] if r.one_row else ["doc_id", "pk"]
+    code = reduce(lambda c, a: c.when(F.col("action") == a, F.lit(ACTIONS[a])), ACTIONS, F)
+    rows = r.df.select(
+        *keys,
+        change_number(r).alias("number"),
+        code.alias("code"),
+        *[c.alias(f"o{i}") for i, c in enumerate(old)],
+        *[c.alias(f"n{i}") for i, c in enumerate(new)],
+    )
+    folded = rows.groupBy(*keys).agg(
+        F.min_by("code", "number").alias("first"),
+        F.max_by("code", "number").alias("last"),
+        # count_if would put aliases above the aggregate, and the optimizer's constraints double with each of them
+        F.sum(F.when(F.col("code") == ACTIONS["delete"], 1).otherwise(0)).alias("n_del"),
+        *[F.min_by(f"o{i}", "number").alias(f"o{i}") for i in range(len(old))],
+        *[F.max_by(f"n{i}", "number").alias(f"n{i}") for i in range(len(new))],
+    )
+    # the rule of net_changes
+    began = F.col("first") == ACTIONS["insert"]
+    is_insert = began & (F.col("n_del") == 0)
+    is_delete = (F.col("last") == ACTIONS["delete"]) & ~(began & (F.col("n_del") == 1))
+    kind = F.when(is_insert, ACTIONS["insert"]).when(is_delete, ACTIONS["delete"]).otherwise(ACTIONS["update"])
+    values = [f"{s}{i}" for s in "on" for i in range(len(old))]
+    return folded.select(*keys, kind.alias("kind"), *values), parts
+
+
+def changed_column_flags(r: RoutedChanges) -> DataFrame:
     """Per document, the flag words (`c0`, ...) of the table columns that changed; unchanged documents are absent.
 
     A document's rows in the table are compared as sets of images before and after: equal sets mean no change,
@@ -64,26 +115,28 @@ def changed_column_flags(r: RoutedChanges, net: DataFrame | None = None) -> Data
     that differ.  The sets are never built: each distinct image is one group that remembers on which side it was
     seen, and the document counts its images per side and those seen on one side only.
     """
-    net = prune_unchanged(net_changes(r) if net is None else net)
+    folded, parts = folded_values(r)
     words = _word_names("c", r.columns)
-    differs = {c: ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in r.columns}
+    differs = {
+        c: reduce(lambda x, y: x | y, [~F.col(f"o{i}").eqNullSafe(F.col(f"n{i}")) for i in numbers])
+        for c, numbers in parts.items()
+    }
     masks = [m.alias(w) for m, w in zip(flags.pack(r.columns, differs), words)]
+    # one condition on the words: a long disjunction takes the optimizer very long
+    net = folded.select("*", *masks).where(reduce(lambda x, y: x | y, [F.col(w) != 0 for w in words]))
     names = [F.lit(r.index).alias("index"), F.lit(r.table).alias("table")]
     if r.one_row:
         # at most one image on each side, and they differ
-        return net.select(*names, "doc_id", *masks)
-
-    before = F.when(
-        F.col("is_delete") | F.col("is_update"),
-        F.struct(F.col("old").alias("image"), F.lit(1).alias("b"), F.lit(0).alias("a")),
-    )
-    after = F.when(
-        F.col("is_insert") | F.col("is_update"),
-        F.struct(F.col("new").alias("image"), F.lit(0).alias("b"), F.lit(1).alias("a")),
-    )
-    sides = net.select("doc_id", *masks, F.explode(F.array_compact(F.array(before, after))).alias("s"))
-    images = sides.groupBy("doc_id", F.col("s.image").alias("image")).agg(
-        F.max("s.b").alias("b"), F.max("s.a").alias("a"), *[F.bit_or(w).alias(w) for w in words]
+        return net.select(*names, "doc_id", *words)
+
+    numbers = [i for some in parts.values() for i in some]
+    # a net delete or update has an image before (a = 0), a net insert or update one after (a = 1)
+    sides = net.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("a"))
+    has_image = F.col("kind") != F.when(F.col("a") == 0, ACTIONS["insert"]).otherwise(ACTIONS["delete"])
+    image = [F.when(F.col("a") == 0, F.col(f"o{i}")).otherwise(F.col(f"n{i}")).alias(f"v{i}") for i in numbers]
+    sides = sides.where(has_image).select("doc_id", *words, "a", (1 - F.col("a")).alias("b"), *image)
+    images = sides.groupBy("doc_id", *[f"v{i}" for i in numbers]).agg(
+        F.max("b").alias("b"), F.max("a").alias("a"), *[F.bit_or(w).alias(w) for w in words]
     )
     docs = images.groupBy("doc_id").agg(
         F.sum("b").alias("n_before"),

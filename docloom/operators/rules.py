@@ -71,7 +71,8 @@ class TableFeed:
 class RoutedChanges:
     """Row changes of one table tied to documents of one index, with equal column maps.
 
-    `one_row` says that the table's key is the document id, so a document has at most one row in it.
+    `one_row` says that the table's key is the document id, so a document has at most one row in it; `by_seq` says that
+    `seq` and `sub_no` alone order the changes.
     """
 
     index: str
@@ -80,6 +81,7 @@ class RoutedChanges:
     column_map: Mapping[str, Sequence[str]]
     one_row: bool
     df: DataFrame
+    by_seq: bool = False
 
 
 
@@ -106,6 +108,15 @@ def change_order() -> Column:
     return F.struct("seq", "rule_id", "row_no", "sub_no")
 
 
+def change_number(r: RoutedChanges) -> Column:
+    """The same order as a number of fixed width, which aggregates can hold in place.  Positions from 2^62 on are refused
+    where `seq` alone decides; else rule numbers go up to 2^15."""
+    if r.by_seq:
+        return F.col("seq").cast("bigint") * 2 + F.col("sub_no")
+    rest = F.col("rule_id").cast("bigint") * (1 << 32) + F.col("row_no").cast("bigint") * 2 + F.col("sub_no")
+    return F.col("seq").cast("decimal(19,0)") * F.lit(1 << 47).cast("decimal(15,0)") + rest.cast("decimal(15,0)")
+
+
 def apply_rule(feed: TableFeed, rule: IngestRule, rule_id: int = 0) -> RoutedChanges:
     """Row changes of `feed` as changes of the rule's documents.
 
@@ -163,7 +174,7 @@ def apply_rule(feed: TableFeed, rule: IngestRule, rule_id: int = 0) -> RoutedCha
         image("new", fields, mapped, deletes).alias("new"),
     )
     one_row = tuple(feed.pk) == (rule.id_field,)
-    return RoutedChanges(rule.index, feed.table, mapped, rule.column_map, one_row, df)
+    return RoutedChanges(rule.index, feed.table, mapped, rule.column_map, one_row, df, "row_no" not in feed.df.columns)
 
 
 def route(feeds: Iterable[TableFeed], rules: Sequence[IngestRule]) -> list[RoutedChanges]:
@@ -227,6 +238,7 @@ __all__ = [
     "RuleError",
     "TableFeed",
     "apply_rule",
+    "change_number",
     "change_order",
     "check_rules",
     "match_rules",

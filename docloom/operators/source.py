@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.coerce import COLUMN_TYPES, IN_PLACE_TYPES, part_of, typed
+from docloom.operators.restrict import bit_words, possible
 
 
 # Names the stored table uses itself, as well as all that begin with an underscore.
@@ -119,17 +120,18 @@ class DocSource:
     ) -> DataFrame:
         """Typed documents; with `ids` (one column `doc_id`), only those documents.
 
-        The ids reach every base table that holds the document id as a semi join below the query's own joins and
-        aggregates.  Whether they are broadcast is left to the optimizer's size check.
+        Every base table that holds the document id is cut down by the ids' bits below the query's own joins and
+        aggregates, where its rows were read; the documents are then cut down exactly.
         """
         if ids is not None:
-            wanted = ids.select(F.col("doc_id").alias("_wanted"))
-            frames = {
-                t: frames[t].join(wanted, F.col(key) == F.col("_wanted"), "left_semi") if key else frames[t]
-                for t, key in self.tables.items()
-            }
+            words = bit_words(ids)
+            frames = {t: possible(frames[t], key, words) if key else frames[t] for t, key in self.tables.items()}
         raw = self.raw(spark, frames)
         dtypes = {f.name: f.dataType for f in raw.schema.fields}
+        if ids is not None:
+            (key,) = (f"{n}:{t}" for n, t in self.columns(raw).items() if t == "id")
+            wanted = ids.select(F.col("doc_id").alias("_wanted")).distinct()
+            raw = raw.join(wanted, F.col(f"`{key}`") == F.col("_wanted")).drop("_wanted")
 
         def column(name: str, doc_type: str):
             c, dtype = F.col(f"`{name}:{doc_type}`"), dtypes[f"{name}:{doc_type}"]
