@@ -5,31 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import staged
 
-def tag_positions(feed: DataFrame, is_marker: Column, order: str = "seq", block: int = 1_000_000) -> DataFrame:
-    """Give every row the number of position markers before or at it, as `event_id`.
 
-    A running count over one global order would pass the feed through a single task.  Here each block of `block`
-    positions counts for itself, and only the markers per block are summed up in global order.
+def tag_positions(feed: DataFrame, is_marker: Column, order: str = "seq", block: int | None = None) -> DataFrame:
+    """Give every row the number of position markers before or at it, as `event_id`.  Rows without a position come first.
+
+    A running count over one global order would pass the feed through a single task.  Here the feed is dealt into ranges
+    of `order` with about equally many rows, however sparse its positions are: `block` rows each, or as many ranges as
+    Spark's shuffles have.  Each range counts for itself; what is summed up in global order is one number per range.
     """
-    rows = feed.withColumn("_marker", F.when(is_marker, 1).otherwise(0)).withColumn(
-        "_block", F.floor(F.col(order) / F.lit(block))
-    )
-    per_block = rows.groupBy("_block").agg(F.sum("_marker").alias("_n"))
-    before = per_block.select(
-        "_block",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-    )
+    rows = feed.withColumn("_marker", F.when(is_marker, 1).otherwise(0))
+    if block is None:
+        dealt = rows.repartitionByRange(order)
+    else:
+        dealt = rows.repartitionByRange(max(1, -(-feed.count() // block)), order)
+    # written, so that ranges stay what they are whatever is computed again
+    dealt = staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    per_range = dealt.groupBy("_range").agg(F.sum("_marker").alias("_n"))
+    # a row for each range
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_range.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
     within = F.sum("_marker").over(
-        Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        rows.withColumn("_within", within)
-        .join(before, "_block")
+        dealt.withColumn("_within", within)
+        .join(offsets, "_range")
         .withColumn("event_id", F.col("_before") + F.col("_within"))
-        .drop("_marker", "_block", "_before", "_within")
+        .drop("_marker", "_range", "_before", "_within")
     )
 
 

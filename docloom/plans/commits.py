@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from docloom.functions.coerce import part_of
 from docloom.plans.target import DocTable
 
 RECORD = (
@@ -53,3 +55,48 @@ def replicas_agree(spark: SparkSession, tables: Mapping[str, DocTable]) -> DataF
     return names.join(saved, "target", "left").agg(
         F.count_distinct(state).alias("n_states"), (F.count_distinct(state) <= 1).alias("agree")
     )
+
+
+def content_digests(spark: SparkSession, tables: Mapping[str, DocTable]) -> DataFrame:
+    """`target, part, n_docs, digest`: what each part of each target holds, in a form that no order of rows changes.
+
+    Each document is hashed twice to 64 bits over all its columns, arrays in sorted order; a part's digest is the sums.
+    Sums are combined before the shuffle, so a part is no task.
+    """
+    frames = []
+    for name, table in tables.items():
+        v = table.current()
+        if v is None:
+            continue
+        docs = table.read(version=v.version)
+        sets = {f.name for f in docs.schema.fields if isinstance(f.dataType, T.ArrayType)}
+        values = [F.sort_array(f"`{c}`") if c in sets else F.col(f"`{c}`") for c in docs.columns]
+        # a null is told from a value, and from the absence of a column, by its own hash
+        cells = [F.struct(F.lit(c), x.isNull(), x) for c, x in zip(docs.columns, values)]
+        sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+        per_part = docs.groupBy(part_of(F.col(f"`{v.id_column}`"), v.parts).cast("int").alias("part"))
+        frames.append(
+            per_part.agg(F.count(F.lit(1)).alias("n_docs"), F.concat_ws(":", *sums).alias("digest")).select(
+                F.lit(name).alias("target"), "part", "n_docs", "digest"
+            )
+        )
+    if not frames:
+        return spark.createDataFrame([], "target string, part int, n_docs bigint, digest string")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def parts_apart(spark: SparkSession, tables: Mapping[str, DocTable]) -> DataFrame:
+    """`part, targets`: the parts whose content is not the same on all targets, and the digest and size each target has
+    there (null where it has no document).  Empty if the replicas are equal."""
+    found = content_digests(spark, tables)
+    # a row for each part and target: configuration times the number of parts
+    every = found.select("part").distinct().withColumn("target", F.explode(F.array(*[F.lit(n) for n in tables])))
+    state = F.struct("target", "n_docs", "digest")
+    known = F.coalesce("digest", F.lit("none"))
+    return (
+        every.join(found, ["target", "part"], "left")
+        .groupBy("part")
+        .agg(F.sort_array(F.collect_list(state)).alias("targets"), F.count_distinct(known).alias("n"))
+        .where("n > 1")
+        .select("part", "targets")
+    )

@@ -3,6 +3,9 @@
 The queue is a small table with one row per waiting document, written once per micro-batch before anything is
 applied.  A micro-batch that is repeated after a failure finds its own queue table and applies the same documents.
 Row changes are read again from the feed by document and position range; they are never collected.
+
+Which files hold which positions is noted as they arrive and carried from batch to batch as long as a change in them
+waits, so a micro-batch lists no folder and opens only the files of its range.
 """
 
 from __future__ import annotations
@@ -13,11 +16,13 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators.pending import changes_of, doc_batches, merge_batches, settle_split
+from docloom.operators.positions import resume_after
 from docloom.operators.rules import TableFeed, route, touched
 from docloom.plans.maintenance import compact_if_needed
 from docloom.plans.sync import SyncJob, sync_routed
@@ -28,6 +33,7 @@ QUEUE = (
     "first_seq bigint, last_seq bigint, ready boolean"
 )
 SEEN = "table string, seq bigint, event_id bigint"
+FILES = "table string, file string, lo bigint, hi bigint"
 METRICS = "batch_id bigint, at double, arrived bigint, ready bigint, waiting bigint, seq bigint"
 
 
@@ -45,6 +51,9 @@ class Follower:
     The recorded position is one before which everything is applied: the least, over the tables with rules and the
     waiting changes, of what has been seen.  A table is seen up to its last change, or up to `high_water()[table]` where
     the source knows that it has delivered more than there are changes; without that, a quiet table holds the position.
+
+    `start_after` is the position of a new follower: it takes no change at or before it, and tables count as seen up to
+    it.  A follower with a state folder goes on from there instead.
     """
 
     spark: SparkSession
@@ -59,7 +68,8 @@ class Follower:
     upsert_missing: bool = True
     build_mode: bool = False
     high_water: Callable[[], Mapping[str, int]] = dict
-    upkeep_every: int = 0  # micro-batches between two rounds of upkeep; 0 leaves it to the caller
+    start_after: int | None = None
+    upkeep_every: int = 50  # micro-batches between two rounds of upkeep; 0 leaves it to the caller
     max_delta_bytes: int = 256 << 20
     keep_versions: int = 100
     last: dict = field(default_factory=dict)
@@ -75,7 +85,11 @@ class Follower:
         feeds = [
             stream_feed(self.spark, self.feed_root, f.table, f.df.schema, f.pk, **options) for f in self._stored()
         ]
-        rows = touched(route(feeds, self.job.rules)).select("index", "table", "doc_id", "seq", "event_id")
+        if self.start_after is not None:
+            feeds = [TableFeed(f.table, resume_after(f.df, self.start_after), f.pk) for f in feeds]
+        rows = touched(route(feeds, self.job.rules)).select(
+            "index", "table", "doc_id", "seq", "event_id", F.input_file_name().alias("file")
+        )
         if heartbeat:
             beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
             none = [F.lit(None).cast(t).alias(c) for c, t in rows.dtypes]
@@ -143,6 +157,7 @@ class Follower:
             merged = merge_batches(reduce(DataFrame.unionByName, parts))
             split = settle_split(merged, arrived, self.gap_seconds, self.hold_seconds)
             split.write.mode("overwrite").parquet(f"{self.state_dir}/queue/b={batch_id}")
+            self._note_files(fresh, batch_id)
             seen = top.groupBy("table").agg(F.max("seq").alias("seq"), F.max("event_id").alias("event_id"))
             seen.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/seen/b={batch_id}")
             self.last = {"arrived": fresh.count()}
@@ -150,6 +165,42 @@ class Follower:
             fresh.unpersist()
         return self._saved("queue", batch_id, QUEUE)
 
+    def _note_files(self, fresh: DataFrame, batch_id: int) -> None:
+        """The files of this batch, and those before that a change in the queue may be in.  Rows that don't say which file
+        they come from leave no note, and then the whole feed is read."""
+        before = self._saved("files", batch_id - 1, FILES)
+        if "file" not in fresh.columns or (batch_id > 0 and before is None):
+            return
+        files = fresh.groupBy("table", "file").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+        if before is not None:
+            oldest = self._saved("queue", batch_id, QUEUE).agg(F.min("first_seq")).first()[0]
+            files = files.unionByName(before.where(F.lit(False) if oldest is None else F.col("hi") >= oldest))
+        files.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/files/b={batch_id}")
+
+    def _changes(self, batch_id: int, lo: int, hi: int) -> list[TableFeed]:
+        """The feeds between two positions, from the files that hold them."""
+        noted = self._saved("files", batch_id, FILES)
+        if noted is None:
+            found = self._stored()
+        else:
+            paths: dict[str, set[str]] = {}
+            # a row for each file of the range
+            for r in noted.where((F.col("hi") >= lo) & (F.col("lo") <= hi)).collect():
+                paths.setdefault(r["table"], set()).add(unquote(r["file"]))
+            known = self._known()
+            found = [
+                TableFeed(t, self.spark.read.schema(known[t]).parquet(*sorted(paths[t])), tuple(pk))
+                for t, pk in self.tables.items()
+                if t in paths
+            ]
+        return [TableFeed(f.table, f.df.where(F.col("seq").between(lo, hi)), f.pk) for f in found]
+
+    def _known(self) -> Mapping:
+        """Schemas of the feed tables, looked up once."""
+        if not self._schemas:
+            self._stored()
+        return self._schemas
+
     def _frontier(self, batch_id: int) -> tuple[int | None, int | None]:
         """(seq, event_id) up to which every table with a rule has been seen."""
         seen = {r["table"]: (r["seq"], r["event_id"]) for r in self._saved("seen", batch_id, SEEN).collect()}
@@ -158,6 +209,8 @@ class Follower:
         ends = []
         for t in needed:
             seq, event = seen.get(t, (None, None))
+            if seq is None:
+                seq = self.start_after
             if t in known and (seq is None or known[t] > seq):
                 seq, event = known[t], None
             ends.append((seq, event))
@@ -193,10 +246,7 @@ class Follower:
             event_id = None if seen_seq is None else sums["wait_event"]
         how = {"batch_id": batch_id, "stream": self.stream(), "ts": self.clock()}
         if sums["n_ready"]:
-            feeds = [
-                TableFeed(f.table, f.df.where(F.col("seq").between(sums["lo"], sums["hi"])), f.pk)
-                for f in self._stored()
-            ]
+            feeds = self._changes(batch_id, sums["lo"], sums["hi"])
             ready = queue.where(r)
             routed = [replace(x, df=changes_of(x.df, ready)) for x in route(feeds, self.job.rules)]
             sync_routed(
@@ -224,14 +274,31 @@ class Follower:
         """Counters of the batch, kept as a table: one row for each batch, replaced if it is repeated."""
         self.last = {"batch_id": batch_id, **self.last, "ready": sums["n_ready"], "waiting": sums["n_waiting"]}
         row = (batch_id, self.clock(), self.last.get("arrived"), sums["n_ready"], sums["n_waiting"], seq)
-        frame = self.spark.createDataFrame([row], METRICS).coalesce(1)
-        frame.write.mode("overwrite").parquet(f"{self.state_dir}/metrics/b={batch_id}")
+        frame = self.spark.createDataFrame([row], METRICS)
+        folders = self._metric_folders()
+        fold = self.upkeep_every and batch_id % self.upkeep_every == self.upkeep_every - 1
+        others = [n for n in folders if n != f"b={batch_id}"]
+        if fold and others:
+            # one folder in place of many; what dies before the others are removed leaves rows twice, which are read once
+            held = self.spark.read.schema(METRICS).parquet(*(f"{self.state_dir}/metrics/{n}" for n in others))
+            frame = frame.unionByName(held.dropDuplicates(["batch_id"]).where(F.col("batch_id") != batch_id))
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/metrics/b={batch_id}")
+        for n in others if fold else ():
+            self._delete(f"{self.state_dir}/metrics/{n}")
+
+    def _metric_folders(self) -> list[str]:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.state_dir}/metrics")
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
     def metrics(self) -> DataFrame:
         """Counters of all batches."""
-        return self.spark.read.schema(METRICS).parquet(f"{self.state_dir}/metrics")
+        return self.spark.read.schema(METRICS).parquet(f"{self.state_dir}/metrics").dropDuplicates(["batch_id"])
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def _forget(self, batch_id: int) -> None:
-        for name in ("queue", "seen"):
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.state_dir}/{name}/b={batch_id}")
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        for name in ("queue", "seen", "files"):
+            self._delete(f"{self.state_dir}/{name}/b={batch_id}")

@@ -413,12 +413,12 @@ _SELECTS = {
         SELECT CAST(r.replica AS BIGINT) AS replica, 'order_doc' AS index, r.ready,
                CASE WHEN r.replica < 2 THEN (SELECT count(*) FROM docs) END AS n_docs
         FROM (VALUES (0, true), (1, false), (2, false)) AS r(replica, ready)""",
-    "replica_agreement": """
+    "replica_agreement": f"""
         SELECT 'rebuilt' AS step, CAST(1 AS BIGINT) AS n_states, true AS agree, CAST(0 AS BIGINT) AS seq,
-               CAST(0 AS BIGINT) AS n_apart
-        UNION ALL SELECT 'one ahead', 2, false, 0,
-            (SELECT count(*) FROM (SELECT order_id, lines FROM da EXCEPT ALL SELECT order_id, lines FROM db))
-        UNION ALL SELECT 'both', 1, true, max(seq), 0 FROM fo""",
+               CAST(0 AS BIGINT) AS n_apart, CAST(0 AS BIGINT) AS n_parts_apart
+        UNION ALL SELECT 'one ahead', 2, false, 0, count(*), count(DISTINCT order_id % {PARTS})
+            FROM ((SELECT * FROM da EXCEPT ALL SELECT * FROM db) UNION ALL (SELECT * FROM db EXCEPT ALL SELECT * FROM da))
+        UNION ALL SELECT 'both', 1, true, max(seq), 0, 0 FROM fo""",
     "recovery_plan": """
         SELECT p.*, da.* FROM da, (VALUES ('order_doc', CAST(0 AS BIGINT), 'rebuild', 'replicas disagree', CAST(9 AS BIGINT)),
             ('order_doc', 1, 'rebuild', 'replicas disagree', 9), ('late_doc', 0, 'rebuild', 'not ready', 9))

@@ -14,7 +14,7 @@ from docloom.operators.decide import actions_per_part, decide
 from docloom.operators.rules import IngestRule, TableFeed, apply_rule, match_rules, route, touched
 from docloom.operators.source import DocSource, latest_per_document
 from docloom.plans import maintenance
-from docloom.plans.commits import applied_up_to, commits, current_positions, replicas_agree
+from docloom.plans.commits import applied_up_to, commits, current_positions, parts_apart, replicas_agree
 from docloom.plans.rebuild import RebuildLog, rebuild_and_replay, rebuild_group, rebuild_unless
 from docloom.plans.recovery import recover, recovery_plan, target_readiness
 from docloom.plans.status import sync_status as status_of
@@ -594,12 +594,15 @@ def replica_agreement(i: Inputs) -> DataFrame:
                 seq=_max(i.orders_flat, "seq"),
             )
         row = replicas_agree(i.spark, {"a": a, "b": b}).first()
-        held = [t.read(version=t.current().version).select("order_id", "lines") for t in (a, b)]
-        apart = held[0].exceptAll(held[1]).agg(F.count("*").alias("n_apart"))
+        held = [flat(t.read(version=t.current().version)) for t in (a, b)]
+        both = held[0].exceptAll(held[1]).unionAll(held[1].exceptAll(held[0]))
+        apart = both.agg(F.count("*").alias("n_apart"))
+        n_parts = F.lit(parts_apart(i.spark, {"a": a, "b": b}).count()).cast("bigint").alias("n_parts_apart")
         out.append(
             apart.select(
                 F.lit(step).alias("step"), F.lit(row["n_states"]).cast("bigint").alias("n_states"),
                 F.lit(row["agree"]).alias("agree"), F.lit(b.current().seq).cast("bigint").alias("seq"), "n_apart",
+                n_parts,
             )
         )
     return out[0].unionByName(out[1]).unionByName(out[2])
