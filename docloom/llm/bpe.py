@@ -6,7 +6,7 @@ depend on what follows it. The longest such chain is computed from the merge lis
 ends at least that far before the window's end is stable and is emitted, and the window moves on. Memory stays constant
 however long a piece is.
 
-Pieces come from the pre-tokeniser's pattern, one after the other. Short ones are memoised in a table of bounded size.
+Pieces come from the pre-tokeniser's pattern, one after the other. Short ones are memoised in two generations of bounded size.
 Decoding looks tokens up as bytes and feeds them to an incremental UTF-8 decoder.
 
 Defined results: null text counts as empty and has no tokens; rows are independent, so repeated rows give equal results; an
@@ -25,15 +25,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from docloom.llm.common import fresh
+from docloom.llm.common import let_go, slices
 
 #: Pieces above are merged in a moving window and not memoised.
 LONG = 64
-MEMO = 600_000
+#: Bytes, roughly, of a generation of memoised pieces.
+MEMO = 24_000_000
 #: Pieces handled at a time.
 CHUNK = 1 << 14
 #: Fixed: the code points with the Unicode property White_Space, as pattern.
@@ -98,6 +102,8 @@ class Transducer:
         self.wide, self.narrow = piece_pattern(), piece_pattern(0xFF)
         self.special = re.compile("|".join(map(re.escape, self.added))) if self.added else None
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.memo_bytes = 0
 
     def merge(self, data: bytes) -> list[int]:
         """The ids of the bytes: the pair of highest priority is merged, the leftmost first, until none is left."""
@@ -134,17 +140,19 @@ class Transducer:
         yield from self.merge(data[at:])
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode("utf-8", "replace")
-        if len(data) > LONG:
-            return tuple(self.stream(data))
-        found = tuple(self.merge(data))
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
+        found = self.memo.get(piece) or self.older.get(piece)
+        if found is None:
+            data = piece.encode("utf-8", "replace")
+            if len(data) > LONG:
+                return tuple(self.stream(data))
+            found = tuple(self.merge(data))
+        if self.memo_bytes >= MEMO:
+            self.memo, self.older, self.memo_bytes = {}, self.memo, 0
+        self.memo_bytes += 200 + len(piece) + 8 * len(found)
         self.memo[piece] = found
         return found
 
     def _plain(self, text: str) -> Iterator[list[int]]:
-        memo = self.memo
         try:
             text.encode("latin-1")
             pattern = self.narrow
@@ -152,6 +160,7 @@ class Transducer:
             pattern = self.wide
         pieces = (m[0] for m in pattern.finditer(text)) if len(text) > 1 << 20 else iter(pattern.findall(text))
         while part := list(islice(pieces, CHUNK)):
+            memo = self.memo
             yield list(chain.from_iterable([memo.get(p) or self._piece(p) for p in part]))
 
     def encode(self, text: str) -> Iterator[list[int]]:
@@ -230,18 +239,38 @@ def encoded(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: str =
 
 def encoded_rows(docs: DataFrame, file: str, text_col: str = "text") -> DataFrame:
     """`docs` with ids, the tokens of every row's text, and round_trip, whether they decode to it. Columns of `docs` with these
-    names give way."""
+    names give way. A slice of rows is encoded at a time, and decoded as the ids come."""
+    rest = [c for c in docs.columns if c.lower() not in ("ids", "round_trip")]
+    rows = docs.select(*(F.col(f"`{c}`") for c in rest))
+    place = rest.index(text_col)
 
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def code(texts: pd.Series) -> pd.DataFrame:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         coder = transducer(file)
-        ids = [list(chain.from_iterable(coder.encode(t or ""))) for t in texts]
-        same = ["".join(coder.decode(iter([i]))) == (t or "") for i, t in zip(ids, texts)]
-        return pd.DataFrame({"ids": ids, "round_trip": same})
-
-    (found,) = fresh(docs, "found")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "round_trip")]
-    return docs.select(*rest, code(F.col(text_col)).alias(found)).select(*rest, f"{found}.ids", f"{found}.round_trip")
+        for batch in batches:
+            for some in slices(batch, place, rows=64, size=1 << 20):
+                ids, ends, same = [np.empty(0, dtype=np.int32)], [0], []
+                for text in some.column(place).to_pylist():
+                    n = ends[-1]
+                    at, whole, text = 0, True, text or ""
+
+                    def kept(parts: Iterator[list[int]]) -> Iterator[list[int]]:
+                        nonlocal n
+                        for part in parts:
+                            ids.append(np.array(part, dtype=np.int32))
+                            n += len(part)
+                            yield part
+
+                    for part in coder.decode(kept(coder.encode(text))):
+                        whole &= text.startswith(part, at)
+                        at += len(part)
+                    ends.append(n)
+                    same.append(whole and at == len(text))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+                yield pa.record_batch([*some.columns, lists, pa.array(same, pa.bool_())], names=[*rest, "ids", "round_trip"])
+
+    schema = StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
+    return rows.mapInArrow(code, schema)
 
 
 def decoded(tokens: DataFrame, file: str) -> DataFrame:

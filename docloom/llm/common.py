@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +67,24 @@ def discard(*tables: DataFrame) -> None:
     for t in tables:
         path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_to)
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most `rows` rows and, if they have several, about `size` bytes of the text column."""
+    held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(held, (held[at - 1] if at else 0) + size, side="right"))
+        end = min(batch.num_rows, at + rows, max(full, at + 1))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def let_go() -> None:
+    """Give back to the system what earlier tasks of this worker have freed; workers are used again by later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
