@@ -9,11 +9,12 @@
 A file is a sequence of blocks: magic, counts, the documents' ids and lengths, then one control byte for every four ranks
 (two bits each: data bytes less one), then the data bytes, little-endian. The folder also holds the rank table.
 
-The library sees each distinct word once for each worker: the vocabulary's pre-tokeniser never joins what ASCII space
-separates, and composition and lower-casing don't cross it. Ids of recent words are kept in tables of bounded size.
+The library sees recent pieces once for each worker, many at a time. In Latin-1 texts pieces are found by the vocabulary's own
+pattern. Other texts are cut at ASCII space only, which its pre-tokeniser, composition and lower-casing never cross.
 
-Defined results: null text counts as empty and gives the end id alone; rows that repeat an id follow each other in any order;
-a null id comes first; an empty table gives an empty result; other columns don't matter.
+Defined results: null text counts as empty and gives the end id alone; rows that repeat an id follow each other in any order,
+and may lie in several files, as a number given to each row breaks the tie; a null id comes first; ids are cast to bigint, so
+a text id that is no number raises; an empty table gives an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -31,13 +32,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.bpe import WHITE, _class
-from docloom.llm.common import new_dir, written
+from docloom.llm.common import discard, new_dir, slices, written
 
-MEMO = 500_000
+#: Pieces of a generation.
+MEMO = 200_000
+#: Characters of a text that are cut into pieces at once, roughly.
+PART = 1 << 20
 #: Ids gathered before a block is written.
 BLOCK = 1 << 18
 MAGIC = b"TKB1"
@@ -58,46 +63,87 @@ class WordEncoder:
         self.library = Tokenizer.from_file(file)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        vocab = self.library.get_vocab()
+        self.kind = np.dtype("<u2") if len(vocab) <= 1 << 16 else np.dtype("<u4")
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         letter, number = _class("L", 0xFF), _class("N", 0xFF)
         self.pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{WHITE}{letter}{number}]+")
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Put the words' ids in the table. In Latin-1 words, pieces are shared between words."""
-        cut, whole = [], []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            try:
-                text.encode("latin-1")
-                plain = "<|" not in text
-            except UnicodeEncodeError:
-                plain = False
-            (cut if plain else whole).append((w, self.pattern.findall(text.lower()) if plain else text))
-        if len(self.pieces) > MEMO:
-            self.pieces.clear()
-        new = list({p for _, ps in cut for p in ps if p not in self.pieces})
-        self.pieces.update(zip(new, self._library(new)))
-        for w, ps in cut:
-            self.words[w] = b"".join([self.pieces[p] for p in ps])
-        for (w, _), ids in zip(whole, self._library([t for _, t in whole])):
-            self.words[w] = ids
+        self.pieces, self.words = Recent(self._pieces), Recent(self._words)
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of what the pattern takes as one piece. Many are encoded as one text: each ends with a token that ends a word."""
+        out = []
+        for at in range(0, len(pieces), 2048):
+            some = pieces[at : at + 2048]
+            (ids,) = self._library([" ".join(some)])
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(some) or last[-1] != len(ids):
+                raise ValueError("a piece must end with a token that ends a word")
+            data, bounds = ids.tobytes(), [0, *(last * self.kind.itemsize).tolist()]
+            out += [data[i:j] for i, j in zip(bounds, bounds[1:])]
+        return out
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        ids = iter(self._library([w for w in words if not is_plain(w)]))
+        return [self._plain(w) if is_plain(w) else next(ids).tobytes() for w in words]
+
+    def _plain(self, text: str) -> bytes:
+        return self.pieces.join(self.pattern.findall(text.lower()))
+
+    def _part(self, text: str) -> bytes:
+        return self._plain(text) if is_plain(text) else self.words.join(text.encode("utf-8", "replace").split())
 
     def encode(self, texts: list[str | None], end: int | None) -> Iterator[bytes]:
         """The ids of each text, and the end id, as little-endian numbers."""
         last = b"" if end is None else np.array([end], dtype=self.kind).tobytes()
         for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            if len(self.words) > MEMO:
-                self.words.clear()
-            known = self.words
-            if missing := [w for w in set(words) if w not in known]:
-                self._learn(missing)
-            yield b"".join([known[w] for w in words]) + last
+            yield b"".join(map(self._part, parts_of(text or ""))) + last
+
+
+def is_plain(text: str) -> bool:
+    """Whether all is Latin-1 and no special token can occur."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "<|" not in text
+
+
+class Recent:
+    """Values of what was asked for lately, in two generations: the older one goes when the younger has grown."""
+
+    def __init__(self, learn):
+        self.learn, self.young, self.old = learn, {}, {}
+
+    def join(self, keys: list) -> bytes:
+        if len(self.young) > MEMO:
+            self.young, self.old = {}, self.young
+        young = self.young
+        if missing := set(keys) - young.keys():
+            new = []
+            for key in missing:
+                if (value := self.old.get(key)) is None:
+                    new.append(key)
+                else:
+                    young[key] = value
+            texts = [k if isinstance(k, str) else k.decode("utf-8", "replace") for k in new]
+            young.update(zip(new, self.learn(texts)))
+        return b"".join([young[k] for k in keys])
+
+
+def parts_of(text: str) -> Iterator[str]:
+    """A long text in parts that end before a blank."""
+    at = 0
+    while len(text) - at > PART:
+        end = text.find(" ", at + PART)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
 
 @lru_cache(maxsize=4)
@@ -167,7 +213,7 @@ def read_blocks(source) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """A written folder: manifest (path, first_id, n_docs, n_ids, n_bytes) and rank -> id."""
+    """A written folder: manifest (path, first_id, first_tie, n_docs, n_ids, n_bytes) and rank -> id."""
 
     manifest: DataFrame
     id_of_rank: np.ndarray
@@ -184,15 +230,15 @@ def write_tokens(docs: DataFrame, file: str, end: int | None = 1, id_col: str =
     folder = new_dir(spark, "tokens")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_encoder(file)
+        coder, tie = word_encoder(file), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 ids = list(coder.encode(part.column(1).to_pylist(), end))
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                ties = np.arange(tie, tie := tie + part.num_rows)
+                yield pa.record_batch([part.column(0), pa.array(ties), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    tokens = written(rows.mapInArrow(tokenise, "doc_id bigint, ids binary"), "token-ids")
+    tokens = written(rows.mapInArrow(tokenise, "doc_id bigint, tie bigint, ids binary"), "token-ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, total = word_encoder(file).kind, np.zeros(0, dtype=np.int64)
@@ -217,11 +263,11 @@ def write_tokens(docs: DataFrame, file: str, end: int | None = 1, id_col: str =
         n_docs = n_ids = 0
         first, out, ids, held, size = None, None, [], [], 0
         for batch in batches:
-            for doc, tokens in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, tie, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if out is None:
                     system, path = _place(name)
                     system.create_dir(os.path.dirname(path))
-                    out, first = system.open_output_stream(path), doc
+                    out, first = system.open_output_stream(path), (NO_ID if doc is None else doc, tie)
                 got = np.frombuffer(tokens.as_buffer(), dtype=kind)
                 ids.append(NO_ID if doc is None else doc)
                 held.append(rank_of[got])
@@ -236,14 +282,15 @@ def write_tokens(docs: DataFrame, file: str, end: int | None = 1, id_col: str =
             write_block(out, ids, [len(h) for h in held], np.concatenate(held))
         n_bytes = out.tell()
         out.close()
-        row = ([name], [NO_ID if first is None else first], [n_docs], [n_ids], [n_bytes])
-        yield pa.record_batch([pa.array(x) for x in row], names=["path", "first_id", "n_docs", "n_ids", "n_bytes"])
+        row = ([name], [first[0]], [first[1]], [n_docs], [n_ids], [n_bytes])
+        yield pa.record_batch([pa.array(x) for x in row], names=["path", "first_id", "first_tie", "n_docs", "n_ids", "n_bytes"])
 
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    schema = "path string, first_id bigint, n_docs bigint, n_ids bigint, n_bytes bigint"
+    ordered = tokens.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    schema = "path string, first_id bigint, first_tie bigint, n_docs bigint, n_ids bigint, n_bytes bigint"
     manifest = written(ordered.mapInArrow(store, schema), "token-manifest")
     table = spark.createDataFrame([(i, int(x)) for i, x in enumerate(id_of_rank)], "rank bigint, id bigint")
     table.coalesce(1).write.parquet(f"{folder}/ranks")
+    discard(tokens)
     return TokenFiles(manifest, id_of_rank, manifest.count())
 
 
@@ -252,7 +299,7 @@ def read_tokens(files: TokenFiles) -> DataFrame:
     spark = files.manifest.sparkSession
     shared = spark.sparkContext.broadcast(files.id_of_rank)
     # one row for each file
-    before = F.sum("n_ids").over(Window.orderBy("first_id").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("n_ids").over(Window.orderBy("first_id", "first_tie").rowsBetween(Window.unboundedPreceding, -1))
     shards = files.manifest.select("path", F.coalesce(before, F.lit(0)).alias("start"))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
