@@ -490,7 +490,7 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of `docs` without near copies, with their columns: of each component of texts whose sets of distinct shingles
     have the Jaccard similarity, one row with the smallest id stays, whatever becomes of other rows with that id. Rows with a
-    null id stay."""
+    null id are judged among themselves, by the same rule with a hash of the text as id; they never give way to others."""
     key, state = fresh(docs, "text_hash", "state")
     known = docs.where(F.col(f"`{id_col}`").isNotNull())
     keyed = known.withColumn(key, F.xxhash64(plain(F.col(f"`{text_col}`"))))
@@ -507,4 +507,9 @@ def drop_near_copies(
     if not repeated.isEmpty():
         same = (keyed[f"`{id_col}`"] == repeated["doc_id"]) & (keyed[key] == repeated["text_hash"])
         out = out.unionAll(keyed.join(repeated, same, "left_semi").dropDuplicates([id_col, key]).drop(key))
-    return out.unionAll(docs.where(F.col(f"`{id_col}`").isNull()))
+    nameless = docs.where(F.col(f"`{id_col}`").isNull())
+    if nameless.isEmpty():
+        return out
+    (own,) = fresh(docs, "own_id")
+    named = nameless.withColumn(own, F.xxhash64(plain(F.col(f"`{text_col}`"))))
+    return out.unionAll(drop_near_copies(named, shingle, similarity, bits, bucket, own, text_col).drop(own))

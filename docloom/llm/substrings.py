@@ -192,7 +192,7 @@ def factored(docs: DataFrame, shared: DataFrame, window: int) -> DataFrame:
                     table = found.values
                     names = ("pos", "link", "ref_doc", "ref_part", "ref_pos", "ref_link")
                     cols = {k: table.field(k).to_numpy() for k in names}
-                    _, order = np.unique(cols["pos"], return_index=True)  # equal rows list their blocks twice
+                    order = np.argsort(cols["pos"])
                     cols = {k: v[order] for k, v in cols.items()}
                     words, hashes = word_hashes(text)
                     stretches = Stretches(hashes)
@@ -242,11 +242,13 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     """doc, part, n_removed, kept: a row for each document from which something is removed. See `_keyed` for doc and part."""
     keyed = _keyed(docs, id_col, text_col)
     blocks = written(block_rows(keyed, window), "blocks")
-    index = (
+    # written, so that the join sees its size and splits the blocks' side where a block is frequent
+    index = written(
         blocks.groupBy("hash")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "part", "pos", "link")).alias("ref"))
         .where("n > 1")
-        .select(F.col("hash").alias("key"), "ref")
+        .select(F.col("hash").alias("key"), "ref"),
+        "block-index",
     )
     hits = blocks.join(index, F.col("hash") == F.col("key")).select(
         "doc",
@@ -258,17 +260,17 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
         F.col("ref.pos").alias("ref_pos"),
         F.col("ref.link").alias("ref_link"),
     )
-    # a document's own blocks: as many as its length allows
+    # a document's own blocks: as many as its length allows, however many equal rows there are
     shared = hits.groupBy("doc", "part").agg(
-        F.collect_list(F.struct("pos", "link", "ref_doc", "ref_part", "ref_pos", "ref_link")).alias("found")
+        F.collect_set(F.struct("pos", "link", "ref_doc", "ref_part", "ref_pos", "ref_link")).alias("found")
     )
     shared = written(shared, "shared-blocks")
-    discard(blocks)
+    discard(blocks, index)
     table = written(factored(keyed, shared, window), "factored")
     discard(shared)
 
     windows = table.select("doc", "part", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")).select("doc", "part", "w.at", "w.h1", "w.h2")
-    twice = windows.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
+    twice = written(windows.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "repeated-windows")
     equal = written(windows.join(twice, ["h1", "h2"], "left_semi").select("doc", "part", "at"), "equal-windows")
     equal = equal.select(
         "doc", "part", F.explode(F.array(F.struct(F.col("at").alias("pos"), F.lit(1).cast("bigint").alias("sum")),

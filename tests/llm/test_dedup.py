@@ -8,8 +8,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from docloom.llm import simhash, substrings
+from docloom.llm.common import written
 from docloom.llm.exact import drop_exact_copies, exact_groups
 from docloom.llm.simhash import components, drop_near_copies, links, near_digest, near_groups
 from docloom.llm.substrings import substring_digest
@@ -332,3 +334,70 @@ def test_substrings_of_texts_whose_hashes_share_31_bits(spark):
     docs = [(7, t) for t in found] + [(None, t) for t in found] + [(8, "x " + passage)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     assert Counter(tuple(r) for r in substring_digest(df).collect()) == substring_brute(docs, 35)
+
+
+def test_near_copies_without_ids_go(spark):
+    """Rows without an id keep one of each group of near copies among them, and give way to no row with an id."""
+    text, other = prose(99, 400).split(), prose(98, 300)
+    changed = text[:200] + ["changed"] + text[201:]
+    docs = [(1, " ".join(text)), (None, " ".join(text)), (None, " ".join(text)), (None, " ".join(changed)), (None, other), (None, None), (None, "")]
+    kept = drop_near_copies(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert [r["text"] for r in kept if r["doc_id"] == 1] == [" ".join(text)]
+    left = Counter("family" if (r["text"] or "").startswith(" ".join(text[:50])) else r["text"] or "" for r in kept if r["doc_id"] is None)
+    assert left == {"family": 1, other: 1, "": 1}
+
+
+def test_many_equal_rows(spark, monkeypatch):
+    """Rows that are equal in id and text list their blocks once: what a task holds doesn't grow with their number."""
+    lists = []
+
+    def kept(df, name):
+        out = written(df, name)
+        if name == "shared-blocks":
+            lists.extend(r[0] for r in out.select(F.size("found")).collect())
+        return out
+
+    monkeypatch.setattr(substrings, "written", kept)
+    text = prose(5, 120)
+    docs = spark.createDataFrame([(1, text)] * 10_000 + [(2, prose(6, 60)), (3, text + " tail")], "doc_id bigint, text string")
+    want = substring_brute([(1, text)] * 2 + [(2, prose(6, 60)), (3, text + " tail")], 35)
+    want[next(k for k in want if k[0] == 1)] = 10_000
+    assert Counter(tuple(r) for r in substring_digest(docs).collect()) == want
+    assert max(lists) < 60
+
+
+def test_a_hot_block_is_split(spark, monkeypatch):
+    """The join with a frequent block is a skew join: its sides are tables, whose sizes Spark knows."""
+    line = prose(77, 38)  # too short for a factor, so its windows are compared in every document
+    docs = spark.createDataFrame([(i, f"{prose(i, 40)} {line} {prose(i + 5000, 40)}") for i in range(3000)], "doc_id bigint, text string")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.files.maxPartitionBytes": "32k",  # several map tasks, as a split goes by what each wrote
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    plans = {}
+
+    def kept(df, name):
+        if name == "shared-blocks":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(substrings, "written", kept)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = rows(substring_digest(docs))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert all(r["n_removed"] >= 38 for r in got) and len(got) == 3000
+    assert set(plans) == {"shared-blocks"}
+    assert "skew=true" in plans["shared-blocks"]
