@@ -1,13 +1,14 @@
 """Routing: which document a row change touches, and with which column images.
 
-Rules are configuration, so each becomes a projection of its table's feed.  Images stay typed structs of the mapped
-columns; a side that does not exist is a struct of NULLs.
+Rules are configuration, so all rules of a table become one generator over its feed.  Images stay typed structs of the
+mapped columns; a side that does not exist is a struct of NULLs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ from docloom.functions.coerce import comparable, to_doc_id
 from docloom.operators.source import DocSource
 
 
+#: Columns of a routed change beside its key and images.
+TOUCHED = ("index", "table", "seq", "rule_id", "row_no", "sub_no", "event_id", "ts", "action", "doc_id")
+
+
 class RuleError(ValueError):
     """A rule does not fit its feed or its document source."""
 
@@ -117,102 +122,106 @@ def change_number(r: RoutedChanges) -> Column:
     return F.col("seq").cast("decimal(19,0)") * F.lit(1 << 47).cast("decimal(15,0)") + rest.cast("decimal(15,0)")
 
 
-def apply_rule(feed: TableFeed, rule: IngestRule, rule_id: int = 0) -> RoutedChanges:
-    """Row changes of `feed` as changes of the rule's documents.
+def _steps(rule: IngestRule, rule_id: int, types: Mapping[str, T.DataType]) -> Column:
+    """What one rule makes of a change: an array of one step, or of two if the row moves to another document."""
+    old_id = to_doc_id(F.col(f"old.{rule.id_field}"), types[rule.id_field])
+    new_raw = F.col(f"new.{rule.id_field}")
+    new_id = to_doc_id(new_raw, types[rule.id_field])
+
+    def step(sub_no: int, action: Column, doc_id: Column) -> Column:
+        return F.struct(
+            F.lit(rule_id).alias("rule_id"), F.lit(rule.index).alias("index"), F.lit(rule.id_field).alias("id_field"),
+            F.lit(sub_no).alias("sub_no"), action.alias("action"), doc_id.alias("doc_id"),
+        )
+
+    moves = (F.col("event_action") == "update") & new_raw.isNotNull() & (old_id != new_id)
+    stays = step(0, F.col("event_action"), F.when(F.col("event_action") == "insert", new_id).otherwise(old_id))
+    both = F.array(step(0, F.lit("delete"), old_id), step(1, F.lit("insert"), new_id))
+    return F.when(moves, both).otherwise(F.array(stays))
+
+
+def fan_out(feed: TableFeed, rules: Mapping[int, IngestRule]) -> DataFrame:
+    """The changes of `feed` with what each of its rules, by number, makes of them: one generator, so one pass over the feed
+    however many rules there are.
 
     An update that moves a row to another document becomes a delete from the old one followed by an insert into
-    the new one.  A NULL new id means that the id did not change.
+    the new one.  A NULL new id means that the id did not change.  `event_action` is the action as it came, and `lead` marks
+    one step of each change.
     """
-    fields = feed.image_fields()
-    types = {f.name: f.dataType for f in fields}
-    if rule.id_field not in types:
-        raise RuleError(f"table {feed.table!r} has no column {rule.id_field!r}")
-    absent = [c for c in feed.key_columns() if c not in types]
-    if absent:
-        raise RuleError(f"table {feed.table!r} has no key columns {absent}")
-    mapped = tuple(f.name for f in fields if f.name in rule.column_map)
-    if not mapped:
-        raise RuleError(f"rule for {feed.table!r} maps none of its columns")
-
-    id_type = types[rule.id_field]
-    old_id = to_doc_id(F.col(f"old.{rule.id_field}"), id_type)
-    new_raw = F.col(f"new.{rule.id_field}")
-    new_id = to_doc_id(new_raw, id_type)
-    moves = (F.col("action") == "update") & new_raw.isNotNull() & (old_id != new_id)
+    types = {f.name: f.dataType for f in feed.image_fields()}
+    for rule in rules.values():
+        if rule.id_field not in types:
+            raise RuleError(f"table {feed.table!r} has no column {rule.id_field!r}")
     known = F.col("action").isin("insert", "update", "delete")
     unknown = F.raise_error(F.concat(F.lit("unknown row action: "), F.coalesce("action", F.lit("NULL"))))
-
     row_no = F.col("row_no") if "row_no" in feed.df.columns else F.lit(0)
-    steps = feed.df.select(
+    events = feed.df.select(
         "seq",
         row_no.cast("int").alias("row_no"),
         "event_id",
         "ts",
-        F.when(known, F.col("action")).otherwise(unknown.cast("string")).alias("_action"),
+        F.when(known, F.col("action")).otherwise(unknown.cast("string")).alias("event_action"),
         "old",
         "new",
-        moves.alias("_moves"),
-        F.explode(F.when(moves, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("sub_no"),
-    )
-    action = (
-        F.when(~F.col("_moves"), F.col("_action")).when(F.col("sub_no") == 0, F.lit("delete")).otherwise(F.lit("insert"))
     )
+    made = [_steps(rule, rule_id, types) for rule_id, rule in rules.items()]
+    steps = events.withColumn("_step", F.explode(F.concat(*made) if len(made) > 1 else made[0]))
+    lead = (F.col("_step.rule_id") == min(rules)) & (F.col("_step.sub_no") == 0)
+    kept = ("seq", "row_no", "event_id", "ts", "event_action", "old", "new")
+    return steps.select(F.lit(feed.table).alias("table"), *kept, "_step.*", lead.alias("lead"))
+
+
+def apply_rules(feed: TableFeed, rules: Mapping[int, IngestRule]) -> RoutedChanges:
+    """Row changes of `feed` as changes of the documents of rules, by number, that agree in index and column map."""
+    rule = next(iter(rules.values()))
+    fields = feed.image_fields()
+    steps = fan_out(feed, rules)
+    absent = sorted(set(feed.key_columns()) - {f.name for f in fields})
+    if absent:
+        raise RuleError(f"table {feed.table!r} has no key columns {absent}")
+    mapped = tuple(f.name for f in fields if f.name in rule.column_map)
+    if not mapped:
+        raise RuleError(f"rule for {feed.table!r} maps none of its columns")
     inserts, deletes = F.col("action") == "insert", F.col("action") == "delete"
-    df = steps.withColumn("action", action).select(
-        F.lit(rule.index).alias("index"),
-        F.lit(feed.table).alias("table"),
-        "seq",
-        F.lit(rule_id).alias("rule_id"),
-        "row_no",
-        "sub_no",
-        "event_id",
-        "ts",
-        "action",
-        F.when(inserts, new_id).otherwise(old_id).alias("doc_id"),
+    df = steps.select(
+        *TOUCHED,
         row_key(fields, feed.key_columns(), inserts).alias("pk"),
         image("old", fields, mapped, inserts).alias("old"),
         image("new", fields, mapped, deletes).alias("new"),
     )
-    one_row = tuple(feed.pk) == (rule.id_field,)
-    return RoutedChanges(rule.index, feed.table, mapped, rule.column_map, one_row, df, "row_no" not in feed.df.columns)
+    alone = len(rules) == 1
+    one_row = alone and tuple(feed.pk) == (rule.id_field,)
+    by_seq = alone and "row_no" not in feed.df.columns
+    return RoutedChanges(rule.index, feed.table, mapped, rule.column_map, one_row, df, by_seq)
+
+
+def apply_rule(feed: TableFeed, rule: IngestRule, rule_id: int = 0) -> RoutedChanges:
+    """Row changes of `feed` as changes of the rule's documents."""
+    return apply_rules(feed, {rule_id: rule})
 
 
 def route(feeds: Iterable[TableFeed], rules: Sequence[IngestRule]) -> list[RoutedChanges]:
     """All rules over all feeds.
 
-    Rules that agree in index, table and column map share one result, so their changes of a document are folded
-    together; order within an event follows the order of the rules.
+    Rules that agree in index, table and column map share one pass over the feed and one result, so their changes of a
+    document are folded together; order within an event follows the order of the rules.
     """
     feeds = list(feeds)
-    merged: dict[tuple, RoutedChanges] = {}
+    groups: dict[tuple, tuple[TableFeed, dict[int, IngestRule]]] = {}
     for rule_id, rule in enumerate(rules):
-        for feed in feeds:
-            if feed.table != rule.table:
-                continue
-            r = apply_rule(feed, rule, rule_id)
-            shape = (r.index, r.table, tuple((k, tuple(v)) for k, v in sorted(r.column_map.items())))
-            if shape in merged:
-                first = merged[shape]
-                merged[shape] = RoutedChanges(
-                    r.index, r.table, r.columns, r.column_map, False, first.df.unionByName(r.df)
-                )
-            else:
-                merged[shape] = r
-    return list(merged.values())
+        for n, feed in enumerate(feeds):
+            if feed.table == rule.table:
+                shape = (n, rule.index, tuple((k, tuple(v)) for k, v in sorted(rule.column_map.items())))
+                groups.setdefault(shape, (feed, {}))[1][rule_id] = rule
+    return [apply_rules(feed, same) for feed, same in groups.values()]
 
 
 def touched(routed: Iterable[RoutedChanges]) -> DataFrame:
     """One narrow row per row change: what queueing and positions need, without keys and images."""
-    narrow = [
-        r.df.select("index", "doc_id", "table", "action", "seq", "rule_id", "row_no", "sub_no", "event_id", "ts")
-        for r in routed
-    ]
+    narrow = [r.df.select(*TOUCHED) for r in routed]
     if not narrow:
         raise RuleError("no rule matches any feed")
-    out = narrow[0]
-    for df in narrow[1:]:
-        out = out.unionByName(df)
-    return out
+    return reduce(DataFrame.unionByName, narrow)
 
 
 def match_rules(events: DataFrame, rules: Sequence[IngestRule]) -> DataFrame:
@@ -225,6 +234,19 @@ def match_rules(events: DataFrame, rules: Sequence[IngestRule]) -> DataFrame:
     return events.join(F.broadcast(table), "table")
 
 
+def touched_by(feeds: Iterable[TableFeed], rules: Sequence[IngestRule]) -> DataFrame:
+    """The same for all rules over all feeds, each feed read once; `lead` marks one row of each row change.
+    """
+    narrow = []
+    for feed in feeds:
+        mine = {i: r for i, r in enumerate(rules) if r.table == feed.table}
+        if mine:
+            narrow.append(fan_out(feed, mine).select(*TOUCHED, "event_action", "lead"))
+    if not narrow:
+        raise RuleError("no rule matches any feed")
+    return reduce(DataFrame.unionByName, narrow)
+
+
 def check_rules(
     rules: Iterable[IngestRule], sources: Mapping[str, DocSource], columns: Mapping[str, Iterable[str]]
 ) -> None:
@@ -238,10 +260,13 @@ __all__ = [
     "RuleError",
     "TableFeed",
     "apply_rule",
+    "apply_rules",
     "change_number",
     "change_order",
     "check_rules",
+    "fan_out",
     "match_rules",
     "route",
     "touched",
+    "touched_by",
 ]

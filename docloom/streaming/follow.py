@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators.pending import changes_of, doc_batches, merge_batches, settle_split
 from docloom.operators.positions import resume_after
-from docloom.operators.rules import TableFeed, route, touched
+from docloom.operators.rules import TableFeed, route, touched_by
 from docloom.plans.maintenance import compact_if_needed
 from docloom.plans.sync import SyncJob, sync_routed
 from docloom.sources.feed import read_feed, stream_feed
@@ -34,7 +34,10 @@ QUEUE = (
 )
 SEEN = "table string, seq bigint, event_id bigint"
 FILES = "table string, file string, lo bigint, hi bigint"
-METRICS = "batch_id bigint, at double, arrived bigint, ready bigint, waiting bigint, seq bigint"
+METRICS = (
+    "batch_id bigint, at double, arrived bigint, ready bigint, waiting bigint, seq bigint, counters map<string, bigint>"
+)
+COUNTS = "counter string, n bigint"
 
 
 class Stopping(RuntimeError):
@@ -87,8 +90,8 @@ class Follower:
         ]
         if self.start_after is not None:
             feeds = [TableFeed(f.table, resume_after(f.df, self.start_after), f.pk) for f in feeds]
-        rows = touched(route(feeds, self.job.rules)).select(
-            "index", "table", "doc_id", "seq", "event_id", F.input_file_name().alias("file")
+        rows = touched_by(feeds, self.job.rules).select(
+            "index", "table", "action", "event_action", "doc_id", "seq", "event_id", "lead", F.input_file_name().alias("file")
         )
         if heartbeat:
             beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
@@ -147,7 +150,8 @@ class Follower:
         if batch_id > 0 and (waiting is None or before is None):
             raise RuntimeError(f"{self.state_dir} lacks the queue of batch {batch_id - 1}; documents that wait would be lost")
         arrived = F.timestamp_micros(F.lit(int(self.clock() * 1e6)))
-        fresh = rows.where(F.col("doc_id").isNotNull()).withColumn("ts", arrived).persist()
+        rows = rows.persist()
+        fresh = rows.where(F.col("doc_id").isNotNull()).withColumn("ts", arrived)
         try:
             parts = [doc_batches(fresh)]
             top = fresh.select("table", "seq", "event_id")
@@ -158,11 +162,12 @@ class Follower:
             split = settle_split(merged, arrived, self.gap_seconds, self.hold_seconds)
             split.write.mode("overwrite").parquet(f"{self.state_dir}/queue/b={batch_id}")
             self._note_files(fresh, batch_id)
+            self._count_rows(rows, batch_id)
             seen = top.groupBy("table").agg(F.max("seq").alias("seq"), F.max("event_id").alias("event_id"))
             seen.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/seen/b={batch_id}")
             self.last = {"arrived": fresh.count()}
         finally:
-            fresh.unpersist()
+            rows.unpersist()
         return self._saved("queue", batch_id, QUEUE)
 
     def _note_files(self, fresh: DataFrame, batch_id: int) -> None:
@@ -177,6 +182,18 @@ class Follower:
             files = files.unionByName(before.where(F.lit(False) if oldest is None else F.col("hi") >= oldest))
         files.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/files/b={batch_id}")
 
+    def _count_rows(self, rows: DataFrame, batch_id: int) -> None:
+        """Row changes and document changes of each table and action, counted where they arrive."""
+        if not {"action", "event_action", "lead"} <= set(rows.columns):
+            return
+        names = F.array(
+            F.when(F.col("lead"), F.concat_ws(":", F.lit("row_events"), "table", "event_action")),
+            F.concat_ws(":", F.lit("doc_events"), "table", "action"),
+        )
+        named = rows.where(F.col("table").isNotNull()).select(F.explode(F.array_compact(names)).alias("counter"))
+        counts = named.groupBy("counter").agg(F.count(F.lit(1)).alias("n"))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/counts/b={batch_id}")
+
     def _changes(self, batch_id: int, lo: int, hi: int) -> list[TableFeed]:
         """The feeds between two positions, from the files that hold them."""
         noted = self._saved("files", batch_id, FILES)
@@ -244,12 +261,13 @@ class Follower:
         if sums["n_waiting"] and (seq is None or sums["wait_seq"] - 1 <= seq):
             seq = None if seen_seq is None else sums["wait_seq"] - 1
             event_id = None if seen_seq is None else sums["wait_event"]
+        applied: Mapping[str, Sequence] = {}
         how = {"batch_id": batch_id, "stream": self.stream(), "ts": self.clock()}
         if sums["n_ready"]:
             feeds = self._changes(batch_id, sums["lo"], sums["hi"])
             ready = queue.where(r)
             routed = [replace(x, df=changes_of(x.df, ready)) for x in route(feeds, self.job.rules)]
-            sync_routed(
+            applied = sync_routed(
                 self.spark, self.job, self.frames(), routed,
                 seq=seq,
                 event_id=event_id,
@@ -263,17 +281,26 @@ class Follower:
                 v = table.current()
                 if v is not None and (v.seq is None or v.seq < seq):
                     table.set_position(seq, event_id, **how)
-        self._count(batch_id, sums, seq)
+        self._count(batch_id, sums, seq, applied, how["stream"])
         self._forget(batch_id - 2)
         if self.upkeep_every and batch_id % self.upkeep_every == self.upkeep_every - 1:
             for table in (t for ts in self.job.targets.values() for t in ts):
                 compact_if_needed(table, self.max_delta_bytes)
                 table.trim_history(self.keep_versions)
 
-    def _count(self, batch_id: int, sums, seq: int | None) -> None:
+    def _count(self, batch_id: int, sums, seq: int | None, applied: Mapping[str, Sequence], stream: str) -> None:
         """Counters of the batch, kept as a table: one row for each batch, replaced if it is repeated."""
+        held = self._saved("counts", batch_id, COUNTS)
+        counters = {r["counter"]: r["n"] for r in held.collect()} if held is not None else {}  # a row for each table and action
+        for index, targets in self.job.targets.items():
+            # replicas get the same documents, and one that had the batch before has its numbers in its own version
+            now = applied.get(index) or [t.current() for t in targets]
+            v = next((v for v in now if v is not None and (v.stream, v.batch_id) == (stream, batch_id)), None)
+            for action, n in () if v is None else (("replace", v.n_replace), ("update", v.n_update), ("delete", v.n_delete)):
+                if n:
+                    counters[f"docs:{index}:{action}"] = n
         self.last = {"batch_id": batch_id, **self.last, "ready": sums["n_ready"], "waiting": sums["n_waiting"]}
-        row = (batch_id, self.clock(), self.last.get("arrived"), sums["n_ready"], sums["n_waiting"], seq)
+        row = (batch_id, self.clock(), self.last.get("arrived"), sums["n_ready"], sums["n_waiting"], seq, counters)
         frame = self.spark.createDataFrame([row], METRICS)
         folders = self._metric_folders()
         fold = self.upkeep_every and batch_id % self.upkeep_every == self.upkeep_every - 1
@@ -295,10 +322,15 @@ class Follower:
         """Counters of all batches."""
         return self.spark.read.schema(METRICS).parquet(f"{self.state_dir}/metrics").dropDuplicates(["batch_id"])
 
+    def counters(self) -> DataFrame:
+        """(counter, n): row changes read and document changes by table and action, documents applied by index and action,
+        summed over all batches, from the stored counters alone."""
+        return self.metrics().select(F.explode("counters").alias("counter", "n")).groupBy("counter").agg(F.sum("n").alias("n"))
+
     def _delete(self, path: str) -> None:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def _forget(self, batch_id: int) -> None:
-        for name in ("queue", "seen", "files"):
+        for name in ("queue", "seen", "files", "counts"):
             self._delete(f"{self.state_dir}/{name}/b={batch_id}")

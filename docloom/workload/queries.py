@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docloom.functions import coerce
 from docloom.operators import netchange, pending, positions, settling, valuediff
 from docloom.operators.decide import actions_per_part, decide
-from docloom.operators.rules import IngestRule, TableFeed, apply_rule, match_rules, route, touched
+from docloom.operators.rules import IngestRule, TableFeed, apply_rule, fan_out, route, touched, touched_by
 from docloom.operators.source import DocSource, latest_per_document
 from docloom.plans import maintenance
 from docloom.plans.commits import applied_up_to, commits, current_positions, parts_apart, replicas_agree
@@ -47,7 +47,7 @@ def cdc_scan(i: Inputs) -> DataFrame:
     root = new_dir(i.spark, "feed")
     feeds.write_feed(i.feeds, root)
     stored = feeds.read_feed(i.spark, root, {"orders": ["o_orderkey"], "lineitem": sql.LINE_KEY})
-    return touched(route(stored, RULES)).select("table", "seq", "action", "doc_id")
+    return touched_by(stored, RULES).select("table", "seq", "action", "doc_id")
 
 
 @query
@@ -102,10 +102,10 @@ def wait_position(i: Inputs) -> DataFrame:
 @query
 def route_rules(i: Inputs) -> DataFrame:
     more = (*RULES, IngestRule("orders", "o_custkey", "customer_doc", {"o_totalprice": ("spend",)}))
-    events = [f.df.select(F.lit(f.table).alias("table"), "seq", "action") for f in i.feeds]
-    return match_rules(events[0].unionByName(events[1]), more).select(
-        "rule_id", "index", "id_field", "table", "seq", "action"
-    )
+    routed = [fan_out(f, {n: r for n, r in enumerate(more) if r.table == f.table}) for f in i.feeds]
+    # a moved row is two steps of one match
+    steps = [r.where("sub_no = 0").withColumn("action", F.col("event_action")) for r in routed]
+    return reduce(DataFrame.unionByName, steps).select("rule_id", "index", "id_field", "table", "seq", "action")
 
 
 def _raw_events(i: Inputs) -> DataFrame:
