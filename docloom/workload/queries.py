@@ -104,8 +104,8 @@ def route_rules(i: Inputs) -> DataFrame:
     more = (*RULES, IngestRule("orders", "o_custkey", "customer_doc", {"o_totalprice": ("spend",)}))
     routed = [fan_out(f, {n: r for n, r in enumerate(more) if r.table == f.table}) for f in i.feeds]
     # a moved row is two steps of one match
-    steps = [r.where("sub_no = 0").withColumn("action", F.col("event_action")) for r in routed]
-    return reduce(DataFrame.unionByName, steps).select("rule_id", "index", "id_field", "table", "seq", "action")
+    columns = ("rule_id", "index", "id_field", "table", "seq", F.col("event_action").alias("action"))
+    return reduce(DataFrame.unionByName, [r.where("sub_no = 0").select(*columns) for r in routed])
 
 
 def _raw_events(i: Inputs) -> DataFrame:
