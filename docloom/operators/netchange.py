@@ -1,7 +1,7 @@
 """Net changes: fold row changes per key, drop those that change nothing, name the changed columns and attributes.
 
-Every step is a mergeable aggregate, so rows are combined before each shuffle and no task ever holds a whole
-group: one document or one key may own any share of the feed.
+Every step is a mergeable aggregate.  Rows are combined before each shuffle where a document has many of them, so no task
+ever holds a large group: one document or one key may own any share of the feed.
 
 What changed is found without the images: each column travels as values of fixed width, itself or two hashes of 64 bits,
 under an order that is one number, so folding is a hash aggregate and nothing is sorted.  `net_changes` gives the images
@@ -73,8 +73,12 @@ def _values(side: str, f: T.StructField) -> list[Column]:
 ACTIONS = {"insert": 0, "update": 1, "delete": 2}
 
 
-def folded_values(r: RoutedChanges) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Net changes as values: `doc_id[, pk], kind, o0.., n0..`, and which of the numbers each column has."""
+#: A document with more row changes than this in one table is folded over several tasks.
+HOT_ROWS = 100_000
+
+
+def value_rows(r: RoutedChanges) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Row changes as values: `doc_id[, pk], number, code, o0.., n0..`, and which of the numbers each column has."""
     parts: dict[str, list[str]] = {}
     old, new = [], []
     for f in r.df.schema["old"].dataType.fields:
@@ -90,21 +94,27 @@ def folded_values(r: RoutedChanges) -> tuple[DataFrame, dict[str, list[str]]]:
         *[c.alias(f"o{i}") for i, c in enumerate(old)],
         *[c.alias(f"n{i}") for i, c in enumerate(new)],
     )
+    return rows, parts
+
+
+def folded_values(r: RoutedChanges, rows: DataFrame, count: int) -> DataFrame:
+    """Net changes of `rows`, which have `count` values a side: `doc_id[, pk], kind, o0.., n0..`."""
+    keys = ["doc_id"] if r.one_row else ["doc_id", "pk"]
     folded = rows.groupBy(*keys).agg(
         F.min_by("code", "number").alias("first"),
         F.max_by("code", "number").alias("last"),
         # count_if would put aliases above the aggregate, and the optimizer's constraints double with each of them
         F.sum(F.when(F.col("code") == ACTIONS["delete"], 1).otherwise(0)).alias("n_del"),
-        *[F.min_by(f"o{i}", "number").alias(f"o{i}") for i in range(len(old))],
-        *[F.max_by(f"n{i}", "number").alias(f"n{i}") for i in range(len(new))],
+        *[F.min_by(f"o{i}", "number").alias(f"o{i}") for i in range(count)],
+        *[F.max_by(f"n{i}", "number").alias(f"n{i}") for i in range(count)],
     )
     # the rule of net_changes
     began = F.col("first") == ACTIONS["insert"]
     is_insert = began & (F.col("n_del") == 0)
     is_delete = (F.col("last") == ACTIONS["delete"]) & ~(began & (F.col("n_del") == 1))
     kind = F.when(is_insert, ACTIONS["insert"]).when(is_delete, ACTIONS["delete"]).otherwise(ACTIONS["update"])
-    values = [f"{s}{i}" for s in "on" for i in range(len(old))]
-    return folded.select(*keys, kind.alias("kind"), *values), parts
+    values = [f"{s}{i}" for s in "on" for i in range(count)]
+    return folded.select(*keys, kind.alias("kind"), *values)
 
 
 def changed_column_flags(r: RoutedChanges) -> DataFrame:
@@ -114,8 +124,22 @@ def changed_column_flags(r: RoutedChanges) -> DataFrame:
     whatever the keys.  If either set has more than one member every column counts as changed, otherwise those
     that differ.  The sets are never built: each distinct image is one group that remembers on which side it was
     seen, and the document counts its images per side and those seen on one side only.
+
+    Row changes are dealt by document once, before anything is combined: most keys change once in a batch, so
+    combining them where they are read only fills memory, and all groups lie within a document.  Documents with
+    more than `HOT_ROWS` changes, of which there are few, go another way, combined before each shuffle.
     """
-    folded, parts = folded_values(r)
+    rows, parts = value_rows(r)
+    many = rows.groupBy("doc_id").agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
+    hot = F.broadcast(many.select(F.col("doc_id").alias("_hot")))
+    is_hot = F.col("doc_id") == F.col("_hot")
+    dealt = rows.join(hot, is_hot, "left_anti").repartition("doc_id")
+    return _flags(r, dealt, parts).unionByName(_flags(r, rows.join(hot, is_hot, "left_semi"), parts))
+
+
+def _flags(r: RoutedChanges, rows: DataFrame, parts: dict[str, list[str]]) -> DataFrame:
+    """`changed_column_flags` of some documents' rows."""
+    folded = folded_values(r, rows, sum(len(numbers) for numbers in parts.values()))
     words = _word_names("c", r.columns)
     differs = {
         c: reduce(lambda x, y: x | y, [~F.col(f"o{i}").eqNullSafe(F.col(f"n{i}")) for i in numbers])

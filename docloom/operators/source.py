@@ -149,12 +149,13 @@ class DocSource:
             return latest_per_document(docs, key, F.expr(self.latest))
         others = [c for c in docs.columns if c != key]
         text = F.concat(F.lit(f"{self.name}: the query gives several rows for document "), F.col("_id").cast("string"))
-        once = F.when(F.col("_n") > 1, F.raise_error(text).cast("bigint")).otherwise(F.col("_id")).alias(key)
+        # a filter leaves the id a plain column, which keeps the partitioning of the query's joins
+        once = F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
         # `first` of plain columns is an ordinary aggregate, without a struct to compare
         held = docs.groupBy(F.col(key).alias("_id")).agg(
             F.count("*").alias("_n"), *[F.first(f"`{c}`").alias(c) for c in others]
         )
-        return held.select(*[once if c == key else F.col(f"`{c}`") for c in docs.columns])
+        return held.where(once).select(*[F.col("_id").alias(key) if c == key else F.col(f"`{c}`") for c in docs.columns])
 
     def part_documents(self, spark: SparkSession, frames: Mapping[str, DataFrame], part: int) -> DataFrame:
         """Documents of one partition; the base tables are filtered before the query runs."""

@@ -173,3 +173,22 @@ def test_refused_values(spark, kind, doc_type, value, ansi):
 def test_unknown_type(spark):
     with pytest.raises(ValueError, match="unknown document column type"):
         coerce.typed(F.lit(1), None, "text")
+
+
+def test_one_row_check_keeps_the_partitioning(spark, sf_dir):
+    """A join on the id after the check shuffles the documents no further."""
+    from docloom.workload.inputs import Inputs
+    from docloom.workload.orders import ORDER_DOC
+
+    i = Inputs(spark, sf_dir)
+    ids = i.frames["orders"].select(F.col("o_orderkey").alias("doc_id"))
+    docs = ORDER_DOC.single(spark, i.frames, ORDER_DOC.documents(spark, i.frames, ids=ids))
+    joined = ids.hint("merge").join(docs, F.col("doc_id") == F.col("order_id"), "left")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin [doc_id" in plan
+    assert "hashpartitioning(order_id#" not in plan and "hashpartitioning(_id#" not in plan
