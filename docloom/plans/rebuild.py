@@ -14,8 +14,8 @@ from docloom.operators.positions import resume_after
 from docloom.operators.rules import TableFeed
 from docloom.operators.source import DocSource
 from docloom.plans.sync import SyncJob, sync_batch
-from docloom.plans.target import DocTable, Version, WriteConflict
-from docloom.session import staged, unstage
+from docloom.plans.target import DocTable, Version, WriteConflict, staged_by_part
+from docloom.session import unstage
 
 LOG = "build_id string, indexes array<string>, started_at double, finished_at double, success boolean"
 #: Seconds after which a rebuild that was begun and neither finished nor failed counts as dead.
@@ -98,11 +98,12 @@ def rebuild_group(
             source, tables = job.sources[index], job.targets[index]
             docs = source.single(spark, frames, source.documents(spark, frames))
             several = len(tables) > 1
-            docs = staged(docs, "rebuild") if several else docs
+            key = source.id_column(spark, frames)
+            docs = staged_by_part(docs, key, source.parts, "rebuild") if several else docs
             for table in tables:
                 v = table.build(
-                    docs, source.id_column(spark, frames), source.parts,
-                    seq=seq, event_id=event_id, build_id=build_id, ts=started, replaying=replaying,
+                    docs, key, source.parts,
+                    seq=seq, event_id=event_id, build_id=build_id, ts=started, replaying=replaying, laid_out=several,
                 )
                 built.append((index, table, v))
             unstage(docs if several else None)

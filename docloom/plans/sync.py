@@ -12,7 +12,7 @@ from docloom.operators.decide import decide
 from docloom.operators.netchange import changed_attrs
 from docloom.operators.rules import IngestRule, RoutedChanges, TableFeed, check_rules, route
 from docloom.operators.source import DocSource
-from docloom.plans.target import DocTable, Version
+from docloom.plans.target import DocTable, Version, staged_by_part
 from docloom.session import staged, unstage
 
 
@@ -57,8 +57,8 @@ def sync_routed(
     """Apply routed changes as batch `batch_id`.
 
     Changed ids are written out first: the re-read joins them with several base tables, and the written table's
-    size is what decides whether they are broadcast.  The decided documents are written once and applied to each
-    replica from there.  Replicas that already hold the batch of this stream are left alone, so a failed batch can be
+    size is what decides whether they are broadcast.  Decided documents that several replicas take are written once, by
+    part, and applied to each of them from there without another shuffle.  Replicas that already hold the batch of this stream are left alone, so a failed batch can be
     repeated; another stream (a new checkpoint, a replay) starts its own count.  A `replay` closes what a rebuild left
     open.
     """
@@ -76,15 +76,22 @@ def sync_routed(
             ]
             unstage(changed)
             continue
-        decided = staged(decided_documents(spark, source, frames, changed), "decided")
+        decided = decided_documents(spark, source, frames, changed)
+        written, parts = None, None
+        if len(behind) > 1 and upsert_missing:
+            parts = source.parts
+            written = decided = staged_by_part(decided, "doc_id", parts, "decided")
+        elif len(behind) > 1 or not upsert_missing:
+            # updates of named attributes read them more than once
+            written = decided = staged(decided, "decided")
         done[index] = [
             t.apply(
                 decided, batch_id=batch_id, stream=stream, seq=seq, event_id=event_id, ts=ts,
-                upsert_missing=upsert_missing, advance=advance, replay=replay,
+                upsert_missing=upsert_missing, advance=advance, replay=replay, laid_out=parts,
             )
             for t in behind
         ]
-        unstage(changed, decided)
+        unstage(changed, written)
     return done
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from docloom.functions.coerce import part_of
 from docloom.plans.once import put_once
+from docloom.session import staged
 
 # Names in stored files beside the document columns; sources refuse them as column names.
 VERSION = "doc_version"
@@ -175,17 +176,17 @@ class DocTable:
 
     # writing ------------------------------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
+    def _write(
+        self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int, laid_out: bool = False
+    ) -> dict[str, list[int]]:
         """Write rows by part into a new folder: its name and its parts.
 
-        `rebalance` lets Spark split parts that are too large for one task and merge small ones, going by the
-        sizes it measured in the shuffle; rows are sorted by id inside a file, so lookups by id skip row groups.
+        Rows that were `staged_by_part` for this number of parts are `laid_out` and not shuffled again.
         """
         write = f"{version}-{uuid.uuid4().hex}"
+        placed = _placed(rows, id_column, parts).sortWithinPartitions(PART, id_column)
         (
-            rows.withColumn(PART, part_of(F.col(id_column), parts))
-            .hint("rebalance", PART)
-            .sortWithinPartitions(PART, id_column)
+            (placed if laid_out else _by_part(rows, id_column, parts))
             .write.mode("errorifexists")
             .partitionBy(PART)
             .parquet(self._folder(kind, write))
@@ -199,14 +200,15 @@ class DocTable:
 
     def build(
         self, documents: DataFrame, id_column: str, parts: int, *,
-        seq=None, event_id=None, build_id=None, ts=None, replaying=False,
+        seq=None, event_id=None, build_id=None, ts=None, replaying=False, laid_out=False,
     ) -> Version:
         """Write the whole table as a new version without publishing it.
 
+        `laid_out` says that the documents were `staged_by_part` for `parts`.
         A version that is `replaying` keeps its position until a batch is applied as its replay, whatever else is applied.
         """
         n = self._next()
-        written = self._write(documents, id_column, parts, "base", n)
+        written = self._write(documents, id_column, parts, "base", n, laid_out)
         return Version(
             n, "rebuild", documents.schema.json(), id_column, parts, base=written,
             seq=seq, event_id=event_id, build_id=build_id, ts=ts, replaying=replaying,
@@ -266,6 +268,7 @@ class DocTable:
         upsert_missing: bool = True,
         advance: bool = True,
         replay: bool = False,
+        laid_out: int | None = None,
     ) -> Version:
         """Apply decided documents (`doc_id, action, attrs, doc`) as one batch.
 
@@ -273,7 +276,7 @@ class DocTable:
         the whole current document, which also heals one the table lacks; without it, an update changes the
         named attributes of documents the table has and is otherwise lost.  `advance=False` applies the batch but
         keeps the recorded position, as during a rebuild; so does a table whose replay is open, unless this is the
-        `replay`.
+        `replay`.  `laid_out` is the number of parts that the documents were `staged_by_part` for.
         """
         old = self._need()
         if old.has_batch(stream, batch_id):
@@ -294,7 +297,8 @@ class DocTable:
         counted = rows.observe(
             seen, *[F.count_if(F.col("_action") == a).alias(a) for a in ("replace", "update", "delete")]
         )
-        written = self._write(counted.drop("_action"), old.id_column, old.parts, "delta", self._next())
+        as_is = upsert_missing and laid_out == old.parts
+        written = self._write(counted.drop("_action"), old.id_column, old.parts, "delta", self._next(), as_is)
         counts = seen.get
 
         def made(now: Version | None) -> Version:
@@ -417,7 +421,7 @@ class DocTable:
             base = self.spark.createDataFrame([], schema)
         if delta is None:
             return base.select(*columns)
-        latest = self._latest(delta, columns, key)
+        latest = self._latest(delta, columns, key, list(v.delta))
         kept = base.select(*columns).join(delta.select(key), key, "left_anti")
         return kept.select(*columns).unionByName(latest.where(~F.col(DELETED)).select(*columns))
 
@@ -441,8 +445,24 @@ class DocTable:
             return self.spark.createDataFrame([], "kind string, part int, path string, bytes bigint")
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
-    def _latest(self, delta: DataFrame, columns: list[str], key: str) -> DataFrame:
-        """The last delta row of each document."""
+    def _latest(self, delta: DataFrame, columns: list[str], key: str, writes: list[str]) -> DataFrame:
+        """The last delta row of each document.
+
+        A write has one row for each of its documents, so those of the newest one are taken as they are, and only rows of
+        the older ones whose documents it lacks are looked at further.
+        """
+        versions = sorted(int(w.partition("-")[0]) for w in writes)
+        if len(set(versions)) < len(versions):
+            return self._max_by_version(delta, columns, key)
+        newest = delta.where(F.col(VERSION) == versions[-1])
+        last = newest.select(*columns, DELETED)
+        if len(versions) == 1:
+            return last
+        older = delta.where(F.col(VERSION) < versions[-1]).join(newest.select(key), key, "left_anti")
+        rest = self._max_by_version(older, columns, key) if len(versions) > 2 else older.select(*columns, DELETED)
+        return last.unionByName(rest)
+
+    def _max_by_version(self, delta: DataFrame, columns: list[str], key: str) -> DataFrame:
         row = F.max_by(F.struct(*columns, DELETED), VERSION).alias("_row")
         return delta.groupBy(F.col(key).alias("_id")).agg(row).select("_row.*")
 
@@ -456,7 +476,7 @@ class DocTable:
         delta = self._files("delta", old, T.StructType(schema.fields + [T.StructField(DELETED, T.BooleanType())]), None)
         # it stands where the last of the merged ones stood, below all that are published meanwhile
         last = max(int(w.partition("-")[0]) for w in old.delta)
-        written = self._write(self._latest(delta, columns, old.id_column), old.id_column, old.parts, "delta", last)
+        written = self._write(self._latest(delta, columns, old.id_column, list(old.delta)), old.id_column, old.parts, "delta", last)
 
         def made(now: Version | None) -> Version:
             self._same_files(old, now)
@@ -487,6 +507,24 @@ class DocTable:
             raise WriteConflict(f"the files of {self.root} were replaced by another writer")
 
 
+def _placed(rows: DataFrame, id_column: str, parts: int) -> DataFrame:
+    return rows.withColumn(PART, part_of(F.col(id_column), parts))
+
+
+def _by_part(rows: DataFrame, id_column: str, parts: int) -> DataFrame:
+    """Rows shuffled by part and sorted by id, so that lookups by id skip row groups.
+
+    `rebalance` lets Spark split parts that are too large for one task and merge small ones, going by the sizes it
+    measured in the shuffle.
+    """
+    return _placed(rows, id_column, parts).hint("rebalance", PART).sortWithinPartitions(PART, id_column)
+
+
+def staged_by_part(rows: DataFrame, id_column: str, parts: int, name: str) -> DataFrame:
+    """Rows written by part once, for several tables that each take them from there without a shuffle."""
+    return staged(_by_part(rows, id_column, parts).drop(PART), name)
+
+
 def _struct(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from docloom.operators.rules import IngestRule, TableFeed, route
 from docloom.operators.source import DocSource
 from docloom.plans.sync import SyncJob
-from docloom.plans.target import DocTable
-from docloom.session import new_dir
+from docloom.plans.target import DocTable, staged_by_part
+from docloom.session import new_dir, unstage
 from docloom.sources.feed import feed_from_flat, snapshot_as_inserts
 from docloom.sources.tables import parquet_tables, spread
 from docloom.workload import feeds as sql
@@ -106,8 +106,12 @@ class Inputs:
         """Targets rebuilt from a state of the base tables."""
         tables = [self.new_table() for _ in range(n)]
         docs = ORDER_DOC.documents(self.spark, state)
+        if n > 1:
+            docs = staged_by_part(docs, "order_id", ORDER_DOC.parts, "replicas")
         for t in tables:
-            t.rebuild(docs, "order_id", ORDER_DOC.parts, **position)
+            t.rebuild(docs, "order_id", ORDER_DOC.parts, laid_out=n > 1, **position)
+        if n > 1:
+            unstage(docs)
         return tables
 
     def job(self, tables: list[DocTable], source: DocSource = ORDER_DOC) -> SyncJob:

@@ -583,6 +583,12 @@ def target_ready(i: Inputs) -> DataFrame:
     return ready.join(docs[0].unionByName(docs[1]), "replica", "left")
 
 
+def _row_hashes(df: DataFrame) -> DataFrame:
+    """Each row as 128 bits of hashes, in which a null is told from a value: what rows are compared by."""
+    cells = [c for name in df.columns for c in (F.col(f"`{name}`").isNull(), F.col(f"`{name}`"))]
+    return df.select(*[F.xxhash64(F.lit(seed), *cells).alias(f"h{seed}") for seed in (0, 1)])
+
+
 @query
 def replica_agreement(i: Inputs) -> DataFrame:
     a, b = i.new_tables(i.before, n=2, seq=0)
@@ -594,9 +600,11 @@ def replica_agreement(i: Inputs) -> DataFrame:
                 seq=_max(i.orders_flat, "seq"),
             )
         row = replicas_agree(i.spark, {"a": a, "b": b}).first()
-        held = [flat(t.read(version=t.current().version)) for t in (a, b)]
-        both = held[0].exceptAll(held[1]).unionAll(held[1].exceptAll(held[0]))
-        apart = both.agg(F.count("*").alias("n_apart"))
+        held = [_row_hashes(flat(t.read(version=t.current().version))) for t in (a, b)]
+        both = held[0].withColumn("n", F.lit(1)).unionByName(held[1].withColumn("n", F.lit(-1)))
+        apart = both.groupBy("h0", "h1").agg(F.abs(F.sum("n")).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_apart")
+        )
         n_parts = F.lit(parts_apart(i.spark, {"a": a, "b": b}).count()).cast("bigint").alias("n_parts_apart")
         out.append(
             apart.select(

@@ -10,7 +10,7 @@ from docloom.plans.commits import applied_up_to, commits, replicas_agree
 from docloom.plans.rebuild import RebuildInProgress, RebuildLog, rebuild_and_replay, rebuild_group, rebuild_unless
 from docloom.plans.recovery import recover, recovery_plan
 from docloom.plans.sync import SyncJob, sync_batch
-from docloom.plans.target import DocTable, TableNotReady, WriteConflict
+from docloom.plans.target import DocTable, TableNotReady, WriteConflict, staged_by_part
 from docloom.session import new_dir
 from docloom.workload.inputs import Inputs
 from docloom.workload.orders import ORDER_DOC
@@ -419,3 +419,40 @@ def test_recovery_looks_at_each_index(spark):
     assert plan() == {"d": ("resume", "ready"), "e": ("resume", "ready")}
     assert [t.current().seq for ts in job.targets.values() for t in ts] == [6, 6, 5]
     assert plan(force=True) == {"d": ("rebuild", "forced"), "e": ("rebuild", "forced")}
+
+
+def test_documents_laid_out_once_for_several_tables(spark):
+    """Each table takes them by part, without a shuffle of its own; another number of parts is dealt anew."""
+    rows = docs(spark, *[(k, k % 5, str(k)) for k in range(200)])
+    held = staged_by_part(rows, "id", 4, "held")
+    assert held.columns == rows.columns
+    changes = decided(spark, *[(k, "replace" if k % 3 else "delete", ["a"], -k, "n") for k in range(0, 200, 2)])
+    held_changes = staged_by_part(changes, "doc_id", 4, "changes")
+    want = {k: (k % 5, str(k)) if k % 2 else (-k, "n") for k in range(200) if k % 2 or k % 3}
+    for parts in (4, 3):
+        t = table(spark)
+        t.publish(t.build(held if parts == 4 else rows, "id", parts, laid_out=parts == 4))
+        t.apply(held_changes, laid_out=4, batch_id=1)
+        assert content(t) == want
+        for part in range(parts):
+            assert set(content(t, parts=[part])) == {k for k in want if k % parts == part}
+        assert t.current().n_delete == 34 and t.current().n_replace == 66
+
+
+def test_newest_write_is_read_without_grouping(spark):
+    t = table(spark)
+    t.rebuild(docs(spark, *[(k, k, "x") for k in range(20)]), "id", 4)
+    want = {k: (k, "x") for k in range(20)}
+    for n in range(1, 5):
+        rows = [(k, "delete" if k % n == 1 else "replace", ["a"], n, str(n)) for k in range(0, 20 + n, n)]
+        t.apply(decided(spark, *rows), batch_id=n)
+        for k, action, _, a, x in rows:
+            want.pop(k, None)
+            if action != "delete":
+                want[k] = (a, x)
+        assert content(t) == want
+        assert content(t, ids=spark.createDataFrame([(k,) for k in range(9)], "doc_id bigint")) == {k: v for k, v in want.items() if k < 9}
+        if n < 3:
+            assert "max_by" not in t.read()._jdf.queryExecution().optimizedPlan().toString()
+    t.merge_deltas()
+    assert content(t) == want and len(t.current().delta) == 1
