@@ -176,21 +176,17 @@ class DocTable:
 
     # writing ------------------------------------------------------------------------------------------------
 
-    def _write(
-        self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int, laid_out: bool = False
-    ) -> dict[str, list[int]]:
-        """Write rows by part into a new folder: its name and its parts.
+    def _write(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
+        """Write rows by part into a new folder: its name and its parts."""
+        return self._write_placed(_by_part(rows, id_column, parts), kind, version)
 
-        Rows that were `staged_by_part` for this number of parts are `laid_out` and not shuffled again.
-        """
+    def _write_laid_out(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
+        """The same for rows that were `staged_by_part` for this number of parts, without a shuffle."""
+        return self._write_placed(_placed(rows, id_column, parts).sortWithinPartitions(PART, id_column), kind, version)
+
+    def _write_placed(self, rows: DataFrame, kind: str, version: int) -> dict[str, list[int]]:
         write = f"{version}-{uuid.uuid4().hex}"
-        placed = _placed(rows, id_column, parts).sortWithinPartitions(PART, id_column)
-        (
-            (placed if laid_out else _by_part(rows, id_column, parts))
-            .write.mode("errorifexists")
-            .partitionBy(PART)
-            .parquet(self._folder(kind, write))
-        )
+        rows.write.mode("errorifexists").partitionBy(PART).parquet(self._folder(kind, write))
         written = self._parts_written(kind, write)
         return {write: written} if written else {}
 
@@ -208,7 +204,8 @@ class DocTable:
         A version that is `replaying` keeps its position until a batch is applied as its replay, whatever else is applied.
         """
         n = self._next()
-        written = self._write(documents, id_column, parts, "base", n, laid_out)
+        write = self._write_laid_out if laid_out else self._write
+        written = write(documents, id_column, parts, "base", n)
         return Version(
             n, "rebuild", documents.schema.json(), id_column, parts, base=written,
             seq=seq, event_id=event_id, build_id=build_id, ts=ts, replaying=replaying,
@@ -297,8 +294,8 @@ class DocTable:
         counted = rows.observe(
             seen, *[F.count_if(F.col("_action") == a).alias(a) for a in ("replace", "update", "delete")]
         )
-        as_is = upsert_missing and laid_out == old.parts
-        written = self._write(counted.drop("_action"), old.id_column, old.parts, "delta", self._next(), as_is)
+        write = self._write_laid_out if upsert_missing and laid_out == old.parts else self._write
+        written = write(counted.drop("_action"), old.id_column, old.parts, "delta", self._next())
         counts = seen.get
 
         def made(now: Version | None) -> Version:
