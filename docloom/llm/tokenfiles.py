@@ -9,8 +9,8 @@
 A file is a sequence of blocks: magic, counts, the documents' ids and lengths, then one control byte for every four ranks
 (two bits each: data bytes less one), then the data bytes, little-endian. The folder also holds the rank table.
 
-The library sees recent pieces once for each worker, many at a time. In Latin-1 texts pieces are found by the vocabulary's own
-pattern. Other texts are cut at ASCII space only, which its pre-tokeniser, composition and lower-casing never cross.
+The library sees recent words once for each worker, many at a time. Words of Latin-1 texts are cut into pieces by the vocabulary's
+own pattern. Other texts are cut at ASCII space only, which its pre-tokeniser, composition and lower-casing never cross.
 
 Defined results: null text counts as empty and gives the end id alone; rows that repeat an id follow each other in any order,
 and may lie in several files, as a number given to each row breaks the tie; a null id comes first; ids are cast to bigint, so
@@ -19,6 +19,7 @@ a text id that is no number raises; an empty table gives an empty result; other
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -27,20 +28,22 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.bpe import WHITE, _class
+from docloom.llm.bpe import WHITE, _class, byte_letters
 from docloom.llm.common import discard, new_dir, slices, written
 
-#: Pieces of a generation.
-MEMO = 200_000
+#: Words of a generation.
+MEMO = 400_000
 #: Characters of a text that are cut into pieces at once, roughly.
 PART = 1 << 20
 #: Ids gathered before a block is written.
@@ -67,41 +70,69 @@ class WordEncoder:
         self.kind = np.dtype("<u2") if len(vocab) <= 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        # the same model for pieces in byte letters, which need neither composing nor cutting
+        with open(file, encoding="utf-8") as f:
+            spec = json.load(f)
+        bare = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "decoder": None}
+        self.bare = Tokenizer.from_str(json.dumps({**spec, **bare, "truncation": None, "padding": None, "added_tokens": []}))
+        self.letters = {**byte_letters(), ord(" "): " "}
         letter, number = _class("L", 0xFF), _class("N", 0xFF)
         self.pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{WHITE}{letter}{number}]+")
-        self.pieces, self.words = Recent(self._pieces), Recent(self._words)
+        self.plain, self.words = Recent(self._plain_words), Recent(self._words)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of what the pattern takes as one piece. Many are encoded as one text: each ends with a token that ends a word."""
-        out = []
-        for at in range(0, len(pieces), 2048):
-            some = pieces[at : at + 2048]
-            (ids,) = self._library([" ".join(some)])
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(some) or last[-1] != len(ids):
+    def _plain_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words in lower case without ASCII white space. Pieces of many are encoded as one text: each ends with a token
+        that ends a word."""
+        out, find = [], self.pattern.findall
+        for at in range(0, len(words), 2048):
+            found = [find(w) for w in words[at : at + 2048]]
+            line = " ".join(chain.from_iterable(found)).encode().decode("latin-1").translate(self.letters)
+            (encoding,) = self.bare.encode_batch_fast([line], add_special_tokens=False)
+            ids = np.array(encoding.ids, dtype=self.kind)
+            last = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            count = np.cumsum([0, *map(len, found)])
+            if len(last) != count[-1] + 1 or last[-1] != len(ids):
                 raise ValueError("a piece must end with a token that ends a word")
-            data, bounds = ids.tobytes(), [0, *(last * self.kind.itemsize).tolist()]
+            data, bounds = ids.tobytes(), (last[count] * self.kind.itemsize).tolist()
             out += [data[i:j] for i, j in zip(bounds, bounds[1:])]
         return out
 
     def _words(self, words: list[str]) -> list[bytes]:
         ids = iter(self._library([w for w in words if not is_plain(w)]))
-        return [self._plain(w) if is_plain(w) else next(ids).tobytes() for w in words]
-
-    def _plain(self, text: str) -> bytes:
-        return self.pieces.join(self.pattern.findall(text.lower()))
-
-    def _part(self, text: str) -> bytes:
-        return self._plain(text) if is_plain(text) else self.words.join(text.encode("utf-8", "replace").split())
+        return [self._together([w])[0] if is_plain(w) else next(ids).tobytes() for w in words]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts. Each distinct word of them all is looked up once, and Arrow puts the words' ids in place."""
+        lower = pa.array([t.lower() for t in texts], pa.string())
+        # a mark between a letter and a blank is a piece of its own, so words with and without it are one
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, r"([a-z])([,.;:!?]) ", r"\1 \2 "))
+        found = words.values.dictionary_encode()
+        known = pa.array(self.plain.get(found.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary())
+        ids = known.take(found.indices)
+        at = np.frombuffer(ids.buffers()[1], dtype="<i4")[words.offsets.to_numpy()].tolist()
+        data = ids.buffers()[2]
+        data = b"" if data is None else data.to_pybytes()
+        return [data[i:j] for i, j in zip(at, at[1:])]
+
+    def _long(self, text: str) -> Iterator[bytes]:
+        for part in parts_of(text):
+            if is_plain(part):
+                yield from self._together([part])
+            else:
+                words = part.encode("utf-8", "replace").split()
+                yield from self.words.get(words)
 
     def encode(self, texts: list[str | None], end: int | None) -> Iterator[bytes]:
         """The ids of each text, and the end id, as little-endian numbers."""
         last = b"" if end is None else np.array([end], dtype=self.kind).tobytes()
-        for text in texts:
-            yield b"".join(map(self._part, parts_of(text or ""))) + last
+        texts = [text or "" for text in texts]
+        plain = [len(text) <= PART and is_plain(text) for text in texts]
+        together = iter(self._together([t for t, p in zip(texts, plain) if p]))
+        for text, p in zip(texts, plain):
+            yield (next(together) if p else b"".join(self._long(text))) + last
 
 
 def is_plain(text: str) -> bool:
@@ -119,20 +150,21 @@ class Recent:
     def __init__(self, learn):
         self.learn, self.young, self.old = learn, {}, {}
 
-    def join(self, keys: list) -> bytes:
+    def get(self, keys: list) -> list[bytes]:
         if len(self.young) > MEMO:
             self.young, self.old = {}, self.young
         young = self.young
-        if missing := set(keys) - young.keys():
-            new = []
-            for key in missing:
-                if (value := self.old.get(key)) is None:
-                    new.append(key)
-                else:
-                    young[key] = value
+        values = list(map(young.get, keys))
+        if lack := [i for i, value in enumerate(values) if value is None]:
+            missing = list(dict.fromkeys(keys[i] for i in lack))
+            known = list(map(self.old.get, missing))
+            new = [key for key, value in zip(missing, known) if value is None]
+            young.update((key, value) for key, value in zip(missing, known) if value is not None)
             texts = [k if isinstance(k, str) else k.decode("utf-8", "replace") for k in new]
             young.update(zip(new, self.learn(texts)))
-        return b"".join([young[k] for k in keys])
+            for i in lack:
+                values[i] = young[keys[i]]
+        return values
 
 
 def parts_of(text: str) -> Iterator[str]:
@@ -232,7 +264,7 @@ def write_tokens(docs: DataFrame, file: str, end: int | None = 1, id_col: str =
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, tie = word_encoder(file), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, rows=1024):
                 ids = list(coder.encode(part.column(1).to_pylist(), end))
                 ties = np.arange(tie, tie := tie + part.num_rows)
                 yield pa.record_batch([part.column(0), pa.array(ties), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])

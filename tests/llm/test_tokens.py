@@ -122,6 +122,23 @@ def test_words_of_any_text(text):
     test_words_like_library(text)
 
 
+class Unscanned(dict):
+    def keys(self):
+        raise AssertionError("the whole memo is gone through")
+
+    __iter__ = items = values = keys
+
+
+def test_the_memo_is_never_gone_through():
+    coder = tokenfiles.WordEncoder(WORDS)
+    for recent in vars(coder).values():
+        if isinstance(recent, tokenfiles.Recent):
+            recent.young = Unscanned()
+    texts = ["some words, (more), \x1cwords\x1d. It's x\xa0y\x85z 12,5", None, "Wörter: 中文 ß", "", "some other words."] * 2
+    got = [np.frombuffer(x, dtype=coder.kind).tolist() for x in coder.encode(texts, None)]
+    assert got == [library(WORDS).encode(text or "", add_special_tokens=False).ids for text in texts]
+
+
 @settings(max_examples=100, deadline=None)
 @example(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 70_000), st.integers(0, 2**32 - 1)), max_size=60))
 def test_packing(ranks):
