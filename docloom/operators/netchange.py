@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions import flags
+from docloom.operators.pending import changes_of
 from docloom.operators.rules import RoutedChanges, change_number, change_order
 
 
@@ -77,8 +78,9 @@ ACTIONS = {"insert": 0, "update": 1, "delete": 2}
 HOT_ROWS = 100_000
 
 
-def value_rows(r: RoutedChanges) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Row changes as values: `doc_id[, pk], number, code, o0.., n0..`, and which of the numbers each column has."""
+def value_rows(r: RoutedChanges, *more: str) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Row changes as values: `doc_id[, pk], number, code, o0.., n0..` and `more` columns, and which of the numbers each
+    column has."""
     parts: dict[str, list[str]] = {}
     old, new = [], []
     for f in r.df.schema["old"].dataType.fields:
@@ -91,6 +93,7 @@ def value_rows(r: RoutedChanges) -> tuple[DataFrame, dict[str, list[str]]]:
         *keys,
         change_number(r).alias("number"),
         code.alias("code"),
+        *more,
         *[c.alias(f"o{i}") for i, c in enumerate(old)],
         *[c.alias(f"n{i}") for i, c in enumerate(new)],
     )
@@ -117,7 +120,7 @@ def folded_values(r: RoutedChanges, rows: DataFrame, count: int) -> DataFrame:
     return folded.select(*keys, kind.alias("kind"), *values)
 
 
-def changed_column_flags(r: RoutedChanges) -> DataFrame:
+def changed_column_flags(r: RoutedChanges, within: DataFrame | None = None) -> DataFrame:
     """Per document, the flag words (`c0`, ...) of the table columns that changed; unchanged documents are absent.
 
     A document's rows in the table are compared as sets of images before and after: equal sets mean no change,
@@ -128,13 +131,18 @@ def changed_column_flags(r: RoutedChanges) -> DataFrame:
     Row changes are dealt by document once, before anything is combined: most keys change once in a batch, so
     combining them where they are read only fills memory, and all groups lie within a document.  Documents with
     more than `HOT_ROWS` changes, of which there are few, go another way, combined before each shuffle.
+
+    `within`: only the row changes of these batches of the queue count.  They are picked where rows lie by document.
     """
-    rows, parts = value_rows(r)
+    rows, parts = value_rows(r, *([] if within is None else ["seq"]))
     many = rows.groupBy("doc_id").agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
     hot = F.broadcast(many.select(F.col("doc_id").alias("_hot")))
     is_hot = F.col("doc_id") == F.col("_hot")
-    dealt = rows.join(hot, is_hot, "left_anti").repartition("doc_id")
-    return _flags(r, dealt, parts).unionByName(_flags(r, rows.join(hot, is_hot, "left_semi"), parts))
+    dealt, apart = rows.join(hot, is_hot, "left_anti").repartition("doc_id"), rows.join(hot, is_hot, "left_semi")
+    if within is not None:
+        dealt, apart = (changes_of(some, within, r.index).drop("seq") for some in (dealt, apart))
+        apart = apart.hint("rebalance")  # else a hot document's rows would stay together where the join has put them
+    return _flags(r, dealt, parts).unionByName(_flags(r, apart, parts))
 
 
 def _flags(r: RoutedChanges, rows: DataFrame, parts: dict[str, list[str]]) -> DataFrame:
@@ -188,10 +196,11 @@ def _index_attrs(branches: Sequence[RoutedChanges]) -> list[str]:
     return sorted({a for r in branches for c in r.columns for a in r.column_map.get(c, ())})
 
 
-def changed_attrs(routed: Iterable[RoutedChanges]) -> DataFrame:
+def changed_attrs(routed: Iterable[RoutedChanges], within: DataFrame | None = None) -> DataFrame:
     """Per (index, document), the document attributes whose inputs changed: `index, doc_id, attrs`.
 
-    Documents that were touched without a net change, or only in columns that feed nothing, are absent.
+    Documents that were touched without a net change, or only in columns that feed nothing, are absent; with `within`, so
+    are row changes of no batch in it.
     """
     by_index: dict[str, list[RoutedChanges]] = {}
     for r in routed:
@@ -210,7 +219,7 @@ def changed_attrs(routed: Iterable[RoutedChanges]) -> DataFrame:
                 if hits:
                     feeds[attr] = reduce(lambda x, y: x | y, hits)
             masks = [m.alias(w) for m, w in zip(flags.pack(attrs, feeds), words)]
-            parts.append(changed_column_flags(r).select("doc_id", *masks))
+            parts.append(changed_column_flags(r, within).select("doc_id", *masks))
         docs = reduce(DataFrame.unionByName, parts)
         if len(parts) > 1:
             docs = docs.groupBy("doc_id").agg(*[F.bit_or(w).alias(w) for w in words])

@@ -35,18 +35,21 @@ def merge_batches(batches: DataFrame) -> DataFrame:
     )
 
 
-def changes_of(changes: DataFrame, batches: DataFrame) -> DataFrame:
-    """The row changes that belong to the given batches: same document, position within the batch's range."""
+def changes_of(changes: DataFrame, batches: DataFrame, index: str | None = None) -> DataFrame:
+    """The row changes that belong to the given batches: same document, position within the batch's range.
+
+    With `index`, all changes are of that index, which has one batch for each document, as `merge_batches` gives them, and
+    changes that were dealt by document are not shuffled again.
+    """
     span = batches.select(
         F.col("index").alias("_index"), F.col("doc_id").alias("_doc"), F.col("first_seq").alias("_from"),
         F.col("last_seq").alias("_to"),
     )
-    mine = (
-        (F.col("index") == F.col("_index"))
-        & (F.col("doc_id") == F.col("_doc"))
-        & F.col("seq").between(F.col("_from"), F.col("_to"))
-    )
-    return changes.join(span, mine, "left_semi")
+    mine = (F.col("doc_id") == F.col("_doc")) & F.col("seq").between(F.col("_from"), F.col("_to"))
+    if index is None:
+        return changes.join(span, (F.col("index") == F.col("_index")) & mine, "left_semi")
+    # an inner join, as the optimizer would move a semi join below the dealing
+    return changes.join(span.where(F.col("_index") == index), mine).select(*changes.columns)
 
 
 def is_settled(now: Column, gap_seconds: float, hold_seconds: float) -> Column:

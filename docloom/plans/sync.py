@@ -53,8 +53,9 @@ def sync_routed(
     upsert_missing: bool = True,
     advance: bool = True,
     replay: bool = False,
+    within: DataFrame | None = None,
 ) -> dict[str, list[Version]]:
-    """Apply routed changes as batch `batch_id`.
+    """Apply routed changes as batch `batch_id`, or those of them that belong to the queue's batches `within`.
 
     Changed ids are written out first: the re-read joins them with several base tables, and the written table's
     size is what decides whether they are broadcast.  Decided documents that several replicas take are written once, by
@@ -68,7 +69,7 @@ def sync_routed(
         mine = [r for r in routed if r.index == index]
         if not behind:
             continue
-        changed = staged(changed_attrs(mine).select("doc_id", "attrs"), "changed") if mine else None
+        changed = staged(changed_attrs(mine, within).select("doc_id", "attrs"), "changed") if mine else None
         if changed is None or changed.isEmpty():
             done[index] = [
                 t.set_position(seq, event_id, batch_id=batch_id, stream=stream, ts=ts, advance=advance, replay=replay)

@@ -14,14 +14,14 @@ import threading
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators.pending import changes_of, doc_batches, merge_batches, settle_split
+from docloom.operators.pending import doc_batches, merge_batches, settle_split
 from docloom.operators.positions import resume_after
 from docloom.operators.rules import TableFeed, route, touched_by
 from docloom.plans.maintenance import compact_if_needed
@@ -265,14 +265,14 @@ class Follower:
         how = {"batch_id": batch_id, "stream": self.stream(), "ts": self.clock()}
         if sums["n_ready"]:
             feeds = self._changes(batch_id, sums["lo"], sums["hi"])
-            ready = queue.where(r)
-            routed = [replace(x, df=changes_of(x.df, ready)) for x in route(feeds, self.job.rules)]
+            routed = route(feeds, self.job.rules)
             applied = sync_routed(
                 self.spark, self.job, self.frames(), routed,
                 seq=seq,
                 event_id=event_id,
                 upsert_missing=self.upsert_missing,
                 advance=not self.build_mode and seq is not None,
+                within=queue.where(r),
                 **how,
             )
         elif seq is not None and not self.build_mode:
