@@ -76,10 +76,28 @@ ACTIONS = {"insert": 0, "update": 1, "delete": 2}
 
 #: A document with more row changes than this in one table is folded over several tasks.
 HOT_ROWS = 100_000
+#: Such documents are looked for in the crowded ones of so many classes of documents only.
+CLASSES = 1 << 16
+
+
+#: Key columns that two hashes tell apart; nested ones have nulls that a hash passes over.
+FLAT = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.BinaryType)
+
+
+def _row_keys(r: RoutedChanges) -> dict[str, Column]:
+    """What tells the rows of a document apart in `value_rows`: nothing, 128 bits of hashes of the row's key, or the key."""
+    if r.one_row:
+        return {}
+    fields = r.df.schema["pk"].dataType.fields
+    if not all(isinstance(f.dataType, FLAT) for f in fields):
+        return {"pk": F.col("pk")}
+    # a null is told from a value, and from the next column's, by its own hash
+    cells = [c for f in fields for v in [F.col(f"pk.`{f.name}`")] for c in (v.isNull(), v)]
+    return {f"pk{salt}": F.xxhash64(F.lit(salt), *cells) for salt in (0, 1)}
 
 
 def value_rows(r: RoutedChanges, *more: str) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Row changes as values: `doc_id[, pk], number, code, o0.., n0..` and `more` columns, and which of the numbers each
+    """Row changes as values: `doc_id[, pk0, pk1], number, code, o0.., n0..` and `more` columns, and which of the numbers each
     column has."""
     parts: dict[str, list[str]] = {}
     old, new = [], []
@@ -87,10 +105,10 @@ def value_rows(r: RoutedChanges, *more: str) -> tuple[DataFrame, dict[str, list[
         before, after = _values("old", f), _values("new", f)
         parts[f.name] = [str(len(old) + k) for k in range(len(before))]
         old, new = old + before, new + after
-    keys = ["doc_id"] if r.one_row else ["doc_id", "pk"]
     code = reduce(lambda c, a: c.when(F.col("action") == a, F.lit(ACTIONS[a])), ACTIONS, F)
     rows = r.df.select(
-        *keys,
+        "doc_id",
+        *[c.alias(k) for k, c in _row_keys(r).items()],
         change_number(r).alias("number"),
         code.alias("code"),
         *more,
@@ -101,8 +119,8 @@ def value_rows(r: RoutedChanges, *more: str) -> tuple[DataFrame, dict[str, list[
 
 
 def folded_values(r: RoutedChanges, rows: DataFrame, count: int) -> DataFrame:
-    """Net changes of `rows`, which have `count` values a side: `doc_id[, pk], kind, o0.., n0..`."""
-    keys = ["doc_id"] if r.one_row else ["doc_id", "pk"]
+    """Net changes of `rows`, which have `count` values a side: `doc_id[, pk0, pk1], kind, o0.., n0..`."""
+    keys = ["doc_id", *_row_keys(r)]
     folded = rows.groupBy(*keys).agg(
         F.min_by("code", "number").alias("first"),
         F.max_by("code", "number").alias("last"),
@@ -129,13 +147,18 @@ def changed_column_flags(r: RoutedChanges, within: DataFrame | None = None) -> D
     seen, and the document counts its images per side and those seen on one side only.
 
     Row changes are dealt by document once, before anything is combined: most keys change once in a batch, so
-    combining them where they are read only fills memory, and all groups lie within a document.  Documents with
+    combining them where they are read only fills memory, and all groups lie within a document.  Rows travel without their
+    keys, as hashes of them tell them apart.  Documents with
     more than `HOT_ROWS` changes, of which there are few, go another way, combined before each shuffle.
 
     `within`: only the row changes of these batches of the queue count.  They are picked where rows lie by document.
     """
     rows, parts = value_rows(r, *([] if within is None else ["seq"]))
-    many = rows.groupBy("doc_id").agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
+    # a class has all rows of its documents, so only those of classes with as many rows are counted one by one
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(CLASSES))
+    crowded = rows.groupBy(spot.alias("_class")).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
+    several = rows.join(F.broadcast(crowded.select("_class")), spot == F.col("_class"), "left_semi")
+    many = several.groupBy("doc_id").agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
     hot = F.broadcast(many.select(F.col("doc_id").alias("_hot")))
     is_hot = F.col("doc_id") == F.col("_hot")
     dealt, apart = rows.join(hot, is_hot, "left_anti").repartition("doc_id"), rows.join(hot, is_hot, "left_semi")

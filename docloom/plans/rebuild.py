@@ -99,7 +99,7 @@ def rebuild_group(
             docs = source.single(spark, frames, source.documents(spark, frames))
             several = len(tables) > 1
             key = source.id_column(spark, frames)
-            docs = staged_by_part(docs, key, source.parts, "rebuild") if several else docs
+            docs = staged_by_part(docs, key, source.parts, "rebuild", many=True) if several else docs
             for table in tables:
                 v = table.build(
                     docs, key, source.parts,

@@ -15,6 +15,9 @@ from docloom.operators.source import DocSource
 from docloom.plans.target import DocTable, Version, staged_by_part
 from docloom.session import staged, unstage
 
+#: A batch of so many documents is written from the tasks that hold them, if the table has few parts.
+MANY_DOCS = 100_000
+
 
 @dataclass(frozen=True)
 class SyncJob:
@@ -70,7 +73,8 @@ def sync_routed(
         if not behind:
             continue
         changed = staged(changed_attrs(mine, within).select("doc_id", "attrs"), "changed") if mine else None
-        if changed is None or changed.isEmpty():
+        n_changed = 0 if changed is None else changed.count()  # from the written files' footers
+        if not n_changed:
             done[index] = [
                 t.set_position(seq, event_id, batch_id=batch_id, stream=stream, ts=ts, advance=advance, replay=replay)
                 for t in behind
@@ -78,17 +82,17 @@ def sync_routed(
             unstage(changed)
             continue
         decided = decided_documents(spark, source, frames, changed)
-        written, parts = None, None
+        written, parts, many = None, None, n_changed >= MANY_DOCS
         if len(behind) > 1 and upsert_missing:
             parts = source.parts
-            written = decided = staged_by_part(decided, "doc_id", parts, "decided")
+            written = decided = staged_by_part(decided, "doc_id", parts, "decided", many)
         elif len(behind) > 1 or not upsert_missing:
             # updates of named attributes read them more than once
             written = decided = staged(decided, "decided")
         done[index] = [
             t.apply(
                 decided, batch_id=batch_id, stream=stream, seq=seq, event_id=event_id, ts=ts,
-                upsert_missing=upsert_missing, advance=advance, replay=replay, laid_out=parts,
+                upsert_missing=upsert_missing, advance=advance, replay=replay, laid_out=parts, many=many,
             )
             for t in behind
         ]

@@ -37,6 +37,9 @@ WRITE = "doc_write"
 PART = "doc_part"
 DELETED = "_deleted"
 
+#: With at most so many parts, tasks that hold many documents each write their documents of every part, without a shuffle.
+FEW_PARTS = 8
+
 
 @dataclass
 class Version:
@@ -176,9 +179,11 @@ class DocTable:
 
     # writing ------------------------------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
+    def _write(
+        self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int, many: bool = False
+    ) -> dict[str, list[int]]:
         """Write rows by part into a new folder: its name and its parts."""
-        return self._write_placed(_by_part(rows, id_column, parts), kind, version)
+        return self._write_placed(_by_part(rows, id_column, parts, many), kind, version)
 
     def _write_laid_out(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
         """The same for rows that were `staged_by_part` for this number of parts, without a shuffle."""
@@ -186,7 +191,8 @@ class DocTable:
 
     def _write_placed(self, rows: DataFrame, kind: str, version: int) -> dict[str, list[int]]:
         write = f"{version}-{uuid.uuid4().hex}"
-        rows.write.mode("errorifexists").partitionBy(PART).parquet(self._folder(kind, write))
+        files = rows.write.mode("errorifexists").option("compression", "zstd").partitionBy(PART)
+        files.parquet(self._folder(kind, write))
         written = self._parts_written(kind, write)
         return {write: written} if written else {}
 
@@ -204,8 +210,10 @@ class DocTable:
         A version that is `replaying` keeps its position until a batch is applied as its replay, whatever else is applied.
         """
         n = self._next()
-        write = self._write_laid_out if laid_out else self._write
-        written = write(documents, id_column, parts, "base", n)
+        if laid_out:
+            written = self._write_laid_out(documents, id_column, parts, "base", n)
+        else:
+            written = self._write(documents, id_column, parts, "base", n, many=True)
         return Version(
             n, "rebuild", documents.schema.json(), id_column, parts, base=written,
             seq=seq, event_id=event_id, build_id=build_id, ts=ts, replaying=replaying,
@@ -266,6 +274,7 @@ class DocTable:
         advance: bool = True,
         replay: bool = False,
         laid_out: int | None = None,
+        many: bool = False,
     ) -> Version:
         """Apply decided documents (`doc_id, action, attrs, doc`) as one batch.
 
@@ -273,7 +282,8 @@ class DocTable:
         the whole current document, which also heals one the table lacks; without it, an update changes the
         named attributes of documents the table has and is otherwise lost.  `advance=False` applies the batch but
         keeps the recorded position, as during a rebuild; so does a table whose replay is open, unless this is the
-        `replay`.  `laid_out` is the number of parts that the documents were `staged_by_part` for.
+        `replay`.  `laid_out` is the number of parts that the documents were `staged_by_part` for.  `many` says that there are
+        enough documents for each task to write a file of every part.
         """
         old = self._need()
         if old.has_batch(stream, batch_id):
@@ -294,8 +304,11 @@ class DocTable:
         counted = rows.observe(
             seen, *[F.count_if(F.col("_action") == a).alias(a) for a in ("replace", "update", "delete")]
         )
-        write = self._write_laid_out if upsert_missing and laid_out == old.parts else self._write
-        written = write(counted.drop("_action"), old.id_column, old.parts, "delta", self._next())
+        counted, n = counted.drop("_action"), self._next()
+        if upsert_missing and laid_out == old.parts:
+            written = self._write_laid_out(counted, old.id_column, old.parts, "delta", n)
+        else:
+            written = self._write(counted, old.id_column, old.parts, "delta", n, many)
         counts = seen.get
 
         def made(now: Version | None) -> Version:
@@ -508,18 +521,22 @@ def _placed(rows: DataFrame, id_column: str, parts: int) -> DataFrame:
     return rows.withColumn(PART, part_of(F.col(id_column), parts))
 
 
-def _by_part(rows: DataFrame, id_column: str, parts: int) -> DataFrame:
+def _by_part(rows: DataFrame, id_column: str, parts: int, many: bool = False) -> DataFrame:
     """Rows shuffled by part and sorted by id, so that lookups by id skip row groups.
 
     `rebalance` lets Spark split parts that are too large for one task and merge small ones, going by the sizes it
-    measured in the shuffle.
+    measured in the shuffle.  With `many` rows and few parts the rows stay in the tasks they are in, and each task writes a
+    file of every part.
     """
-    return _placed(rows, id_column, parts).hint("rebalance", PART).sortWithinPartitions(PART, id_column)
+    placed = _placed(rows, id_column, parts)
+    if not (many and parts <= FEW_PARTS):
+        placed = placed.hint("rebalance", PART)
+    return placed.sortWithinPartitions(PART, id_column)
 
 
-def staged_by_part(rows: DataFrame, id_column: str, parts: int, name: str) -> DataFrame:
+def staged_by_part(rows: DataFrame, id_column: str, parts: int, name: str, many: bool = False) -> DataFrame:
     """Rows written by part once, for several tables that each take them from there without a shuffle."""
-    return staged(_by_part(rows, id_column, parts).drop(PART), name)
+    return staged(_by_part(rows, id_column, parts, many).drop(PART), name)
 
 
 def _struct(text: str) -> T.StructType:

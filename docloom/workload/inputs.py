@@ -107,7 +107,7 @@ class Inputs:
         tables = [self.new_table() for _ in range(n)]
         docs = ORDER_DOC.documents(self.spark, state)
         if n > 1:
-            docs = staged_by_part(docs, "order_id", ORDER_DOC.parts, "replicas")
+            docs = staged_by_part(docs, "order_id", ORDER_DOC.parts, "replicas", many=True)
         for t in tables:
             t.rebuild(docs, "order_id", ORDER_DOC.parts, laid_out=n > 1, **position)
         if n > 1:

@@ -10,7 +10,7 @@ from docloom.plans.commits import applied_up_to, commits, replicas_agree
 from docloom.plans.rebuild import RebuildInProgress, RebuildLog, rebuild_and_replay, rebuild_group, rebuild_unless
 from docloom.plans.recovery import recover, recovery_plan
 from docloom.plans.sync import SyncJob, sync_batch
-from docloom.plans.target import DocTable, TableNotReady, WriteConflict, staged_by_part
+from docloom.plans.target import DocTable, TableNotReady, WriteConflict, _by_part, staged_by_part
 from docloom.session import new_dir
 from docloom.workload.inputs import Inputs
 from docloom.workload.orders import ORDER_DOC
@@ -456,3 +456,20 @@ def test_newest_write_is_read_without_grouping(spark):
             assert "max_by" not in t.read()._jdf.queryExecution().optimizedPlan().toString()
     t.merge_deltas()
     assert content(t) == want and len(t.current().delta) == 1
+
+
+@pytest.mark.parametrize("parts", [4, 9])
+def test_many_documents_are_written_where_they_are(spark, parts):
+    """With few parts, tasks that hold many documents write them without another shuffle; each part is whole all the same."""
+    rows = docs(spark, *[(k, k % 5, str(k)) for k in range(200)]).repartition(3)
+    plan = _by_part(rows, "id", parts, many=True)._jdf.queryExecution().executedPlan().toString()
+    assert ("REBALANCE" in plan) is (parts > 4)
+    assert "REBALANCE" in _by_part(rows, "id", parts)._jdf.queryExecution().executedPlan().toString()
+    t = table(spark)
+    t.rebuild(rows, "id", parts)
+    changes = decided(spark, *[(k, "replace" if k % 3 else "delete", ["a"], -k, "n") for k in range(0, 200, 2)])
+    t.apply(changes.repartition(3), batch_id=1, many=True)
+    want = {k: (k % 5, str(k)) if k % 2 else (-k, "n") for k in range(200) if k % 2 or k % 3}
+    assert content(t) == want
+    for part in range(parts):
+        assert set(content(t, parts=[part])) == {k for k in want if k % parts == part}
