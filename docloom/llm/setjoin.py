@@ -3,7 +3,8 @@
 The shingles of a set are put in one global order, those that are frequent in a sample last. Two sets of similarity t or more
 have their first common shingle within the first n - ceil(2t / (1 + t) * n) + 1 shingles of the smaller one and the first
 n - ceil(t * n) + 1 of the other. So each set goes to the buckets of its first shingles, a pair inside a bucket is a candidate
-if the shingles from there on can suffice, and candidates are verified on the whole sets. The order decides the cost only.
+if the shingles from there on can suffice and the signatures allow it, and candidates are verified on the whole sets. The order
+decides the cost only. Signatures go with the rows of buckets that have several components only.
 
 Links are wanted up to connectedness, so pairs inside one component are never verified. Neighbours in each bucket are compared
 first; once they have joined a dense group of copies, only what lies outside its largest component is compared with
@@ -33,6 +34,8 @@ SAMPLE = 1 << 14
 FREQUENT = 1 << 17
 #: Bits of a signature.
 SIGNATURE = 1024
+#: Pairs whose signatures are compared at a time.
+PAIRS = 1 << 14
 #: Shingles hashed at a time.
 STEP = 1 << 14
 
@@ -102,17 +105,21 @@ def signature(found: np.ndarray) -> bytes:
     return np.packbits(n & 1).tobytes()
 
 
+def may_be_near(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, t: Fraction) -> np.ndarray:
+    """Whether signatures, a row of numbers each, leave it open that two sets, of so many shingles in all, are near."""
+    p, q = t.denominator - t.numerator, t.numerator + t.denominator
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) * q <= p * sizes
+
+
 def possible(pairs: DataFrame, nodes: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (a, b) that the signatures of `nodes` (node, size, signature) don't rule out for certain."""
-    p, q = t.denominator - t.numerator, t.numerator + t.denominator
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in (2, 3))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            yield batch.select([0, 1]).filter(pa.array(apart * q <= p * batch.column(4).to_numpy()))
+            yield batch.select([0, 1]).filter(pa.array(may_be_near(x, y, batch.column(4).to_numpy(), t)))
 
     x, y = (nodes.select(F.col("node").alias(n), F.col("signature").alias(f"{n}_bits"), F.col("size").cast("bigint").alias(f"{n}_size")) for n in "ab")
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "a_bits", "b_bits", F.col("a_size") + F.col("b_size"))
@@ -151,6 +158,7 @@ def _candidates(rows: DataFrame, t: Fraction, all_pairs: bool) -> DataFrame:
             key = [run.column(c).to_numpy() for c in ("bucket", "cell")]
             node, root, size, place, home = (run.column(c).to_numpy() for c in ("node", "root", "size", "place", "home"))
             size, place = size.astype(np.int64), place.astype(np.int64)
+            bits = np.frombuffer(b"".join(run.column("signature").to_pylist()), "<u8").reshape(len(node), -1)
             edges = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
             edges = np.concatenate([[0], edges, [len(node)]])
 
@@ -158,6 +166,12 @@ def _candidates(rows: DataFrame, t: Fraction, all_pairs: bool) -> DataFrame:
                 smaller = np.where((size[i] < size[j]) | ((size[i] == size[j]) & home[i]), home[i], home[j])
                 needed = -(-(size[i] + size[j]) * p // q)
                 ok = (root[i] != root[j]) & smaller & (np.minimum(size[i] - place[i], size[j] - place[j]) >= needed)
+                i, j = i[ok], j[ok]
+                allowed = [
+                    may_be_near(bits[some], bits[others], size[some] + size[others], t)
+                    for some, others in ((i[at : at + PAIRS], j[at : at + PAIRS]) for at in range(0, len(i), PAIRS))
+                ]
+                ok = np.concatenate(allowed) if allowed else np.zeros(0, dtype=bool)
                 a, b = node[i[ok]], node[j[ok]]
                 both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), np.int64)
                 return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
@@ -202,14 +216,30 @@ def _candidates(rows: DataFrame, t: Fraction, all_pairs: bool) -> DataFrame:
         if held:
             yield from pairs(held)
 
-    dealt = rows.select("bucket", "node", "root", "size", "place", "home", "cell")
+    dealt = rows.select("bucket", "node", "root", "size", "place", "home", "cell", "signature")
     dealt = dealt.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "node")
     return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def candidates(rows: DataFrame, roots: DataFrame, t: Fraction, all_pairs: bool, chunk: int = CHUNK) -> DataFrame:
-    """(a, b): pairs to verify. `rows` are of `bucket_rows`, `roots` the components so far (node, root)."""
-    rows = rows.join(roots, "node", "left").withColumns({"root": F.coalesce("root", "node"), "cell": F.lit(0).cast("bigint")})
+def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows with their component so far, by `roots` (node, root)."""
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def open_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of `bucket_rows` in buckets of several components, written: no other bucket can give a link. What is left out
+    stays out, as components only grow."""
+    ends = rooted(rows, roots).groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    buckets = written(ends.where("low != high").select("bucket"), "open")
+    kept = written(rows.join(buckets, "bucket", "left_semi"), "prefixes")
+    discard(buckets)
+    return kept
+
+
+def candidates(rows: DataFrame, nodes: DataFrame, roots: DataFrame, t: Fraction, all_pairs: bool, chunk: int = CHUNK) -> DataFrame:
+    """(a, b): pairs to verify. `rows` are of `open_rows`, `nodes` has the signatures (node, signature), `roots` the components
+    so far (node, root)."""
+    rows = rooted(rows, roots).withColumn("cell", F.lit(0).cast("bigint")).join(nodes, "node")
     if not all_pairs:
         return _candidates(rows, t, False)
     counted = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))

@@ -472,7 +472,10 @@ def near_sets(texts: DataFrame, shingle: int, similarity: float, bits: int, buck
     found = setjoin.verified(pairs, reps, texts, shingle, t)
     keys = written(setjoin.bucket_rows(nodes, t), "prefixes")
     for all_pairs in (False, True):
-        pairs = written(setjoin.candidates(keys, components(found), t, all_pairs), "candidates")
+        roots = components(found)
+        every, keys = keys, setjoin.open_rows(keys, roots)
+        discard(every)
+        pairs = written(setjoin.candidates(keys, nodes.select("node", "signature"), roots, t, all_pairs), "candidates")
         found = found.unionAll(setjoin.verified(pairs, reps, texts, shingle, t))
     discard(keys)
     roots = components(found)

@@ -316,6 +316,33 @@ def test_dense_groups_of_near_copies(spark, chunk, monkeypatch):
     assert kept_ids(spark, list(enumerate(texts))) == sorted((i, texts[i]) for i in set(least.values()))
 
 
+def test_texts_that_share_a_passage_are_no_candidates(spark):
+    """Pairs are made of texts whose signatures allow it, not of all that share a rare shingle; buckets of one component go."""
+    from docloom.llm import setjoin
+
+    passage = [f"p{i}" for i in range(20)]
+    texts = [" ".join([f"w{n}.{i}" for i in range(60)] + passage) for n in range(50)]
+    texts.append(texts[0] + " more")
+    t = setjoin.fraction(0.8)
+    none = np.zeros(0, dtype="<u8")
+    df = spark.createDataFrame([(i, i, x) for i, x in enumerate(texts)], "doc_id bigint, text_hash bigint, text string")
+    sets = written(simhash.set_rows(df, 5, t, (none, none.astype(np.int64))), "sets")
+    found = {r["node"]: r["doc_id"] for r in sets.collect()}
+    keys = written(setjoin.bucket_rows(sets, t), "keys")
+    alone = spark.createDataFrame([], "node bigint, root bigint")
+    left = setjoin.open_rows(keys, alone)
+    per_bucket = Counter(r["bucket"] for r in left.collect())
+    assert max(per_bucket.values()) > 40 and min(per_bucket.values()) > 1
+    nodes = sets.select("node", "signature")
+    for all_pairs in (False, True):
+        pairs = setjoin.candidates(left, nodes, alone, t, all_pairs).collect()
+        made = {tuple(sorted((found[r["a"]], found[r["b"]]))) for r in pairs}
+        assert made <= {(0, 50)}
+    assert made == {(0, 50)}
+    joined = spark.createDataFrame([(n, 0) for n in found], "node bigint, root bigint")
+    assert setjoin.open_rows(keys, joined).isEmpty()
+
+
 def test_rows_that_repeat_an_id_are_judged_apart(spark):
     x, y, z = prose(71, 200).split(), prose(72, 200), prose(73, 200)
     near = " ".join(x[:100] + ["changed"] + x[101:])
