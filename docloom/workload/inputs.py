@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from docloom.operators.rules import IngestRule, TableFeed, route
 from docloom.operators.source import DocSource
 from docloom.plans.sync import SyncJob
-from docloom.plans.target import DocTable, staged_by_part
-from docloom.session import new_dir, unstage
+from docloom.plans.target import DocTable
+from docloom.session import new_dir
 from docloom.sources.feed import feed_from_flat, snapshot_as_inserts
 from docloom.sources.tables import parquet_tables, spread
 from docloom.workload import feeds as sql
@@ -103,15 +103,11 @@ class Inputs:
         return DocTable(self.spark, new_dir(self.spark, name))
 
     def new_tables(self, state: dict[str, DataFrame], n: int = 1, **position) -> list[DocTable]:
-        """Targets rebuilt from a state of the base tables."""
+        """Targets rebuilt from a state of the base tables; all but the first take the documents from the first, by part."""
         tables = [self.new_table() for _ in range(n)]
-        docs = ORDER_DOC.documents(self.spark, state)
-        if n > 1:
-            docs = staged_by_part(docs, "order_id", ORDER_DOC.parts, "replicas", many=True)
-        for t in tables:
-            t.rebuild(docs, "order_id", ORDER_DOC.parts, laid_out=n > 1, **position)
-        if n > 1:
-            unstage(docs)
+        tables[0].rebuild(ORDER_DOC.documents(self.spark, state), "order_id", ORDER_DOC.parts, **position)
+        for t in tables[1:]:
+            t.rebuild(tables[0].read(), "order_id", ORDER_DOC.parts, laid_out=True, **position)
         return tables
 
     def job(self, tables: list[DocTable], source: DocSource = ORDER_DOC) -> SyncJob:
