@@ -35,3 +35,27 @@ def possible(rows: DataFrame, key: str, words: DataFrame) -> DataFrame:
     spot = _spot(F.col(key))
     bit = F.call_function("shiftright", F.col("_bits"), _place(spot)).bitwiseAND(F.lit(1))
     return rows.join(F.broadcast(words), (F.shiftright(spot, 6) == F.col("_at")) & (bit == 1), "left_semi")
+
+
+def is_small(rows: DataFrame) -> bool:
+    """Whether Spark, going by its own estimate of the size, broadcasts `rows` to what it joins them with."""
+    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
+def semi(rows: DataFrame, key: str, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose key is among the ids.  Many ids cut the rows down by their bits first, so that others aren't shuffled."""
+    if not is_small(ids):
+        rows = possible(rows, key, bit_words(ids, column))
+    wanted = ids.select(F.col(column).alias("_wanted"))
+    return rows.join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
+
+
+def anti(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose key is not among the ids, which have it as their only column, under the same name.
+
+    With many ids the keys alone are compared first, and only rows that may stay are shuffled as a whole.
+    """
+    if not is_small(ids):
+        rows = possible(rows, key, bit_words(rows.select(key).join(ids, key, "left_anti"), key))
+    return rows.join(ids, key, "left_anti")

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.coerce import part_of
+from docloom.operators.restrict import anti, semi
 from docloom.plans.once import put_once
 from docloom.session import staged
 
@@ -422,17 +423,13 @@ class DocTable:
         delta_schema = T.StructType(schema.fields + [T.StructField(DELETED, T.BooleanType())])
         delta = self._files("delta", v, delta_schema, parts)
         if ids is not None:
-            wanted = ids.select(F.col("doc_id").alias("_wanted"))
-            base, delta = (
-                df if df is None else df.join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
-                for df in (base, delta)
-            )
+            base, delta = (df if df is None else semi(df, key, ids) for df in (base, delta))
         if base is None:
             base = self.spark.createDataFrame([], schema)
         if delta is None:
             return base.select(*columns)
         latest = self._latest(delta, columns, key, list(v.delta))
-        kept = base.select(*columns).join(delta.select(key), key, "left_anti")
+        kept = anti(base.select(*columns), key, delta.select(key))
         return kept.select(*columns).unionByName(latest.where(~F.col(DELETED)).select(*columns))
 
     # upkeep -------------------------------------------------------------------------------------------------

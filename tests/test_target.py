@@ -11,7 +11,7 @@ from docloom.plans.rebuild import RebuildInProgress, RebuildLog, rebuild_and_rep
 from docloom.plans.recovery import recover, recovery_plan
 from docloom.plans.sync import SyncJob, sync_batch
 from docloom.plans.target import DocTable, TableNotReady, WriteConflict, _by_part, staged_by_part
-from docloom.session import new_dir
+from docloom.session import new_dir, staged
 from docloom.workload.inputs import Inputs
 from docloom.workload.orders import ORDER_DOC
 
@@ -473,3 +473,27 @@ def test_many_documents_are_written_where_they_are(spark, parts):
     assert content(t) == want
     for part in range(parts):
         assert set(content(t, parts=[part])) == {k for k in want if k % parts == part}
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_only_rows_that_may_stay_are_shuffled(spark, limit):
+    """Many ids cut down stored rows where they are read: by the ids' bits, or by those of the keys that no id replaces."""
+    rows = [(k, k % 5, str(k)) for k in range(300)]
+    t = table(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        t.rebuild(docs(spark, *rows), "id", 4)
+        ids = staged(spark.createDataFrame([(k,) for k in [*range(0, 300, 50), 50, 999, None]], "doc_id bigint"), "ids")
+        assert content(t, ids=ids) == {k: (k % 5, str(k)) for k in range(0, 300, 50)}
+        plan = t.read(ids=ids)._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("LeftSemi") == 2 and "_bits" in plan) is (limit == "-1")
+
+        changes = [(k, "replace" if k % 3 else "delete", ["a"], -k, "n") for k in range(300) if k % 10]
+        t.apply(decided(spark, *changes), batch_id=1)
+        want = {k: (k % 5, str(k)) if k % 10 == 0 else (-k, "n") for k in range(300) if k % 10 == 0 or k % 3}
+        assert content(t) == want and t.read().count() == len(want)
+        plan = t.read()._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("LeftAnti") == 2 and "_bits" in plan) is (limit == "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
