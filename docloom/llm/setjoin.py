@@ -3,8 +3,11 @@
 The shingles of a set are put in one global order, those that are frequent in a sample last. Two sets of similarity t or more
 have their first common shingle within the first n - ceil(2t / (1 + t) * n) + 1 shingles of the smaller one and the first
 n - ceil(t * n) + 1 of the other. So each set goes to the buckets of its first shingles, a pair inside a bucket is a candidate
-if the shingles from there on can suffice and the signatures allow it, and candidates are verified on the whole sets. The order
-decides the cost only. Signatures go with the rows of buckets that have several components only.
+if the shingles from there on can suffice and the signatures allow it. The order decides the cost only: the sample behind it
+grows with the texts, so that what is not known as frequent has few texts however many there are. Signatures go with the rows
+of buckets that have several components only. They can't tell large sets apart, so candidates are checked once more by
+signatures that are as long as the sets need. What is left is verified on the whole sets, in slices whose sets take a bounded
+share of disk however many pairs there are.
 
 Links are wanted up to connectedness, so pairs inside one component are never verified. Neighbours in each bucket are compared
 first; once they have joined a dense group of copies, only what lies outside its largest component is compared with
@@ -16,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,21 +27,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import discard, written
+from docloom.llm.common import discard, let_go, written
+from docloom.operators import restrict
 
 #: Most members of a chunk of a large bucket.
 CHUNK = 1 << 14
 #: Members at these distances in a bucket are compared before all others.
 NEIGHBOURS = 4
-#: Texts sampled for the order of shingles, and most shingles that are put last.
+#: Least number of texts sampled for the order of shingles, least share of them, and most shingles that are put last.
 SAMPLE = 1 << 14
-FREQUENT = 1 << 17
+SHARE = 1 / 16
+FREQUENT = 1 << 22
 #: Bits of a signature.
 SIGNATURE = 1024
 #: Pairs whose signatures are compared at a time.
 PAIRS = 1 << 14
+#: Pairs that a task gathers before it gives them without repeats.
+HELD = 1 << 18
 #: Shingles hashed at a time.
 STEP = 1 << 14
+#: Least number of shingles, of all pairs of a slice, that are moved at a time; else it is an eighth of those of all nodes.
+SLICE = 1 << 23
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -80,18 +90,30 @@ def frequent_shingles(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.nd
     """Shingles that are frequent in a bounded sample of the texts, sorted, and their ranks from the rarest on."""
     n = max(texts.count(), 1)
     spot = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 30))
-    some = texts.where(spot < (1 << 30) * SAMPLE // n).select("text")
+    some = texts.where(spot < int((1 << 30) * max(SAMPLE / n, SHARE))).select("text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                yield pa.record_batch([pa.array(shingle_set(text, shingle).view("<i8"))], names=["key"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                found = [shingle_set(x, shingle) for x in whole.column(0).slice(at, 256).to_pylist()]
+                yield pa.record_batch([pa.array(np.concatenate(found).view("<i8"))], names=["key"])
+        let_go()
 
     counted = some.mapInArrow(hashed, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    found = counted.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()  # a bounded number
-    keys = np.array([r["key"] for r in found][::-1], dtype="<i8").view("<u8")
+    counted = written(counted, "frequent")
+    least, total = 3, 0
+    for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("keys")).orderBy(F.desc("n")).collect():
+        total += r["keys"]
+        if total > FREQUENT:
+            least = r["n"] + 1
+            break
+    found = counted.where(F.col("n") >= least).toArrow()  # a bounded number
+    discard(counted)
+    keys, times = found.column("key").to_numpy().view("<u8"), found.column("n").to_numpy()
+    rank = np.empty(len(keys), dtype=np.int64)
+    rank[np.lexsort((keys, times))] = np.arange(len(keys))
     order = np.argsort(keys)
-    return keys[order], order.astype(np.int64)
+    return keys[order], rank[order]
 
 
 def is_near(x: np.ndarray, y: np.ndarray, t: Fraction) -> bool:
@@ -105,6 +127,25 @@ def signature(found: np.ndarray) -> bytes:
     return np.packbits(n & 1).tobytes()
 
 
+def long_signature(found: np.ndarray) -> bytes | None:
+    """The like in as many classes as the set has shingles, or up to twice as many; none if SIGNATURE are enough."""
+    if len(found) <= SIGNATURE:
+        return None
+    classes = 1 << (len(found) - 1).bit_length()
+    n = np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
+    return np.packbits(n & 1).tobytes()
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Differing bits of two signatures, the longer one folded: both count shingles by the last bits of their hashes."""
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        half = len(x) // 2
+        x = x[:half] ^ x[half:]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def may_be_near(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, t: Fraction) -> np.ndarray:
     """Whether signatures, a row of numbers each, leave it open that two sets, of so many shingles in all, are near."""
     p, q = t.denominator - t.numerator, t.numerator + t.denominator
@@ -114,12 +155,13 @@ def may_be_near(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, t: Fraction) ->
 def possible(pairs: DataFrame, nodes: DataFrame, t: Fraction) -> DataFrame:
     """The pairs (a, b) that the signatures of `nodes` (node, size, signature) don't rule out for certain."""
 
+    p, q = t.denominator - t.numerator, t.numerator + t.denominator
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array(may_be_near(x, y, batch.column(4).to_numpy(), t)))
+            x, y = ([np.frombuffer(v.as_buffer(), "<u8") for v in batch.column(c)] for c in (2, 3))
+            allowed = [apart(*two) * q <= p * n for *two, n in zip(x, y, batch.column(4).to_pylist())]
+            yield batch.select([0, 1]).filter(pa.array(allowed, pa.bool_()))
 
     x, y = (nodes.select(F.col("node").alias(n), F.col("signature").alias(f"{n}_bits"), F.col("size").cast("bigint").alias(f"{n}_size")) for n in "ab")
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "a_bits", "b_bits", F.col("a_size") + F.col("b_size"))
@@ -144,16 +186,35 @@ def bucket_rows(nodes: DataFrame, t: Fraction) -> DataFrame:
                 last = np.repeat(size - -(-size.astype(np.int64) * p // q), length)
                 cols = [np.concatenate(keys), np.repeat(node, length), np.repeat(size, length), place, place <= last]
                 yield pa.record_batch([pa.array(c) for c in cols], names=["bucket", "node", "size", "place", "home"])
+        let_go()
 
     return nodes.select("node", "size", "prefix").mapInArrow(put, "bucket bigint, node bigint, size int, place int, home boolean")
 
 
 def _candidates(rows: DataFrame, t: Fraction, all_pairs: bool) -> DataFrame:
-    """(a, b) of nodes in one bucket that can be near and lie in different components: neighbours, or all."""
+    """(a, b) of nodes in one bucket that can be near and lie in different components: neighbours, or all. Pairs that meet in
+    many buckets of a task are given once."""
     p, q = t.numerator, t.numerator + t.denominator
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given(both: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+        held, n = [], 0
+        for both in found(batches):
+            held.append(both)
+            n += both.shape[1]
+            if n >= HELD:
+                held = [np.unique(np.concatenate(held, axis=1), axis=1)]
+                if held[0].shape[1] >= HELD // 2:
+                    yield given(held.pop())
+                n = sum(x.shape[1] for x in held)
+        if held:
+            yield given(np.unique(np.concatenate(held, axis=1), axis=1))
+        let_go()
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        def pairs(held: list[pa.RecordBatch]) -> Iterator[np.ndarray]:
             run = pa.Table.from_batches(held)
             key = [run.column(c).to_numpy() for c in ("bucket", "cell")]
             node, root, size, place, home = (run.column(c).to_numpy() for c in ("node", "root", "size", "place", "home"))
@@ -162,7 +223,7 @@ def _candidates(rows: DataFrame, t: Fraction, all_pairs: bool) -> DataFrame:
             edges = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
             edges = np.concatenate([[0], edges, [len(node)]])
 
-            def out(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+            def out(i: np.ndarray, j: np.ndarray) -> np.ndarray:
                 smaller = np.where((size[i] < size[j]) | ((size[i] == size[j]) & home[i]), home[i], home[j])
                 needed = -(-(size[i] + size[j]) * p // q)
                 ok = (root[i] != root[j]) & smaller & (np.minimum(size[i] - place[i], size[j] - place[j]) >= needed)
@@ -173,8 +234,7 @@ def _candidates(rows: DataFrame, t: Fraction, all_pairs: bool) -> DataFrame:
                 ]
                 ok = np.concatenate(allowed) if allowed else np.zeros(0, dtype=bool)
                 a, b = node[i[ok]], node[j[ok]]
-                both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), np.int64)
-                return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+                return np.stack([np.minimum(a, b), np.maximum(a, b)])
 
             sizes = np.diff(edges)
             last, spot = np.repeat(edges[1:], sizes), np.arange(len(node))
@@ -256,8 +316,39 @@ def candidates(rows: DataFrame, nodes: DataFrame, roots: DataFrame, t: Fraction,
 
 def verified(found: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, t: Fraction) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity, written. `reps`: a row for each node (node, doc_id, text_hash, size,
-    signature); `texts`: doc_id, text_hash, text."""
+    signature); `texts`: doc_id, text_hash, text. The sets of a slice of the pairs are joined with them at a time."""
     pairs = written(possible(found, reps, t), "pairs")
+    chosen = written(_chosen(pairs, reps), "chosen")
+    sizes = chosen.select("node", "size")
+    both = pairs.join(sizes.toDF("a", "a_size"), "a").join(sizes.toDF("b", "b_size"), "b")
+    moved = both.agg(F.sum(F.col("a_size") + F.col("b_size").cast("bigint"))).first()[0] or 0
+    held = chosen.agg(F.sum("size")).first()[0] or 0
+    most = max(SLICE, (reps.agg(F.sum("size")).first()[0] or 0) // 8)
+    n = max(1, -(-moved // most))
+    sets = written(_sets(chosen, texts, shingle), "sets") if held <= most else None
+    out = []
+    for i in range(n):
+        some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(n)) == i) if n > 1 else pairs
+        own = sets or written(_sets(_chosen(some, chosen), texts, shingle), "sets")
+        out.append(written(_near(some, own, t), "links"))
+        if own is not sets:
+            discard(own)
+    discard(pairs, chosen, *([] if sets is None else [sets]))
+    if n == 1:
+        return out[0]
+    near = written(reduce(DataFrame.unionAll, out), "links")
+    discard(*out)
+    return near
+
+
+def _chosen(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Nodes of the pairs: node, doc_id, text_hash, size."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return reps.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash", "size")
+
+
+def _sets(chosen: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, found): the shingle sets of the chosen nodes. Texts that no hash bit asks for are dropped where they are read."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -265,18 +356,23 @@ def verified(found: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int,
                 batch = whole.slice(at, 256)
                 sets = [shingle_set(x, shingle).tobytes() for x in batch.column(1).to_pylist()]
                 yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["node", "found"])
+        let_go()
+
+    key = F.xxhash64("doc_id", "text_hash").alias("_key")
+    asked = restrict.possible(texts.select("*", key), "_key", restrict.bit_words(chosen.select(key), "_key"))
+    whole = asked.join(chosen, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
+    return whole.mapInArrow(hashed, "node bigint, found binary")
+
+
+def _near(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (a, b) whose sets have the similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column(2), batch.column(3)
             near = [is_near(np.frombuffer(p.as_buffer(), "<u8"), np.frombuffer(q.as_buffer(), "<u8"), t) for p, q in zip(x, y)]
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+        let_go()
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = texts.join(reps.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash"), ["doc_id", "text_hash"]).select("node", "text")
-    sets = written(chosen.dropDuplicates(["node"]).mapInArrow(hashed, "node bigint, found binary"), "sets")
     x, y = (sets.select(F.col("node").alias(n), F.col("found").alias(f)) for n, f in (("a", "x"), ("b", "y")))
-    near = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
-    near = written(near, "links")
-    discard(sets, pairs)
-    return near
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")

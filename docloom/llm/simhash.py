@@ -6,10 +6,12 @@ so that the others select better; the thresholds come from a dynamic programme o
 estimated on a bounded sample of fingerprints. The plan decides the cost only: every pair within the distance is found.
 
 Rows with one fingerprint are first reduced to their smallest id. Each distinct fingerprint is put in the buckets of its own
-partition values and probes the buckets within the thresholds. A bucket is compared inside one task and gives a spanning
-forest of its verified links, not all pairs. Buckets above `bucket` members are split by a further exact pigeonhole on the
-bits outside. What stays large, as a dense group of copies does, is dealt into chunks, and each pair of chunks is compared
-by itself: the work spreads over tasks, and no task holds more than two chunks at a time. Components
+partition values and probes the buckets within the thresholds. With many fingerprints that is done in rounds of some
+partitions each, so that no more than about `ROUND` rows for each fingerprint are on disk at a time. A bucket is compared
+inside one task and gives a spanning forest of its verified links, not all pairs. Buckets above `bucket` members are split by
+a further exact pigeonhole on the bits outside, if that saves more comparisons than it makes rows. What stays large, as a dense
+group of copies does, is dealt into chunks, those at home and those that probe apart, and each pair of chunks with one at home
+is compared by itself: the work spreads over tasks, and no task holds more than two chunks at a time. Components
 are found by alternating star contraction, which moves links only.
 
 `near_groups` can also compare wide fingerprints, of distinct shingles: probes then go by the first 64 bits, and a pair is a link if
@@ -26,6 +28,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm import setjoin
-from docloom.llm.common import discard, fresh, plain, written
+from docloom.llm.common import discard, fresh, let_go, plain, written
 
 SEED = 42
 #: Seeds of the 64 bits each that make up a wide fingerprint.
@@ -45,6 +48,11 @@ BUCKET = 2048
 #: Most rows of a chunk of a large bucket.
 CELL = 1 << 14
 SAMPLE = 4096
+#: Rows in buckets for each fingerprint that a round holds, if one partition doesn't bring more; and rows that any round may hold.
+ROUND = 12
+ROWS = 1 << 22
+#: Ends the bucket of a chunk at home and one of probes: those at home are compared with each other elsewhere.
+ACROSS = "|"
 
 
 def _majority(text: str | None, shingle: int, words: int, hashes_of) -> np.ndarray:
@@ -215,14 +223,29 @@ def _flips(width: int, radius: int) -> list[int]:
 # ---------------------------------------------------------------- buckets
 
 
-def _buckets(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(bucket, node, fp.., home, free): homes in the bucket of their own value, and probes. free: the bits outside."""
-    columns = [c for c in WIDE if c in nodes.columns]
-    fixed = []
+def _rounds(plan: Plan, n: int) -> list[list[int]]:
+    """The partitions that take part, dealt into rounds of about ROUND rows for each of n fingerprints."""
+    out, held, most = [], 0, max(ROUND, ROWS // max(n, 1))
     for i, (part, t) in enumerate(zip(plan.parts, plan.thresholds)):
         if t >= 0:
-            mask = sum(1 << b for b in part)
-            fixed.append((i, part, _flips(len(part), t), np.int64(np.uint64(~mask & (2**64 - 1)).view(np.int64))))
+            rows = _ball(len(part), t)
+            if not out or held + rows > most:
+                out.append([])
+                held = 0
+            out[-1].append(i)
+            held += rows
+    return out
+
+
+def _buckets(nodes: DataFrame, plan: Plan, chosen: list[int]) -> DataFrame:
+    """(bucket, node, fp.., home, free) of the chosen partitions: homes in the bucket of their own value, and probes. free: the
+    bits outside."""
+    columns = [c for c in WIDE if c in nodes.columns]
+    fixed = []
+    for i in chosen:
+        part, t = plan.parts[i], plan.thresholds[i]
+        mask = sum(1 << b for b in part)
+        fixed.append((i, part, _flips(len(part), t), np.int64(np.uint64(~mask & (2**64 - 1)).view(np.int64))))
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -233,6 +256,7 @@ def _buckets(nodes: DataFrame, plan: Plan) -> DataFrame:
                     key = [f"{i}.{v}" for v in (value ^ np.uint64(flip)).tolist()]
                     held = {c: batch[c].to_numpy() for c in columns}
                     yield pd.DataFrame({"bucket": key, "node": node, **held, "home": flip == 0, "free": free})
+        let_go()
 
     kinds = "".join(f"{c} bigint, " for c in columns)
     return nodes.select("node", *columns).mapInPandas(put, f"bucket string, node bigint, {kinds}home boolean, free bigint")
@@ -266,8 +290,8 @@ def _near(x: np.ndarray, y: np.ndarray, bits: int, most: int) -> np.ndarray:
     return near
 
 
-def _forest(fps: np.ndarray, home: np.ndarray, bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions a, b) of a spanning forest of the linked pairs of which one is at home."""
+def _forest(fps: np.ndarray, home: np.ndarray, bits: int, most: int, across: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions a, b) of a spanning forest of the linked pairs of which one, or if `across` just one, is at home."""
     n = len(fps)
     order = np.argsort(~home, kind="stable")  # those at home come first, and are compared with what follows them
     fps = fps[order]
@@ -283,9 +307,11 @@ def _forest(fps: np.ndarray, home: np.ndarray, bits: int, most: int) -> tuple[np
     homes = int(home.sum())
     step = max(1, (1 << 20) // n)
     for at in range(0, homes, step):
-        i, j = np.nonzero(_near(fps[at : min(homes, at + step), None], fps[None, at:], bits, most))
+        first = homes if across else at
+        i, j = np.nonzero(_near(fps[at : min(homes, at + step), None], fps[None, first:], bits, most))
+        i, j = at + i, first + j
         real = i < j
-        for a, b in zip((at + i[real]).tolist(), (at + j[real]).tolist()):
+        for a, b in zip(i[real].tolist(), j[real].tolist()):
             ra, rb = root(a), root(b)
             if ra != rb:
                 parent[rb] = ra
@@ -310,7 +336,7 @@ def _verify(rows: DataFrame, bits: int, most: int) -> DataFrame:
             sizes = np.diff(edges)
             # pairs at distance d in the sorted order lie in one bucket if d is less than its size
             for s, e in zip(edges[:-1][sizes > 32].tolist(), edges[1:][sizes > 32].tolist()):
-                a, b = _forest(fps[s:e], home[s:e], bits, most)
+                a, b = _forest(fps[s:e], home[s:e], bits, most, key[s].endswith(ACROSS))
                 big.append(np.stack([node[s:e][a], node[s:e][b]]))
             size_of = np.repeat(np.where(sizes > 32, 0, sizes), sizes)
             last = np.repeat(edges[1:], sizes)
@@ -338,6 +364,7 @@ def _verify(rows: DataFrame, bits: int, most: int) -> DataFrame:
                 held.append(frame)
         if held:
             yield links(pd.concat(held, ignore_index=True))
+        let_go()
 
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(compare, "a bigint, b bigint").where("a != b").distinct()
@@ -351,31 +378,55 @@ def links(nodes: DataFrame, bits: int = 4, bucket: int = BUCKET, sample_size: in
     sample = nodes.where(spot < max(1, (1 << 20) * sample_size // max(n, 1))).select("fp").limit(2 * sample_size).collect()
     plan = make_plan(np.array([r[0] for r in sample], dtype=np.int64).view(np.uint64), n, bits)
 
-    spent = [] if spent is None else spent
-    rows = written(_buckets(nodes, plan), "buckets")
-    spent.append(rows)
-    large = _large(rows, bucket)
+    # a further pigeonhole makes bits + 1 rows of each, and buckets that are smaller by the values of some free bits
+    deeper = 1 << (64 - max(map(len, plan.parts))) // (bits + 1) > (bits + 1) ** 2
+    found = []
+    for chosen in _rounds(plan, n):
+        held = [written(_buckets(nodes, plan, chosen), "buckets")]
+        found.append(written(_round(held, bits, bucket, most, deeper), "round"))
+        discard(*held)
+    if spent is not None:
+        spent.extend(found)
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _round(held: list[DataFrame], bits: int, bucket: int, most: int, deeper: bool) -> DataFrame:
+    """Links (a, b) inside the buckets of a round, which are split if they are large. `held`: the buckets' rows, gets what else
+    is written."""
+    (rows,) = held
+    held.append(large := _large(rows, bucket))
     if large.isEmpty():
         return _verify(rows, bits, most)
-    small = _verify(rows.join(large, "bucket", "left_anti"), bits, most)
-    rows = written(_split(rows.join(large, "bucket", "left_semi"), bits), "buckets")
-    spent.append(rows)
-    large = _large(rows, bucket)
-    rows = rows.join(large, "bucket", "left_anti").unionByName(_cells(rows, large, min(8 * bucket, CELL)))
-    return small.unionByName(_verify(rows, bits, most)).distinct()
+    small = rows.join(large.select("bucket"), "bucket", "left_anti")
+    if deeper:
+        held.append(rows := written(_split(rows.join(large, "bucket", "left_semi"), bits), "buckets"))
+        held.append(large := _large(rows, bucket))
+        rest = rows.join(large.select("bucket"), "bucket", "left_anti")
+        small = small.unionByName(rest)
+    return _verify(small.unionByName(_cells(rows, large, min(8 * bucket, CELL))), bits, most)
 
 
 def _large(rows: DataFrame, bucket: int) -> DataFrame:
-    return written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket), "large")
+    """(bucket, homes, probes): the buckets above `bucket` members with their numbers of both kinds."""
+    homes = F.count(F.when(F.col("home"), 1))
+    counted = rows.groupBy("bucket").agg(homes.alias("homes"), (F.count(F.lit(1)) - homes).alias("probes"))
+    return written(counted.where(F.col("homes") + F.col("probes") > bucket), "large")
 
 
 def _cells(rows: DataFrame, large: DataFrame, chunk: int) -> DataFrame:
-    """The rows of large buckets, dealt into chunks by a hash, in a bucket for each pair of chunks."""
-    chunks = F.ceil(F.col("n") / F.lit(chunk))
-    dealt = rows.join(large, "bucket").withColumns({"own": F.pmod(F.xxhash64("node"), chunks), "chunks": chunks})
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-    key = F.concat_ws(".", F.concat("bucket", F.lit("#")), F.least("own", "other"), F.greatest("own", "other"))
-    return paired.withColumn("bucket", key).select(rows.columns)
+    """The rows of large buckets, dealt into chunks by a hash, in a bucket for each pair of chunks at home, and for each of one
+    at home and one of probes."""
+    homes, probes = F.ceil(F.col("homes") / F.lit(chunk)), F.ceil(F.col("probes") / F.lit(chunk))
+    dealt = rows.join(large, "bucket").withColumns({"homes": homes, "probes": probes})
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("probes"))))
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    name = lambda *of: F.concat_ws(".", F.concat("bucket", F.lit("#")), *of)
+    among = F.transform(upto("homes"), lambda x: name(F.least("own", x), F.greatest("own", x)))
+    to_probes = F.transform(upto("probes"), lambda x: F.concat(name(F.col("own"), x), F.lit(ACROSS)))
+    to_homes = F.transform(upto("homes"), lambda x: F.concat(name(x, F.col("own")), F.lit(ACROSS)))
+    to_probes = F.when(F.col("probes") > 0, to_probes).otherwise(F.array().cast("array<string>"))
+    cells = F.when(F.col("home"), F.concat(among, to_probes)).otherwise(F.when(F.col("homes") > 0, to_homes))
+    return dealt.withColumn("bucket", F.explode(cells)).select(rows.columns)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -431,9 +482,10 @@ def near_digest(docs: DataFrame) -> DataFrame:
 
 
 def set_rows(texts: DataFrame, shingle: int, t: Fraction, rare_first: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, text_hash, node (a hash of the shingle set), its size, signature, wide fingerprint and prefix."""
+    """doc_id, text_hash, node (a hash of the shingle set), its size, signature, long signature if it needs one, wide
+    fingerprint and prefix."""
     shared = texts.sparkSession.sparkContext.broadcast(rare_first)
-    names = ["doc_id", "text_hash", "node", "size", "signature", *WIDE, "prefix"]
+    names = ["doc_id", "text_hash", "node", "size", "signature", "parities", *WIDE, "prefix"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -445,13 +497,15 @@ def set_rows(texts: DataFrame, shingle: int, t: Fraction, rare_first: tuple[np.n
                 first = [setjoin.prefix(s, t, shared.value).tobytes() for s in sets]
                 size = pa.array([len(s) for s in sets], pa.int32())
                 bits = pa.array([setjoin.signature(s) for s in sets], pa.binary())
-                cols = [batch.column(0), batch.column(1), pa.array(node), size, bits]
+                more = pa.array([setjoin.long_signature(s) for s in sets], pa.binary())
+                cols = [batch.column(0), batch.column(1), pa.array(node), size, bits, more]
                 cols += [*(pa.array(wide[:, i].copy()) for i in range(len(WIDE))), pa.array(first, pa.binary())]
                 yield pa.record_batch(cols, names=names)
+        let_go()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     fps = ", ".join(f"{c} bigint" for c in WIDE)
-    schema = f"doc_id {kind}, text_hash bigint, node bigint, size int, signature binary, {fps}, prefix binary"
+    schema = f"doc_id {kind}, text_hash bigint, node bigint, size int, signature binary, parities binary, {fps}, prefix binary"
     return texts.select("doc_id", "text_hash", "text").mapInArrow(read, schema)
 
 
@@ -460,12 +514,12 @@ def near_sets(texts: DataFrame, shingle: int, similarity: float, bits: int, buck
     shingle sets of the Jaccard similarity. SimHash finds most links, the prefix join all that connect something else."""
     t = setjoin.fraction(similarity)
     rows = written(set_rows(texts, shingle, t, setjoin.frequent_shingles(texts, shingle)), "shingle-sets")
-    firsts = (F.first(c).alias(c) for c in ("size", "signature", *WIDE, "prefix"))
+    firsts = (F.first(c).alias(c) for c in ("size", "signature", "parities", *WIDE, "prefix"))
     nodes = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), *firsts)
-    nodes = written(nodes.select("node", "rep.doc_id", "rep.text_hash", "size", "signature", *WIDE, "prefix"), "nodes")
+    nodes = written(nodes.select("node", "rep.doc_id", "rep.text_hash", "size", "signature", "parities", *WIDE, "prefix"), "nodes")
     node_of = written(rows.select("doc_id", "text_hash", "node"), "node-of-row")
     discard(rows)
-    reps = nodes.select("node", "doc_id", "text_hash", "size", "signature")
+    reps = nodes.select("node", "doc_id", "text_hash", "size", F.coalesce("parities", "signature").alias("signature"))
     spent: list[DataFrame] = []
     pairs = written(links(nodes.select("node", *WIDE), bits, bucket, most=wide_bits(similarity), spent=spent), "candidates")
     discard(*spent)
@@ -477,7 +531,7 @@ def near_sets(texts: DataFrame, shingle: int, similarity: float, bits: int, buck
         discard(every)
         pairs = written(setjoin.candidates(keys, nodes.select("node", "signature"), roots, t, all_pairs), "candidates")
         found = found.unionAll(setjoin.verified(pairs, reps, texts, shingle, t))
-    discard(keys)
+    discard(keys, nodes)
     roots = components(found)
     return node_of.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("component"))
 
