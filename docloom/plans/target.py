@@ -180,11 +180,13 @@ class DocTable:
 
     # writing ------------------------------------------------------------------------------------------------
 
-    def _write(
-        self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int, many: bool = False
-    ) -> dict[str, list[int]]:
+    def _write(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
         """Write rows by part into a new folder: its name and its parts."""
-        return self._write_placed(_by_part(rows, id_column, parts, many), kind, version)
+        return self._write_placed(_by_part(rows, id_column, parts), kind, version)
+
+    def _write_many(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
+        """The same for rows that are enough for each task to write a file of every part."""
+        return self._write_placed(_by_part(rows, id_column, parts, many=True), kind, version)
 
     def _write_laid_out(self, rows: DataFrame, id_column: str, parts: int, kind: str, version: int) -> dict[str, list[int]]:
         """The same for rows that were `staged_by_part` for this number of parts, without a shuffle."""
@@ -214,7 +216,7 @@ class DocTable:
         if laid_out:
             written = self._write_laid_out(documents, id_column, parts, "base", n)
         else:
-            written = self._write(documents, id_column, parts, "base", n, many=True)
+            written = self._write_many(documents, id_column, parts, "base", n)
         return Version(
             n, "rebuild", documents.schema.json(), id_column, parts, base=written,
             seq=seq, event_id=event_id, build_id=build_id, ts=ts, replaying=replaying,
@@ -309,7 +311,8 @@ class DocTable:
         if upsert_missing and laid_out == old.parts:
             written = self._write_laid_out(counted, old.id_column, old.parts, "delta", n)
         else:
-            written = self._write(counted, old.id_column, old.parts, "delta", n, many)
+            write = self._write_many if many else self._write
+            written = write(counted, old.id_column, old.parts, "delta", n)
         counts = seen.get
 
         def made(now: Version | None) -> Version:
